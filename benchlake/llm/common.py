@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_ID = -(2**63)
+NULL_ID = -(2**63) + 1
 #: Bytes of one Arrow batch handed to Python: bounds a worker's memory where texts are long.
 BATCH_BYTES = 8 << 20
 
