@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benchlake.llm import exact_dedup, simhash, url_filter, vector_dedup
+from benchlake.llm import bpe, exact_dedup, packing, simhash, toxicity, url_filter, vector_dedup
 from benchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -28,8 +36,12 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op4_exact_dedup, op6_url_filter, op7_embedding_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
