@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from benchlake.llm import bpe, exact_dedup, packing, simhash, toxicity, url_filter, vector_dedup
+from benchlake.llm import bpe, exact_dedup, packing, simhash, suffix_dedup, toxicity, url_filter, vector_dedup
 from benchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,8 +41,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
