@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchlake.llm import bpe, exact_dedup, packing, simhash, suffix_dedup, toxicity, url_filter, vector_dedup
+from benchlake.llm import bpe, exact_dedup, html_text, packing, pii, simhash, suffix_dedup, toxicity, url_filter, vector_dedup
 from benchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -48,7 +56,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing, op10_suffix_dedup)}
+    import corpus_pipeline
+
+    out: dict[str, Query] = {"pipeline": corpus_pipeline.run}
+    return out | {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_text, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing, op9_pii, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,19 +12,19 @@ all documents. Labels are learnt only from rows whose crc32(doc_id) mod 5 is not
 
 Defined cases: null and empty texts have no feature and get the intercept's score; a document with
 several labels counts as toxic if any says so; labels of unknown documents or with nulls are ignored;
-without any label every score is 0.5 (predicted 1 by the contract's rule) unless ``default_bias`` says
-otherwise; rows that repeat a doc_id are scored one by one.
+without any label a document is not held to be toxic (every score is ``UNKNOWN``); rows that repeat a doc_id are scored one by one.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.llm.common import NULL_ID, key, materialize, texts, tuned, unkey
@@ -35,6 +35,8 @@ ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 10.0, 1.0, 5
 MAX_LABELLED = 20_000
 SHARD_ROWS = 5_000
 HELD_OUT = 5
+#: The score of every document where there are no labels to learn from.
+UNKNOWN = 0.1
 _WORD = re.compile(r"[^\W_]+")
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 #: Words whose hash a worker remembers before it starts afresh.
@@ -93,13 +95,13 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, shard_rows: int = SHARD_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> dict[int, float]:
     """Coordinate -> weight, zeros left out; coordinate 2**bits is the intercept."""
-    spark = tuned(docs.sparkSession)
+    tuned(docs.sparkSession)
     known = labels.select(key("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isNotNull() & (F.col("doc_id") != NULL_ID) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_labelled)
     known = materialize(known, "labelled")
     rows = known.count()
     if not rows:
-        return {}
+        return {1 << bits: float(np.log(UNKNOWN / (1 - UNKNOWN)))}
     shards = -(-rows // shard_rows)
     dealt = known.select("doc_id", "toxic", "order", F.pmod(F.xxhash64("order"), F.lit(shards)).alias("shard"))
     chosen = texts(docs).join(F.broadcast(dealt), "doc_id")  # max_labelled rows at most
@@ -124,32 +126,33 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
     each = found.groupBy("shard").applyInPandas(learn, "at long, w double")
     mean = each.groupBy("at").agg((F.sum("w") / shards).alias("w"))
-    del spark
     return {r["at"]: r["w"] for r in mean.collect()}  # at most 2**bits + 1 rows; L1 leaves hundreds
 
 
-def score(docs: DataFrame, weights: dict[int, float], bits: int = BITS) -> DataFrame:
-    """Per row: doc_id, score."""
-    spark = tuned(docs.sparkSession)
+def scorer(spark: SparkSession, weights: dict[int, float], bits: int = BITS) -> Callable[[Column], Column]:
+    """Text column -> score column; the weights, a few thousand at most, go to every worker."""
+    tuned(spark)
     shipped = spark.sparkContext.broadcast((np.array(sorted(weights), np.int64), np.array([weights[k] for k in sorted(weights)])))
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w = shipped.value
         dense = np.zeros((1 << bits) + 1, np.float32)
         dense[at] = w
         bias = float(dense[-1])
-        for b in batches:
+        for column in batches:
             out = []
-            for t in b.column(1).to_pylist():
-                x = features(t, bits)
+            for t in column:
+                x = features(t or "", bits)
                 x = np.unique(x[dense[x] != 0])
                 out.append(1 / (1 + np.exp(-np.clip(float(dense[x].sum(dtype=np.float64)) + bias, -35, 35))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
+            yield pd.Series(out, dtype=float)
 
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    return run
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
-    scored = score(docs, train(docs, labels, max_labelled))
+    score = scorer(docs.sparkSession, train(docs, labels, max_labelled))
+    scored = texts(docs).select("doc_id", score(F.col("text")).alias("score"))
     return scored.select(unkey("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
