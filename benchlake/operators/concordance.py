@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from benchlake.functions import records as R
 from benchlake.functions.records import CompareOptions
+from benchlake.schemas import RECORD
 
 DEFAULTS = CompareOptions()
 
@@ -33,11 +34,17 @@ def ordinals(records: DataFrame) -> DataFrame:
     return marked.join(F.broadcast(base), "_part").withColumn("template", F.col("_base") + run).drop("_part", "_before", "_new", "_base")
 
 
+def _record() -> Column:
+    return F.struct(*(F.col(c) for c in RECORD.names))
+
+
+def _in_file_order(records: Column) -> Column:
+    return F.array_sort(records, lambda a, b: F.when(a["idx"] < b["idx"], -1).when(a["idx"] > b["idx"], 1).otherwise(0))
+
+
 def templates(records: DataFrame) -> DataFrame:
     """(template, name, records): a template's records in file order."""
-    r = F.struct(*(F.col(c) for c in ("idx", "name", "flags", "ref_id", "pos", "mapq", "cigar", "tags")))
-    grouped = ordinals(records).groupBy("template", "name").agg(F.collect_list(r).alias("records"))
-    return grouped.withColumn("records", F.array_sort("records", lambda a, b: F.when(a["idx"] < b["idx"], -1).when(a["idx"] > b["idx"], 1).otherwise(0)))
+    return ordinals(records).groupBy("template", "name").agg(_in_file_order(F.collect_list(_record())).alias("records"))
 
 
 def lockstep(query: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -52,10 +59,8 @@ def lockstep(query: DataFrame, baseline: DataFrame) -> DataFrame:
 
 def by_name(query: DataFrame, baseline: DataFrame) -> DataFrame:
     """Templates of streams whose names are unique, joined on the name: order does not matter."""
-    r = F.struct(*(F.col(c) for c in ("idx", "name", "flags", "ref_id", "pos", "mapq", "cigar", "tags")))
-    q = query.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("idx", r.alias("r")).dropFields("r").withField("r", r)), lambda a, b: (a["idx"] - b["idx"]).cast("int")).alias("x"))
-    b = baseline.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("idx", r.alias("r")).dropFields("r").withField("r", r)), lambda a, b: (a["idx"] - b["idx"]).cast("int")).alias("x"))
-    return q.select("name", F.col("x.r").alias("query")).join(b.select("name", F.col("x.r").alias("baseline")), "name", "full_outer")
+    side = lambda f, n: f.groupBy("name").agg(_in_file_order(F.collect_list(_record())).alias(n))
+    return side(query, "query").join(side(baseline, "baseline"), "name", "full_outer")
 
 
 def _primaries(side: str) -> Column:
@@ -98,7 +103,7 @@ def nonprimary_tallies(pairs: DataFrame, opts: CompareOptions = DEFAULTS) -> Dat
         return e.select("name", "class", R.end_key(r["flags"]).alias("end"), r["ref_id"].alias("ref"), r["pos"].alias("start"), R.has(r["flags"], R.REVERSE).alias("rev"), F.lit(mark).alias("mark"), "r")
 
     both = rows("query", "q").union(rows("baseline", "b"))
-    ordered = lambda m: F.array_sort(F.collect_list(F.when(F.col("mark") == m, F.col("r"))), lambda a, b: F.when(a["idx"] < b["idx"], -1).when(a["idx"] > b["idx"], 1).otherwise(0))
+    ordered = lambda m: _in_file_order(F.collect_list(F.when(F.col("mark") == m, F.col("r"))))
     places = both.groupBy("name", "class", "end", "ref", "start", "rev").agg(ordered("q").alias("qs"), ordered("b").alias("bs"))
     # the fold works on positions in bs, so its state stays small
     state = F.struct(F.sequence(F.lit(0), F.size("bs") - 1).alias("left"), F.lit(0).alias("matched"), F.lit(0).alias("unmatched"), F.array().cast("array<array<string>>").alias("diffs"))
@@ -132,11 +137,6 @@ def nonprimary_tallies(pairs: DataFrame, opts: CompareOptions = DEFAULTS) -> Dat
     )
 
 
-def _named_counts(frame: DataFrame, name: str) -> Column:
-    del frame
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, "n"))))
-
-
 def by_class(pairs: DataFrame) -> DataFrame:
     """(class, count, pct): every read counts at most once in each class, and may be in several."""
     total = pairs.agg(F.count("*").alias("total"))
