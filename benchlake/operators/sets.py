@@ -40,9 +40,9 @@ def prefix_match(names: DataFrame, prefixes: DataFrame, name: str, prefix: str)
 
 def resolve_prefix(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:
     """One match for each prefix; two or more are an error, none is null."""
-    hits = prefix_match(names, prefixes, name, prefix).groupBy(prefix).agg(F.count("*").alias("n"), F.max(name).alias(name))
-    one = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("ambiguous prefix "), F.col(prefix)))).otherwise(F.col(name))
-    return prefixes.join(hits, prefix, "left").withColumn(name, one).drop("n")
+    hits = prefix_match(names, prefixes, name, prefix).groupBy(prefix).agg(F.count("*").alias("_hits"), F.max(name).alias(name))
+    one = F.when(F.col("_hits") > 1, F.raise_error(F.concat(F.lit("ambiguous prefix "), F.col(prefix)))).otherwise(F.col(name))
+    return prefixes.join(hits, prefix, "left").withColumn(name, one).drop("_hits")
 
 
 def islands(rows: DataFrame, value: str, order: str, partition: Iterable[str]) -> DataFrame:

@@ -15,7 +15,7 @@ def trials(spark, rows):
 
 
 def cell(sha, walls, variant=None, sample="s"):
-    return [(sha, sample, "a", k + 1, w, None, variant) for k, w in enumerate(walls)]
+    return [(sha, sample, "a", k + 1, float(w), None, variant) for k, w in enumerate(walls)]
 
 
 @pytest.mark.parametrize(
