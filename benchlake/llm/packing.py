@@ -18,13 +18,16 @@ ranked by partition and position; rows that repeat a doc_id are packed one by on
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,15 +38,37 @@ from benchlake.llm.common import materialize, texts, tuned, unkey
 SEQUENCE = 1024
 SEPARATOR = 2
 TOKENIZER = "byte_bpe_50k.json"
-_TOKENIZERS: dict[str, Tokenizer] = {}
-
-
-def tokenizer(path: str) -> Tokenizer:
-    """One tokenizer for each worker; special-token strings in a text are ordinary text."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
-    return _TOKENIZERS[path]
+_ENCODERS: dict[str, Callable[[str], list[int]]] = {}
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write bytes with: a printable byte is itself, the others
+    follow from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Text -> ids as the tokenizer file has them, without special tokens, whose strings are ordinary
+    text. A byte-level BPE whose merges stand in the order of its ids is run by its ranks, which gives
+    the same ids several times faster; any other file is run by the tokenizers library."""
+    if path not in _ENCODERS:
+        with open(path, encoding="utf-8") as f:
+            known = json.load(f)
+        model, before = known["model"], known.get("pre_tokenizer") or {}
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", [])]
+        ordered = model["type"] == "BPE" and all(model["vocab"].get(m) == 256 + k for k, m in enumerate(merges)) and not known.get("normalizer")
+        if ordered and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True):
+            letters = _byte_letters()
+            special = {t["content"] for t in known.get("added_tokens", [])}
+            ranks = {bytes(letters[c] for c in t): k for t, k in model["vocab"].items() if t not in special}
+            _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            own = Tokenizer.from_file(path)
+            own.encode_special_tokens = True
+            _ENCODERS[path] = lambda text: own.encode(text, add_special_tokens=False).ids
+    return _ENCODERS[path]
 
 
 def cut(n: int, sequence: int) -> list[tuple[int, int]]:
@@ -57,11 +82,11 @@ def pieces(docs: DataFrame, sequence: int, tokenizer_path: str) -> DataFrame:
 
     def run(batches):
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
-        encode = tokenizer(tokenizer_path)
+        encode = encoder(tokenizer_path)
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode.encode(text, add_special_tokens=False).ids, SEPARATOR], "<u4")
+                ids = np.array([*encode(text), SEPARATOR], "<u4")
                 for k, (start, size) in enumerate(cut(len(ids), sequence)):
                     rows.append((doc, k, start, size, zlib.crc32(ids[start : start + size].tobytes()), part, seen[size]))
                     seen[size] += 1
