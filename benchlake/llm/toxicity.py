@@ -5,9 +5,9 @@ pairs of neighbouring words and its pairs with one word between. They are presen
 regard to length, so a long text is judged by what it holds, not by how much else it holds.
 
 Training: per-coordinate rates, L1 sparsity. Up to ``max_labelled`` labelled rows (a documented bound;
-the rows with the smallest hash of doc_id, so any order of the input gives the same ones) are dealt to
-shards of ``shard_rows``; each shard runs FTRL in hash order over several epochs, and the shards'
-weights are averaged. The few weights that L1 leaves are shipped to a single narrow scoring pass over
+the rows with the smallest hash of doc_id, so any order of the input gives the same ones) are learnt
+from online, over several epochs, in one task whose input that bound keeps small. A larger bound is
+dealt to shards of ``shard_rows`` whose weights are averaged; one shard learns rare words better. The few weights that L1 leaves are shipped to a single narrow scoring pass over
 all documents. Labels are learnt only from rows whose crc32(doc_id) mod 5 is not 0.
 
 Defined cases: null and empty texts have no feature and get the intercept's score; a document with
@@ -33,7 +33,7 @@ BITS = 20
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 10.0, 1.0, 5
 #: At most so many labelled rows are learnt from.
 MAX_LABELLED = 20_000
-SHARD_ROWS = 5_000
+SHARD_ROWS = 20_000
 HELD_OUT = 5
 #: The score of every document where there are no labels to learn from.
 UNKNOWN = 0.1
@@ -108,15 +108,14 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
     def extract(batches):
         for b in batches:
-            x = [np.unique(features(t, bits)).astype(np.int32) for t in b.column(3).to_pylist()]
+            x = [np.append(np.unique(features(t, bits)), 1 << bits).astype(np.int32) for t in b.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(x, pa.list_(pa.int32()))], names=["shard", "order", "toxic", "x"])
 
     found = chosen.select("shard", "order", "toxic", "text").mapInArrow(extract, "shard long, order long, toxic int, x array<int>")
 
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("order", kind="stable")
-        model, one = Ftrl(bits), np.array([1 << bits])
-        xs, ys = [np.concatenate([x, one]) for x in part["x"]], (part["toxic"] > 0).astype(int).tolist()
+        model, xs, ys = Ftrl(bits), part["x"].tolist(), (part["toxic"] > 0).astype(int).tolist()
         for epoch in range(epochs):
             for k in np.random.default_rng(epoch).permutation(len(xs)):
                 model.learn(xs[k], ys[k])
