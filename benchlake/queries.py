@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from benchlake.functions import labels as L
 from benchlake.functions import records as R
-from benchlake.functions import stats as S
 from benchlake.operators import concordance as C
 from benchlake.operators import latest, sets
-from benchlake.plans import arena, gates, perf
+from benchlake.plans import arena, gates, perf, release, schedule
+from benchlake.streaming.ingest import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -587,6 +588,127 @@ def job_counts_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("SELECT l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS n, count(*) AS jobs FROM _jobs GROUP BY GROUPING SETS ((l_returnflag, l_linestatus, l_linenumber), (l_returnflag, l_linestatus), ())")
 
 
+# Release documents, labels, jobs
+
+
+def v_class_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Comparisons with class counts and supplementary counts as JSON."""
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey as trial_id",
+        "'vs-baseline' as kind",
+        "99.9 + o_totalprice / 1e7 as concordance_pct",
+        "o_custkey as total",
+        "concat('{\"pos_diff\": {\"count\": ', o_custkey, ', \"pct\": ', o_custkey % 50, '.25}', case when o_custkey % 3 = 0 then concat(', \"mapq_diff\": {\"count\": ', o_orderkey, ', \"pct\": 1.5}') else '' end, '}') as by_class_json",
+        "case when o_custkey % 2 = 0 then concat('{\"supp_query_total\": ', o_custkey, '}') end as supp_json",
+        "cast(null as string) as placement_json",
+    )
+
+
+def _compared(spark: SparkSession, sf: str) -> DataFrame:
+    return release.compared(v_trials(spark, sf), v_class_json(spark, sf), "R")
+
+
+@query(f"""WITH {_T}, x AS (SELECT o_custkey AS c, o_orderkey AS o FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R')
+SELECT 'pos_diff' AS "class", CAST(sum(c) AS BIGINT) AS "count" FROM x UNION ALL SELECT 'mapq_diff', CAST(sum(o) AS BIGINT) FROM x WHERE c % 3 = 0""")
+def class_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return release.class_counts(_compared(spark, sf))
+
+
+@query(f"""WITH {_T}, x AS (SELECT sample, arch, o_custkey AS c FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R')
+SELECT sample, arch, 'pos_diff' AS "class", round(median(c % 50 + 0.25::DOUBLE), 4) AS pct FROM x GROUP BY ALL UNION ALL SELECT sample, arch, 'mapq_diff', 1.5::DOUBLE FROM x WHERE c % 3 = 0 GROUP BY ALL""")
+def class_medians(spark: SparkSession, sf: str) -> DataFrame:
+    return release.class_medians(_compared(spark, sf))
+
+
+@query(f"WITH {_T} SELECT sample, arch, o_custkey AS supp_query, 0::BIGINT AS supp_baseline, 0::BIGINT AS count_mismatch, 0::DOUBLE AS unmatched_pct FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R' AND o_custkey % 2 = 0")
+def supplementary(spark: SparkSession, sf: str) -> DataFrame:
+    return release.supplementary(_compared(spark, sf))
+
+
+@query(f"""WITH {_T}, n AS (SELECT * FROM (VALUES ('v1', 'A'), ('v2', 'R')) v(release, fg_labs_sha)), x AS (SELECT release, sample, arg_min({{'p': 99.9 + o_totalprice / 1e7, 'c': o_custkey}}, {{'p': 99.9 + o_totalprice / 1e7, 'a': arch, 'r': rep}}) AS r FROM t JOIN n USING (fg_labs_sha) JOIN orders ON o_orderkey = id GROUP BY ALL)
+SELECT release, sample, r.p AS concordance_pct, CASE WHEN r.c % 2 = 0 THEN r.c ELSE 0 END AS supp_query, 0::BIGINT AS supp_baseline, 0::BIGINT AS count_mismatch FROM x""")
+def release_concordance(spark: SparkSession, sf: str) -> DataFrame:
+    return release.release_concordance(v_trials(spark, sf), v_class_json(spark, sf), [("v1", "A"), ("v2", "R")])
+
+
+@query(f"""WITH {_T}, {_REG}, x AS (SELECT sample, arch, 100.0 - (99.9 + o_totalprice / 1e7) AS d FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R'),
+k AS (SELECT sample, coalesce(bool_or(r.metric = 'confident_relocation'), FALSE) AS rel, coalesce(sum(pct) FILTER (r.metric = 'concordance'), 0) AS dec FROM (SELECT DISTINCT sample FROM x) LEFT JOIN reg r ON len(r.samples) = 0 OR list_contains(r.samples, sample) GROUP BY ALL)
+SELECT round(avg(d), 9) AS mean_drift_pct, round(max(dec), 9) AS declared_pct FROM x JOIN k USING (sample) WHERE NOT rel""")
+def drift_against_registry(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(release.drift_against_registry(_compared(spark, sf), _registry(spark)), "mean_drift_pct", "declared_pct")
+
+
+@query(f"""WITH {_A}, g AS (SELECT arch, label, mode, round(median(wall_seconds), 2) AS wall_s, count(wall_seconds) AS n, max(rep) AS top, count(DISTINCT rep) AS k FROM a GROUP BY ALL)
+SELECT arch, label, mode, wall_s, n, CASE WHEN n = 0 THEN 'not measured' WHEN top > 1000 THEN 'wrong round ids' WHEN k < 1000 OR n < 1000 THEN 'partial' END AS problem FROM g""")
+def host_walls(spark: SparkSession, sf: str) -> DataFrame:
+    return release.host_walls(arena.arena_rows(v_arena(spark, sf), "x"), 1000)
+
+
+@query("""WITH b AS (SELECT l_linestatus AS arch, l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_discount, l_tax, l_returnflag = 'A' AS sam FROM lineitem WHERE l_returnflag <> 'N'),
+n AS (SELECT *, row_number() OVER (PARTITION BY arch, sam ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS rep FROM b),
+x AS (SELECT arch, sam, rep, CASE WHEN l_discount = 0 THEN NULL ELSE 100.0::DOUBLE + (CASE WHEN sam THEN 2 ELSE 0 END) + l_tax END AS w, CASE WHEN (rep % 2 = 0) = sam THEN 1 ELSE 2 END AS p FROM n),
+r AS (SELECT s.arch, s.w IS NOT NULL AND t.w IS NOT NULL AS clean, s.w / t.w AS r, s.p < t.p AS leads FROM (FROM x WHERE sam) s JOIN (FROM x WHERE NOT sam) t USING (arch, rep))
+SELECT arch, 'v1' AS label, round(sqrt(median(r) FILTER (clean AND leads) * median(r) FILTER (clean AND NOT leads)), 9) AS native_saves, NULL::DOUBLE AS process_saves, count(*) FILTER (clean) AS rounds, 'paired' AS note FROM r GROUP BY arch""")
+def writer_control(spark: SparkSession, sf: str) -> DataFrame:
+    sam = "l_returnflag = 'A'"
+    base = table(spark, sf, "lineitem").filter("l_returnflag <> 'N'").selectExpr("*", f"{sam} as sam", "l_linestatus as arch")
+    w = Window.partitionBy("arch", "sam").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    rows = base.withColumn("rep", F.row_number().over(w).cast("long")).selectExpr(
+        "'x' as fg_labs_sha", "arch", "case when sam then 'v1-sam' else 'v1' end as label", "'default' as mode", "rep",
+        "case when l_discount = 0 then null else 100.0D + (case when sam then 2 else 0 end) + l_tax end as wall_seconds", "cast(null as double) as process_seconds", "'b' as block",
+        "case when (rep % 2 = 0) = sam then 1 else 2 end as position", "1.0D as index_read_seconds", "1.0D as io_in_mb", "cast(null as long) as thp_fault_fallback",
+    )
+    return rounded(arena.writer_control(arena.arena_rows(rows, "x", controls=True)), "native_saves", "process_saves")
+
+
+@query(f"""WITH {_T}, {_CMP}, a AS (SELECT count(*) AS n FROM (SELECT sample, arch FROM t JOIN c ON c.trial_id = t.id AND kind = 'vs-golden' GROUP BY ALL HAVING min(concordance_pct) < 99.9012)),
+b AS (SELECT count(*) AS n FROM (FROM (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'R') ANTI JOIN (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'N' AND wall_seconds > 80) USING (sample, arch)))
+SELECT 'golden=' || a.n || ';missing=' || b.n AS failures, a.n = 0 AND b.n = 0 AS ok FROM a, b""")
+def regression_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    out = gates.regression({"golden": golden_gate(spark, sf), "missing": missing_cells_anti(spark, sf)})
+    text = F.transform(F.map_entries("failures"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return out.select(F.array_join(text, ";").alias("failures"), "ok")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey >= 10 THEN 'v0.' || (p_partkey // 10) || '.' || (p_partkey % 10) ELSE 'v' || p_partkey || ' (interim build)' END AS version FROM part""")
+def label_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", L.release_version(F.concat(F.lit("v"), F.col("p_partkey").cast("string"))).alias("version"))
+
+
+@query("SELECT version, CAST(row_number() OVER (ORDER BY a, b) AS INTEGER) AS rank FROM (SELECT DISTINCT 'v' || (p_size % 12) || '.' || (p_partkey % 15) AS version, p_size % 12 AS a, p_partkey % 15 AS b FROM part)")
+def semantic_version_order(spark: SparkSession, sf: str) -> DataFrame:
+    v = table(spark, sf, "part").selectExpr("concat('v', p_size % 12, '.', p_partkey % 15) as version").distinct()
+    return v.select("version", F.row_number().over(Window.orderBy(sets.version_key(F.col("version")))).alias("rank"))  # a ladder of versions: at most 180
+
+
+@query("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, round(sum(o_totalprice), 4) AS amount FROM orders GROUP BY ROLLUP (CAST(CAST(o_orderdate AS DATE) AS VARCHAR))")
+def daily_cost(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").selectExpr("cast(cast(o_orderdate as date) as string) as day", "o_totalprice as amount")
+    return rounded(schedule.daily_cost(o), "amount", digits=4)
+
+
+@query("SELECT event_type AS command, CASE WHEN value > 20 THEN 'DONE' ELSE 'FAILED' END AS state, count(*) AS n FROM events GROUP BY ROLLUP (event_type, CASE WHEN value > 20 THEN 'DONE' ELSE 'FAILED' END)")
+def job_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return schedule.job_counts(table(spark, sf, "events").selectExpr("event_type as command", "case when value > 20 then 'DONE' else 'FAILED' end as state"))
+
+
+@query("SELECT p_name AS key FROM part WHERE p_brand NOT IN ('Brand#1') AND p_name NOT IN (SELECT p_name FROM part WHERE p_size = 3) AND p_name NOT LIKE '%bolt' AND p_brand IS NOT NULL")
+def orphan_files(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    return schedule.orphans(p.filter("p_brand <> 'Brand#1'").select(F.col("p_name").alias("key")), p.filter("p_size = 3").select(F.col("p_name").alias("key")).distinct(), p.filter("false").select(F.col("p_name").alias("key")), "bolt$")
+
+
+@query(f"WITH {_T} SELECT sample, arch, count(DISTINCT rep) AS reps, bool_or(rep = 1) AS first, CASE WHEN NOT bool_or(rep = 1) THEN 'no first replicate' WHEN count(DISTINCT rep) < 100 THEN 'too few replicates' END AS problem FROM t WHERE wall_seconds > 50 GROUP BY ALL")
+def golden_promotion(spark: SparkSession, sf: str) -> DataFrame:
+    return schedule.promotion(v_trials(spark, sf).filter("wall_seconds > 50"), 100)
+
+
+@query("SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS start, event_type, count(*) AS n, round(sum(value), 6) AS v FROM events GROUP BY ALL")
+def windowed_events(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return rounded(windowed(e), "v", digits=6).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return speedup_min_wall(spark, "/root/testdata/sf0.001")
 
@@ -599,4 +721,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
 
-__all__ = ["S", "entry", "oracle_sql", "queries"]
+__all__ = ["entry", "oracle_sql", "queries"]
