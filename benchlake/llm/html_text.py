@@ -30,6 +30,7 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 RAW_TAGS = frozenset("script style noscript template iframe textarea title svg math canvas object audio video".split())
 # Words in class, id and role that name page furniture, and those that name content.
 FURNITURE = frozenset("ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments consent contentinfo cookie cookies copyright disclaimer disqus donate dropdown feedback flash footer form gdpr header hero login masthead menu menubar message meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup privacy promo promoted promotion rail recommended register related replies reply respond search share sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe tags teaser toolbar topbar trending warning widget widgets".split())
+HEADING = frozenset("header hero byline".split())
 CONTENT = frozenset("article body content entry main maincontent post prose story text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>?", re.S)
@@ -38,9 +39,9 @@ _WORDS = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?;:。！？]")
 
 # Weights of the classifier (log-odds of content).
-TAG_WEIGHTS = {"article": 3.0, "main": 3.0, "nav": -7.0, "footer": -7.0, "aside": -7.0, "header": -5.0, "form": -7.0, "menu": -7.0, "dialog": -7.0, "search": -7.0, "button": -7.0, "select": -7.0, "label": -5.0, "fieldset": -7.0, "head": -20.0, "table": -0.3, "ul": -0.3, "ol": -0.3}
+TAG_WEIGHTS = {"article": 3.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "header": -6.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "search": -9.0, "button": -9.0, "select": -9.0, "label": -6.0, "fieldset": -9.0, "head": -20.0, "table": -0.3, "ul": -0.3, "ol": -0.3}
 OWN_WEIGHTS = {"p": 1.0, "h1": 1.5, "h2": 0.8, "h3": 0.6, "h4": 0.4, "h5": 0.3, "h6": 0.3, "blockquote": 0.8, "pre": 0.8, "li": -0.2, "td": 0.1, "div": -0.5, "body": -1.0}
-FURNITURE_WEIGHT, CONTENT_WEIGHT, HIDDEN_WEIGHT, LINK_WEIGHT = -7.0, 1.5, -20.0, -4.0
+FURNITURE_WEIGHT, CONTENT_WEIGHT, HIDDEN_WEIGHT, LINK_WEIGHT = -9.0, 1.5, -20.0, -4.0
 ADJACENT, SIBLINGS = 0.8, 0.4
 _UNIT = 1000  # capacities are whole thousandths
 
@@ -54,13 +55,16 @@ class Node:
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
         own = TAG_WEIGHTS.get(tag, 0.0)
-        if tag == "header" and self.inside:
-            own = 0.0  # the heading of an article
+        around = bool(parent and parent.inside)
+        if around and tag in ("header", "article", "main"):
+            own = 0.0  # the heading of an article; nested articles count once
         good = False
         for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id", "role"):
                 words = set(_WORDS.findall(value))
+                if around or words & CONTENT:
+                    words -= HEADING  # of the article, not of the site
                 if words & FURNITURE and tag not in ("html", "body", "article", "main"):
                     own = min(own, FURNITURE_WEIGHT)
                 good = good or bool(words & CONTENT)
