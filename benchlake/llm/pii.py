@@ -133,10 +133,15 @@ def _digits(s: str) -> str:
 
 def _card(s: str, key: bytes, back: bool) -> str:
     d = _digits(s)
-    body = d[0] + _letters(d[1:-1], key, "card" + d[0], back)
+    kept = d[: {"4": 1, "2": 4}.get(d[0], 2)]  # the digits that name the brand
+    body = kept + _letters(d[len(kept) : -1], key, "card" + kept, back)
     return _relay(s, body + _check_digit(body))
 
 
+#: Leading digits of payment cards.
+_BRANDS = re.compile(r"4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[47]|3(?:0[0-5]|[689])|6(?:011|4[4-9]|5)|62|35")
+
+
 def _phone(s: str, key: bytes, back: bool) -> str:
     """Country code and the first digit of the number stay, so it remains a dialable format."""
     d = _digits(s)
@@ -248,7 +253,7 @@ def _found(text: str) -> Iterator[tuple[int, int, str]]:
         d = _digits(m[0])
         if kind == "ipv4" and any(len(o) > 1 and o[0] == "0" or int(o) > 255 for o in m[0].split(".")):
             continue
-        if kind == "card" and not (13 <= len(d) <= 19 and luhn(d)):
+        if kind == "card" and not (13 <= len(d) <= 19 and _BRANDS.match(d) and luhn(d)):
             continue
         if kind == "phone" and not 7 <= len(d) <= 15:
             continue
