@@ -62,36 +62,43 @@ def _slide(v: np.ndarray, width: int, f) -> np.ndarray:
     return f(v[: len(v) - (width - n)], v[width - n :]) if width > n else v
 
 
-def _scan(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the gram at each position, whether some window picks it)."""
+def _grams(a: np.ndarray) -> np.ndarray:
+    """The hash of the gram at each position."""
     h = _BYTES[a]
     for k, m in enumerate(_MULTIPLIERS):
         h = h[: -(1 << k)] * m + h[1 << k :]
-    h = _mixed(h)
+    return _mixed(h)
+
+
+def _picked(h: np.ndarray) -> np.ndarray:
+    """Which of these grams some window inside them picks."""
     low = np.zeros(len(h) + REACH, np.uint64)
     low[REACH : len(h)] = _slide(h, REACH + 1, np.minimum)
-    return h, _slide(low, REACH + 1, np.maximum) == h
+    return _slide(low, REACH + 1, np.maximum) == h
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, gram hash, context hash) of the anchors of a text."""
+    """(position, gram hash, context hash) of the anchors of a text, scanned in bounded segments."""
     a = np.frombuffer(data, np.uint8)
-    n = len(a)
+    n, windows = len(a), len(a) - WINDOW + 1
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    carried = np.zeros(REACH, bool)  # picks of the windows before among the next positions
+    for s in range(0, windows, SEGMENT):
+        e = min(s + SEGMENT, windows)
+        low, high = max(0, s - REACH), min(n, e - 1 + REACH + WINDOW)  # with the contexts of its anchors
+        h = _grams(a[low:high])
+        picked = _picked(h[s - low : e + REACH - low])
+        picked[:REACH] |= carried
+        if e < windows:
+            carried, picked = picked[e - s :], picked[: e - s]
+        at = np.flatnonzero(picked) + s
+        start, stop = np.maximum(at - REACH, 0), np.minimum(at + WINDOW, n)
+        c = ((at - start) << 32 | (stop - at)).astype(np.uint64)
+        for k in range(-(-(REACH + WINDOW) // GRAM)):  # grams that overlap cover the whole context
+            c = _mixed(c * _MULTIPLIERS[0] + h[np.minimum(start + k * GRAM, stop - GRAM) - low])
+        found.append((at, h[at - low].view(np.int64), c.view(np.int64)))
     none = np.zeros(0, np.int64)
-    if n < WINDOW:
-        return none, none, none
-    hashes, picked = np.empty(n - GRAM + 1, np.uint64), np.zeros(n - GRAM + 1, bool)
-    for s in range(0, max(1, n - WINDOW + 1), SEGMENT):  # the windows that start in a segment
-        part = a[s : s + SEGMENT + WINDOW - 1]
-        h, p = _scan(part)
-        hashes[s : s + len(h)] = h
-        picked[s : s + len(p)] |= p
-    at = np.flatnonzero(picked)
-    start, stop = np.maximum(at - REACH, 0), np.minimum(at + WINDOW, n)
-    c = ((at - start) << 32 | (stop - at)).astype(np.uint64)
-    for k in range(-(-(REACH + WINDOW) // GRAM)):  # grams that overlap cover the whole context
-        c = _mixed(c * _MULTIPLIERS[0] + hashes[np.minimum(start + k * GRAM, stop - GRAM)])
-    return at, hashes[at].view(np.int64), c.view(np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none)
 
 
 def _emit(batches):
