@@ -265,6 +265,18 @@ def test_suffix_dedup_on_shared_passages(spark):
     assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == slow_repeats(rows)
 
 
+@pytest.mark.parametrize("segment", [100, 137, 1000])
+def test_anchors_do_not_depend_on_segments(segment, monkeypatch):
+    rng = random.Random(segment)
+    for n in (99, 100, 168, 350, 3000):
+        data = bytes(rng.choices(b"ab ", k=n))
+        whole = suffix_dedup.anchors(data)
+        with monkeypatch.context() as m:
+            m.setattr(suffix_dedup, "SEGMENT", segment)
+            assert all((x == y).all() and len(x) == len(y) for x, y in zip(whole, suffix_dedup.anchors(data), strict=True))
+        assert (n < 100) == (len(whole[0]) == 0) and all(any(j <= p <= j + 68 for p in whole[0]) for j in range(n - 99))
+
+
 def test_overlong_groups_are_dealt_by_window(monkeypatch):
     """The same covered bytes whether a gram's contexts are sorted in one task or dealt by window."""
     rng = random.Random(9)

@@ -58,6 +58,11 @@ def test_main_text():
     assert html_text.main_text("<article>" + "<p>word.</p>" * 3000 + "</article>").count("word.") == 3000
 
 
+def test_furniture_inside_content():
+    page = "<main class='content'><article class='post'><div class='article-header'><h1>The title of it</h1></div><p>One whole sentence of the story.</p><aside><p>An aside that is a sentence as well, and quite a long one at that.</p></aside><section class='comments'><p>A comment that is a sentence as well, and quite a long one at that.</p></section></article></main>"
+    assert html_text.main_text(page) == "The title of it\n\nOne whole sentence of the story."
+
+
 def test_min_cut_equals_brute_force():
     rng = random.Random(8)
     for _ in range(60):
@@ -126,15 +131,15 @@ def check_cells(v, x, rows, monkeypatch):
     import pyarrow as pa
 
     n = len(x)
-    table = pa.table({"label": [1] * n, "dim": [8] * n, "t": [0] * n, "code": [5] * n, "cid": list(range(n)), "cnt": [1] * n, "codes": pa.array([np.array([5], "<i4").tobytes()] * n, pa.binary()), "v": x.tolist()})
-    whole = {r["cid"]: r["links"] for b in v._lists(0.9)(iter(table.to_batches())) for r in b.to_pylist()}
+    table = pa.table({"label": [1] * n, "dim": [8] * n, "t": [0] * n, "code": [5] * n, "cid": list(range(n)), "cnt": [1] * n, "codes": pa.array([np.array([5], "<i4").tobytes()] * n, pa.binary()), "v": pa.array([r.tobytes() for r in x], pa.binary())})
+    whole = {r["cid"]: r["links"] for b in v._lists(0.9, "<f8")(iter(table.to_batches())) for r in b.to_pylist()}
     monkeypatch.setattr(v, "LIST_ROWS", rows)
-    out = [r for b in v._lists(0.9)(iter(table.to_batches(max_chunksize=5))) for r in b.to_pylist()]
+    out = [r for b in v._lists(0.9, "<f8")(iter(table.to_batches(max_chunksize=5))) for r in b.to_pylist()]
     assert all(r["block"] is not None for r in out) and len(out) == n
     last, links = max(r["block"] for r in out), {}
     cells = sorted((min(r["block"], o), max(r["block"], o), r["cid"], r["block"]) for r in out for o in range(last + 1))
-    t = pa.table({"label": [1] * len(cells), "dim": [8] * len(cells), "t": [0] * len(cells), "code": [5] * len(cells), "low": [c[0] for c in cells], "high": [c[1] for c in cells], "cid": [c[2] for c in cells], "block": [c[3] for c in cells], "cnt": [1] * len(cells), "codes": pa.array([np.array([5], "<i4").tobytes()] * len(cells), pa.binary()), "v": [x[c[2]].tolist() for c in cells]})
-    for b in v._cells(0.9)(iter(t.to_batches())):
+    t = pa.table({"label": [1] * len(cells), "dim": [8] * len(cells), "t": [0] * len(cells), "code": [5] * len(cells), "low": [c[0] for c in cells], "high": [c[1] for c in cells], "cid": [c[2] for c in cells], "block": [c[3] for c in cells], "cnt": [1] * len(cells), "codes": pa.array([np.array([5], "<i4").tobytes()] * len(cells), pa.binary()), "v": pa.array([x[c[2]].tobytes() for c in cells], pa.binary())})
+    for b in v._cells(0.9, "<f8")(iter(t.to_batches())):
         for r in b.to_pylist():
             links[r["cid"]] = links.get(r["cid"], 0) + r["links"]
     assert links == whole
