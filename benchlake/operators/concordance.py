@@ -17,21 +17,25 @@ from benchlake.schemas import RECORD
 DEFAULTS = CompareOptions()
 
 
+#: Records of a file that one window of ``ordinals`` holds.
+RANGE = 1 << 20
+
+
 def ordinals(records: DataFrame) -> DataFrame:
-    """Adds ``template``, the ordinal of the run of equal names a record is in (gaps and islands). File
-    order is total, so the first flag is local to ranges of it and the running count is a prefix sum
-    over one number for each range: no single task sees all records."""
-    parts = records.repartitionByRange("idx").withColumn("_part", F.spark_partition_id())
-    w = Window.partitionBy("_part").orderBy("idx")
-    # a record starts a template if the name before it differs; for the first of a range that name is the last of an earlier range
-    ends = parts.groupBy("_part").agg(F.max_by("name", "idx").alias("_last"), F.count("*").alias("_n"))
-    order = Window.orderBy("_part")  # one row for each range
+    """Adds ``template``, the ordinal of the run of equal names a record is in (gaps and islands). The
+    file is cut into fixed ranges of record numbers: a record is compared with the one before it inside
+    its range, or with the last of the range before, and the running count is a prefix sum over one
+    number for each range. No single task sees all records."""
+    parts = records.withColumn("_part", F.floor(F.col("idx") / RANGE))
+    w, order = Window.partitionBy("_part").orderBy("idx"), Window.orderBy("_part")  # order: one row for each range
+    ends = parts.groupBy("_part").agg(F.max_by("name", "idx").alias("_last"))
     edge = ends.select("_part", F.lag("_last").over(order).alias("_before"))
-    marked = parts.join(F.broadcast(edge), "_part").withColumn("_new", (~F.coalesce(F.lag("name").over(w), F.col("_before")).eqNullSafe(F.col("name"))).cast("long"))
+    fresh = ~F.coalesce(F.lag("name").over(w), F.col("_before")).eqNullSafe(F.col("name"))
+    marked = parts.join(edge, "_part").withColumn("_new", fresh.cast("long"))
     sums = marked.groupBy("_part").agg(F.sum("_new").alias("_s"))
     base = sums.select("_part", F.coalesce(F.sum("_s").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     run = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return marked.join(F.broadcast(base), "_part").withColumn("template", F.col("_base") + run).drop("_part", "_before", "_new", "_base")
+    return marked.join(base, "_part").withColumn("template", F.col("_base") + run).drop("_part", "_before", "_new", "_base")
 
 
 def _record() -> Column:

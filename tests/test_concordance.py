@@ -92,7 +92,9 @@ def test_streams_that_diverge_raise(spark):
         C.lockstep(frame(spark, [rec("a"), rec("b")]), frame(spark, [rec("a")])).collect()
 
 
-def test_templates_follow_file_order_across_ranges(spark):
+@pytest.mark.parametrize("records", [1, 2, 3, 100])
+def test_templates_follow_file_order_across_ranges(spark, records, monkeypatch):
+    monkeypatch.setattr(C, "RANGE", records)
     rows = [rec(n) for n in "aabbbacc"]
     got = {(r.template, r.name, len(r.records)) for r in C.templates(frame(spark, rows)).collect()}
     assert got == {(1, "a", 2), (2, "b", 3), (3, "a", 1), (4, "c", 2)}
