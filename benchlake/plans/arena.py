@@ -20,9 +20,11 @@ SEED_LABEL = "bwa-mem2-upstream"
 def cold(rows: DataFrame) -> DataFrame:
     """Adds ``cold``: the index load took over three times its block's median, or over 1 GB came from
     disk. Null never counts as cold; rows without a block share one."""
-    w = Window.partitionBy("arch", "block")
-    slow = F.col("index_read_seconds") > COLD_INDEX_FACTOR * F.median("index_read_seconds").over(w)
-    return rows.withColumn("cold", F.coalesce(slow, F.lit(False)) | F.coalesce(F.col("io_in_mb") > COLD_IO_MB, F.lit(False)))
+    # one median for each (arch, block), combined before the shuffle; a window would gather a block's rows
+    middle = rows.groupBy("arch", "block").agg(F.median("index_read_seconds").alias("_middle")).select(F.col("arch").alias("_arch"), F.col("block").alias("_block"), "_middle")
+    both = rows.join(middle, rows.arch.eqNullSafe(F.col("_arch")) & rows.block.eqNullSafe(F.col("_block")), "left")
+    slow = F.col("index_read_seconds") > COLD_INDEX_FACTOR * F.col("_middle")
+    return both.withColumn("cold", F.coalesce(slow, F.lit(False)) | F.coalesce(F.col("io_in_mb") > COLD_IO_MB, F.lit(False))).drop("_arch", "_block", "_middle")
 
 
 def arena_rows(arena: DataFrame, sha: str, *, controls: bool = False) -> DataFrame:
