@@ -11,7 +11,7 @@ size are dealt over ``salt`` buckets, the keeper's text going to each bucket tha
 that turn out to differ (a fingerprint collision) form a residue that is grouped again.
 
 Defined cases: null and empty texts are equal to each other and to texts of white space only; ties in
-code points go to the smallest doc_id; rows that repeat a doc_id are compared like any others.
+code points go to the smallest doc_id; rows that repeat a doc_id share its fate.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     known = materialize(digests(docs).withColumn("turn", F.lit(0)), "digests")
     turn = 0
     while True:
-        groups = _grouped(known)
+        groups = materialize(_grouped(known), "groups")  # of its own, so that the joins may split a large group's rows
         many = groups.filter((F.col("group_size") > 1) & (F.col("turn") == turn))
         inside = known.filter(F.col("turn") == turn).join(many, ["f", "n_bytes", "turn"])
         buckets = F.ceil(F.col("group_size") / BUCKET_ROWS).cast("int")
