@@ -63,4 +63,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE}
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op7_embedding_dedup": vector_dedup.ORACLE}

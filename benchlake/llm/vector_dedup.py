@@ -53,7 +53,12 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
-def _hash(bits: int, tables: int):
+def _unpacked(col: pa.Array, dim: int, kind: str) -> np.ndarray:
+    """Packed vectors as rows of doubles."""
+    return np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), dim).astype(np.float64)
+
+
+def _hash(bits: int, tables: int, kind: str):
     weights = (1 << np.arange(bits, dtype=np.int64))[:, None]
 
     def run(batches):
@@ -66,24 +71,26 @@ def _hash(bits: int, tables: int):
                     known[dim] = planes(int(dim), bits, tables)
                 for at in range(0, part.num_rows, 1024):
                     rows = part.slice(at, 1024)
-                    signs = (_matrix(rows.column(3)) @ known[dim] > 0).reshape(rows.num_rows, tables, bits)
+                    x = _matrix(rows.column(3))
+                    signs = (x @ known[dim] > 0).reshape(rows.num_rows, tables, bits)
+                    vectors = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
                     codes = (signs.astype(np.int64) @ weights)[:, :, 0]
                     packed = pa.array([c.astype("<i4").tobytes() for c in codes], pa.binary())
                     for t in range(tables):
                         n = rows.num_rows
-                        yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(4), pa.array(np.full(n, t), pa.int64()), pa.array(codes[:, t]), rows.column(0), rows.column(2), packed, rows.column(3)], names=["label", "dim", "t", "code", "cid", "cnt", "codes", "v"])
+                        yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(4), pa.array(np.full(n, t), pa.int64()), pa.array(codes[:, t]), rows.column(0), rows.column(2), packed, vectors], names=["label", "dim", "t", "code", "cid", "cnt", "codes", "v"])
 
     return run
 
 
-_LISTED = "label long, dim long, t long, code long, cid long, cnt long, codes binary, v array<double>"
+_LISTED = "label long, dim long, t long, code long, cid long, cnt long, codes binary, v binary"
 _FOUND = "cid long, links long, root long, label long, dim long, t long, code long, block long"
 
 
-def _links(t: pa.Table, table: int, cosine: float, cross: np.ndarray | None = None) -> pa.RecordBatch:
+def _links(t: pa.Table, dim: int, table: int, cosine: float, kind: str, cross: np.ndarray | None = None) -> pa.RecordBatch:
     """Link counts and a forest of one list. cross: the block of each row; then only pairs across
     blocks count, or all if there is one block."""
-    x = _matrix(t.column("v").combine_chunks())
+    x = _unpacked(t.column("v"), dim, kind)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     a, b = np.nonzero(np.triu(x @ x.T >= cosine, 1))
     if cross is not None and len(np.unique(cross)) > 1:
@@ -109,7 +116,7 @@ def _found(cid, links=None, root=None, rest=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols + ([none] * 5 if rest is None else [pa.array(r, pa.int64()) for r in rest]), names=["cid", "links", "root", "label", "dim", "t", "code", "block"])
 
 
-def _lists(cosine: float):
+def _lists(cosine: float, kind: str):
     def run(batches):
         seen, last = 0, None
         for t, whole in whole_runs(batches, 4, 4 * LIST_ROWS):
@@ -119,7 +126,7 @@ def _lists(cosine: float):
                 key_ = tuple(int(c[i]) for c in cols)
                 if whole and j - i <= LIST_ROWS:
                     if j - i > 1:
-                        yield _links(t.slice(i, j - i), key_[2], cosine)
+                        yield _links(t.slice(i, j - i), key_[1], key_[2], cosine, kind)
                     continue
                 seen, last = (seen if last == key_ else 0), key_
                 n = int(j - i)
@@ -129,14 +136,14 @@ def _lists(cosine: float):
     return run
 
 
-def _cells(cosine: float):
+def _cells(cosine: float, kind: str):
     def run(batches):
         for t, _ in whole_runs(batches, 6, 4 * LIST_ROWS):
             cols = [t.column(k).to_numpy() for k in range(6)]
             edges = np.concatenate([[0], np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1, [len(t)]])
             for i, j in zip(edges[:-1], edges[1:], strict=True):
                 part = t.slice(i, j - i)
-                yield _links(part, int(cols[2][i]), cosine, part.column("block").to_numpy())
+                yield _links(part, int(cols[1][i]), int(cols[2][i]), cosine, kind, part.column("block").to_numpy())
 
     return run
 
@@ -151,18 +158,20 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     classes = materialize(good.groupBy("label", "v").agg(F.min("vec_id").alias("cid"), F.count("*").alias("cnt")), "classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     bits, tables = shape(largest, cosine, recall)
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "<f4" if single else "<f8"  # how vectors travel: as exact as they came
     source = classes.select("cid", "label", "cnt", "v", F.size("v").cast("long").alias("dim"))
-    listed = source.repartition("cid").mapInArrow(_hash(bits, tables), _LISTED)
+    listed = source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _LISTED)
     keys = ["label", "dim", "t", "code"]
-    found = materialize(listed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_lists(cosine), _FOUND), "links")
+    found = materialize(listed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_lists(cosine, kind), _FOUND), "links")
     hot = found.filter("block is not null").select(*keys, "block", "cid")
     last = hot.groupBy(*keys).agg(F.max("block").alias("last"))
     cells = hot.join(last, keys).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
     cells = cells.select(*keys, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "block")
-    again = source.repartition("cid").mapInArrow(_hash(bits, tables), _LISTED)
+    again = source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _LISTED)
     cells = cells.join(again.select("cid", F.col("t").alias("t2"), "cnt", "codes", "v"), ["cid"]).filter("t = t2").select(*keys, "low", "high", "cid", "block", "cnt", "codes", "v")
     cell_keys = [*keys, "low", "high"]
-    far = materialize(cells.repartition(*cell_keys).sortWithinPartitions(*cell_keys).mapInArrow(_cells(cosine), _FOUND), "far_links")
+    far = materialize(cells.repartition(*cell_keys).sortWithinPartitions(*cell_keys).mapInArrow(_cells(cosine, kind), _FOUND), "far_links")
     near = found.filter("block is null").union(far)
     joined = connected_components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     counts = near.groupBy("cid").agg(F.sum("links").alias("links"))
@@ -170,3 +179,13 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     done = done.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n_links"), F.coalesce("component", "cid").alias("component_id"))
     out = rows.join(done, ["label", "v"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.select(unkey("vec_id"), "n_links", unkey("component_id"), (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+r(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x), n AS (SELECT x AS vec_id, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
