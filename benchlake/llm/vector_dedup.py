@@ -169,7 +169,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     cells = hot.join(last, keys).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
     cells = cells.select(*keys, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "block")
     again = source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _LISTED)
-    cells = cells.join(again.select("cid", F.col("t").alias("t2"), "cnt", "codes", "v"), ["cid"]).filter("t = t2").select(*keys, "low", "high", "cid", "block", "cnt", "codes", "v")
+    cells = cells.join(again.select("cid", "t", "cnt", "codes", "v"), ["cid", "t"]).select(*keys, "low", "high", "cid", "block", "cnt", "codes", "v")
     cell_keys = [*keys, "low", "high"]
     far = materialize(cells.repartition(*cell_keys).sortWithinPartitions(*cell_keys).mapInArrow(_cells(cosine, kind), _FOUND), "far_links")
     near = found.filter("block is null").union(far)
