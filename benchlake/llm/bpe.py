@@ -32,6 +32,8 @@ PATTERN = public_tokenizers.PATTERN
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pre-tokens that one generation of a worker's memory holds.
 REMEMBERED = 400_000
+#: Longer spans are resolved each time, so that the memory is bounded in bytes too.
+LONGEST = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,7 +93,8 @@ class Remembered(dict):
             self.older = dict(self)
             self.clear()
         ids = self.older.get(span) or self.resolve(span)
-        self[span] = ids
+        if len(span) <= LONGEST:
+            self[span] = ids
         return ids
 
 

@@ -47,7 +47,9 @@ class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= 64:
+            self[word] = h
         return h
 
 

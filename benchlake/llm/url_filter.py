@@ -47,6 +47,10 @@ RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("
 BLOCKED_GLOBS = (".**spam-farm.**", ".**cheap-pills.**", ".**casino**", ".**/porn/**")
 
 
+#: Characters of a batch, padded to its longest URL, that are held at once.
+CELLS = 1 << 20
+
+
 @dataclass(frozen=True)
 class Automaton:
     """Shift-And masks of many globs. States are the characters of the globs; a wildcard is a loop on
@@ -85,6 +89,12 @@ class Automaton:
     def match(self, urls: list[str]) -> np.ndarray:
         """(URLs, globs) of booleans: which globs match each whole URL."""
         n, zero = len(urls), np.zeros(self.words, np.uint64)
+        if n > 1 and n * max(map(len, urls)) > CELLS:  # a long URL must not widen the matrix of many
+            order = sorted(range(n), key=lambda k: len(urls[k]))
+            out = np.empty((n, len(self.globs)), bool)
+            for part in (order[: n // 2], order[n // 2 :]):
+                out[part] = self.match([urls[k] for k in part])
+            return out
         d = np.tile(self.start, (n, 1))
         symbols = {c: k + 2 for k, c in enumerate(self.table)}
         step = np.array([zero, zero, *self.table.values()])

@@ -1,6 +1,5 @@
 """URL filter, HTML extraction, embedding near-dedup and the pipeline against brute force."""
 
-import fnmatch
 import random
 import re
 
@@ -33,14 +32,16 @@ def test_url_rules(url, want):
     assert url_filter.judge([url, "x", url])[0] == want
 
 
-def test_automaton_equals_regular_expressions():
+def test_automaton_equals_regular_expressions(monkeypatch):
     rng = random.Random(4)
     globs = tuple("".join(rng.choice(["a", "b", "/", ".", "*", "**"]) for _ in range(rng.randint(1, 12))).replace("***", "**") for _ in range(60))
     pattern = lambda g: re.compile("".join(".*" if p == "**" else "[^/]*" if p == "*" else re.escape(p) for p in re.findall(r"\*\*|\*|[^*]", g)), re.S)
     urls = ["".join(rng.choices("ab/.", k=rng.randint(0, 14))) for _ in range(300)]
     m = url_filter.Automaton(globs)
     assert m.words > 1 and (m.match(urls) == np.array([[bool(pattern(g).fullmatch(u)) for g in globs] for u in urls])).all()
-    assert fnmatch.fnmatch("a", "a")
+    monkeypatch.setattr(url_filter, "CELLS", 100)
+    long = [*urls[:40], "ab" * 30, *urls[40:80]]
+    assert (m.match(long) == np.array([[bool(pattern(g).fullmatch(u)) for g in globs] for u in long])).all()
 
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body class="ad-free"><header><h1>Site</h1></header>
