@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benchlake.functions import stats as S
 
-# The published rules of the arena.
+# The published rules of the arena, and labels as they stand in its tables.
 COLD_INDEX_FACTOR = 3.0
 COLD_IO_MB = 1024.0
 MIN_CLEAN_ROUNDS = 3

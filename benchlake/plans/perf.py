@@ -14,7 +14,6 @@ CELL = ("sample", "arch")
 FLAT_PCT = 5.0
 MIN_REPS = 2
 METRICS = ("wall_seconds", "max_rss_mb", "io_read_mb", "io_write_mb", "cpu_time")
-BASELINE_PREFIX, MINIBWA_PREFIX = "baseline-bwa-mem2-", "minibwa-"
 
 
 def run_trials(trials: DataFrame, sha: str) -> DataFrame:
@@ -36,7 +35,7 @@ def best_walls(trials: DataFrame, sha: str) -> DataFrame:
     return timed(run_trials(trials, sha)).groupBy(*CELL).agg(F.min("wall_seconds").alias("wall_seconds"), F.min("process_seconds").alias("process_seconds"))
 
 
-def speedup_table(trials: DataFrame, candidate: str, baseline: str, third: str | None = None, third_name: str = "minibwa") -> DataFrame:
+def speedup_table(trials: DataFrame, candidate: str, baseline: str, third: str | None = None, third_name: str = "third") -> DataFrame:
     """Best candidate walls against the best of a baseline, and of a third tool if given: left joins on
     the cell, so a cell the baseline lacks stays with null ratios."""
     new = best_walls(trials, candidate).select(*CELL, F.col("wall_seconds").alias("fg_labs_s"), F.col("process_seconds").alias("fg_labs_process_s"))

@@ -62,7 +62,11 @@ def comparison_cells(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*CELL).agg(F.count("*").alias("n"), S.median("concordance_pct").alias("median_pct"), F.min("concordance_pct").alias("min_pct"), S.median(moved).alias("relocated_pct"))
 
 
-def accuracy_headline(accuracy: DataFrame, sha: str, order: tuple[str, ...] = ("fg-labs", "baseline", "minibwa")) -> DataFrame:
+# Tools as the accuracy table names them, in report order.
+TOOLS = ("fg-labs", "baseline", "minibwa")
+
+
+def accuracy_headline(accuracy: DataFrame, sha: str, order: tuple[str, ...] = TOOLS) -> DataFrame:
     """Mean grades by cell and tool; tools in their customary order, others last."""
     columns = ("placement_correct_pct", "placement_mismapped_pct", "placement_unmapped_pct", "variant_bearing_reads", "md_concordant_pct", "nm_concordant_pct", "meth_n_cpg", "meth_pearson_r", "meth_rmse")
     place = F.coalesce(F.nullif(F.array_position(F.array(*(F.lit(t) for t in order)), F.col("tool")), F.lit(0).cast("long")), F.lit(99).cast("long"))
