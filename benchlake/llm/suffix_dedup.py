@@ -102,13 +102,23 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _emit(batches):
+    """Rows (h, c, doc_id, pos) of each anchor. Of equal contexts within a batch only the first has to be
+    compared with the rest of the corpus; the others are covered whatever it holds. They are marked by a
+    negative position and dealt by a key of their own, so a very common passage does not meet in one task."""
     for b in batches:
         cols: list[list[np.ndarray]] = [[], [], [], []]
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             at, h, c = anchors(text.encode("utf-8", "surrogatepass"))
             for col, x in zip(cols, (h, c, np.full(len(at), doc), at), strict=True):
                 col.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64)) for x in cols], names=["h", "c", "doc_id", "pos"])
+        h, c, doc, pos = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in cols)
+        order = np.lexsort((pos, doc, c, h))
+        h, c, doc, pos = h[order], c[order], doc[order], pos[order]
+        start = bounds([h, c])
+        first = np.repeat(start[:-1], np.diff(start)) if len(h) else start[:0]
+        later = (doc != doc[first]) | (pos != pos[first])
+        spread = _mixed(h.view(np.uint64) ^ _mixed(doc.view(np.uint64) * _MULTIPLIERS[1] + pos.view(np.uint64))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(later, spread, h)), pa.array(c), pa.array(doc), pa.array(np.where(later, -pos - 1, pos))], names=["h", "c", "doc_id", "pos"])
 
 
 def _rows(doc, a, b=None, h=None) -> pa.RecordBatch:
@@ -122,6 +132,13 @@ def _copies(batches):
     before = None  # the last row of a run given out in pieces, and its context's first
     for t, whole in whole_runs(batches, 1, 1 << 16):
         h, c, doc, pos = (t.column(k).to_numpy() for k in range(4))
+        known = pos < 0
+        if known.any():
+            at = -pos[known] - 1
+            yield _rows(doc[known], np.maximum(at - REACH, 0), at + WINDOW)
+            h, c, doc, pos = (x[~known] for x in (h, c, doc, pos))
+            if not len(h):
+                continue
         start = bounds([h, c])[:-1]
         lead = np.repeat(start, np.diff(np.append(start, len(h))))
         lead_doc, lead_pos = doc[lead], pos[lead]
