@@ -1,4 +1,4 @@
-"""A corpus pipeline: toxicity, exact dedup, SimHash near-dedup, PII surrogates, best-fit packing.
+"""A corpus pipeline: toxicity, exact dedup, near-dedup, PII surrogates, best-fit packing.
 
 Each stage takes all that the one before it kept, and its decisions take effect. All stages but the
 last return the columns of ``documents``; the last returns the packed pieces.
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchlake.llm import exact_dedup, packing, pii, simhash, toxicity
+from benchlake.llm import exact_dedup, jaccard, packing, pii, toxicity
 from benchlake.llm.common import materialize, table
 
 
@@ -32,8 +32,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near-copies."""
-    return _without(docs, simhash.near_groups(docs).filter("doc_id <> component_id"))
+    """One document, the smallest doc_id, of each group of near-copies: five-word Jaccard similarity of 0.8 or
+    more, all pairs. The 64-bit fingerprints of op2 cannot reach that bound, so its lists are not used here."""
+    return _without(docs, jaccard.near_texts(docs).filter("doc_id <> component_id"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -196,3 +196,47 @@ def test_pipeline_stages_take_empty_tables_and_nulls(spark):
         for _, stage in p.STAGES[:-1]:
             seen = stage(spark, seen, SF)
         assert {r.doc_id for r in seen.collect()} == want
+
+
+def _near_corpus(rng, n=60):
+    """Documents with near copies at about 0.4 to 0.98 five-word similarity, in one group and in pairs."""
+    words = [f"w{k}" for k in range(4000)]
+    rows, line = [], rng.choices(words, k=30)
+    for _ in range(n):
+        base = rng.choices(words, k=rng.choice([4, 12, 60, 300]))
+        base += line if rng.random() < 0.4 else []
+        for _ in range(rng.choice([1, 2, 4, 15])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 6])):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append(" ".join(copy))
+    rng.shuffle(rows)
+    return rows
+
+
+def _slow_groups(rows):
+    """Smallest id of what pairs of five-word Jaccard similarity 0.8 or more join, by all pairs."""
+    sets = [(k, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}) for k, t in rows for w in [t.lower().split()]]
+    root = {k: k for k, _ in rows}
+    levels = set()
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if 10 * len(x & y) >= 8 * len(x | y):
+                levels.add(int(20 * len(x & y) / len(x | y)))
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root, levels
+
+
+@pytest.mark.parametrize("lists", [8192, 4])
+def test_near_texts_equals_all_pairs(spark, lists, monkeypatch):
+    from benchlake.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "LIST_ROWS", lists)
+    monkeypatch.setattr(jaccard, "NEIGHBOURS", 1)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rows = list(enumerate(_near_corpus(random.Random(lists), 30)))
+    want, levels = _slow_groups(rows)
+    assert {16, 17, 18, 19} <= levels
+    got = jaccard.near_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
