@@ -20,8 +20,9 @@ grams at equal places, and only suffixes at picked grams (anchors, about one byt
 Two context hashes of 64 bits, below an equal gram hash, stand for equal bytes in step 1.
 
 Defined cases: null and empty texts have nothing to remove, as all under ``WINDOW`` bytes; rows that
-repeat a doc_id with the same text are one document, returned as often as given; order is by doc_id,
-a null one first.
+repeat a doc_id (null is one) with the same text are one document, returned as often as given; rows that
+share a doc_id with different texts are documents of their own; order is by doc_id, a null one first,
+then by the hash of the text.
 """
 
 from __future__ import annotations
@@ -102,69 +103,70 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _emit(batches):
-    """Rows (h, c, doc_id, pos) of each anchor. Of equal contexts within a batch only the first has to be
+    """Rows (h, c, doc_id, row, pos) of each anchor. Of equal contexts within a batch only the first has to be
     compared with the rest of the corpus; the others are covered whatever it holds. They are marked by a
     negative position and dealt by a key of their own, so a very common passage does not meet in one task."""
     for b in batches:
-        cols: list[list[np.ndarray]] = [[], [], [], []]
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
+        for doc, row, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             at, h, c = anchors(text.encode("utf-8", "surrogatepass"))
-            for col, x in zip(cols, (h, c, np.full(len(at), doc), at), strict=True):
+            for col, x in zip(cols, (h, c, np.full(len(at), doc), np.full(len(at), row), at), strict=True):
                 col.append(x)
-        h, c, doc, pos = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in cols)
-        order = np.lexsort((pos, doc, c, h))
-        h, c, doc, pos = h[order], c[order], doc[order], pos[order]
+        h, c, doc, row, pos = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in cols)
+        order = np.lexsort((pos, row, doc, c, h))
+        h, c, doc, row, pos = (x[order] for x in (h, c, doc, row, pos))
         start = bounds([h, c])
         first = np.repeat(start[:-1], np.diff(start)) if len(h) else start[:0]
-        later = (doc != doc[first]) | (pos != pos[first])
-        spread = _mixed(h.view(np.uint64) ^ _mixed(doc.view(np.uint64) * _MULTIPLIERS[1] + pos.view(np.uint64))).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.where(later, spread, h)), pa.array(c), pa.array(doc), pa.array(np.where(later, -pos - 1, pos))], names=["h", "c", "doc_id", "pos"])
+        later = (doc != doc[first]) | (row != row[first]) | (pos != pos[first])
+        spread = _mixed(h.view(np.uint64) ^ _mixed(doc.view(np.uint64) * _MULTIPLIERS[1] + row.view(np.uint64) * _MULTIPLIERS[2] + pos.view(np.uint64))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(later, spread, h)), pa.array(c), pa.array(doc), pa.array(row), pa.array(np.where(later, -pos - 1, pos))], names=["h", "c", "doc_id", "row", "pos"])
 
 
-def _rows(doc, a, b=None, h=None) -> pa.RecordBatch:
+def _rows(doc, row, a, b=None, h=None) -> pa.RecordBatch:
     none = pa.nulls(len(doc), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int64()), none if b is None else pa.array(b, pa.int64()), none if h is None else pa.array(h, pa.int64())], names=["doc_id", "a", "b", "h"])
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(a, pa.int64()), none if b is None else pa.array(b, pa.int64()), none if h is None else pa.array(h, pa.int64())], names=["doc_id", "row", "a", "b", "h"])
 
 
 def _copies(batches):
-    """Rows (h, c, doc_id, pos) in order: covered ranges (a, b) of copies; (a = position, h) of the first
+    """Rows (h, c, doc_id, row, pos) in order: covered ranges (a, b) of copies; (a = position, h) of the first
     anchors of a gram with several contexts."""
     before = None  # the last row of a run given out in pieces, and its context's first
     for t, whole in whole_runs(batches, 1, 1 << 16):
-        h, c, doc, pos = (t.column(k).to_numpy() for k in range(4))
+        h, c, doc, row, pos = (t.column(k).to_numpy() for k in range(5))
         known = pos < 0
         if known.any():
             at = -pos[known] - 1
-            yield _rows(doc[known], np.maximum(at - REACH, 0), at + WINDOW)
-            h, c, doc, pos = (x[~known] for x in (h, c, doc, pos))
+            yield _rows(doc[known], row[known], np.maximum(at - REACH, 0), at + WINDOW)
+            h, c, doc, row, pos = (x[~known] for x in (h, c, doc, row, pos))
             if not len(h):
                 continue
         start = bounds([h, c])[:-1]
         lead = np.repeat(start, np.diff(np.append(start, len(h))))
-        lead_doc, lead_pos = doc[lead], pos[lead]
+        lead_doc, lead_row, lead_pos = doc[lead], row[lead], pos[lead]
         first = np.zeros(len(h), bool)
         first[start] = True
         if before is not None and before[:2] == (h[0], c[0]):
             same = lead == 0
-            lead_doc, lead_pos, first[0] = np.where(same, before[2], lead_doc), np.where(same, before[3], lead_pos), False
-        before = None if whole else (h[-1], c[-1], lead_doc[-1], lead_pos[-1])
-        later = (doc != lead_doc) | (pos != lead_pos)
-        yield _rows(doc[later], np.maximum(pos[later] - REACH, 0), pos[later] + WINDOW)
+            lead_doc, lead_row, lead_pos = (np.where(same, x, y) for x, y in zip(before[2:], (lead_doc, lead_row, lead_pos), strict=True))
+            first[0] = False
+        before = None if whole else (h[-1], c[-1], lead_doc[-1], lead_row[-1], lead_pos[-1])
+        later = (doc != lead_doc) | (row != lead_row) | (pos != lead_pos)
+        yield _rows(doc[later], row[later], np.maximum(pos[later] - REACH, 0), pos[later] + WINDOW)
         if whole:
             run = bounds([h])
             classes = np.add.reduceat(first.astype(np.int64), run[:-1])
             first &= np.repeat(classes > 1, np.diff(run))
-        yield _rows(doc[first], pos[first], h=h[first])
+        yield _rows(doc[first], row[first], pos[first], h=h[first])
 
 
 def _contexts(batches):
     for b in batches:
         out = []
-        for doc, text, at, grams in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+        for doc, row, text, at, grams in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
             data = text.encode("utf-8", "surrogatepass")
-            out += [(h, doc, p, data[max(0, p - REACH) : p], data[p : p + WINDOW]) for p, h in zip(at, grams, strict=True)]
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), *(pa.array(c, pa.binary()) for c in cols[3:])], names=["h", "doc_id", "pos", "l", "r"])
+            out += [(h, doc, row, p, data[max(0, p - REACH) : p], data[p : p + WINDOW]) for p, h in zip(at, grams, strict=True)]
+        cols = list(zip(*out, strict=True)) or [[]] * 6
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.binary()) for c in cols[4:])], names=["h", "doc_id", "row", "pos", "l", "r"])
 
 
 def blind_trie(strings: list[bytes]) -> list[int]:
@@ -278,29 +280,34 @@ def repeated(group: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[
     return most, least
 
 
-_FOUND = "doc_id long, a long, b long, win binary"
+_FOUND = "doc_id long, row long, a long, b long, win binary"
 
 
-def _found(doc, a, b=None, win=None) -> pa.RecordBatch:
+def _found(doc, row, a, b=None, win=None) -> pa.RecordBatch:
     n = len(doc)
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()), pa.nulls(n, pa.binary()) if win is None else pa.array(win, pa.binary())], names=["doc_id", "a", "b", "win"])
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()), pa.nulls(n, pa.binary()) if win is None else pa.array(win, pa.binary())], names=["doc_id", "row", "a", "b", "win"])
 
 
-def _windows(doc, pos, left, right):
+def _windows(doc, row, pos, left, right):
     """Every window around anchors of an overlong group, by digest."""
-    for d, p, x, y in zip(doc.tolist(), pos.tolist(), left, right, strict=True):
+    for d, e, p, x, y in zip(doc.tolist(), row.tolist(), pos.tolist(), left, right, strict=True):
         s, first = x + y, p - len(x)
         at = [k for k in range(len(s) - WINDOW + 1)]
-        yield _found([d] * len(at), [first + k for k in at], win=[hashlib.blake2b(s[k : k + WINDOW], digest_size=16).digest() for k in at])
+        yield _found([d] * len(at), [e] * len(at), [first + k for k in at], win=[hashlib.blake2b(s[k : k + WINDOW], digest_size=16).digest() for k in at])
 
 
 def _sort(batches):
-    """Rows (h, doc_id, pos, l, r) in order: covered ranges, and windows of overlong groups."""
+    """Rows (h, doc_id, row, pos, l, r) in order, or without row: covered ranges, and windows of overlong
+    groups. Equal rows (h, doc_id, row, pos), as a repeated row gives them, are one anchor."""
     for t, whole in whole_runs(batches, 1, GROUP_ROWS):
-        h, doc, pos = (t.column(k).to_numpy() for k in range(3))
+        h, doc, pos = (t.column(k).to_numpy() for k in ("h", "doc_id", "pos"))
+        row = t.column("row").to_numpy() if "row" in t.column_names else np.zeros_like(doc)
+        own = np.append(True, np.any([x[1:] != x[:-1] for x in (h, doc, row, pos)], axis=0))
+        t = t.filter(pa.array(own))
+        h, doc, row, pos = (x[own] for x in (h, doc, row, pos))
         left, right = t.column("l").to_pylist(), t.column("r").to_pylist()
         if not whole:
-            yield from _windows(doc, pos, left, right)
+            yield from _windows(doc, row, pos, left, right)
             continue
         run = bounds([h])
         keep = np.repeat(np.diff(run) > 1, np.diff(run))
@@ -310,7 +317,7 @@ def _sort(batches):
         group = np.cumsum(np.append(0, h[at][1:] != h[at][:-1]))
         most, least = repeated(group, [left[i] for i in at], [right[i] for i in at])
         hit = most >= 0
-        yield _found(doc[at][hit], (pos[at] - most)[hit], (pos[at] - least + WINDOW)[hit])
+        yield _found(doc[at][hit], row[at][hit], (pos[at] - most)[hit], (pos[at] - least + WINDOW)[hit])
 
 
 def _remove(batches):
@@ -338,18 +345,18 @@ def _remove(batches):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (removed byte ranges, maximal), kept (the remaining bytes)."""
     tuned(docs.sparkSession)
-    given = texts(docs)
-    marked = given.mapInArrow(_emit, "h long, c long, doc_id long, pos long")
-    marked = marked.repartition("h").sortWithinPartitions("h", "c", "doc_id", "pos")
-    copies = materialize(marked.mapInArrow(_copies, "doc_id long, a long, b long, h long"), "copies")
-    firsts = copies.filter("h is not null").groupBy("doc_id").agg(F.collect_list(F.struct("a", "h")).alias("s"))
-    fetched = given.join(firsts, "doc_id").select("doc_id", "text", F.col("s.a").alias("at"), F.col("s.h").alias("grams"))
-    fetched = fetched.mapInArrow(_contexts, "h long, doc_id long, pos long, l binary, r binary")
-    found = materialize(fetched.repartition("h").sortWithinPartitions("h", "doc_id", "pos").mapInArrow(_sort, _FOUND), "ranges")
-    windows = found.filter("win is not null").select("win", "doc_id", "a")
-    first = windows.groupBy("win").agg(F.min(F.struct("doc_id", "a")).alias("first"))
-    late = windows.join(first, "win").filter(F.struct("doc_id", "a") != F.col("first")).select("doc_id", "a", (F.col("a") + WINDOW).alias("b"))
-    ranges = copies.filter("h is null").select("doc_id", "a", "b").union(found.filter("win is null").select("doc_id", "a", "b")).union(late)
-    each = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", F.col("s.a").alias("starts"), F.col("s.b").alias("stops"))
-    out = given.join(each, "doc_id", "left").mapInArrow(_remove, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    given = texts(docs).select("doc_id", F.xxhash64("text").alias("row"), "text")  # doc_id and row tell documents apart
+    marked = given.mapInArrow(_emit, "h long, c long, doc_id long, row long, pos long")
+    marked = marked.repartition("h").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
+    copies = materialize(marked.mapInArrow(_copies, "doc_id long, row long, a long, b long, h long"), "copies")
+    firsts = copies.filter("h is not null").groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "h")).alias("s"))
+    fetched = given.join(firsts, ["doc_id", "row"]).select("doc_id", "row", "text", F.col("s.a").alias("at"), F.col("s.h").alias("grams"))
+    fetched = fetched.mapInArrow(_contexts, "h long, doc_id long, row long, pos long, l binary, r binary")
+    found = materialize(fetched.repartition("h").sortWithinPartitions("h", "doc_id", "row", "pos").mapInArrow(_sort, _FOUND), "ranges")
+    windows = found.filter("win is not null").select("win", "doc_id", "row", "a")
+    first = windows.groupBy("win").agg(F.min(F.struct("doc_id", "row", "a")).alias("first"))
+    late = windows.join(first, "win").filter(F.struct("doc_id", "row", "a") != F.col("first")).select("doc_id", "row", "a", (F.col("a") + WINDOW).alias("b"))
+    ranges = copies.filter("h is null").select("doc_id", "row", "a", "b").union(found.filter("win is null").select("doc_id", "row", "a", "b")).union(late)
+    each = ranges.groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", "row", F.col("s.a").alias("starts"), F.col("s.b").alias("stops"))
+    out = given.join(each, ["doc_id", "row"], "left").select("doc_id", "text", "starts", "stops").mapInArrow(_remove, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
     return out.select(unkey("doc_id"), "n_bytes", "spans", "kept")

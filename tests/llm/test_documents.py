@@ -265,6 +265,20 @@ def test_suffix_dedup_on_shared_passages(spark):
     assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == slow_repeats(rows)
 
 
+def test_suffix_dedup_of_rows_that_share_an_id(spark):
+    """A repeated row is one document, and texts under one id (null is one) do not cut each other."""
+    rng = random.Random(12)
+    gram, *ends = ("".join(rng.choices("abcdefgh", k=n)) for n in (60, 150, 150, 150, 150))
+    one, two = ends[0] + gram + ends[1], ends[2] + gram + ends[3]  # share 60 bytes: no window of 100 repeats
+    for rows in ([(1, one), (1, one), (2, two)], [(None, one), (None, two)], [(1, one), (1, two)]):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert sorted((r.doc_id or 0, bytes(r.kept).decode()) for r in got) == sorted((k or 0, t) for k, t in rows)
+    long = "".join(rng.choices("abcdefgh", k=250))
+    got = suffix_dedup.remove_repeats(spark.createDataFrame([(None, one + long), (None, two + long), (None, two + long)], "doc_id long, text string")).collect()
+    kept = sorted(bytes(r.kept).decode() for r in got)
+    assert kept in (sorted([one, two + long, two + long]), sorted([one + long, two, two]))
+
+
 @pytest.mark.parametrize("segment", [100, 137, 1000])
 def test_anchors_do_not_depend_on_segments(segment, monkeypatch):
     rng = random.Random(segment)
