@@ -242,18 +242,31 @@ _NUMBER = re.compile(
 _KEYED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:token|password|passwd|secret|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([A-Za-z0-9+/_\-]{8,}))", re.I)
 
 
+_BREAK = re.compile(r"[ -]")
+
+
+def _is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and _BRANDS.match(digits) is not None and luhn(digits)
+
+
 def _found(text: str) -> Iterator[tuple[int, int, str]]:
     if "@" in text:
         for m in _HOST.finditer(text):
             local = _LOCAL.search(text, max(0, m.start() - 64), m.start())
             if local and (start := local.start() + len(local[0]) - len(local[0].lstrip(".'-"))) < m.start():
                 yield start, m.end(), "email"
-    for m in _NUMBER.finditer(text):
-        kind = m.lastgroup or ""
+    at = 0
+    while m := _NUMBER.search(text, at):
+        at, kind = m.end(), m.lastgroup or ""
         d = _digits(m[0])
         if kind == "ipv4" and any(len(o) > 1 and o[0] == "0" or int(o) > 255 for o in m[0].split(".")):
             continue
-        if kind == "card" and not (13 <= len(d) <= 19 and _BRANDS.match(d) and luhn(d)):
+        if kind == "card":
+            stops = [m.end(), *(m.start() + g.start() for g in reversed(list(_BREAK.finditer(m[0]))))]
+            stop = next((z for z in stops if _is_card(_digits(text[m.start() : z]))), None)
+            if stop is not None:
+                yield m.start(), stop, kind
+            at = stop or min(stops) + (len(stops) > 1)  # else the next group of digits may start one
             continue
         if kind == "phone" and not 7 <= len(d) <= 15:
             continue

@@ -389,6 +389,17 @@ def test_clean_text_is_left_alone():
         assert pii.rewrite(t) == (t, [])
 
 
+@pytest.mark.parametrize("text", ["4111 1111 1111 1111 123", "room 12 4111111111111111", "12 34 56 4111-1111-1111-1111", "1 4111 1111 1111 1111 9", "7 4111111111111111 88"])
+def test_cards_beside_other_digits(text):
+    found = [(text[a:z], k) for a, z, k in pii.detect(text)]
+    assert [("".join(c for c in s if c.isdigit()), k) for s, k in found] == [("4111111111111111", "card")]
+
+
+def test_numbers_after_a_failed_card():
+    text = "id 12345 123-45-6789 x"
+    assert [(text[a:z], k) for a, z, k in pii.detect(text)] == [("123-45-6789", "ssn")]
+
+
 def test_surrogates_are_distinct():
     rng = random.Random(2)
     for kind, make in (("phone", lambda: f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(0, 9999):04d}"), ("ipv4", lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4))), ("secret", lambda: "".join(rng.choices("0123456789abcdefXYZ", k=rng.randint(8, 9)))), ("email", lambda: f"{rng.choice('abc')}{rng.randint(0, 99)}@x.org"), ("ssn", lambda: f"{rng.randint(0, 999):03d}-12-{rng.randint(0, 9999):04d}"), ("name", lambda: "Mr " + rng.choice(pii.NAMES["m", "latin"] + ["Zork", "Bo"]) + " " + rng.choice(["Ash", "Oak"]))):
