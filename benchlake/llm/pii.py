@@ -1,10 +1,12 @@
 """PII: surrogate generation by keyed, format-preserving permutations.
 
-Detected entities are e-mail addresses, phone numbers, payment cards (Luhn-valid), IPv4 addresses,
-social security numbers (ddd-dd-dddd), access keys and secrets in assignments, and personal names
-after a title. Each gets a surrogate of its own kind and format: digits stay digits, letters stay
-letters of the same script and case, a card keeps its brand digit and a valid check digit, an address
-stays in its class (private or public), a name keeps its title and its gender.
+Detected entities are e-mail addresses, phone numbers, payment cards (Luhn-valid), IPv4 and IPv6
+addresses, bank accounts (IBAN), social security numbers (ddd-dd-dddd), access keys and secrets in
+assignments, and personal names after a title. Each gets a surrogate of its own kind and format: digits
+stay digits of their script, letters stay letters of the same script and case, cards and accounts keep
+their issuer and valid check digits, an address stays in its class (private or public), a name keeps
+its title and its gender (the title's, or after a neutral title the given name's), and a surname its
+pattern of vowels and consonants.
 
 A surrogate is a keyed permutation (a Feistel network with cycle walking) of the entity's canonical
 form, so equal entities get equal surrogates in every document and on every worker, without a table
@@ -12,7 +14,11 @@ form, so equal entities get equal surrogates in every document and on every work
 only after the collision check: the inverse permutation must give the entity back, so no other entity
 can have the same surrogate; else ``Collision`` is raised.
 
-Defined cases: null text stays null in ``anonymise`` and counts as empty in ``surrogates``; text
+Entities of any length are permuted in blocks of ``BLOCK`` letters, each under a tweak of all letters
+before it. Characters without a lower and upper case that lead back to each other (the Kelvin sign) stay
+as they are, as nothing of the same format could stand for them reversibly.
+
+The key is the caller's: whoever has it can take surrogates back. Defined cases: null text stays null in ``anonymise`` and counts as empty in ``surrogates``; text
 without entities is returned as it is; where entities overlap, the one that starts first wins, then
 the longer; rows that repeat a doc_id are rewritten one by one.
 """
@@ -20,19 +26,22 @@ the longer; rows that repeat a doc_id are rewritten one by one.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.llm.common import texts, tuned, unkey
 
-#: The production key of the registered query and pipeline; a deployment passes its own.
-KEY = b"benchlake-surrogates"
+#: Letters of an entity that are permuted as one number.
+BLOCK = 64
 
 # Given names by gender and script, and titles by gender.
 NAMES = {
@@ -44,7 +53,50 @@ NAMES = {
 TITLES = {"f": "Mrs Ms Miss Mme Mlle Madame Frau Señora Señorita Sra Srta Signora Госпожа".split(), "m": "Mr Mister Monsieur Herr Señor Sr Signor Господин".split(), "n": "Dr Prof".split()}
 #: Letters that stand for each other, by script and case.
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя")
-_PLACE = {c: (a, k) for a in ALPHABETS for k, c in enumerate(a)}
+_VOWELS = {"aeiou", "аеиоуыэюя", "αεηιουω"}
+
+
+def _sides(alphabet: str) -> dict[str, tuple[str, int, bool]]:
+    """Character -> its alphabet, its place there, whether it is a capital; only what leads back to itself."""
+    out = {}
+    for k, c in enumerate(alphabet):
+        out[c] = (alphabet, k, False)
+        if c.upper() != c and len(c.upper()) == 1 and c.upper().lower() == c:
+            out[c.upper()] = (alphabet, k, True)
+    return out
+
+
+def _apart(alphabet: str) -> list[str]:
+    """The vowels and the rest of an alphabet, so that surrogates of names can be spoken."""
+    vowels = next((v for v in _VOWELS if set(v) <= set(alphabet)), "")
+    return [v for v in (vowels, "".join(c for c in alphabet if c not in vowels)) if v]
+
+
+_PLACE = {c: p for a in ALPHABETS for c, p in _sides(a).items()}
+_SPOKEN = {c: p for a in ALPHABETS for part in _apart(a) for c, p in _sides(part).items()}
+_HEX = _sides("0123456789abcdef")
+
+
+@lru_cache(maxsize=1)
+def _others() -> dict[str, tuple[str, int, bool]]:
+    """The same for all other letters and digits, by rule: a script's decimal digits of one block, its
+    small letters that have capitals, and its letters without case are an alphabet each."""
+    groups: dict[tuple[str, object], list[str]] = defaultdict(list)
+    for c in map(chr, range(0x80, 0x30000)):
+        if c in _PLACE or not c.isalnum():
+            continue
+        script = unicodedata.name(c, "").partition(" ")[0]
+        if c.isdecimal():
+            groups[script, ord(c) - unicodedata.decimal(c)].append(c)
+        elif c.lower() == c.upper() == c:
+            groups[script, "letter"].append(c)
+        elif c.lower() == c and len(c.upper()) == 1 and c.upper().lower() == c and c.upper() not in _PLACE:
+            groups[script, "small"].append(c)
+    return {c: p for g in groups.values() for c, p in _sides("".join(g)).items()}
+
+
+def _place(c: str, table: dict[str, tuple[str, int, bool]]) -> tuple[str, int, bool] | None:
+    return table.get(c) or (_others().get(c) if ord(c) > 127 and table is not _HEX else None)
 
 
 def _permute(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -86,27 +138,25 @@ def _unmixed(x: int, radices: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _letters(s: str, key: bytes, tweak: str, back: bool = False, hexadecimal: bool = False, fixed: int = 0) -> str:
+def _letters(s: str, key: bytes, tweak: str, back: bool = False, table: dict[str, tuple[str, int, bool]] = _PLACE, fixed: int = 0) -> str:
     """Permute the letters and digits of s within their alphabets; the rest, and ``fixed`` leading
     characters, stay. Case is laid over afterwards, so spellings that differ in case agree."""
-    at, digits, radices, alphabets = [], [], [], []
-    for k, c in enumerate(s):
-        low = c.lower()
-        if k < fixed or low not in _PLACE:
-            continue
-        alphabet, value = ("0123456789abcdef", int(low, 16)) if hexadecimal else _PLACE[low]
-        at.append(k)
-        digits.append(value)
-        radices.append(len(alphabet))
-        alphabets.append(alphabet)
-    size = 1
-    for r in radices:
-        size *= r
-    # the format is part of the tweak: two formats never share a permutation
-    new = _unmixed(_permute(_mixed(digits, radices), size, key, tweak + "|" + ",".join(map(str, radices)), back), radices)
-    out = list(s)
-    for k, d, alphabet in zip(at, new, alphabets, strict=True):
-        out[k] = alphabet[d].upper() if s[k].isupper() else alphabet[d]
+    out, before = list(s), ""
+    placed = [(k, p) for k, c in enumerate(s) if k >= fixed and (p := _place(c, table))]
+    for at in range(0, len(placed), BLOCK):
+        part = placed[at : at + BLOCK]
+        radices = [len(p[0]) for _, p in part]
+        size = 1
+        for r in radices:
+            size *= r
+        # the format is part of the tweak: two formats never share a permutation
+        own = tweak + "|" + ",".join(map(str, radices)) + before
+        old = [p[1] for _, p in part]
+        new = _unmixed(_permute(_mixed(old, radices), size, key, own, back), radices)
+        for (k, (alphabet, _, capital)), d in zip(part, new, strict=True):
+            out[k] = alphabet[d].upper() if capital else alphabet[d]
+        if at + BLOCK < len(placed):
+            before = "|" + hashlib.blake2b(f"{before}|{new if back else old}".encode(), digest_size=16).hexdigest()
     return "".join(out)
 
 
@@ -124,11 +174,11 @@ def luhn(number: str) -> bool:
 
 def _relay(shape: str, digits: str) -> str:
     it = iter(digits)
-    return "".join(next(it) if c.isdigit() else c for c in shape)
+    return "".join(next(it) if c.isdecimal() else c for c in shape)
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if c.isdigit())
+    return "".join(str(unicodedata.decimal(c)) for c in s if c.isdecimal())
 
 
 def _card(s: str, key: bytes, back: bool) -> str:
@@ -145,7 +195,7 @@ _BRANDS = re.compile(r"4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[47]|3(?:0[
 def _phone(s: str, key: bytes, back: bool) -> str:
     """Country code and the first digit of the number stay, so it remains a dialable format."""
     d = _digits(s)
-    keep = len(m[1]) if (m := re.match(r"\+(\d{1,3})\D", s)) else 1 if s.startswith("+") else 0
+    keep = len(m[1]) if (m := re.match(r"\+([0-9]{1,3})[^0-9]", s)) else 1 if s.startswith("+") else 0
     return _relay(s, d[: keep + 1] + _letters(d[keep + 1 :], key, "phone" + d[: keep + 1], back))
 
 
@@ -163,6 +213,30 @@ def _ipv4(s: str, key: bytes, back: bool) -> str:
             return ".".join(map(str, _unmixed(y, [256] * 4)))
 
 
+def _ipv6(s: str, key: bytes, back: bool) -> str:
+    """The first sixteen bits, which tell the class of an address, stay; written in the shortest form."""
+    x = int(ipaddress.IPv6Address(s))
+    head, tail = x >> 112, x & (1 << 112) - 1
+    return str(ipaddress.IPv6Address(head << 112 | _permute(tail, 1 << 112, key, f"ipv6{head}", back)))
+
+
+def _account_check(country: str, body: str) -> str:
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
+
+
+def _is_account(s: str) -> bool:
+    d = s.replace(" ", "")
+    return 15 <= len(d) <= 34 and _account_check(d[:2], d[4:]) == d[2:4]
+
+
+def _iban(s: str, key: bytes, back: bool) -> str:
+    """Country and grouping stay; the check digits are those of the new number."""
+    country, body = s[:2], s[2:].replace(" ", "")[2:]
+    new = _letters(body, key, "iban" + country, back)
+    it = iter(country + _account_check(country, new) + new)
+    return "".join(c if c == " " else next(it) for c in s)
+
+
 def _email(s: str, key: bytes, back: bool) -> str:
     """Local part, and each host label but the last two, which keep the address of its kind."""
     local, _, host = s.partition("@")
@@ -185,7 +259,7 @@ def _secret(s: str, key: bytes, back: bool) -> str:
     case, out = _hex_case(s), s
     while True:  # walk on within the format
         if case:
-            out = _letters(out.lower(), key, "secret" + case, back, hexadecimal=True)
+            out = _letters(out.lower(), key, "secret" + case, back, _HEX)
             out = out.upper() if case == "upper" else out
         else:
             out = _letters(out, key, "secret", back, fixed=4 if s.startswith("AKIA") else 0)
@@ -195,36 +269,55 @@ def _secret(s: str, key: bytes, back: bool) -> str:
 
 def _name(s: str, key: bytes, back: bool) -> str:
     title, *names = s.split(" ")
-    gender = next((g for g, ts in TITLES.items() if title.rstrip(".") in ts), "n")
     script = "cyrillic" if re.search("[а-яё]", s.lower()) else "latin"
+    gender = next((g for g, ts in TITLES.items() if title.rstrip(".") in ts), "n")
+    if gender == "n" and names:  # the given name's, which its surrogate has as well
+        gender = next((g for g in ("f", "m") if names[0] in NAMES[g, script]), "n")
     out = [title]
-    known = {n: k for g in ("f", "m") if gender in (g, "n") for k, n in enumerate(NAMES[g, script])} if gender != "n" else {}
+    own = NAMES.get((gender, script), [])
+    listed = {n for g in ("f", "m") if gender in (g, "n") for n in NAMES[g, script]}
     for k, n in enumerate(names):
-        if k == 0 and n in known:
-            own = NAMES[gender, script]
-            out.append(own[_permute(known[n], len(own), key, f"given|{gender}|{script}", back)])
+        if k == 0 and n in own:
+            out.append(own[_permute(own.index(n), len(own), key, f"given|{gender}|{script}", back)])
             continue
         while True:  # walk past the listed names, which only stand for each other
-            n = _letters(n, key, "name", back)
-            if k or n not in known:
+            n = _letters(n, key, "name", back, _SPOKEN)
+            if k or n not in listed:
                 break
         out.append(n)
     return " ".join(out)
 
 
-_MAKERS: dict[str, Callable[[str, bytes, bool], str]] = {"email": _email, "phone": _phone, "card": _card, "ipv4": _ipv4, "ssn": lambda s, k, b: _letters(s, k, "ssn", b), "secret": _secret, "name": _name}
+_MAKERS: dict[str, Callable[[str, bytes, bool], str]] = {"email": _email, "phone": _phone, "card": _card, "ipv4": _ipv4, "ipv6": _ipv6, "iban": _iban, "ssn": lambda s, k, b: _letters(s, k, "ssn", b), "secret": _secret, "name": _name}
 
 
 class Collision(ValueError):
     """Two entities would share a surrogate."""
 
 
+#: Kinds whose digits may be of any script: they are worked on as 0-9 and written back in their own.
+_NUMERIC = frozenset(("phone", "card", "ipv4", "ssn"))
+
+
+def _zero(s: str) -> int:
+    """The zero of the script of the digits of s."""
+    return next((ord(c) - unicodedata.decimal(c) for c in s if c.isdecimal()), 48)
+
+
+def _made(kind: str, entity: str, key: bytes, back: bool) -> str:
+    if kind not in _NUMERIC or entity.isascii():
+        return _MAKERS[kind](entity, key, back)
+    zero = _zero(entity)
+    plain = "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in entity)
+    return "".join(chr(zero + int(c)) if c in "0123456789" else c for c in _MAKERS[kind](plain, key, back))
+
+
 @lru_cache(maxsize=1 << 16)
-def surrogate(kind: str, entity: str, key: bytes = KEY) -> str:
+def surrogate(kind: str, entity: str, key: bytes) -> str:
     """The surrogate of an entity, after the collision check."""
-    make, tweak = _MAKERS[kind], key
-    out = make(entity, tweak, False)
-    if make(out, tweak, True) != entity:
+    out = _made(kind, entity, key, False)
+    again = _made(kind, out, key, True)
+    if again != (str(ipaddress.IPv6Address(entity)) if kind == "ipv6" else entity):
         raise Collision(f"{kind}: a surrogate does not lead back to its entity")
     return out
 
@@ -232,7 +325,10 @@ def surrogate(kind: str, entity: str, key: bytes = KEY) -> str:
 _TITLE = "|".join(sorted({t for ts in TITLES.values() for t in ts}, key=len, reverse=True))
 _NAME = re.compile(rf"(?<!\w)(?:{_TITLE})\.? (?=[^\W\d_a-z])[^\W\d_]{{2,}}(?:-[^\W\d_]+)?(?: (?=[^\W\d_a-z])[^\W\d_]{{2,}}(?:-[^\W\d_]+)?)?")
 _HOST = re.compile(r"@((?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})")
-_LOCAL = re.compile(r"[^\s@<>()\[\],;:\"!?#$%&*/\\|]+\Z")
+#: What ends the local part of an address.
+_OUTSIDE = frozenset("@<>()[],;:\"!?#$%&*/\\|")
+_IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![\w:]|\.\w)")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _NUMBER = re.compile(
     r"(?<![\w.])(?:(?P<ipv4>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"
     r"|(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])"
@@ -245,6 +341,27 @@ _KEYED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:toke
 _BREAK = re.compile(r"[ -]")
 
 
+def _local(text: str, at: int) -> int:
+    """Where the local part before the @ at this place starts: all of it, however long."""
+    k = at
+    while k and text[k - 1] not in _OUTSIDE and not text[k - 1].isspace():
+        k -= 1
+    while k < at and text[k] in ".'-":
+        k += 1
+    return k
+
+
+def _is_ipv6(s: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(s))
+    except ValueError:
+        return False
+
+
+def _one_script(s: str) -> bool:
+    return s.isascii() or len({ord(c) - unicodedata.decimal(c) for c in s if c.isdecimal()}) < 2
+
+
 def _is_card(digits: str) -> bool:
     return 13 <= len(digits) <= 19 and _BRANDS.match(digits) is not None and luhn(digits)
 
@@ -252,14 +369,22 @@ def _is_card(digits: str) -> bool:
 def _found(text: str) -> Iterator[tuple[int, int, str]]:
     if "@" in text:
         for m in _HOST.finditer(text):
-            local = _LOCAL.search(text, max(0, m.start() - 64), m.start())
-            if local and (start := local.start() + len(local[0]) - len(local[0].lstrip(".'-"))) < m.start():
+            if (start := _local(text, m.start())) < m.start():
                 yield start, m.end(), "email"
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            if _is_ipv6(m[0]):
+                yield m.start(), m.end(), "ipv6"
+    for m in _IBAN.finditer(text):
+        if _is_account(m[0]):
+            yield m.start(), m.end(), "iban"
     at = 0
     while m := _NUMBER.search(text, at):
         at, kind = m.end(), m.lastgroup or ""
         d = _digits(m[0])
-        if kind == "ipv4" and any(len(o) > 1 and o[0] == "0" or int(o) > 255 for o in m[0].split(".")):
+        if not _one_script(m[0]):
+            continue
+        if kind == "ipv4" and any(len(o) > 1 and int(o[0]) == 0 or int(o) > 255 for o in m[0].split(".")):
             continue
         if kind == "card":
             stops = [m.end(), *(m.start() + g.start() for g in reversed(list(_BREAK.finditer(m[0]))))]
@@ -288,7 +413,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def rewrite(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, str]]]:
+def rewrite(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     """(text with surrogates, [(kind, entity, surrogate)])."""
     found = detect(text)
     if not found:
@@ -302,7 +427,17 @@ def rewrite(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, str, str]
     return "".join([*parts, text[at:]]), entities
 
 
-def anonymise(docs: DataFrame, key: bytes = KEY, text_column: str = "text") -> DataFrame:
+#: The setting that names the key, and what stands in where it is unset: enough to try the queries out,
+#: useless as a secret.
+KEY_SETTING, TRIAL_KEY = "spark.benchlake.pii.key", "trial"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session's settings give to the registered query and the pipeline."""
+    return spark.conf.get(KEY_SETTING, TRIAL_KEY).encode()
+
+
+def anonymise(docs: DataFrame, key: bytes, text_column: str = "text") -> DataFrame:
     """The table with its text column rewritten; every other column stays."""
     tuned(docs.sparkSession)
 
@@ -313,7 +448,7 @@ def anonymise(docs: DataFrame, key: bytes = KEY, text_column: str = "text") -> D
     return docs.withColumn(text_column, run(F.col(text_column).cast("string")))
 
 
-def surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     """Per row: doc_id, text (rewritten), n_entities, entities (kind and surrogate, in text order)."""
     tuned(docs.sparkSession)
     entity = pa.struct([("kind", pa.string()), ("surrogate", pa.string())])

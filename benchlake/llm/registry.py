@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from benchlake.llm import bpe, exact_dedup, html_text, packing, pii, simhash, suffix_dedup, toxicity, url_filter, vector_dedup
 from benchlake.llm.common import table
 
@@ -46,7 +47,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents"))
+    return pii.surrogates(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +57,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    import corpus_pipeline
-
     out: dict[str, Query] = {"pipeline": corpus_pipeline.run}
     return out | {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_text, op4_exact_dedup, op5_bpe, op6_url_filter, op7_embedding_dedup, op8_packing, op9_pii, op10_suffix_dedup)}
 
