@@ -185,7 +185,8 @@ def near_groups(docs: DataFrame, shingle: int = 4) -> DataFrame:
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     joined = connected_components(links(distinct.select("fp")))
     named = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    # a table of its own: a join of two plain sides may split the rows of a large component
+    least = materialize(named.groupBy("component").agg(F.min("first").alias("component_id")), "least")
     classes = named.join(least, "component").select("fp", "component_id")
     out = prints.join(classes, "fp")
     return out.select(unkey("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), unkey("component_id"))
