@@ -11,6 +11,7 @@ Null, empty and repeated input, in every operator of this package:
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,20 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one if unset."""
+    """The shared folder that the cluster names in spark.checkpoint.dir. Where it is unset, the warehouse,
+    which executors share as well; a temporary folder only if driver and executors are one process."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='benchlake-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if base:
+        return base
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        _OWN[app] = f"file://{tempfile.mkdtemp(prefix='benchlake-')}" if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return _OWN[app]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
