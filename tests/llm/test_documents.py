@@ -188,7 +188,6 @@ def test_perfect_hash_is_minimal_and_knows_strangers():
 
 def test_packing(docs, none):
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
     rows = packing.pack(docs).collect()
     got = {}
     for r in rows:
@@ -211,26 +210,81 @@ def check_sequences(pieces, size):
     return len(at)
 
 
+def test_ids_are_those_of_the_library_as_it_comes():
+    path = public_tokenizers.path(packing.TOKENIZER)
+    t, encode, rng = Tokenizer.from_file(path), packing.encoder(path), random.Random(4)
+    assert encode("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  a", "Élan", "\n\n", "12345", "'ll", "日本", "🙂", "<|", "x"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert encode(text) == t.encode(text, add_special_tokens=False).ids
+    for _, text in ROWS:
+        assert encode(text or "") == t.encode(text or "", add_special_tokens=False).ids
+
+
+def slow_nested(is_gap):
+    stack, out = [], []
+    for k, g in enumerate(is_gap):
+        if not g:
+            stack.append(k)
+        elif stack:
+            out.append((stack.pop(), k))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_sweeps_over_ranges_equal_one_sweep(seed, monkeypatch):
+    """Any cut into ranges and batches gives the matches of one stack over all rows."""
+    rng = random.Random(seed)
+    n = rng.randint(1, 60)
+    is_gap = np.array([rng.random() < rng.choice([0.2, 0.5, 0.8]) for _ in range(n)])
+    assert sorted(zip(*(x.tolist() for x in packing.nested(is_gap)), strict=True)) == slow_nested(is_gap)
+    import pyarrow as pa
+
+    cuts = sorted({0, n, *(rng.randint(0, n) for _ in range(4))})
+    found, left, rows = [], [], []
+    for part, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        monkeypatch.setattr(packing.TaskContext, "get", lambda part=part: type("T", (), {"partitionId": lambda self: part})())
+        kind = np.where(is_gap[a:z], packing.GAP, packing.PIECE)
+        ids = np.arange(a, z)
+        t = pa.table([pa.array(x, pa.int64()) for x in (ids, kind, ids, ids)], names=["size", "kind", "id", "room"])
+        out = [r for b in packing._sweep(iter(t.to_batches(max_chunksize=rng.randint(1, 9)))) for r in b.to_pylist()]
+        found += [(r["pid"], r["seq"]) for r in out if r["kind"] == packing.MATCHED]
+        rows += [r for r in out if r["kind"] != packing.MATCHED]
+        left.append((part, sum(r["kind"] == packing.GAP for r in out), sum(r["kind"] == packing.PIECE for r in out)))
+    up, down = packing.carried(left)
+    pieces = {o + (z - 1 - i): r["pid"] for p, a, z, o in up.tolist() for r in rows for i in [r["idx"]] if r["kind"] == packing.PIECE and r["part"] == p and a <= i < z}
+    slots = {o + (i - a): r["seq"] for p, a, z, o in down.tolist() for r in rows for i in [r["idx"]] if r["kind"] == packing.GAP and r["part"] == p and a <= i < z}
+    assert pieces.keys() == slots.keys()
+    assert sorted(found + [(pieces[k], slots[k]) for k in pieces]) == slow_nested(is_gap)
+
+
+def slow_best_fit(sizes, sequence):
+    """Best fit decreasing, one piece after the other: how many sequences."""
+    from bisect import bisect_left, insort
+
+    gaps, opened = [], 0
+    for n in sorted(sizes, reverse=True):
+        k = bisect_left(gaps, n)
+        if k == len(gaps):
+            opened += 1
+            gap = sequence
+        else:
+            gap = gaps.pop(k)
+        insort(gaps, gap - n)
+    return opened
+
+
 @pytest.mark.parametrize("seed", range(6))
-def test_best_fit_is_near_the_bound_and_never_overlaps(seed):
+def test_packing_is_as_tight_as_best_fit(spark, seed):
     rng = random.Random(seed)
-    size = rng.choice([16, 64, 1024])
-    counts = {k: rng.choice([0, 1, rng.randint(1, 400)]) for k in range(1, size + 1)}
-    counts = {k: n for k, n in counts.items() if n}
-    matches, opened = packing.match(counts, size)
-    per = {}
-    for length, rank, first, offset in matches:
-        per.setdefault(length, []).append((rank, first, offset))
-    pieces = []
-    for length, n in counts.items():
-        own = sorted(per[length])
-        for k, (rank, first, offset) in enumerate(own):
-            stop = own[k + 1][0] if k + 1 < len(own) else n
-            pieces += [(first + i - rank, offset, length) for i in range(rank, stop)]
-    assert len(pieces) == sum(counts.values()) and check_sequences(pieces, size) == opened
-    bound = -(-sum(k * n for k, n in counts.items()) // size)
-    big = sum(n for k, n in counts.items() if 2 * k > size)
-    assert opened <= max(bound, big) * 11 / 9 + 1
+    sequence = rng.choice([16, 64, 1024])
+    sizes = [[rng.randint(1, sequence - 1) for _ in range(3000)], [rng.randint(1, max(2, sequence // 20)) for _ in range(3000)], [sequence * 2 // 5] * 500 + [1] * 50, [rng.choice([sequence // 3 + 1, sequence // 2, sequence - 1, 2]) for _ in range(2000)], [3], [min(sequence - 1, 1 + int(rng.expovariate(8 / sequence))) for _ in range(3000)]][seed]
+    df = spark.createDataFrame(list(enumerate(sizes)), "pid long, size long").repartition(3)
+    rows = packing.place(df, sequence).collect()
+    assert sorted(r.pid for r in rows) == list(range(len(sizes)))
+    opened = check_sequences([(r.seq, r.offset, sizes[r.pid]) for r in rows], sequence)
+    assert opened <= slow_best_fit(sizes, sequence) * 1.01 + 1
 
 
 def slow_repeats(rows, w=100):
