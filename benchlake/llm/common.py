@@ -77,3 +77,8 @@ def unkey(column: str) -> Column:
 
 def texts(docs: DataFrame, key_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     return docs.select(key(key_column), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias(text_column))
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, text): doc_id and row, a hash of the text, tell rows apart where a doc_id repeats."""
+    return texts(docs).select("doc_id", F.xxhash64("text").alias("row"), "text")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import materialize, texts, tuned, unkey
+from benchlake.llm.common import keyed_texts, materialize, tuned, unkey
 from benchlake.llm.runs import bounds, whole_runs
 
 WINDOW, GRAM = 100, 32
@@ -345,7 +345,7 @@ def _remove(batches):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (removed byte ranges, maximal), kept (the remaining bytes)."""
     tuned(docs.sparkSession)
-    given = texts(docs).select("doc_id", F.xxhash64("text").alias("row"), "text")  # doc_id and row tell documents apart
+    given = keyed_texts(docs)
     marked = given.mapInArrow(_emit, "h long, c long, doc_id long, row long, pos long")
     marked = marked.repartition("h").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
     copies = materialize(marked.mapInArrow(_copies, "doc_id long, row long, a long, b long, h long"), "copies")
