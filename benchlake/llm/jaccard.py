@@ -1,22 +1,19 @@
-"""Near copies by the Jaccard similarity of word shingles: every pair at the bound or above, and no other.
-
-SimHash fingerprints of 64 bits do not reach a similarity of 0.8 (about 10 bits of distance), so this is
-an exact set join. Two sets at the bound share one of their first few shingles in any order of all
-shingles (prefix filter); the order puts shingles that are common in a sample last, which only keeps
-lists short and never changes the result.
-
-1. A narrow pass writes for each row the hash of its shingle set (its node), the prefix, and a parity
-   bitmap of the set. Equal sets are one node.
-2. Prefixes are dealt by shingle. Neighbours in a list are compared first, in order of size and then in
-   ``ROUNDS`` mixed orders, and what they link is joined after each, so that a large group of near copies
-   costs its rows and not its pairs.
-3. All pairs of a list that are not joined yet and that sizes and positions allow are candidates. A list
-   longer than ``LIST_ROWS`` is cut into blocks, and every pair of blocks becomes a cell of its own.
-4. A candidate is dropped if the bitmaps differ in more bits than the sets may differ in shingles (a
+"""Near copies by the Jaccard similarity of word shingles: what ``simhash.near_copies`` needs beside its
+signatures, an exact set join between sets that are not joined yet.
+
+Two sets at the bound share one of their first few shingles in any order of all shingles (prefix filter);
+the order puts shingles that are common in a sample last, which only keeps lists short and never changes
+the result.
+
+1. A narrow pass writes for each row the hash of its shingle set (its node), its fingerprint, the prefix,
+   and a parity bitmap of the set. Equal sets are one node.
+2. Prefixes are dealt by shingle. All pairs of a list that belong to different components and that sizes
+   and positions allow are candidates; a list of one component costs nothing more. A list longer than
+   ``LIST_ROWS`` is cut into blocks, and every pair of blocks becomes a cell of its own.
+3. A candidate is dropped if the bitmaps differ in more bits than the sets may differ in shingles (a
    lower bound, so nothing is lost), and else compared set by set.
 
-Shingles stand for themselves by their 64-bit hash. Defined cases: texts without words are near copies
-of each other only; a text with fewer words than a shingle is one shingle.
+Shingles stand for themselves by their 64-bit hash.
 """
 
 from __future__ import annotations
@@ -27,49 +24,36 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import NULL_ID, materialize, texts, tuned, unkey
-from benchlake.llm.components import connected_components
+from benchlake.llm.common import keyed_texts, materialize, release, texts
 from benchlake.llm.runs import bounds, whole_runs
+from benchlake.llm.simhash import majority, shingle_hashes
 
-SHINGLE = 5
-#: The least similarity, as a fraction.
-LEAST = (4, 5)
 SEED = 42
 LIST_ROWS = 8192
 STREAM_ROWS = 1 << 16
-#: Neighbours that are compared before all pairs are, and the mixed orders that make them neighbours.
-NEIGHBOURS, ROUNDS = 2, 3
 #: Bits of a parity bitmap.
 BITS = 1024
 #: Rows and shingles of the sample that orders shingles.
 SAMPLE_ROWS, COMMON = 20_000, 1 << 16
 
 
-def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
-    """The sorted, distinct 64-bit hashes of a text's word shingles (one zero if there are no words)."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(1, np.uint64)
-    joined = b" ".join(words)
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(length + 1) - 1
-    start, end = (ends - length)[: max(1, len(words) - size + 1)].tolist(), (ends[size - 1 :].tolist() or [len(joined)])
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[i:j], SEED) for i, j in zip(start, end, strict=True)], np.uint64))
+def shingles(h: np.ndarray) -> np.ndarray:
+    """The sorted, distinct hashes of a text's shingles (one zero if there are none)."""
+    return np.unique(h) if len(h) else np.zeros(1, np.uint64)
 
 
 def _node(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
 
 
-def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, weight) of the shingles that are common in a sample of bounded size, sorted by hash."""
     rows = docs.count()
     part = texts(docs.sample(min(1.0, SAMPLE_ROWS / max(rows, 1)), seed=SEED))
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *map(shingles, b.column(1).to_pylist())]).view(np.int64))], names=["h"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *(shingles(shingle_hashes(t, size)) for t in b.column(1).to_pylist())]).view(np.int64))], names=["h"])
 
     seen = part.mapInArrow(run, "h long").groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(COMMON).collect()
     h, w = np.array([r[0] for r in seen], np.int64).view(np.uint64), np.array([r[1] for r in seen], np.int64)
@@ -77,27 +61,28 @@ def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], w[order]
 
 
-def _prints(docs: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Per row: doc_id, node, n (shingles), bits (parity bitmap), prefix."""
+def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
+    """Per row: doc_id, row (hash of the text), node, fp (fingerprint), n (shingles), bits (parity bitmap), prefix."""
     num, den = least
-    common, weight = _common(docs)
+    common, weight = _common(docs, size)
 
     def run(batches):
         for b in batches:
             out = []
-            for t in b.column(1).to_pylist():
-                s = shingles(t)
+            for t in b.column(2).to_pylist():
+                h = shingle_hashes(t, size)
+                s = shingles(h)
                 w = np.zeros(len(s), np.int64)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     w = np.where(common[at] == s, weight[at], 0)
                 first = len(s) + -(num * len(s) // den) - (num * len(s) % den > 0) + 1
                 parity = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                out.append((_node(s), len(s), np.packbits(parity.astype(np.uint8)).tobytes(), s[np.lexsort((s, w))[:first]].view(np.int64)))
-            node, n, bits, prefix = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(list(prefix), pa.list_(pa.int64()))], names=["doc_id", "node", "n", "bits", "prefix"])
+                out.append((_node(s), majority(h), len(s), np.packbits(parity.astype(np.uint8)).tobytes(), s[np.lexsort((s, w))[:first]].view(np.int64)))
+            node, fp, n, bits, prefix = zip(*out, strict=True) if out else ((), (), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(list(prefix), pa.list_(pa.int64()))], names=["doc_id", "row", "node", "fp", "n", "bits", "prefix"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, node long, n long, bits binary, prefix array<long>")
+    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, prefix array<long>")
 
 
 def _pairs(edges, n, pos, apart, least, reach=None):
@@ -128,38 +113,11 @@ def _out(node, key=None, n=None, pos=None, component=None, block=None, other=Non
     return pa.RecordBatch.from_arrays([none if x is None else pa.array(x, pa.int64()) for x in (key, n, node, pos, component, block, other)], names=["key", "n", "node", "pos", "component", "block", "other"])
 
 
-def near_texts(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Per row: doc_id, component_id: the smallest doc_id (no null) of what pairs at ``least`` join."""
-    tuned(docs.sparkSession)
-    num, den = least
+def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of nodes of different components that may be at the bound. placed: node, n, prefix,
+    component."""
 
-    def shared(batches):
-        """Rows (key, n, node, pos) in order: those of lists of two or more, and pairs of neighbours."""
-        for t, whole in whole_runs(batches, 1, STREAM_ROWS):
-            key, n, node, pos = (t.column(k).to_numpy() for k in range(4))
-            edges = bounds([key])
-            if whole:
-                many = np.repeat(np.diff(edges) > 1, np.diff(edges))
-                key, n, node, pos = key[many], n[many], node[many], pos[many]
-                edges = bounds([key])
-            yield _out(node, key, n, pos)
-            for i, j in _pairs(edges, n, pos, [], least, NEIGHBOURS):
-                yield _out(np.minimum(node[i], node[j]), other=np.maximum(node[i], node[j]))
-
-    def mixed(batches):
-        """Rows (key, turn, n, node, pos, component) in order: pairs of neighbours that are not joined."""
-        for t, _ in whole_runs(batches, 1, STREAM_ROWS):
-            key, n, node, pos, component = (t.column(k).to_numpy() for k in (0, 2, 3, 4, 5))
-            end = np.repeat(bounds([key])[1:], np.diff(bounds([key])))
-            for gap in range(1, 2 * NEIGHBOURS + 1):
-                i = np.flatnonzero(np.arange(len(n)) + gap < end)
-                j = i + gap
-                low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-                hit = (component[i] != component[j]) & (high * num <= low * den) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) * (num + den) >= num * (low + high))
-                i, j = i[hit], j[hit]
-                yield _out(np.minimum(node[i], node[j]), other=np.maximum(node[i], node[j]))
-
-    def candidates(batches):
+    def listed(batches):
         """Rows (key, n, node, pos, component) in order: pairs, and the rows of lists that are too long."""
         last, seen = None, 0
         for t, whole in whole_runs(batches, 1, STREAM_ROWS):
@@ -177,16 +135,37 @@ def near_texts(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
             joined = np.minimum.reduceat(component, edges[:-1]) == np.maximum.reduceat(component, edges[:-1])
             open_ = np.repeat(~long & ~joined, np.diff(edges))
             key, n, node, pos, component = (x[open_] for x in (key, n, node, pos, component))
-            for i, j in _pairs(bounds([key]), n, pos, [component], least):
-                yield _out(np.minimum(node[i], node[j]), other=np.maximum(node[i], node[j]))
+            if len(key):
+                yield from _distinct(_pairs(bounds([key]), n, pos, [component], least), node)
 
     def cells(batches):
         """Rows (key, low, high, n, node, pos, component, block) in order: pairs."""
         for t, _ in whole_runs(batches, 3, 4 * LIST_ROWS):
             key, low, high, n, node, pos, component, block = (t.column(k).to_numpy() for k in range(8))
             turn = np.where(low == high, np.arange(len(n)), block)  # between two blocks only pairs across
-            for i, j in _pairs(bounds([key, low, high]), n, pos, [component, turn], least):
-                yield _out(np.minimum(node[i], node[j]), other=np.maximum(node[i], node[j]))
+            yield from _distinct(_pairs(bounds([key, low, high]), n, pos, [component, turn], least), node)
+
+    keyed = placed.select("n", "node", "component", F.posexplode("prefix").alias("pos", "key")).select("key", "n", "node", F.col("pos").cast("long").alias("pos"), "component")
+    found = materialize(keyed.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(listed, _LISTED), "pairs")
+    hot = found.filter("key is not null").drop("other")
+    blocks = hot.groupBy("key").agg(F.max("block").alias("last"))
+    split = hot.join(blocks, "key").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+    split = split.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n", "node", "pos", "component", "block")
+    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, _LISTED)
+    return found.filter("key is null").union(far).select(F.col("node").alias("a"), F.col("other").alias("b"))
+
+
+def _distinct(found, node):
+    """Pairs of positions as pairs of nodes, each once for a stretch of the stream."""
+    got = [np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1) for i, j in found]
+    if got:
+        pairs = np.unique(np.concatenate(got), axis=0)
+        yield _out(pairs[:, 0], other=pairs[:, 1])
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
+    """Those of pairs (a, b) of nodes that are at the bound. nodes: doc_id, row, node, n, bits."""
+    num, den = least
 
     def may_be(batches):
         """Rows (a, b, n of both, bitmaps of both): pairs that may be at the bound by their bitmaps."""
@@ -200,7 +179,7 @@ def near_texts(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
 
     def sets(batches):
         for b in batches:
-            s = [shingles(t) for t in b.column(1).to_pylist()]
+            s = [shingles(shingle_hashes(t, size)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in s], pa.int64()), pa.array([x.tobytes() for x in s], pa.binary())], names=["node", "s"])
 
     def are(batches):
@@ -217,38 +196,12 @@ def near_texts(docs: DataFrame, least: tuple[int, int] = LEAST) -> DataFrame:
             pairs = pairs.join(of.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
         return pairs.select("a", "b", *(f"{c}_{side}" for c in columns for side in ("a", "b")))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.filter("other is not null and node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), "candidates")
-        likely = materialize(both(pairs, nodes, "n", "bits").mapInArrow(may_be, "a long, b long"), "likely")
-        named = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = named.join(nodes.select("node", "doc_id"), "node").select("doc_id").distinct()
-        found = texts(docs).join(wanted, "doc_id", "left_semi").mapInArrow(sets, "node long, s binary")
-        found = materialize(found.join(named, "node", "left_semi").dropDuplicates(["node"]), "sets")
-        return materialize(both(likely, found, "s").mapInArrow(are, "a long, b long"), "near")
-
-    prints = materialize(_prints(docs, least), "prints")
-    nodes = materialize(prints.dropDuplicates(["node"]), "nodes")
-    keyed = nodes.select("n", "node", F.posexplode("prefix").alias("pos", "key")).select("key", "n", "node", F.col("pos").cast("long").alias("pos"))
-    listed = materialize(keyed.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(shared, _LISTED), "lists")
-    early = verified(listed)
-
-    def placed() -> DataFrame:
-        again = listed.filter("key is not null").join(connected_components(early).select("node", F.col("component").alias("joined")), "node", "left")
-        return again.select("key", "n", "node", "pos", F.coalesce("joined", "node").alias("component"))
-
-    for turn in range(ROUNDS):
-        again = placed().select("key", F.xxhash64("node", F.lit(turn)).alias("turn"), "n", "node", "pos", "component")
-        early = early.union(verified(again.repartition("key").sortWithinPartitions("key", "turn").mapInArrow(mixed, _LISTED)))
-    found = materialize(placed().repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(candidates, _LISTED), "pairs")
-    hot = found.filter("key is not null").drop("other")
-    blocks = hot.groupBy("key").agg(F.max("block").alias("last"))
-    split = hot.join(blocks, "key").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
-    split = split.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n", "node", "pos", "component", "block")
-    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, _LISTED)
-    late = verified(found.union(far))
-
-    component = connected_components(early.union(late))
-    first = prints.groupBy("node").agg(F.min(F.nullif(F.col("doc_id"), F.lit(NULL_ID))).alias("first"))
-    named = first.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = named.join(named.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("node", "component_id")
-    return prints.select("doc_id", "node").join(classes, "node").select(unkey("doc_id"), "component_id")
+    pairs = materialize(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    likely = materialize(both(pairs, nodes, "n", "bits").mapInArrow(may_be, "a long, b long"), "likely")
+    named = materialize(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named")
+    wanted = named.join(nodes.select("node", "doc_id", "row"), "node").select("doc_id", "row")
+    found = keyed_texts(docs).join(wanted, ["doc_id", "row"], "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, s binary")
+    found = materialize(found.dropDuplicates(["node"]), "sets")
+    out = materialize(both(likely, found, "s").mapInArrow(are, "a long, b long"), "near")
+    release(pairs, likely, named, found)
+    return out

@@ -11,6 +11,12 @@ Only distinct fingerprints are indexed, so copies cost nothing. A key's list is
 a group whose members all lie near one of them takes one vector operation, not one for each pair. A
 list longer than ``LIST_ROWS`` is cut into blocks, and every pair of blocks becomes a cell of its own.
 
+``near_groups`` links by bits. ``near_copies`` links by the Jaccard similarity of word shingles, where
+fingerprints are the first way to candidates and not the last: pairs at 0.8 differ in about 10 of 64
+bits, beyond any signature of this kind. What the signatures bring together is verified on whole sets and
+joined at once, which folds large groups of near copies; an exact prefix-filter join (``jaccard``) then
+finds the pairs between what is left.
+
 Defined cases: a text without words, or null, has fingerprint zero, linked like any other; a text with
 fewer words than a shingle is one shingle; rows that repeat a doc_id are fingerprinted one by one.
 """
@@ -23,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import materialize, texts, tuned, unkey
+from benchlake.llm.common import NULL_ID, materialize, texts, tuned, unkey
 from benchlake.llm.components import connected_components
 from benchlake.llm.runs import bounds, roots, whole_runs
 
@@ -37,22 +43,29 @@ SHORT = 48
 STREAM_ROWS = 1 << 16
 
 
-def fingerprint(text: str, shingle: int = 4) -> int:
-    """The fingerprint as a signed 64-bit integer."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """The XXH64 of each word shingle of a text, repeats included; none if there are no words."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size + 1) - 1
-    n = max(1, len(words) - shingle + 1)
-    start, end = (ends - size)[:n].tolist(), (ends[shingle - 1 :].tolist() or [len(joined)])
+    start, end = (ends - size)[: max(1, len(words) - shingle + 1)].tolist(), (ends[shingle - 1 :].tolist() or [len(joined)])
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[i:j], SEED) for i, j in zip(start, end, strict=True)], "<u8")
+    return np.array([digest(joined[i:j], SEED) for i, j in zip(start, end, strict=True)], "<u8")
+
+
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of shingle hashes as a signed 64-bit integer: bits set in over half of them."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, 4096):  # bits of bounded slices
+    for k in range(0, len(h), 4096):  # bits of bounded slices
         ones += np.unpackbits(h[k : k + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str, shingle: int = 4) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -190,3 +203,33 @@ def near_groups(docs: DataFrame, shingle: int = 4) -> DataFrame:
     classes = named.join(least, "component").select("fp", "component_id")
     out = prints.join(classes, "fp")
     return out.select(unkey("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), unkey("component_id"))
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
+    """Per row: doc_id, row (hash of the text), component_id, kept. component_id is the smallest doc_id (no
+    null if there is another) of what pairs with a Jaccard similarity of ``least`` (a fraction) or more
+    join; one row of each component is kept, or the rows that repeat its doc_id and text. Every such pair
+    counts, and no other. Texts without words are near copies of each other only; a text with fewer words
+    than a shingle is one shingle."""
+    from benchlake.llm import jaccard
+
+    tuned(docs.sparkSession)
+    prints = materialize(jaccard.prints(docs, shingle, least), "prints")
+    nodes = materialize(prints.dropDuplicates(["node"]), "nodes")
+    first = materialize(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first")
+    alike = nodes.select("node", "fp").join(first, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    linked = links(first.select("fp"))
+    for side in ("a", "b"):
+        linked = linked.join(first.select(F.col("fp").alias(side), F.col("first").alias(f"node_{side}")), side).drop(side)
+    early = jaccard.verified(docs, nodes, alike.union(linked.select("node_a", "node_b")), shingle, least)
+    joined = connected_components(early)
+    placed = materialize(nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    late = jaccard.verified(docs, nodes, jaccard.candidates(placed, least), shingle, least)
+    again = connected_components(late.join(joined.toDF("a", "of_a"), "a", "left").join(joined.toDF("b", "of_b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    named = placed.select("node", "component").join(again.toDF("component", "joined"), "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    rows = materialize(prints.select("doc_id", "row", "node").join(named, "node").select("doc_id", "row", "component"), "rows")
+    smallest = F.min(F.struct((F.col("doc_id") == NULL_ID).alias("none"), "doc_id", "row"))
+    # a table of its own: a join of two plain sides may split the rows of a large component
+    stays = materialize(rows.groupBy("component").agg(smallest.alias("s")).select("component", F.col("s.doc_id").alias("component_id"), F.col("s.row").alias("first_row")), "stays")
+    kept = (F.col("doc_id") == F.col("component_id")) & (F.col("row") == F.col("first_row"))
+    return rows.join(stays, "component").select(unkey("doc_id"), "row", unkey("component_id"), kept.alias("kept"))

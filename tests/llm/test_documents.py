@@ -64,10 +64,24 @@ def test_exact_dedup(docs, none):
     assert exact_dedup.exact_groups(none).count() == 0
 
 
-def test_repeated_rows_share_one_fate(spark):
+def test_repeated_rows_and_ids(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "ab")], "doc_id long, text string")
-    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(df).collect()) == [(1, 1, 3, True), (1, 1, 3, True), (2, 1, 3, False)]
-
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(df).collect()) == [(1, 1, 3, False), (1, 1, 3, True), (2, 1, 3, False)]
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "y"), (3, "x"), (None, "z"), (None, " y")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact_dedup.exact_groups(df).collect())
+    assert got == [(0, 0, 1, True), (0, 0, 3, True), (1, 0, 3, False), (1, 1, 3, True), (2, 0, 3, False), (2, 1, 3, False), (3, 1, 3, False)]
+
+
+def test_huge_texts_are_hashed_and_compared_in_pieces(spark, monkeypatch):
+    rng = random.Random(7)
+    long = "".join(rng.choices("ab é日\n🙂", k=3000))
+    rows = [(1, long), (2, long + " "), (3, long[:-1] + "b"), (4, ""), (5, " "), (6, long[:200]), (7, "b" + long[1:]), (7, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(tuple(r) for r in exact_dedup.exact_groups(df).collect())
+    assert {(r[0], r[1]) for r in want} >= {(1, 2), (2, 2), (7, 2), (4, 5)}
+    monkeypatch.setattr(exact_dedup, "HUGE", 150)
+    monkeypatch.setattr(exact_dedup, "PIECE", 97)
+    assert sorted(tuple(r) for r in exact_dedup.exact_groups(df).collect()) == want
 
 @pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097, 300_000])
 def test_fingerprints_combine_in_any_grouping(n):

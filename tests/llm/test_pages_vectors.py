@@ -229,14 +229,24 @@ def _slow_groups(rows):
 
 
 @pytest.mark.parametrize("lists", [8192, 4])
-def test_near_texts_equals_all_pairs(spark, lists, monkeypatch):
-    from benchlake.llm import jaccard
+def test_near_copies_equal_all_pairs(spark, lists, monkeypatch):
+    from benchlake.llm import jaccard, simhash
 
     monkeypatch.setattr(jaccard, "LIST_ROWS", lists)
-    monkeypatch.setattr(jaccard, "NEIGHBOURS", 1)
-    monkeypatch.setattr(jaccard, "ROUNDS", 1)
     rows = list(enumerate(_near_corpus(random.Random(lists), 30)))
     want, levels = _slow_groups(rows)
     assert {16, 17, 18, 19} <= levels
-    got = jaccard.near_texts(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want and {r.doc_id for r in got if r.kept} == set(want.values())
+
+
+def test_near_copies_defined_cases(spark):
+    from benchlake.llm import simhash
+
+    text = " ".join(f"w{k}" for k in range(40))
+    df = spark.createDataFrame([(None, text), (None, text + " x"), (7, text), (7, "other words here"), (None, ""), (None, " \n"), (9, None)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in simhash.near_copies(df).collect())
+    assert got == [(0, 7, False), (0, 7, False), (0, 9, False), (0, 9, False), (7, 7, True), (7, 7, True), (9, 9, True)]
+    alone = simhash.near_copies(df.filter("doc_id is null and text <> ''").select("text", "doc_id")).collect()
+    assert sum(r.kept for r in alone) == 2 and all(r.component_id is None for r in alone)
+    assert simhash.near_copies(df.filter("false")).count() == 0
