@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchlake.llm import exact_dedup, jaccard, packing, pii, toxicity
-from benchlake.llm.common import materialize, table
+from benchlake.llm import exact_dedup, packing, pii, simhash, toxicity
+from benchlake.llm.common import key, materialize, table
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in dropped (no nulls: a null doc_id is never dropped)."""
-    return docs.join(dropped.filter("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id (null is one) and text, by its hash ``row``, are in kept."""
+    own = docs.withColumns({"_row": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), "_id": key("doc_id")})
+    return own.join(kept.select(key("doc_id").alias("_id"), F.col("row").alias("_row")).distinct(), ["_id", "_row"], "left_semi").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +29,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
-    return _without(docs, exact_dedup.exact_groups(docs).filter("not kept"))
+    groups = materialize(exact_dedup.exact_groups(docs), "groups")
+    stays = _only(docs, groups.filter("kept"))
+    again = groups.groupBy("doc_id", "row").count().filter("count > 1")  # rows that repeat a doc_id and its text
+    if again.isEmpty():
+        return stays
+    twice = _only(docs, groups.filter("kept").join(again, groups.doc_id.eqNullSafe(again.doc_id) & (groups.row == again.row), "left_semi"))
+    once = _only(docs, groups.filter("kept").join(again, groups.doc_id.eqNullSafe(again.doc_id) & (groups.row == again.row), "left_anti"))
+    return once.union(twice.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each group of near-copies: five-word Jaccard similarity of 0.8 or
-    more, all pairs. The 64-bit fingerprints of op2 cannot reach that bound, so its lists are not used here."""
-    return _without(docs, jaccard.near_texts(docs).filter("doc_id <> component_id"))
+    more, all pairs."""
+    return _only(docs, simhash.near_copies(docs).filter("kept"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
