@@ -54,7 +54,7 @@ def parser() -> argparse.ArgumentParser:
     add("trend", last="20")
     add("docs", "releases")
     add("speedup", "sha", "baseline", third="")
-    add("release-speedup", "sha", "arch", baseline_label="bwa", ladder="")
+    add("release-speedup", "sha", "arch", baseline_label="baseline", ladder="")
     add("results", "sha", "version", "out", ledger="", ladder="", force="")
     for name in ("compare-records", "tag-census"):
         add(name, "query", "baseline", ignore_tags="", expect_tags="", absent_ok_tags="", mapq_tolerance="0", confident_mapq="20", relocation_bp="10")
@@ -70,7 +70,7 @@ def regression_gates(store: Store, sha: str, prev: str, registry: DataFrame, gol
     """Every gate's failing rows."""
     trials, comparisons, accuracy = store.read("trials"), store.read("comparisons"), store.read("accuracy")
     new, old = perf.run_trials(trials, sha), perf.run_trials(trials, prev)
-    side = lambda s, t: gates.graded(accuracy.filter(accuracy.fg_labs_sha == s), t)
+    side = lambda s, t: gates.graded(accuracy.filter(accuracy.run_sha == s), t)
     compared = release.compared(trials, comparisons, sha, "vs-golden")
     a, b = side(sha, new), side(prev, old)
     expected = new.select("sample", "arch", "rep").join(perf.run_trials(trials, golden or prev).select("sample", "arch").distinct(), ["sample", "arch"], "left_semi")

@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchlake.functions import stats as S
+from benchlake.session import materialize
 
-# The published rules of the arena, and labels as they stand in its tables.
+# The published rules of the arena.
 COLD_INDEX_FACTOR = 3.0
 COLD_IO_MB = 1024.0
 MIN_CLEAN_ROUNDS = 3
 MAX_SPREAD = 0.05
 CONTROL_SUFFIX = "-sam"
-CANDIDATE, CANDIDATE_FAST = "fg-labs-default", "fg-labs-fast"
-SEED_LABEL = "bwa-mem2-upstream"
+#: Labels that stand for the run itself and for the build its chain starts at; a reader of artifacts maps
+#: the labels of its tree to these.
+CANDIDATE, SEED_LABEL = "candidate", "seed"
 
 
 def cold(rows: DataFrame) -> DataFrame:
@@ -29,13 +31,13 @@ def cold(rows: DataFrame) -> DataFrame:
 
 def arena_rows(arena: DataFrame, sha: str, *, controls: bool = False) -> DataFrame:
     """Measured rounds (the warm-up is round 0) of one run, flagged cold, without writer controls."""
-    rows = cold(arena.filter((F.col("fg_labs_sha") == sha) & (F.col("rep") >= 1)))
+    rows = cold(arena.filter((F.col("run_sha") == sha) & (F.col("rep") >= 1)))
     return rows if controls else rows.filter(~F.col("label").endswith(CONTROL_SUFFIX))
 
 
 def release_of(label: Column) -> Column:
     """The default-mode release that an arm belongs to."""
-    return F.when(label == CANDIDATE_FAST, CANDIDATE).otherwise(F.regexp_replace(label, "-fast$", ""))
+    return F.regexp_replace(label, "-fast$", "")
 
 
 def chronology(releases: DataFrame) -> DataFrame:
@@ -44,36 +46,45 @@ def chronology(releases: DataFrame) -> DataFrame:
     return releases.select(F.col("label").alias("release"), F.col("rank").cast("long").alias("rank")).union(newest)
 
 
-def paired_ratios(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """prior / this wall ratio for each row of ``pairs`` (pair, arch, prior_label, prior_mode, this_label,
-    this_mode). One self-join on the round; every pair is one group, so all pairs run in one plan."""
-    side = ("block", "rep", "position", "wall_seconds", "process_seconds", "cold")
-    own = rows.select("arch", "label", "mode", *side)
+def arm_stats(rows: DataFrame) -> DataFrame:
+    """By arm: medians, counts, and the one block that all its rounds are in (null: several or none)."""
+    lone = (F.min("block") == F.max("block")) & (F.count_if(F.col("block").isNull()) == 0)
+    return rows.groupBy("arch", "label", "mode").agg(
+        S.median("wall_seconds").alias("median_wall_s"),
+        S.median("process_seconds").alias("median_process_s"),
+        F.count("wall_seconds").alias("n_reps"),
+        F.count_if(F.col("wall_seconds").isNull()).alias("n_skipped"),
+        F.count_if("cold").alias("cold_runs"),
+        S.median("thp_fault_fallback").alias("thp_fallback"),
+        F.when(lone, F.min("block")).alias("lone_block"),
+    )
 
-    def arm(which: str) -> DataFrame:
-        on = own.select("arch", F.col("label").alias(f"{which}_label"), F.col("mode").alias(f"{which}_mode"), *side)
-        return pairs.join(on, ["arch", f"{which}_label", f"{which}_mode"])
 
-    prior, this = arm("prior"), arm("this")
-    # blocks: are both arms wholly in one and the same block?
-    both = prior.select("pair", "block", "wall_seconds", "process_seconds", F.lit(True).alias("is_prior")).union(this.select("pair", "block", "wall_seconds", "process_seconds", F.lit(False)))
+def paired_ratios(rows: DataFrame, pairs: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """prior / this wall ratio for each row of ``pairs`` (pair, arch, prior_label, prior_mode, this_label,
+    this_mode). Rows are read once: each goes to the pairs its arm is in, and a pair's round brings both
+    arms together in one aggregation. What concerns whole arms comes from ``stats`` (``arm_stats``)."""
+    stats = arm_stats(rows) if stats is None else stats
+    arms = pairs
+    for side in ("prior", "this"):
+        facts = (F.col("median_wall_s").alias(f"{side}_wall"), F.col("median_process_s").alias(f"{side}_process"), F.col("lone_block").alias(f"{side}_block"))
+        arms = arms.join(stats.select("arch", F.col("label").alias(f"{side}_label"), F.col("mode").alias(f"{side}_mode"), *facts), ["arch", f"{side}_label", f"{side}_mode"])
+    arms = arms.select("pair", F.coalesce(F.col("prior_block") == F.col("this_block"), F.lit(False)).alias("same_block"), S.ratio("prior_wall", "this_wall").alias("far_ratio"), S.ratio("prior_process", "this_process").alias("far_process"))
+    sides = F.array(*(F.struct(F.col(f"{s}_label").alias("label"), F.col(f"{s}_mode").alias("mode"), F.lit(s == "prior").alias("is_prior")) for s in ("prior", "this")))
+    members = pairs.select("pair", "arch", F.explode(sides).alias("m")).select("pair", "arch", "m.*")
+    measured = F.struct("position", "wall_seconds", "process_seconds", "cold")
     p = F.col("is_prior")
-    arms = both.groupBy("pair").agg(
-        ((F.count_distinct("block") == 1) & (F.count_if(F.col("block").isNull()) == 0)).alias("same_block"),
-        S.ratio(S.median(F.when(p, F.col("wall_seconds"))), S.median(F.when(~p, F.col("wall_seconds")))).alias("far_ratio"),
-        S.ratio(S.median(F.when(p, F.col("process_seconds"))), S.median(F.when(~p, F.col("process_seconds")))).alias("far_process"),
-    )
-    a, b = (x.select("pair", "rep", *(F.col(k).alias(f"{k}_{n}") for k in ("position", "wall_seconds", "process_seconds", "cold"))) for x, n in ((prior, "prior"), (this, "this")))
-    rounds = a.join(b, ["pair", "rep"])
-    clean = ~F.col("cold_prior") & ~F.col("cold_this") & F.col("wall_seconds_prior").isNotNull() & F.col("wall_seconds_this").isNotNull()
-    leads = F.coalesce(F.col("position_prior") < F.col("position_this"), F.lit(False))
-    rounds = rounds.select("pair", clean.alias("clean"), S.ratio("wall_seconds_prior", "wall_seconds_this").alias("r"), S.ratio("process_seconds_prior", "process_seconds_this").alias("q"), leads.alias("leads"), F.coalesce(F.abs(F.col("position_prior") - F.col("position_this")) == 1, F.lit(False)).alias("next_to"))
+    both = rows.select("arch", "label", "mode", "rep", measured.alias("r")).join(members, ["arch", "label", "mode"]).groupBy("pair", "rep").agg(F.first(F.when(p, F.col("r")), True).alias("x"), F.first(F.when(~p, F.col("r")), True).alias("y"))
+    rounds = both.filter("x is not null and y is not null")
+    clean = ~F.col("x.cold") & ~F.col("y.cold") & F.col("x.wall_seconds").isNotNull() & F.col("y.wall_seconds").isNotNull()
+    leads = F.coalesce(F.col("x.position") < F.col("y.position"), F.lit(False))
+    rounds = rounds.select("pair", clean.alias("clean"), S.ratio("x.wall_seconds", "y.wall_seconds").alias("r"), S.ratio("x.process_seconds", "y.process_seconds").alias("q"), leads.alias("leads"), F.coalesce(F.abs(F.col("x.position") - F.col("y.position")) == 1, F.lit(False)).alias("next_to"))
     ok = F.col("clean")
     per = rounds.groupBy("pair").agg(
         F.count("*").alias("scheduled"),
         F.count_if(ok).alias("rounds"),
         F.bool_and(F.when(ok, F.col("next_to"))).alias("adjacent"),
-        (F.count_distinct(F.when(ok, F.col("leads"))) < 2).alias("one_order"),
+        (F.min(F.when(ok, F.col("leads"))) == F.max(F.when(ok, F.col("leads")))).alias("one_order"),
         S.median(F.when(ok, F.col("r"))).alias("m"),
         S.lead_balanced_median(F.when(ok, F.col("r")), "leads").alias("lb"),
         S.median(F.when(ok, F.col("q"))).alias("mq"),
@@ -104,14 +115,7 @@ def paired_ratios(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def medians(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("arch", "label", "mode").agg(
-        S.median("wall_seconds").alias("median_wall_s"),
-        S.median("process_seconds").alias("median_process_s"),
-        F.count("wall_seconds").alias("n_reps"),
-        F.count_if(F.col("wall_seconds").isNull()).alias("n_skipped"),
-        F.count_if("cold").alias("cold_runs"),
-        S.median("thp_fault_fallback").alias("thp_fallback"),
-    )
+    return arm_stats(rows).drop("lone_block")
 
 
 def predecessors(measured: DataFrame, releases: DataFrame, modes: tuple[str, ...] = ("default", "fast")) -> DataFrame:
@@ -125,17 +129,20 @@ def predecessors(measured: DataFrame, releases: DataFrame, modes: tuple[str, ...
 
 def arena_table(rows: DataFrame, releases: DataFrame) -> DataFrame:
     """One row per (arch, label, mode): medians, counts, the ratio to the last measured release, and
-    for arms that are no release the candidate's wall over theirs."""
-    table = medians(rows)
+    for arms that are no release the candidate's wall over theirs. The rows and the facts of the arms are
+    written once, as several parts of the table read them."""
+    rows = materialize(rows.select("arch", "label", "mode", "rep", "block", "position", "wall_seconds", "process_seconds", "thp_fault_fallback", "cold"), "arena_rows")
+    stats = materialize(arm_stats(rows), "arm_stats")
+    table = stats.drop("lone_block")
     chain = predecessors(table, releases)
     pairs = chain.filter("prior_label is not null").select(F.concat_ws("|", "arch", "label", "mode").alias("pair"), "arch", "prior_label", F.col("mode").alias("prior_mode"), F.col("label").alias("this_label"), F.col("mode").alias("this_mode"))
-    ratios = paired_ratios(rows, pairs).join(pairs.select("pair", "arch", F.col("this_label").alias("label"), F.col("this_mode").alias("mode")), "pair")
+    ratios = paired_ratios(rows, pairs, stats).join(pairs.select("pair", "arch", F.col("this_label").alias("label"), F.col("this_mode").alias("mode")), "pair")
     ratios = ratios.select("arch", "label", "mode", F.col("ratio").alias("vs_prior_release"), F.col("process_ratio").alias("vs_prior_process"), F.col("low").alias("prior_min"), F.col("high").alias("prior_max"), F.col("rounds").alias("prior_rounds"), F.col("note").alias("prior_note"))
     own = table.filter((F.col("label") == CANDIDATE) & (F.col("mode") == "default")).select("arch", F.col("median_wall_s").alias("own_wall"))
     known = chronology(releases).select("release")
     comparator = table.withColumn("release", release_of(F.col("label"))).join(F.broadcast(known), "release", "left_anti").select("arch", "label", "mode", F.lit(True).alias("comparator"))
     out = table.join(ratios, ["arch", "label", "mode"], "left").join(own, "arch", "left").join(comparator, ["arch", "label", "mode"], "left")
-    return out.withColumn("vs_fg_labs", F.when(F.col("comparator"), S.ratio("own_wall", "median_wall_s"))).drop("own_wall", "comparator").orderBy("arch", "label", "mode")
+    return out.withColumn("vs_candidate", F.when(F.col("comparator"), S.ratio("own_wall", "median_wall_s"))).drop("own_wall", "comparator").orderBy("arch", "label", "mode")
 
 
 def writer_control(rows: DataFrame) -> DataFrame:
@@ -147,7 +154,7 @@ def writer_control(rows: DataFrame) -> DataFrame:
     return out.select("arch", "label", F.col("ratio").alias("native_saves"), F.col("process_ratio").alias("process_saves"), "rounds", "note").orderBy("arch", "label")
 
 
-def release_speedup(rows: DataFrame, releases: DataFrame, arch: str, baseline_label: str = "bwa") -> DataFrame:
+def release_speedup(rows: DataFrame, releases: DataFrame, arch: str, baseline_label: str = "baseline") -> DataFrame:
     """Stock and fast walls of every release on one arch, against a baseline and against the previous
     measured release; the stock chain starts at the upstream build."""
     m = medians(rows.filter(F.col("arch") == arch)).select("label", "mode", "median_wall_s")

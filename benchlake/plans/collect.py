@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.plans import perf
+from benchlake.session import materialize, release
 from benchlake.sinks.store import Store
 from benchlake.sources import artifacts
 
-CELL = ["fg_labs_sha", "sample", "arch", "rep"]
+CELL = ["run_sha", "sample", "arch", "rep"]
+#: What the runs of a baseline tree are called by, before their own name.
+BASELINE_PREFIX = "baseline-"
 
 
 class AuditError(RuntimeError):
@@ -26,32 +29,40 @@ def audits(trials: DataFrame) -> tuple[DataFrame, DataFrame]:
     return perf.late_cells(trials), perf.mixed_variants(trials)
 
 
-def collect(spark: SparkSession, root: str, store: Store, *, late: bool = False, mixed: bool = False) -> dict[str, int]:
-    """Ingest ``runs/``, ``scaling/`` and ``arena/`` of a tree; returns rows by table. Late cells are left
-    out unless asked for; cells that mix image variants are an error unless asked for."""
+def collect(spark: SparkSession, root: str, store: Store, *, late: bool = False, mixed: bool = False, labels: dict[str, str] | None = None, tools: dict[str, str] | None = None) -> dict[str, int]:
+    """Ingest ``runs/``, ``baseline/``, ``scaling/`` and ``arena/`` of a tree; returns rows by table. Late
+    cells of a run are left out unless asked for; cells that mix image variants are an error unless asked
+    for. Runs of the baseline tree are known by ``BASELINE_PREFIX``. Each artifact is parsed once, into the
+    shared folder; audits and writes read that."""
     counts: dict[str, int] = {}
 
     def put(table: str, rows: DataFrame, write) -> None:
-        write(rows)
-        counts[table] = rows.count()
+        own = materialize(rows, table)
+        write(own)
+        counts[table] = counts.get(table, 0) + own.count()
+        release(own)
 
-    if _has(spark, f"{root}/runs"):
-        trials = artifacts.trials(spark, f"{root}/runs")
+    for folder, prefix in (("runs", ""), ("baseline", BASELINE_PREFIX)):
+        tree = f"{root}/{folder}"
+        if not _has(spark, tree):
+            continue
+        named = lambda f, p=prefix: f.withColumn("run_sha", F.concat(F.lit(p), "run_sha")) if p else f
+        trials = materialize(named(artifacts.trials(spark, tree)).withColumn("id", F.xxhash64(*CELL)), "trials")
         late_rows, mixed_rows = audits(trials)
         if not mixed and (bad := mixed_rows.count()):
             raise AuditError(f"{bad} cells mix image variants")
-        gone = late_rows.filter("hours_late > 0").select("sample", "arch", "rep")
-        keep = (lambda f: f) if late else (lambda f: f.join(gone, ["sample", "arch", "rep"], "left_anti"))
-        runs = trials.select("fg_labs_sha").distinct().withColumn("status", F.lit("completed")).withColumn("submitted_at", F.current_timestamp())
-        put("runs", runs, store.upsert_runs)
+        gone = late_rows.filter("hours_late > 0").select(*CELL)
+        keep = (lambda f: f) if late else (lambda f, g=gone: f.join(g, CELL, "left_anti"))
+        put("runs", trials.select("run_sha").distinct().withColumn("status", F.lit("completed")).withColumn("submitted_at", F.current_timestamp()), store.upsert_runs)
         put("trials", keep(trials), lambda r: store.upsert("trials", r))
-        comparisons = keep(artifacts.comparisons(spark, f"{root}/runs")).withColumn("trial_id", F.xxhash64(*CELL)).drop("sample", "arch", "rep")
+        comparisons = keep(named(artifacts.comparisons(spark, tree))).withColumn("trial_id", F.xxhash64(*CELL)).drop("sample", "arch", "rep")
         put("comparisons", comparisons, lambda r: store.upsert("comparisons", r))
-        put("accuracy", keep(artifacts.accuracy(spark, f"{root}/runs")), lambda r: store.upsert("accuracy", r))
-        put("host_probes", keep(artifacts.probes(spark, f"{root}/runs")), lambda r: store.upsert("host_probes", r))
+        put("accuracy", keep(named(artifacts.accuracy(spark, tree, tools))), lambda r: store.upsert("accuracy", r))
+        put("host_probes", keep(named(artifacts.probes(spark, tree))), lambda r: store.upsert("host_probes", r))
+        release(trials)
     if _has(spark, f"{root}/scaling"):
         put("scaling", artifacts.scaling(spark, f"{root}/scaling"), lambda r: store.upsert("scaling", r))
         put("ladder_probes", artifacts.probes(spark, f"{root}/scaling"), lambda r: store.upsert("host_probes", r))
     if _has(spark, f"{root}/arena"):
-        put("arena", artifacts.arena(spark, f"{root}/arena"), store.replace_arena)
+        put("arena", artifacts.arena(spark, f"{root}/arena", labels), store.replace_arena)
     return counts

@@ -89,7 +89,7 @@ def golden_missing(expected: DataFrame, compared: DataFrame) -> DataFrame:
 def efficiencies(scaling: DataFrame, sha: str) -> DataFrame:
     """Median time and strong-scaling efficiency of each rung above one thread; ladders without a
     positive T(1) have none."""
-    own = scaling.filter(F.col("fg_labs_sha") == sha).withColumn("t", F.coalesce("process_seconds", "wall_seconds")).filter("t is not null")
+    own = scaling.filter(F.col("run_sha") == sha).withColumn("t", F.coalesce("process_seconds", "wall_seconds")).filter("t is not null")
     rungs = own.groupBy(*CELL, "threads").agg(S.median("t").alias("t_s"))
     t1 = F.max(F.when(F.col("threads") == 1, F.col("t_s"))).over(Window.partitionBy(*CELL))
     return rungs.withColumn("t1", t1).filter("t1 > 0 and threads > 1").select(*CELL, "threads", S.efficiency_pct("t1", "threads", "t_s").alias("efficiency_pct"), "t_s")
@@ -128,31 +128,35 @@ def bin_bounds(name: Column) -> tuple[Column, Column]:
 
 def placement_metrics(accuracy: DataFrame) -> DataFrame:
     """Adds ``mismapped_ppm``, ``correct_pct`` and ``read_total``, null where a table is inconsistent: not
-    readable, impossible counts, a zero total, a bin across the confident cut, bins that do not add up."""
+    readable, impossible counts, a zero total, a bin across the confident cut, bins that do not add up. All
+    of it is folds over a row's own bins: nothing is shuffled."""
+    names = ("total", "correct", "mismapped")
     v = F.try_parse_json("placement_json")
     bins = F.from_json(F.to_json(F.try_variant_get(v, "$.bins", "variant")), "map<string,string>")
-    own = accuracy.withColumn("_all", F.struct(*(_count(v, f"$.all.{k}").alias(k) for k in ("total", "correct", "mismapped")))).withColumn("_bins", bins)
-    keyed = [*(c for c in accuracy.columns)]
-    one = F.struct(F.col("_e.key").alias("bin"), F.try_parse_json(F.col("_e.value")).alias("v"))
-    per = own.select(*keyed, "_all", F.explode_outer(F.map_entries("_bins")).alias("_e")).withColumn("_b", one)
-    low, high = bin_bounds(F.col("_b.bin"))
-    counts = {k: _count(F.col("_b.v"), f"$.{k}") for k in ("total", "correct", "mismapped")}
-    per = per.select(*keyed, "_all", F.col("_e").isNotNull().alias("has"), low.alias("low"), high.alias("high"), *(x.alias(k) for k, x in counts.items()))
-    possible = (F.col("total") >= 0) & (F.col("correct") >= 0) & (F.col("mismapped") >= 0) & (F.col("correct") + F.col("mismapped") <= F.col("total"))
-    sound = F.coalesce(possible & F.col("low").isNotNull() & ~((F.col("low") < CONFIDENT_MAPQ) & (F.col("high") >= CONFIDENT_MAPQ)), F.lit(False))
-    sure = F.col("low") >= CONFIDENT_MAPQ
-    got = per.groupBy(*keyed, "_all").agg(
-        F.bool_and(F.col("has") & sound).alias("sound"),
-        *(F.sum(k).alias(f"sum_{k}") for k in ("total", "correct", "mismapped")),
-        F.coalesce(F.sum(F.when(sure, F.col("mismapped"))), F.lit(0)).alias("mm"),
-        F.coalesce(F.sum(F.when(sure, F.col("correct"))), F.lit(0)).alias("cc"),
-    )
+
+    def one(e: Column) -> Column:
+        low, high = bin_bounds(e["key"])
+        return F.struct(low.alias("low"), high.alias("high"), F.try_parse_json(e["value"]).alias("v"))
+
+    def counted(b: Column) -> Column:
+        return F.struct(b["low"].alias("low"), b["high"].alias("high"), *(_count(b["v"], f"$.{k}").alias(k) for k in names))
+
+    def sound(b: Column) -> Column:
+        possible = (b["total"] >= 0) & (b["correct"] >= 0) & (b["mismapped"] >= 0) & (b["correct"] + b["mismapped"] <= b["total"])
+        return F.coalesce(possible & b["low"].isNotNull() & ~((b["low"] < CONFIDENT_MAPQ) & (b["high"] >= CONFIDENT_MAPQ)), F.lit(False))
+
+    def summed(k: str, of: str = "_bins") -> Column:
+        return F.aggregate(F.transform(of, lambda b: F.coalesce(b[k], F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda x, y: x + y)
+
+    own = accuracy.withColumns({"_all": F.struct(*(_count(v, f"$.all.{k}").alias(k) for k in names)), "_bins": F.transform(F.transform(F.map_entries(bins), one), counted)})
+    own = own.withColumn("_sure", F.filter("_bins", lambda b: b["low"] >= CONFIDENT_MAPQ))
     t = F.col("_all.total")
-    fits = F.coalesce(F.col("sound") & (t > 0) & (F.col("sum_total") == t) & (F.col("sum_correct") == F.col("_all.correct")) & (F.col("sum_mismapped") == F.col("_all.mismapped")), F.lit(False))
-    return got.select(*keyed, F.when(fits, F.col("mm") / t * 1e6).alias("mismapped_ppm"), F.when(fits, F.col("cc") / t * 100.0).alias("correct_pct"), F.when(fits, t).otherwise(0).alias("read_total"))
+    fits = F.coalesce((F.size("_bins") > 0) & F.forall("_bins", sound) & (t > 0) & (summed("total") == t) & (summed("correct") == F.col("_all.correct")) & (summed("mismapped") == F.col("_all.mismapped")), F.lit(False))
+    metrics = {"mismapped_ppm": F.when(fits, summed("mismapped", "_sure") / t * 1e6), "correct_pct": F.when(fits, summed("correct", "_sure") / t * 100.0), "read_total": F.when(fits, t).otherwise(0)}
+    return own.select(*accuracy.columns, *(x.alias(k) for k, x in metrics.items()))
 
 
-def graded(accuracy: DataFrame, trials: DataFrame, tool: str = "fg-labs") -> DataFrame:
+def graded(accuracy: DataFrame, trials: DataFrame, tool: str = "candidate") -> DataFrame:
     """Graded replicates of a run; a cell that has trials is graded on the replicates of those only."""
     own = placement_metrics(accuracy.filter((F.col("tool") == tool) & F.col("placement_json").isNotNull()))
     cells, reps = trials.select(*CELL).distinct().withColumn("ran", F.lit(True)), trials.select(*CELL, "rep").distinct().withColumn("has", F.lit(True))

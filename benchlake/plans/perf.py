@@ -18,7 +18,7 @@ METRICS = ("wall_seconds", "max_rss_mb", "io_read_mb", "io_write_mb", "cpu_time"
 
 def run_trials(trials: DataFrame, sha: str) -> DataFrame:
     """One run's trials: a filter on the partition column, so other runs are not read."""
-    return trials.filter(F.col("fg_labs_sha") == sha)
+    return trials.filter(F.col("run_sha") == sha)
 
 
 def timed(trials: DataFrame) -> DataFrame:
@@ -38,12 +38,12 @@ def best_walls(trials: DataFrame, sha: str) -> DataFrame:
 def speedup_table(trials: DataFrame, candidate: str, baseline: str, third: str | None = None, third_name: str = "third") -> DataFrame:
     """Best candidate walls against the best of a baseline, and of a third tool if given: left joins on
     the cell, so a cell the baseline lacks stays with null ratios."""
-    new = best_walls(trials, candidate).select(*CELL, F.col("wall_seconds").alias("fg_labs_s"), F.col("process_seconds").alias("fg_labs_process_s"))
+    new = best_walls(trials, candidate).select(*CELL, F.col("wall_seconds").alias("candidate_s"), F.col("process_seconds").alias("candidate_process_s"))
     old = best_walls(trials, baseline).select(*CELL, F.col("wall_seconds").alias("baseline_s"), F.col("process_seconds").alias("baseline_process_s"))
-    out = new.join(old, list(CELL), "left").withColumns({"speedup": S.ratio("baseline_s", "fg_labs_s"), "process_speedup": S.ratio("baseline_process_s", "fg_labs_process_s")})
+    out = new.join(old, list(CELL), "left").withColumns({"speedup": S.ratio("baseline_s", "candidate_s"), "process_speedup": S.ratio("baseline_process_s", "candidate_process_s")})
     if third:
         other = best_walls(trials, third).select(*CELL, F.col("wall_seconds").alias(f"{third_name}_s"))
-        out = out.join(other, list(CELL), "left").withColumn(f"{third_name}_speedup", S.ratio(f"{third_name}_s", "fg_labs_s"))
+        out = out.join(other, list(CELL), "left").withColumn(f"{third_name}_speedup", S.ratio(f"{third_name}_s", "candidate_s"))
     return out.orderBy(*CELL)
 
 
@@ -94,15 +94,15 @@ def cell_variants(trials: DataFrame) -> DataFrame:
 
 def recent_runs(runs: DataFrame, last: int) -> DataFrame:
     """The most recent runs (a top-k, not a full sort)."""
-    return runs.orderBy(F.desc("submitted_at"), F.desc("fg_labs_sha")).limit(last)
+    return runs.orderBy(F.desc("submitted_at"), F.desc("run_sha")).limit(last)
 
 
 def trend(trials: DataFrame, runs: DataFrame, comparisons: DataFrame, last: int = 20) -> DataFrame:
     """Mean wall and concordance by run and cell over the most recent runs."""
-    recent = recent_runs(runs, last).select("fg_labs_sha")
+    recent = recent_runs(runs, last).select("run_sha")
     right = comparisons.filter("kind = 'vs-baseline'").select(F.col("trial_id").alias("id"), "concordance_pct")
-    own = trials.join(F.broadcast(recent), "fg_labs_sha", "left_semi")  # `last` rows
-    return own.join(right, "id", "left").groupBy("fg_labs_sha", *CELL).agg(F.avg("wall_seconds").alias("wall_mean"), F.avg("concordance_pct").alias("concordance")).orderBy("fg_labs_sha", *CELL)
+    own = trials.join(F.broadcast(recent), "run_sha", "left_semi")  # `last` rows
+    return own.join(right, "id", "left").groupBy("run_sha", *CELL).agg(F.avg("wall_seconds").alias("wall_mean"), F.avg("concordance_pct").alias("concordance")).orderBy("run_sha", *CELL)
 
 
 def trial_cells(trials: DataFrame, threads: int = 16) -> DataFrame:
@@ -118,24 +118,25 @@ def trial_cells(trials: DataFrame, threads: int = 16) -> DataFrame:
 
 
 def late_cells(trials: DataFrame, hours: float = 24.0) -> DataFrame:
-    """Cells measured more than ``hours`` from the run's median stamp; positive is late."""
+    """Cells measured more than ``hours`` from their own run's median stamp; positive is late."""
     stamp = F.unix_micros(F.try_to_timestamp("measured_at")) / 1e6
-    own = trials.select("sample", "arch", "rep", stamp.alias("at")).filter("at is not null")
-    middle = own.agg(S.median("at").alias("middle"))
+    own = trials.select("run_sha", *CELL, "rep", stamp.alias("at")).filter("at is not null")
+    middle = S.exact_medians(own, ("run_sha",), "at", "middle")
     off = (F.col("at") - F.col("middle")) / 3600
-    return own.crossJoin(F.broadcast(middle)).withColumn("hours_late", off).filter(F.abs("hours_late") > hours).select("sample", "arch", "rep", "hours_late").orderBy(*CELL, "rep")  # one row
+    return own.join(middle, "run_sha").withColumn("hours_late", off).filter(F.abs("hours_late") > hours).select("run_sha", *CELL, "rep", "hours_late").orderBy("run_sha", *CELL, "rep")
 
 
 def mixed_variants(trials: DataFrame) -> DataFrame:
-    """Cells whose replicates ran more than one image variant, with the replicates of each."""
-    each = trials.groupBy(*CELL, F.coalesce("image_variant", F.lit("")).alias("variant")).agg(F.array_sort(F.collect_set("rep")).alias("reps"))
-    return each.groupBy(*CELL).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("variant", "reps")))).alias("variants")).filter(F.size("variants") > 1)
+    """Cells of a run whose replicates ran more than one image variant (not recorded is portable, ""), with
+    the number of replicates and the first of each variant."""
+    each = trials.groupBy("run_sha", *CELL, F.coalesce("image_variant", F.lit("")).alias("variant")).agg(F.count_distinct("rep").alias("reps"), F.min("rep").alias("first"))
+    return each.groupBy("run_sha", *CELL).agg(F.array_sort(F.collect_list(F.struct("variant", "reps", "first"))).alias("variants")).filter(F.size("variants") > 1)
 
 
 def keep_latest(runs: DataFrame, k: int, golden: DataFrame) -> DataFrame:
     """Runs whose large files may go: neither among the k most recent nor golden."""
-    keep = recent_runs(runs, k).select("fg_labs_sha").union(golden.select("fg_labs_sha"))
-    return runs.join(keep.distinct(), "fg_labs_sha", "left_anti")
+    keep = recent_runs(runs, k).select("run_sha").union(golden.select("run_sha"))
+    return runs.join(keep.distinct(), "run_sha", "left_anti")
 
 
 def first_usable(accuracy: DataFrame) -> DataFrame:

@@ -48,9 +48,9 @@ def drift_against_registry(rows: DataFrame, registry: DataFrame) -> DataFrame:
 def release_concordance(trials: DataFrame, comparisons: DataFrame, releases: list[tuple[str, str]]) -> DataFrame:
     """For each release and sample the whole row that has the lowest concordance."""
     spark = trials.sparkSession
-    named = spark.createDataFrame(releases, "release string, fg_labs_sha string")
+    named = spark.createDataFrame(releases, "release string, run_sha string")
     right = comparisons.filter("kind = 'vs-baseline'").select(F.col("trial_id").alias("id"), "concordance_pct", "supp_json")
-    rows = trials.join(F.broadcast(named), "fg_labs_sha").join(right, "id")  # the releases asked for
+    rows = trials.join(F.broadcast(named), "run_sha").join(right, "id")  # the releases asked for
     w = F.min_by(F.struct("concordance_pct", "supp_json"), F.struct("concordance_pct", "arch", "rep"))
     out = rows.groupBy("release", "sample").agg(w.alias("r"))
     n = lambda k: F.coalesce(F.get_json_object("r.supp_json", f"$.{k}").cast("long"), F.lit(0))
@@ -63,20 +63,20 @@ def comparison_cells(rows: DataFrame) -> DataFrame:
 
 
 # Tools as the accuracy table names them, in report order.
-TOOLS = ("fg-labs", "baseline", "minibwa")
+TOOLS = ("candidate", "baseline", "third")
 
 
 def accuracy_headline(accuracy: DataFrame, sha: str, order: tuple[str, ...] = TOOLS) -> DataFrame:
     """Mean grades by cell and tool; tools in their customary order, others last."""
     columns = ("placement_correct_pct", "placement_mismapped_pct", "placement_unmapped_pct", "variant_bearing_reads", "md_concordant_pct", "nm_concordant_pct", "meth_n_cpg", "meth_pearson_r", "meth_rmse")
     place = F.coalesce(F.nullif(F.array_position(F.array(*(F.lit(t) for t in order)), F.col("tool")), F.lit(0).cast("long")), F.lit(99).cast("long"))
-    own = accuracy.filter(F.col("fg_labs_sha") == sha).groupBy(*CELL, "tool").agg(*(F.avg(c).alias(c) for c in columns))
+    own = accuracy.filter(F.col("run_sha") == sha).groupBy(*CELL, "tool").agg(*(F.avg(c).alias(c) for c in columns))
     return own.orderBy("sample", place, "arch")
 
 
 def accuracy_classes(accuracy: DataFrame, sha: str) -> DataFrame:
     """Variant classes of the lowest usable replicate of each cell and tool."""
-    first = perf.first_usable(accuracy.filter(F.col("fg_labs_sha") == sha))
+    first = perf.first_usable(accuracy.filter(F.col("run_sha") == sha))
     entry = "map<string,struct<n_expected:double,n_represented:double,represented_pct:double,mean_mapq:double,mean_as:double>>"
     return first.select(*CELL, "tool", F.explode(F.from_json("by_class_json", entry)).alias("class", "e")).select(*CELL, "tool", "class", "e.*").orderBy("sample", "arch", "tool", "class")
 
@@ -99,7 +99,7 @@ def snapshot(trials: DataFrame, comparisons: DataFrame, accuracy: DataFrame, are
     kinds = [r[0] for r in comparisons.select("kind").distinct().orderBy("kind").collect()]
     rows = lambda f: [r.asDict(True) for r in f.collect()]
     return {
-        "version": version, "fg_labs_sha": entry["to_sha"], "aliases": entry["aliases"], "date": entry["date"], "pr": entry["pr"], "previous": entry["previous_sha"], "threads": threads,
+        "version": version, "run_sha": entry["to_sha"], "aliases": entry["aliases"], "date": entry["date"], "pr": entry["pr"], "previous": entry["previous_sha"], "threads": threads,
         "max_reps": max(r["reps"] for r in speed), "image_variants": sorted({r[0] for r in own.select(F.coalesce("image_variant", F.lit(""))).distinct().collect()}),
         "speed": speed,
         "agreement": {k: rows(comparison_cells(compared(trials, comparisons, sha, k)).orderBy(*CELL)) for k in kinds},
@@ -112,9 +112,8 @@ def snapshot(trials: DataFrame, comparisons: DataFrame, accuracy: DataFrame, are
 def host_walls(rows: DataFrame, expected_rounds: int) -> DataFrame:
     """Walls of a host's arms rounded to two places before any ratio is taken, and what is wrong with an
     arm's rounds: missing ones, ids out of range, none measured."""
-    g = rows.groupBy("arch", "label", "mode").agg(F.round(S.median("wall_seconds"), 2).alias("wall_s"), F.count("wall_seconds").alias("n"), F.array_sort(F.collect_set("rep")).alias("rounds"))
-    want = F.sequence(F.lit(1).cast("long"), F.lit(expected_rounds).cast("long"))
-    problem = F.when(F.col("n") == 0, "not measured").when(F.size(F.array_except("rounds", want)) > 0, "wrong round ids").when((F.size("rounds") < expected_rounds) | (F.col("n") < expected_rounds), "partial")
+    g = rows.groupBy("arch", "label", "mode").agg(F.round(S.median("wall_seconds"), 2).alias("wall_s"), F.count("wall_seconds").alias("n"), F.count_distinct("rep").alias("rounds"), F.min("rep").alias("first"), F.max("rep").alias("last"))
+    problem = F.when(F.col("n") == 0, "not measured").when((F.col("first") < 1) | (F.col("last") > expected_rounds), "wrong round ids").when((F.col("rounds") < expected_rounds) | (F.col("n") < expected_rounds), "partial")
     return g.select("arch", "label", "mode", "wall_s", "n", problem.alias("problem"))
 
 

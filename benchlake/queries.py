@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from benchlake.functions import labels as L
 from benchlake.functions import records as R
+from benchlake.functions import stats as S
 from benchlake.operators import concordance as C
 from benchlake.operators import latest, sets
 from benchlake.plans import arena, gates, perf, release, schedule
+from benchlake.session import materialize
 from benchlake.streaming.ingest import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +51,7 @@ _REP = "row_number() over (partition by l_returnflag, l_suppkey, l_linestatus or
 def v_trials(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr(
         "l_orderkey as id",
-        "l_returnflag as fg_labs_sha",
+        "l_returnflag as run_sha",
         "cast(l_suppkey as string) as sample",
         "l_linestatus as arch",
         f"cast({_REP} as bigint) as rep",
@@ -66,7 +68,7 @@ def v_trials(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_T = f"""t AS (SELECT l_orderkey AS id, l_returnflag AS fg_labs_sha, CAST(l_suppkey AS VARCHAR) AS sample, l_linestatus AS arch, {_REP} AS rep,
+_T = f"""t AS (SELECT l_orderkey AS id, l_returnflag AS run_sha, CAST(l_suppkey AS VARCHAR) AS sample, l_linestatus AS arch, {_REP} AS rep,
   l_extendedprice / 1000 AS wall_seconds, CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / 1000 * (1 - l_tax) END AS process_seconds, l_tax AS index_read_seconds,
   l_quantity AS max_rss_mb, l_extendedprice / 100 AS cpu_time, l_quantity * 2 AS io_read_mb, l_quantity * 3 AS io_write_mb,
   CASE WHEN l_discount = 0 THEN NULL WHEN l_discount < 0.05 THEN 'portable' ELSE 'native' END AS image_variant, l_shipdate AS measured, l_partkey AS reads_processed FROM lineitem)"""
@@ -87,11 +89,10 @@ _CMP = """c AS (SELECT o_orderkey AS trial_id, CASE o_orderstatus WHEN 'O' THEN
 
 
 def v_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) as fg_labs_sha", "o_orderdate as submitted_at", "o_orderpriority as status", "o_custkey as host")
+    return table(spark, sf, "orders").selectExpr("cast(o_orderkey as string) as run_sha", "o_orderdate as submitted_at", "o_orderpriority as status", "o_custkey as host")
 
 
 _RANK = "cast(l_partkey % 8 as bigint)"
-_LABEL = f"case when {_RANK} = 7 then 'fg-labs-' when {_RANK} = 6 then 'bwa' else concat('v', cast({_RANK} as string)) end"
 
 
 def v_arena(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,9 +107,9 @@ def v_arena(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("arch", "rnk", "mode").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     rows = base.withColumn("rep", F.row_number().over(w).cast("long"))
     return rows.selectExpr(
-        "'x' as fg_labs_sha",
+        "'x' as run_sha",
         "arch",
-        "case when rnk = 7 then case mode when 'fast' then 'fg-labs-fast' else 'fg-labs-default' end when rnk = 6 then 'bwa' when mode = 'fast' then concat('v', cast(rnk as string), '-fast') else concat('v', cast(rnk as string)) end as label",
+        "case when rnk = 7 then case mode when 'fast' then 'candidate-fast' else 'candidate' end when rnk = 6 then 'baseline' when mode = 'fast' then concat('v', cast(rnk as string), '-fast') else concat('v', cast(rnk as string)) end as label",
         "mode",
         "rep",
         "case when l_discount = 0 then null else 100.0 - 5 * rnk + l_tax end as wall_seconds",
@@ -127,7 +128,7 @@ def v_ladder(spark: SparkSession) -> DataFrame:
 
 _A = """b AS (SELECT l_linestatus AS arch, l_partkey % 8 AS rnk, CASE WHEN l_returnflag = 'A' THEN 'fast' ELSE 'default' END AS mode, * FROM lineitem),
 n AS (SELECT *, row_number() OVER (PARTITION BY arch, rnk, mode ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS rep FROM b),
-r AS (SELECT arch, rnk, mode, rep, CASE WHEN rnk = 7 THEN CASE mode WHEN 'fast' THEN 'fg-labs-fast' ELSE 'fg-labs-default' END WHEN rnk = 6 THEN 'bwa' WHEN mode = 'fast' THEN 'v' || rnk || '-fast' ELSE 'v' || rnk END AS label,
+r AS (SELECT arch, rnk, mode, rep, CASE WHEN rnk = 7 THEN CASE mode WHEN 'fast' THEN 'candidate-fast' ELSE 'candidate' END WHEN rnk = 6 THEN 'baseline' WHEN mode = 'fast' THEN 'v' || rnk || '-fast' ELSE 'v' || rnk END AS label,
   CASE WHEN l_discount = 0 THEN NULL ELSE 100.0::DOUBLE - 5 * rnk + l_tax END AS wall_seconds, CASE WHEN l_tax = 0 THEN NULL ELSE 90.0::DOUBLE - 5 * rnk + l_tax END AS process_seconds,
   CASE WHEN rnk < 2 THEN 'b0' ELSE 'b1' END AS block, CASE WHEN rep % 2 = 0 THEN rnk ELSE 8 - rnk END AS position, l_tax AS index_read_seconds, l_quantity * 25 AS io_in_mb, l_linenumber AS thp FROM n),
 a AS (SELECT *, coalesce(index_read_seconds > 3 * median(index_read_seconds) OVER (PARTITION BY arch, block), FALSE) OR coalesce(io_in_mb > 1024, FALSE) AS cold FROM r),
@@ -137,7 +138,7 @@ ch AS (SELECT *, last_value(CASE WHEN w IS NOT NULL THEN label END IGNORE NULLS)
 
 def v_scaling(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
-        "case when o_custkey % 2 = 0 then 'new' else 'prev' end as fg_labs_sha",
+        "case when o_custkey % 2 = 0 then 'new' else 'prev' end as run_sha",
         "o_orderstatus as sample",
         "o_orderpriority as arch",
         "shiftleft(1, cast(o_orderkey % 7 as int)) as threads",
@@ -191,31 +192,31 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 # Trials
 
 
-@query(f"""WITH {_T}, n AS (SELECT sample, arch, min(wall_seconds) AS w, min(process_seconds) AS p FROM t WHERE fg_labs_sha = 'R' AND wall_seconds > 0 GROUP BY ALL),
-o AS (SELECT sample, arch, min(wall_seconds) AS w, min(process_seconds) AS p FROM t WHERE fg_labs_sha = 'A' AND wall_seconds > 0 GROUP BY ALL),
-m AS (SELECT sample, arch, min(wall_seconds) AS w FROM t WHERE fg_labs_sha = 'N' AND wall_seconds > 0 GROUP BY ALL)
-SELECT n.sample, n.arch, n.w AS fg_labs_s, n.p AS fg_labs_process_s, o.w AS baseline_s, o.p AS baseline_process_s, round(o.w / n.w, 9) AS speedup, round(o.p / n.p, 9) AS process_speedup, m.w AS third_s, round(m.w / n.w, 9) AS third_speedup
+@query(f"""WITH {_T}, n AS (SELECT sample, arch, min(wall_seconds) AS w, min(process_seconds) AS p FROM t WHERE run_sha = 'R' AND wall_seconds > 0 GROUP BY ALL),
+o AS (SELECT sample, arch, min(wall_seconds) AS w, min(process_seconds) AS p FROM t WHERE run_sha = 'A' AND wall_seconds > 0 GROUP BY ALL),
+m AS (SELECT sample, arch, min(wall_seconds) AS w FROM t WHERE run_sha = 'N' AND wall_seconds > 0 GROUP BY ALL)
+SELECT n.sample, n.arch, n.w AS candidate_s, n.p AS candidate_process_s, o.w AS baseline_s, o.p AS baseline_process_s, round(o.w / n.w, 9) AS speedup, round(o.p / n.p, 9) AS process_speedup, m.w AS third_s, round(m.w / n.w, 9) AS third_speedup
 FROM n LEFT JOIN o USING (sample, arch) LEFT JOIN m USING (sample, arch)""")
 def speedup_min_wall(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(perf.speedup_table(v_trials(spark, sf), "R", "A", "N"), "speedup", "process_speedup", "third_speedup")
 
 
 @query(f"""WITH {_T}, {_CMP} SELECT t.sample, t.arch, t.rep, t.wall_seconds, t.process_seconds, t.index_read_seconds, t.max_rss_mb, t.cpu_time, t.io_read_mb, t.io_write_mb, c.concordance_pct, c.total AS comp_total
-FROM t LEFT JOIN c ON c.trial_id = t.id AND c.kind = 'vs-baseline' WHERE fg_labs_sha = 'R'""")
+FROM t LEFT JOIN c ON c.trial_id = t.id AND c.kind = 'vs-baseline' WHERE run_sha = 'R'""")
 def summary_left_on_kind(spark: SparkSession, sf: str) -> DataFrame:
     return perf.summary(v_trials(spark, sf), v_comparisons(spark, sf), "R")
 
 
-@query(f"""WITH {_T}, o AS (SELECT sample, arch, min(wall_seconds) AS baseline_s FROM t WHERE fg_labs_sha = 'A' AND wall_seconds > 0 GROUP BY ALL)
-SELECT sample, arch, rep, wall_seconds, max_rss_mb, io_read_mb, io_write_mb, cpu_time, baseline_s, round(baseline_s / wall_seconds, 9) AS speedup FROM t LEFT JOIN o USING (sample, arch) WHERE fg_labs_sha = 'R'""")
+@query(f"""WITH {_T}, o AS (SELECT sample, arch, min(wall_seconds) AS baseline_s FROM t WHERE run_sha = 'A' AND wall_seconds > 0 GROUP BY ALL)
+SELECT sample, arch, rep, wall_seconds, max_rss_mb, io_read_mb, io_write_mb, cpu_time, baseline_s, round(baseline_s / wall_seconds, 9) AS speedup FROM t LEFT JOIN o USING (sample, arch) WHERE run_sha = 'R'""")
 def performance_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(perf.metric_table(v_trials(spark, sf), "R", "A"), "speedup")
 
 
-@query(f"""WITH {_T}, x AS (SELECT fg_labs_sha, sample, arch, count(wall_seconds) AS n, median(wall_seconds) AS median, min(wall_seconds) AS min, max(wall_seconds) AS max,
+@query(f"""WITH {_T}, x AS (SELECT run_sha, sample, arch, count(wall_seconds) AS n, median(wall_seconds) AS median, min(wall_seconds) AS min, max(wall_seconds) AS max,
   CASE WHEN count(wall_seconds) < 2 THEN 0.0 ELSE stddev_samp(wall_seconds) / avg(wall_seconds) * 100 END AS cv, array_to_string(list_sort(list(DISTINCT coalesce(image_variant, ''))), '+') AS variant FROM t GROUP BY ALL),
 j AS (SELECT a.sample, a.arch, a.n AS n_new, a.median AS median_new, a.min AS min_new, a.max AS max_new, round(a.cv, 6) AS cv_pct_new, a.variant AS variant_new, b.n AS n_prev, b.median AS median_prev, b.min AS min_prev, b.max AS max_prev, round(b.cv, 6) AS cv_pct_prev, b.variant AS variant_prev,
-  (a.median - b.median) / b.median * 100 AS d FROM (FROM x WHERE fg_labs_sha = 'R') a LEFT JOIN (FROM x WHERE fg_labs_sha = 'A') b USING (sample, arch))
+  (a.median - b.median) / b.median * 100 AS d FROM (FROM x WHERE run_sha = 'R') a LEFT JOIN (FROM x WHERE run_sha = 'A') b USING (sample, arch))
 SELECT * EXCLUDE (d), round(d, 9) AS delta_pct, CASE WHEN variant_prev IS NOT NULL AND variant_new <> variant_prev THEN 'variant_changed' WHEN d IS NULL THEN 'new_only' WHEN n_new < 2 OR n_prev < 2 THEN 'noisy' WHEN abs(d) <= 5 THEN 'flat'
   WHEN d > 0 THEN CASE WHEN min_new > max_prev THEN 'REGRESSION' ELSE 'noisy' END WHEN max_new < min_prev THEN 'improvement' ELSE 'noisy' END AS verdict FROM j""")
 def perf_cells_verdict(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,12 +230,11 @@ def cell_variant_label(spark: SparkSession, sf: str) -> DataFrame:
     return perf.cell_variants(v_trials(spark, sf))
 
 
-@query(f"""WITH {_T}, v AS (SELECT sample, arch, coalesce(image_variant, '') AS variant, list_sort(list(DISTINCT rep)) AS reps FROM t GROUP BY ALL)
-SELECT sample, arch, string_agg(variant || ':' || len(reps) || ':' || reps[1], ';' ORDER BY variant) AS variants FROM v GROUP BY ALL HAVING count(*) > 1""")
+@query(f"""WITH {_T}, v AS (SELECT run_sha, sample, arch, coalesce(image_variant, '') AS variant, count(DISTINCT rep) AS reps, min(rep) AS first FROM t GROUP BY ALL)
+SELECT run_sha, sample, arch, string_agg(variant || ':' || reps || ':' || first, ';' ORDER BY variant) AS variants FROM v GROUP BY ALL HAVING count(*) > 1""")
 def mixed_variants(spark: SparkSession, sf: str) -> DataFrame:
-    out = perf.mixed_variants(v_trials(spark, sf))
-    text = F.transform(F.map_entries("variants"), lambda e: F.concat_ws(":", e["key"], F.size(e["value"]).cast("string"), e["value"][0].cast("string")))
-    return out.select("sample", "arch", F.array_join(text, ";").alias("variants"))
+    text = F.transform("variants", lambda e: F.concat_ws(":", e["variant"], e["reps"].cast("string"), e["first"].cast("string")))
+    return perf.mixed_variants(v_trials(spark, sf)).select("run_sha", "sample", "arch", F.array_join(text, ";").alias("variants"))
 
 
 @query(f"""WITH {_T} SELECT sample, arch, count(wall_seconds) AS reps, median(wall_seconds) AS wall_s, median(process_seconds) AS process_s, median(max_rss_mb) / 1024 AS rss_gb, round(median(cpu_time / (wall_seconds * 16) * 100), 9) AS cpu_efficiency_pct,
@@ -244,31 +244,37 @@ def trial_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH recent AS (SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 20)
-SELECT CAST(l_orderkey AS VARCHAR) AS fg_labs_sha, l_returnflag AS sample, l_linestatus AS arch, round(avg(l_extendedprice), 9) AS wall_mean, round(avg(CASE WHEN o.o_orderstatus = 'O' THEN o.o_totalprice END), 9) AS concordance
+SELECT CAST(l_orderkey AS VARCHAR) AS run_sha, l_returnflag AS sample, l_linestatus AS arch, round(avg(l_extendedprice), 9) AS wall_mean, round(avg(CASE WHEN o.o_orderstatus = 'O' THEN o.o_totalprice END), 9) AS concordance
 FROM lineitem l JOIN recent r ON l.l_orderkey = r.o_orderkey JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY ALL""")
 def trend_recent_n(spark: SparkSession, sf: str) -> DataFrame:
-    t = table(spark, sf, "lineitem").selectExpr("cast(l_orderkey as string) as fg_labs_sha", "l_orderkey as id", "l_returnflag as sample", "l_linestatus as arch", "l_extendedprice as wall_seconds")
+    t = table(spark, sf, "lineitem").selectExpr("cast(l_orderkey as string) as run_sha", "l_orderkey as id", "l_returnflag as sample", "l_linestatus as arch", "l_extendedprice as wall_seconds")
     c = table(spark, sf, "orders").selectExpr("o_orderkey as trial_id", "case when o_orderstatus = 'O' then 'vs-baseline' else 'other' end as kind", "o_totalprice as concordance_pct")
     return rounded(perf.trend(t, v_runs(spark, sf), c), "wall_mean", "concordance")
 
 
-@query(f"""WITH {_T}, x AS (SELECT sample, arch, rep, epoch_us(measured) / 1e6 AS s FROM t), m AS (SELECT median(s) AS middle FROM x)
-SELECT sample, arch, rep, round((s - middle) / 3600, 6) AS hours_late FROM x, m WHERE abs((s - middle) / 3600) > 24""")
+@query(f"""WITH {_T}, x AS (SELECT run_sha, sample, arch, rep, epoch_us(measured) / 1e6 AS s FROM t), m AS (SELECT run_sha, median(s) AS middle FROM x GROUP BY ALL)
+SELECT run_sha, sample, arch, rep, round((s - middle) / 3600, 6) AS hours_late FROM x JOIN m USING (run_sha) WHERE abs((s - middle) / 3600) > 24""")
 def late_cells(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(perf.late_cells(v_trials(spark, sf)), "hours_late", digits=6)
 
 
+@query("SELECT event_type, user_id % 7 AS bucket, median(value) AS median FROM events GROUP BY ALL")
+def exact_medians(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").withColumn("bucket", F.col("user_id") % 7)
+    return S.exact_medians(e, ("event_type", "bucket"), "value")
+
+
 @query("""WITH keep AS (SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 100)
-SELECT CAST(o_orderkey AS VARCHAR) AS fg_labs_sha, o_orderdate AS submitted_at FROM orders WHERE o_orderkey NOT IN (FROM keep) AND o_orderpriority <> '1-URGENT'""")
+SELECT CAST(o_orderkey AS VARCHAR) AS run_sha, o_orderdate AS submitted_at FROM orders WHERE o_orderkey NOT IN (FROM keep) AND o_orderpriority <> '1-URGENT'""")
 def retention_topk(spark: SparkSession, sf: str) -> DataFrame:
     runs = v_runs(spark, sf)
-    return perf.keep_latest(runs, 100, runs.filter("status = '1-URGENT'")).select("fg_labs_sha", "submitted_at")
+    return perf.keep_latest(runs, 100, runs.filter("status = '1-URGENT'")).select("run_sha", "submitted_at")
 
 
-@query("""SELECT sample, arch, tool, rep, by_class_json FROM (SELECT CAST(user_id AS VARCHAR) AS sample, event_type AS arch, 'fg-labs' AS tool, event_id AS rep, props AS by_class_json,
+@query("""SELECT sample, arch, tool, rep, by_class_json FROM (SELECT CAST(user_id AS VARCHAR) AS sample, event_type AS arch, 'candidate' AS tool, event_id AS rep, props AS by_class_json,
 row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events WHERE value > 5) WHERE rn = 1""")
 def first_usable_payload(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "events").selectExpr("cast(user_id as string) as sample", "event_type as arch", "'fg-labs' as tool", "event_id as rep", "case when value > 5 then props end as by_class_json")
+    rows = table(spark, sf, "events").selectExpr("cast(user_id as string) as sample", "event_type as arch", "'candidate' as tool", "event_id as rep", "case when value > 5 then props end as by_class_json")
     return perf.first_usable(rows)
 
 
@@ -314,21 +320,22 @@ res AS (SELECT pair, arch, label, mode, CASE WHEN NOT same THEN far WHEN rounds
 
 @query(f"{_PAIR} SELECT pair, round(ratio, 9) AS ratio, round(process_ratio, 9) AS process_ratio, round(low, 9) AS low, round(high, 9) AS high, rounds, note FROM res")
 def paired_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    rows = arena.arena_rows(v_arena(spark, sf), "x")
-    chain = arena.predecessors(arena.medians(rows), v_ladder(spark)).filter("prior_label is not null")
+    rows = materialize(arena.arena_rows(v_arena(spark, sf), "x"), "arena_rows")
+    stats = materialize(arena.arm_stats(rows), "arm_stats")
+    chain = arena.predecessors(stats, v_ladder(spark)).filter("prior_label is not null")
     pairs = chain.select(F.concat_ws("|", "arch", "label", "mode").alias("pair"), "arch", "prior_label", F.col("mode").alias("prior_mode"), F.col("label").alias("this_label"), F.col("mode").alias("this_mode"))
-    return rounded(arena.paired_ratios(rows, pairs), "ratio", "process_ratio", "low", "high")
+    return rounded(arena.paired_ratios(rows, pairs, stats), "ratio", "process_ratio", "low", "high")
 
 
-@query(f"""{_PAIR}, own AS (SELECT arch, w AS own FROM m WHERE label = 'fg-labs-default' AND mode = 'default')
+@query(f"""{_PAIR}, own AS (SELECT arch, w AS own FROM m WHERE label = 'candidate' AND mode = 'default')
 SELECT m.arch, m.label, m.mode, w AS median_wall_s, p AS median_process_s, n_reps, n_skipped, cold_runs, thp AS thp_fallback, round(ratio, 9) AS vs_prior_release, round(process_ratio, 9) AS vs_prior_process, round(low, 9) AS prior_min, round(high, 9) AS prior_max, rounds AS prior_rounds, note AS prior_note,
-CASE WHEN m.label = 'bwa' THEN round(own / w, 9) END AS vs_fg_labs FROM m LEFT JOIN res USING (arch, label, mode) LEFT JOIN own ON own.arch = m.arch""")
+CASE WHEN m.label = 'baseline' THEN round(own / w, 9) END AS vs_candidate FROM m LEFT JOIN res USING (arch, label, mode) LEFT JOIN own ON own.arch = m.arch""")
 def arena_table(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(arena.arena_table(arena.arena_rows(v_arena(spark, sf), "x"), v_ladder(spark)), "vs_prior_release", "vs_prior_process", "prior_min", "prior_max", "vs_fg_labs")
+    return rounded(arena.arena_table(arena.arena_rows(v_arena(spark, sf), "x"), v_ladder(spark)), "vs_prior_release", "vs_prior_process", "prior_min", "prior_max", "vs_candidate")
 
 
-@query(f"""WITH {_A}, x AS (SELECT CASE WHEN rnk = 7 THEN 'fg-labs-default' ELSE 'v' || rnk END AS label, rnk, max(CASE WHEN mode = 'default' THEN w END) AS stock, max(CASE WHEN mode = 'fast' THEN w END) AS fast FROM m WHERE arch = 'F' AND rnk <> 6 GROUP BY ALL),
-bs AS (SELECT max(w) AS base FROM m WHERE arch = 'F' AND label = 'bwa' AND mode = 'default')
+@query(f"""WITH {_A}, x AS (SELECT CASE WHEN rnk = 7 THEN 'candidate' ELSE 'v' || rnk END AS label, rnk, max(CASE WHEN mode = 'default' THEN w END) AS stock, max(CASE WHEN mode = 'fast' THEN w END) AS fast FROM m WHERE arch = 'F' AND rnk <> 6 GROUP BY ALL),
+bs AS (SELECT max(w) AS base FROM m WHERE arch = 'F' AND label = 'baseline' AND mode = 'default')
 SELECT label, CASE WHEN rnk = 7 THEN 6 ELSE rnk END AS rank, stock AS stock_median_wall_s, round(base / stock, 9) AS stock_speedup, fast AS fast_median_wall_s, round(base / fast, 9) AS fast_speedup,
 round(lag(stock) OVER (ORDER BY rnk) / stock, 9) AS stock_vs_prev_speedup, round(lag(fast) OVER (ORDER BY rnk) / fast, 9) AS fast_vs_prev_speedup FROM x, bs""")
 def release_speedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,13 +381,13 @@ def budget_scoped_sum(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(gates.budget_gate(cells, _registry(spark)), "observed_drift_pct", "allowed_drift_pct")
 
 
-@query(f"WITH {_T}, a AS (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'R'), b AS (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'N' AND wall_seconds > 80) FROM a ANTI JOIN b USING (sample, arch)")
+@query(f"WITH {_T}, a AS (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'R'), b AS (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'N' AND wall_seconds > 80) FROM a ANTI JOIN b USING (sample, arch)")
 def missing_cells_anti(spark: SparkSession, sf: str) -> DataFrame:
     t = v_trials(spark, sf)
     return gates.missing_cells(perf.run_trials(t, "R"), perf.run_trials(t, "N").filter("wall_seconds > 80"))
 
 
-@query(f"WITH {_T}, a AS (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'R'), b AS (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'N' AND wall_seconds > 80) FROM a SEMI JOIN b USING (sample, arch)")
+@query(f"WITH {_T}, a AS (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'R'), b AS (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'N' AND wall_seconds > 80) FROM a SEMI JOIN b USING (sample, arch)")
 def expected_cells_semi(spark: SparkSession, sf: str) -> DataFrame:
     t = v_trials(spark, sf)
     return gates.expected_cells(perf.run_trials(t, "R"), perf.run_trials(t, "N").filter("wall_seconds > 80"))
@@ -409,11 +416,11 @@ def v_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     """Grade tables from events: two confident bins and one that is not; some do not add up."""
     k, v = "cast(get_json_object(props, '$.k') as bigint)", "cast(floor(value) as bigint)"
     return table(spark, sf, "events").selectExpr(
-        "case when event_id % 2 = 0 then 'new' else 'prev' end as fg_labs_sha",
+        "case when event_id % 2 = 0 then 'new' else 'prev' end as run_sha",
         "event_type as sample",
         "cast(user_id % 40 as string) as arch",
         "event_id as rep",
-        "'fg-labs' as tool",
+        "'candidate' as tool",
         f"""case when user_id % 13 = 0 and {k} > 90 then '{{"all": {{"total": 0}}, "bins": {{}}}}'
         else concat('{{"all": {{"total": ', 1000 + {k}, ', "correct": ', 900 + {k}, ', "mismapped": ', 50 + {k} % 3, '}}, "bins": {{"0-19": {{"total": 100, "correct": 50, "mismapped": 40}}, "20-59": {{"total": ', 300, ', "correct": 290, "mismapped": ', {k} % 3, '}}, "60+": {{"total": ', 600 + {k}, ', "correct": ', 560 + {k}, ', "mismapped": 10}}}}}}') end as placement_json""",
     )
@@ -435,7 +442,7 @@ CASE WHEN n_prev IS NULL AND mn IS NULL THEN 'candidate_unreadable' WHEN n_prev
 WHEN mn > mp * 1.02 + 1.0 + 1e-9 OR cn < cp - 0.02 - 1e-9 THEN 'REGRESSION' ELSE 'ok' END AS verdict FROM j""")
 def grade_gate(spark: SparkSession, sf: str) -> DataFrame:
     a = v_accuracy(spark, sf)
-    both = [gates.placement_metrics(a.filter(F.col("fg_labs_sha") == s)) for s in ("new", "prev")]
+    both = [gates.placement_metrics(a.filter(F.col("run_sha") == s)) for s in ("new", "prev")]
     return rounded(gates.grade_gate(*both), "mismapped_ppm_new", "correct_pct_new", "mismapped_ppm_prev", "correct_pct_prev")
 
 
@@ -608,30 +615,30 @@ def _compared(spark: SparkSession, sf: str) -> DataFrame:
     return release.compared(v_trials(spark, sf), v_class_json(spark, sf), "R")
 
 
-@query(f"""WITH {_T}, x AS (SELECT o_custkey AS c, o_orderkey AS o FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R')
+@query(f"""WITH {_T}, x AS (SELECT o_custkey AS c, o_orderkey AS o FROM t JOIN orders ON o_orderkey = id WHERE run_sha = 'R')
 SELECT 'pos_diff' AS "class", CAST(sum(c) AS BIGINT) AS "count" FROM x UNION ALL SELECT 'mapq_diff', CAST(sum(o) AS BIGINT) FROM x WHERE c % 3 = 0""")
 def class_counts(spark: SparkSession, sf: str) -> DataFrame:
     return release.class_counts(_compared(spark, sf))
 
 
-@query(f"""WITH {_T}, x AS (SELECT sample, arch, o_custkey AS c FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R')
+@query(f"""WITH {_T}, x AS (SELECT sample, arch, o_custkey AS c FROM t JOIN orders ON o_orderkey = id WHERE run_sha = 'R')
 SELECT sample, arch, 'pos_diff' AS "class", round(median(c % 50 + 0.25::DOUBLE), 4) AS pct FROM x GROUP BY ALL UNION ALL SELECT sample, arch, 'mapq_diff', 1.5::DOUBLE FROM x WHERE c % 3 = 0 GROUP BY ALL""")
 def class_medians(spark: SparkSession, sf: str) -> DataFrame:
     return release.class_medians(_compared(spark, sf))
 
 
-@query(f"WITH {_T} SELECT sample, arch, o_custkey AS supp_query, 0::BIGINT AS supp_baseline, 0::BIGINT AS count_mismatch, 0::DOUBLE AS unmatched_pct FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R' AND o_custkey % 2 = 0")
+@query(f"WITH {_T} SELECT sample, arch, o_custkey AS supp_query, 0::BIGINT AS supp_baseline, 0::BIGINT AS count_mismatch, 0::DOUBLE AS unmatched_pct FROM t JOIN orders ON o_orderkey = id WHERE run_sha = 'R' AND o_custkey % 2 = 0")
 def supplementary(spark: SparkSession, sf: str) -> DataFrame:
     return release.supplementary(_compared(spark, sf))
 
 
-@query(f"""WITH {_T}, n AS (SELECT * FROM (VALUES ('v1', 'A'), ('v2', 'R')) v(release, fg_labs_sha)), x AS (SELECT release, sample, arg_min({{'p': 99.9 + o_totalprice / 1e7, 'c': o_custkey}}, {{'p': 99.9 + o_totalprice / 1e7, 'a': arch, 'r': rep}}) AS r FROM t JOIN n USING (fg_labs_sha) JOIN orders ON o_orderkey = id GROUP BY ALL)
+@query(f"""WITH {_T}, n AS (SELECT * FROM (VALUES ('v1', 'A'), ('v2', 'R')) v(release, run_sha)), x AS (SELECT release, sample, arg_min({{'p': 99.9 + o_totalprice / 1e7, 'c': o_custkey}}, {{'p': 99.9 + o_totalprice / 1e7, 'a': arch, 'r': rep}}) AS r FROM t JOIN n USING (run_sha) JOIN orders ON o_orderkey = id GROUP BY ALL)
 SELECT release, sample, r.p AS concordance_pct, CASE WHEN r.c % 2 = 0 THEN r.c ELSE 0 END AS supp_query, 0::BIGINT AS supp_baseline, 0::BIGINT AS count_mismatch FROM x""")
 def release_concordance(spark: SparkSession, sf: str) -> DataFrame:
     return release.release_concordance(v_trials(spark, sf), v_class_json(spark, sf), [("v1", "A"), ("v2", "R")])
 
 
-@query(f"""WITH {_T}, {_REG}, x AS (SELECT sample, arch, 100.0 - (99.9 + o_totalprice / 1e7) AS d FROM t JOIN orders ON o_orderkey = id WHERE fg_labs_sha = 'R'),
+@query(f"""WITH {_T}, {_REG}, x AS (SELECT sample, arch, 100.0 - (99.9 + o_totalprice / 1e7) AS d FROM t JOIN orders ON o_orderkey = id WHERE run_sha = 'R'),
 k AS (SELECT sample, coalesce(bool_or(r.metric = 'confident_relocation'), FALSE) AS rel, coalesce(sum(pct) FILTER (r.metric = 'concordance'), 0) AS dec FROM (SELECT DISTINCT sample FROM x) LEFT JOIN reg r ON len(r.samples) = 0 OR list_contains(r.samples, sample) GROUP BY ALL)
 SELECT round(avg(d), 9) AS mean_drift_pct, round(max(dec), 9) AS declared_pct FROM x JOIN k USING (sample) WHERE NOT rel""")
 def drift_against_registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -654,7 +661,7 @@ def writer_control(spark: SparkSession, sf: str) -> DataFrame:
     base = table(spark, sf, "lineitem").filter("l_returnflag <> 'N'").selectExpr("*", f"{sam} as sam", "l_linestatus as arch")
     w = Window.partitionBy("arch", "sam").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     rows = base.withColumn("rep", F.row_number().over(w).cast("long")).selectExpr(
-        "'x' as fg_labs_sha", "arch", "case when sam then 'v1-sam' else 'v1' end as label", "'default' as mode", "rep",
+        "'x' as run_sha", "arch", "case when sam then 'v1-sam' else 'v1' end as label", "'default' as mode", "rep",
         "case when l_discount = 0 then null else 100.0D + (case when sam then 2 else 0 end) + l_tax end as wall_seconds", "cast(null as double) as process_seconds", "'b' as block",
         "case when (rep % 2 = 0) = sam then 1 else 2 end as position", "1.0D as index_read_seconds", "1.0D as io_in_mb", "cast(null as long) as thp_fault_fallback",
     )
@@ -662,7 +669,7 @@ def writer_control(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_T}, {_CMP}, a AS (SELECT count(*) AS n FROM (SELECT sample, arch FROM t JOIN c ON c.trial_id = t.id AND kind = 'vs-golden' GROUP BY ALL HAVING min(concordance_pct) < 99.9012)),
-b AS (SELECT count(*) AS n FROM (FROM (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'R') ANTI JOIN (SELECT DISTINCT sample, arch FROM t WHERE fg_labs_sha = 'N' AND wall_seconds > 80) USING (sample, arch)))
+b AS (SELECT count(*) AS n FROM (FROM (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'R') ANTI JOIN (SELECT DISTINCT sample, arch FROM t WHERE run_sha = 'N' AND wall_seconds > 80) USING (sample, arch)))
 SELECT 'golden=' || a.n || ';missing=' || b.n AS failures, a.n = 0 AND b.n = 0 AS ok FROM a, b""")
 def regression_verdict(spark: SparkSession, sf: str) -> DataFrame:
     out = gates.regression({"golden": golden_gate(spark, sf), "missing": missing_cells_anti(spark, sf)})

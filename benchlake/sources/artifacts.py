@@ -18,7 +18,7 @@ SUPP_KEYS = (
     "sec_query_total", "sec_baseline_total", "sec_count_mismatch_templates", "sec_count_mismatch_pct", "sec_unmatched", "sec_unmatched_pct", "sec_matched", "sec_content_diffs", "sec_by_class",
 )
 TIMING_COLUMNS = ("s", "max_rss", "max_vms", "max_uss", "max_pss", "io_in", "io_out", "mean_load", "cpu_time")
-META_COLUMNS = ("fg_labs_sha", "sample", "arch", "instance_type", "availability_zone", "instance_id", "kernel", "image_variant", "measured_at")
+META_COLUMNS = ("sample", "arch", "instance_type", "availability_zone", "instance_id", "kernel", "image_variant", "measured_at")
 SCALING_COLUMNS = ("threads", "rep", "wall_s", "cpu_s", "max_rss_mb", "process_s", "main_mem_s", "read_io_s", "sam_io_s", "kernel_s")
 ARENA_BASE = ("label", "mode", "rep", "wall_s", "cpu_s", "max_rss_mb", "process_s")
 ARENA_EXTRA = ("block", "position", "writer", "index_read_s", "io_in_mb", "page_cache_start_mb", "thp_fault_fallback", "compact_stall", "pgmajfault", "memfree_mb", "anon_huge_mb")
@@ -37,15 +37,15 @@ def files(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def cells(df: DataFrame) -> DataFrame:
-    """Adds fg_labs_sha, sample, arch, rep from ``<sha>/<sample>/<arch>/rep-<n>/``; paths with another
+    """Adds run_sha, sample, arch, rep from ``<sha>/<sample>/<arch>/rep-<n>/``; paths with another
     replicate name (rep-0, rep-01, rep-backup) are left out."""
-    keys = {k: F.regexp_extract("path", _CELL_PATH, i + 1) for i, k in enumerate(("fg_labs_sha", "sample", "arch"))}
+    keys = {k: F.regexp_extract("path", _CELL_PATH, i + 1) for i, k in enumerate(("run_sha", "sample", "arch"))}
     return df.filter(F.col("path").rlike(_CELL_PATH)).withColumns(keys).withColumn("rep", F.regexp_extract("path", _CELL_PATH, 4).cast("long"))
 
 
 def run_cells(df: DataFrame, depth: int = 2) -> DataFrame:
-    """Adds fg_labs_sha, sample, arch (or fg_labs_sha, arch) from the directories over a file."""
-    names = ("fg_labs_sha", "sample", "arch") if depth == 2 else ("fg_labs_sha", "arch")
+    """Adds run_sha, sample, arch (or run_sha, arch) from the directories over a file."""
+    names = ("run_sha", "sample", "arch") if depth == 2 else ("run_sha", "arch")
     pattern = "/" + "/".join(["([^/]+)"] * len(names)) + "/[^/]+$"
     return df.withColumns({k: F.regexp_extract("path", pattern, i + 1) for i, k in enumerate(names)})
 
@@ -74,7 +74,7 @@ def timing(spark: SparkSession, root: str) -> DataFrame:
     df = cells(files(spark, root, "timing.tsv")).withColumn("l", lines())
     row = _fail(F.size("l") < 2, "no data row", F.map_from_arrays(F.split(F.get("l", F.lit(0)), "\t"), F.slice(F.concat(F.split(F.get("l", F.lit(1)), "\t"), F.array_repeat(F.lit(""), 32)), F.lit(1), F.size(F.split(F.get("l", F.lit(0)), "\t")))))
     value = lambda c: F.coalesce(number(F.try_element_at("m", F.lit(c))), F.lit(0.0)).alias(c)
-    return df.withColumn("m", row).select("fg_labs_sha", "sample", "arch", "rep", "path", *(value(c) for c in TIMING_COLUMNS))
+    return df.withColumn("m", row).select("run_sha", "sample", "arch", "rep", "path", *(value(c) for c in TIMING_COLUMNS))
 
 
 def meta(spark: SparkSession, root: str) -> DataFrame:
@@ -83,14 +83,14 @@ def meta(spark: SparkSession, root: str) -> DataFrame:
     df = cells(files(spark, root, "meta.json")).withColumn("j", F.from_json("value", schema))
     host = [F.col(f"j.{c}").alias(c) for c in ("instance_type", "availability_zone", "instance_id", "kernel", "image_variant")]
     stamp = F.when(F.try_to_timestamp("j.measured_at").isNotNull(), F.col("j.measured_at")).otherwise(F.date_format("mtime", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return df.select("fg_labs_sha", "sample", "arch", "rep", *host, stamp.alias("measured_at"), unknown_to_null(F.col("j.instance_id")).alias("host"))
+    return df.select("run_sha", "sample", "arch", "rep", *host, stamp.alias("measured_at"), unknown_to_null(F.col("j.instance_id")).alias("host"))
 
 
 def aligner_log(spark: SparkSession, root: str) -> DataFrame:
     """Aligner logs: first PROCESS() and index-read seconds, null if missing."""
     df = cells(files(spark, root, "*.stderr.log"))
     found = lambda p: F.nullif(F.regexp_extract("value", p, 1), F.lit("")).try_cast("double")
-    return df.select("fg_labs_sha", "sample", "arch", "rep", found(PROCESS_PATTERN).alias("process_seconds"), found(INDEX_READ_PATTERN).alias("index_read_seconds"))
+    return df.select("run_sha", "sample", "arch", "rep", found(PROCESS_PATTERN).alias("process_seconds"), found(INDEX_READ_PATTERN).alias("index_read_seconds"))
 
 
 def _subset(keys: tuple[str, ...]) -> Column:
@@ -106,7 +106,7 @@ def comparisons(spark: SparkSession, root: str) -> DataFrame:
     j = F.from_json("value", "total_reads long, concordant long, concordance_pct double")
     placement = F.get_json_object("value", "$.placement")
     return df.withColumn("j", j).select(
-        "fg_labs_sha", "sample", "arch", "rep", "kind",
+        "run_sha", "sample", "arch", "rep", "kind",
         F.col("j.concordant").alias("concordant"), F.col("j.total_reads").alias("total"), F.col("j.concordance_pct").alias("concordance_pct"),
         F.get_json_object("value", "$.by_class").alias("by_class_json"), _subset(SUPP_KEYS).alias("supp_json"), placement.alias("placement_json"),
     )
@@ -126,7 +126,7 @@ def eval_tables(spark: SparkSession, root: str) -> DataFrame:
     checked = _fail(F.col("all_row").isNull(), "no ALL row", counts(F.col("all_row")))
     pct = lambda k: number(F.get("all_row", F.lit(k)))
     return df.withColumn("all", checked).select(
-        "fg_labs_sha", "sample", "arch", "rep", "tool", F.col("all.total").alias("placement_total"),
+        "run_sha", "sample", "arch", "rep", "tool", F.col("all.total").alias("placement_total"),
         pct(5).alias("placement_correct_pct"), pct(6).alias("placement_mismapped_pct"), pct(7).alias("placement_unmapped_pct"),
         F.to_json(F.struct("all", bins.alias("bins"))).alias("placement_json"),
     )
@@ -143,7 +143,7 @@ def variants(spark: SparkSession, root: str) -> DataFrame:
     lacking = F.size(F.array_except(F.array(*(F.lit(k) for k in VARIANT_FOOTERS)), F.map_keys("foot"))) > 0
     value = lambda k: number(F.try_element_at("foot", F.lit(k)))
     return df.select(
-        "fg_labs_sha", "sample", "arch", "rep", "tool", _fail(lacking, "footer incomplete", value(VARIANT_FOOTERS[0])).cast("long").alias("variant_bearing_reads"),
+        "run_sha", "sample", "arch", "rep", "tool", _fail(lacking, "footer incomplete", value(VARIANT_FOOTERS[0])).cast("long").alias("variant_bearing_reads"),
         value(VARIANT_FOOTERS[1]).alias("md_concordant_pct"), value(VARIANT_FOOTERS[2]).alias("nm_concordant_pct"), F.to_json(classes).alias("by_class_json"),
     )
 
@@ -153,31 +153,46 @@ def methylation(spark: SparkSession, root: str) -> DataFrame:
     df = cells(files(spark, root, "*.meth.tsv")).withColumn("tool", _tool(r"meth\.tsv")).withColumn("l", lines())
     row = F.when(F.size("l") == 0, F.lit(None).cast("array<string>")).otherwise(_fail(F.size("l") < 2, "header without a row", F.split(F.get("l", F.lit(1)), "\t")))
     df = df.withColumn("r", row)
-    return df.select("fg_labs_sha", "sample", "arch", "rep", "tool", F.get("r", F.lit(0)).try_cast("long").alias("meth_n_cpg"), number(F.get("r", F.lit(1))).alias("meth_pearson_r"), number(F.get("r", F.lit(2))).alias("meth_rmse"))
+    return df.select("run_sha", "sample", "arch", "rep", "tool", F.get("r", F.lit(0)).try_cast("long").alias("meth_n_cpg"), number(F.get("r", F.lit(1))).alias("meth_pearson_r"), number(F.get("r", F.lit(2))).alias("meth_rmse"))
 
 
 def scaling(spark: SparkSession, root: str) -> DataFrame:
     """scaling.tsv: six columns and four more in newer files; shorter rows are skipped, NA is null."""
-    df = run_cells(files(spark, root, "scaling.tsv")).select("fg_labs_sha", "sample", "arch", F.explode(lines()).alias("line"))
+    df = run_cells(files(spark, root, "scaling.tsv")).select("run_sha", "sample", "arch", F.explode(lines()).alias("line"))
     f = df.withColumn("f", F.split("line", "\t")).filter((F.size("f") >= 6) & (F.get("f", F.lit(0)) != "threads"))
     at = lambda k: F.get("f", F.lit(k))
     names = dict(zip(("wall_seconds", "cpu_time", "max_rss_mb", "process_seconds", "main_mem_seconds", "read_io_seconds", "sam_io_seconds", "kernel_seconds"), range(2, 10), strict=True))
-    return f.select("fg_labs_sha", "sample", "arch", at(0).try_cast("long").alias("threads"), at(1).try_cast("long").alias("rep"), *(number(at(k)).alias(n) for n, k in names.items()))
+    return f.select("run_sha", "sample", "arch", at(0).try_cast("long").alias("threads"), at(1).try_cast("long").alias("rep"), *(number(at(k)).alias(n) for n, k in names.items()))
 
 
-def arena(spark: SparkSession, root: str) -> DataFrame:
-    """arena.tsv: seven columns by place, the rest by header name; an unknown header is an error, a row
-    with another number of fields is dropped."""
+def renamed(x: Column, names: dict[str, str] | None) -> Column:
+    """Labels or tools as the tree has them, by the names that plans use; others stay."""
+    return x if not names else F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for kv in sorted(names.items()) for v in kv)), x), x)
+
+
+def arena_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of arena.tsv under their header: (run_sha, arch, h, f). An unknown column is an error."""
     df = run_cells(files(spark, root, "arena.tsv"), depth=1).withColumn("l", lines()).filter(F.size("l") > 1).withColumn("h", F.split(F.get("l", F.lit(0)), "\t"))
-    strange = F.array_except(F.slice("h", 8, 64), F.array(*(F.lit(c) for c in ARENA_EXTRA)))
-    df = df.withColumn("h", _fail(F.size(strange) > 0, "unknown column", F.col("h")))
-    rows = df.select("fg_labs_sha", "arch", "h", F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("line")).withColumn("f", F.split("line", "\t")).filter(F.size("f") == F.size("h"))
-    at, by = (lambda k: F.get("f", F.lit(k))), (lambda c: F.get("f", F.array_position("h", F.lit(c)).cast("int") - 1))
+    strange = F.array_except("h", F.array(*(F.lit(c) for c in (*ARENA_BASE, *ARENA_EXTRA))))
+    lacking = F.array_except(F.array(*(F.lit(c) for c in ARENA_BASE)), "h")
+    df = df.withColumn("h", _fail(F.size(strange) > 0, "unknown column", _fail(F.size(lacking) > 0, "missing column", F.col("h"))))
+    return df.select("run_sha", "arch", "h", F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("line")).withColumn("f", F.split("line", "\t"))
+
+
+def arena_dropped(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of arena.tsv that ``arena`` leaves out: another number of fields than their header has."""
+    return arena_lines(spark, root).filter(F.size("f") != F.size("h")).select("run_sha", "arch", "line")
+
+
+def arena(spark: SparkSession, root: str, labels: dict[str, str] | None = None) -> DataFrame:
+    """arena.tsv, by header name; a row with another number of fields is dropped (``arena_dropped``)."""
+    rows = arena_lines(spark, root).filter(F.size("f") == F.size("h"))
+    by = lambda c: F.get("f", F.array_position("h", F.lit(c)).cast("int") - 1)
     text = lambda x: F.nullif(F.nullif(x, F.lit("NA")), F.lit(""))
     extra = {"block": text(by("block")), "writer": text(by("writer"))} | {c: by(c).try_cast("long") for c in ("position", "thp_fault_fallback", "compact_stall", "pgmajfault")} | {c: number(by(c)) for c in ("io_in_mb", "page_cache_start_mb", "memfree_mb", "anon_huge_mb")}
     return rows.select(
-        "fg_labs_sha", "arch", at(0).alias("label"), at(1).alias("mode"), at(2).try_cast("long").alias("rep"),
-        number(at(3)).alias("wall_seconds"), number(at(4)).alias("cpu_time"), number(at(5)).alias("max_rss_mb"), number(at(6)).alias("process_seconds"),
+        "run_sha", "arch", renamed(by("label"), labels).alias("label"), by("mode").alias("mode"), by("rep").try_cast("long").alias("rep"),
+        number(by("wall_s")).alias("wall_seconds"), number(by("cpu_s")).alias("cpu_time"), number(by("max_rss_mb")).alias("max_rss_mb"), number(by("process_s")).alias("process_seconds"),
         number(by("index_read_s")).alias("index_read_seconds"), *(x.alias(c) for c, x in extra.items()),
     )
 
@@ -206,16 +221,16 @@ def probes(spark: SparkSession, root: str) -> DataFrame:
     raw = files(spark, root, "host-probe.jsonl")
     own = cells(raw)
     job = run_cells(raw.filter(~F.col("path").rlike(_CELL_PATH))).withColumn("rep", F.lit(0).cast("long"))
-    both = own.unionByName(job).select("fg_labs_sha", "sample", "arch", "rep", F.explode(lines()).alias("line"))
-    return both.select("fg_labs_sha", "sample", "arch", "rep", *(x.alias(c) for c, x in probe_columns(F.col("line")).items())).filter("phase <> ''")
+    both = own.unionByName(job).select("run_sha", "sample", "arch", "rep", F.explode(lines()).alias("line"))
+    return both.select("run_sha", "sample", "arch", "rep", *(x.alias(c) for c, x in probe_columns(F.col("line")).items())).filter("phase <> ''")
 
 
 def keys(listing: DataFrame, key: str = "key") -> DataFrame:
     """Object keys ``runs/<sha>/<sample>/<arch>/rep-<n>/<file>`` -> cells with their replicates, and
     whether a host record is among them."""
     p = rf"(?:^|/)([^/]+)/([^/]+)/([^/]+)/{REP_PATTERN}/(.+)$"
-    df = listing.filter(F.col(key).rlike(p)).select(*(F.regexp_extract(key, p, i).alias(n) for i, n in ((1, "fg_labs_sha"), (2, "sample"), (3, "arch"))), F.regexp_extract(key, p, 4).cast("long").alias("rep"), F.regexp_extract(key, p, 5).alias("file"))
-    return df.groupBy("fg_labs_sha", "sample", "arch").agg(F.count_distinct("rep").alias("reps"), F.bool_or(F.col("file").endswith("meta.json")).alias("has_meta"), F.bool_or(F.col("file").endswith(".bam")).alias("has_bam"))
+    df = listing.filter(F.col(key).rlike(p)).select(*(F.regexp_extract(key, p, i).alias(n) for i, n in ((1, "run_sha"), (2, "sample"), (3, "arch"))), F.regexp_extract(key, p, 4).cast("long").alias("rep"), F.regexp_extract(key, p, 5).alias("file"))
+    return df.groupBy("run_sha", "sample", "arch").agg(F.count_distinct("rep").alias("reps"), F.bool_or(F.col("file").endswith("meta.json")).alias("has_meta"), F.bool_or(F.col("file").endswith(".bam")).alias("has_bam"))
 
 
 def progress(log: DataFrame, line: str = "value", seq: str = "idx") -> DataFrame:
@@ -232,7 +247,7 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
 
 def trials(spark: SparkSession, root: str) -> DataFrame:
     """Trials of every run under root: timing, host, log and the read count of the first comparison."""
-    cell = ["fg_labs_sha", "sample", "arch", "rep"]
+    cell = ["run_sha", "sample", "arch", "rep"]
     t = timing(spark, root).drop("path")
     order = F.array_position(F.array(*(F.lit(k) for k in COMPARE_KINDS)), F.col("kind"))
     reads = comparisons(spark, root).groupBy(*cell).agg(F.min_by("total", order).alias("reads_processed"))
@@ -244,6 +259,7 @@ def trials(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def accuracy(spark: SparkSession, root: str) -> DataFrame:
-    cell = ["fg_labs_sha", "sample", "arch", "rep", "tool"]
-    return eval_tables(spark, root).join(variants(spark, root), cell, "left").join(methylation(spark, root), cell, "left")
+def accuracy(spark: SparkSession, root: str, tools: dict[str, str] | None = None) -> DataFrame:
+    cell = ["run_sha", "sample", "arch", "rep", "tool"]
+    out = eval_tables(spark, root).join(variants(spark, root), cell, "left").join(methylation(spark, root), cell, "left")
+    return out.withColumn("tool", renamed(F.col("tool"), tools))

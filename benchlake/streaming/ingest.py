@@ -19,7 +19,7 @@ def probe_stream(spark: SparkSession, root: str) -> DataFrame:
     """Probe rows of new files under ``<sha>/<sample>/<arch>/rep-<n>/``."""
     raw = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "host-probe.jsonl").text(root)
     rows = cells(raw.select(F.col("_metadata.file_path").alias("path"), "value"))
-    return rows.select("fg_labs_sha", "sample", "arch", "rep", *(x.alias(c) for c, x in probe_columns(F.col("value")).items())).filter("phase <> ''")
+    return rows.select("run_sha", "sample", "arch", "rep", *(x.alias(c) for c, x in probe_columns(F.col("value")).items())).filter("phase <> ''")
 
 
 def ingest_probes(spark: SparkSession, root: str, store_root: str, checkpoint: str) -> StreamingQuery:

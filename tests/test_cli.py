@@ -5,7 +5,8 @@ import json
 import pytest
 
 from benchlake.cli import main
-from benchlake.plans.collect import AuditError
+from benchlake.plans.collect import AuditError, collect
+from benchlake.sinks.store import Store
 
 CELL = "runs/{}/smoke/c7g/rep-{}"
 
@@ -62,3 +63,17 @@ def test_compare_records_exit_code(spark, tmp_path, capsys):
     args = ["compare-records", str(tmp_path / "a.sam"), str(tmp_path / "a.sam")]
     assert main(args, spark) == 0 and main([*args, "--expect-tags", "XX"], spark) == 3
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["total_reads"] == 1
+
+
+def test_audits_are_of_one_run(spark, tmp_path):
+    """Two runs a month apart: each keeps its own trials, and a late replicate of one run only goes there."""
+    stamps = {("a", 1): "2025-01-02T03:00:00Z", ("a", 2): "2025-01-02T04:00:00Z", ("a", 3): "2025-01-05T04:00:00Z", ("b", 1): "2025-02-02T03:00:00Z", ("b", 2): "2025-02-02T03:30:00Z", ("b", 3): "2025-02-02T03:40:00Z"}
+    for (sha, rep), at in stamps.items():
+        cell = CELL.format(sha, rep)
+        put(tmp_path, f"{cell}/benchmarks/timing.tsv", "s\tcpu_time\n1\t1\n")
+        put(tmp_path, f"{cell}/benchmarks/meta.json", json.dumps({"image_variant": "native" if sha == "a" else "portable", "measured_at": at}))
+    put(tmp_path, "baseline/old/smoke/c7g/rep-1/benchmarks/timing.tsv", "s\tcpu_time\n9\t1\n")
+    counts = collect(spark, str(tmp_path), Store(spark, str(tmp_path / "s")))
+    assert counts["trials"] == 6 and counts["runs"] == 3
+    got = {(r.run_sha, r.rep) for r in Store(spark, str(tmp_path / "s")).read("trials").collect()}
+    assert got == {k for k in stamps if k != ("a", 3)} | {("baseline-old", 1)}

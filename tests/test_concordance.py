@@ -92,6 +92,17 @@ def test_streams_that_diverge_raise(spark):
         C.lockstep(frame(spark, [rec("a"), rec("b")]), frame(spark, [rec("a")])).collect()
 
 
+@pytest.mark.parametrize(("q", "b"), [(["a", "b", "c"], ["b", "a"]), (["a", "b"], ["a", "b", "c"]), (["a", "b", "c"], ["a", "b"]), (["a", "b"], ["a", "c"])])
+def test_every_reader_of_diverged_streams_raises(spark, q, b):
+    query, baseline = (frame(spark, [rec(n) for n in names]) for names in (q, b))
+    joined = C.lockstep(query, baseline)
+    pairs = C.classified(C.primary_pairs(joined))
+    for report in (C.census(C.primary_pairs(joined)), C.totals(pairs), C.placements(pairs), C.by_class(pairs)):
+        with pytest.raises(Exception, match="diverge"):
+            report.collect()
+
+
+
 @pytest.mark.parametrize("records", [1, 2, 3, 100])
 def test_templates_follow_file_order_across_ranges(spark, records, monkeypatch):
     monkeypatch.setattr(C, "RANGE", records)

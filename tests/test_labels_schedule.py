@@ -11,11 +11,11 @@ def one(spark, value, column):
 
 
 def test_labels(spark):
-    for label, version in (("v151", "v0.15.1"), ("v110", "v0.11.0"), ("v0110", "v0.11.0"), ("v021", "v0.2.1"), ("394f8f8", "394f8f8 (interim build)")):
+    for label, version in (("v237", "v0.23.7"), ("v480", "v0.48.0"), ("v0480", "v0.48.0"), ("v069", "v0.6.9"), ("0dd1e5", "0dd1e5 (interim build)")):
         assert one(spark, label, L.release_version) == version
-    assert [one(spark, x, L.fast_sibling) for x in ("fg-labs-default", "v151")] == ["fg-labs-fast", "v151-fast"]
-    assert [one(spark, x, L.base_sample) for x in ("wgs-5M-compat", "wgs-5M-compat-bwa", "wgs-5M-fast", "wgs-5M")] == ["wgs-5M"] * 4
-    assert one(spark, "align-fg-labs-abc123", L.job_command) == "align_fg_labs"
+    assert [one(spark, x, L.fast_sibling) for x in ("candidate", "v237")] == ["candidate-fast", "v237-fast"]
+    assert [one(spark, x, L.base_sample) for x in ("exome-3M-compat", "exome-3M-compat-old", "exome-3M-fast", "exome-3M")] == ["exome-3M"] * 4
+    assert one(spark, "sort-by-name-77aa", L.job_command) == "sort_by_name"
 
 
 def test_tag_lists(spark):

@@ -7,7 +7,7 @@ import pytest
 from benchlake.operators import latest, sets
 from benchlake.plans import arena, gates, perf, release
 
-TRIALS = "id long, fg_labs_sha string, sample string, arch string, rep long, wall_seconds double, process_seconds double, image_variant string"
+TRIALS = "id long, run_sha string, sample string, arch string, rep long, wall_seconds double, process_seconds double, image_variant string"
 
 
 def trials(spark, rows):
@@ -39,7 +39,7 @@ def test_lone_replicate_has_two_spreads(spark):
     assert perf.trial_cells(t.selectExpr("*", "1D as max_rss_mb", "1D as cpu_time")).first().cv_pct is None
 
 
-ARENA = "fg_labs_sha string, arch string, label string, mode string, rep long, wall_seconds double, process_seconds double, block string, position long, index_read_seconds double, io_in_mb double, thp_fault_fallback long"
+ARENA = "run_sha string, arch string, label string, mode string, rep long, wall_seconds double, process_seconds double, block string, position long, index_read_seconds double, io_in_mb double, thp_fault_fallback long"
 
 
 def arms(spark, rounds, flip=True, block="b", cold=(), cold_io=()):
@@ -82,15 +82,15 @@ def test_pair_notes(spark):
 
 
 def test_predecessor_skips_releases_that_did_not_measure(spark):
-    walls = {"v021": 100.0, "v022": 90.0, "v030": None, "v040": 80.0, "fg-labs-default": 70.0}
+    walls = {"v021": 100.0, "v022": 90.0, "v030": None, "v040": 80.0, "candidate": 70.0}
     rows = spark.createDataFrame([("s", "a", k, "default", 1, w, w, None, 1, 1.0, 1.0, 0) for k, w in walls.items()], ARENA)
     ladder = spark.createDataFrame([("v021", 0), ("v022", 1), ("v030", 2), ("v040", 3)], "label string, rank long")
     got = {r.label: r.vs_prior_release for r in arena.arena_table(arena.arena_rows(rows, "s"), ladder).collect()}
     assert got["v021"] is None and got["v030"] is None
-    assert [round(got[k], 9) for k in ("v022", "v040", "fg-labs-default")] == [round(x, 9) for x in (100 / 90, 90 / 80, 80 / 70)]
+    assert [round(got[k], 9) for k in ("v022", "v040", "candidate")] == [round(x, 9) for x in (100 / 90, 90 / 80, 80 / 70)]
 
 
-SCALING = "fg_labs_sha string, sample string, arch string, threads long, rep long, wall_seconds double, process_seconds double"
+SCALING = "run_sha string, sample string, arch string, threads long, rep long, wall_seconds double, process_seconds double"
 
 
 def test_scaling(spark):
@@ -114,11 +114,11 @@ UNREADABLE = [grade({}, {"total": 0}), grade(B, ALL | {"total": 101}), grade(B |
 
 
 def accuracy(spark, rows):
-    return spark.createDataFrame(rows, "fg_labs_sha string, sample string, arch string, rep long, tool string, placement_json string")
+    return spark.createDataFrame(rows, "run_sha string, sample string, arch string, rep long, tool string, placement_json string")
 
 
 def test_placement_metrics_never_raise(spark):
-    rows = accuracy(spark, [("n", "s", "a", k, "fg-labs", j) for k, j in enumerate([grade(B, ALL), *UNREADABLE])])
+    rows = accuracy(spark, [("n", "s", "a", k, "candidate", j) for k, j in enumerate([grade(B, ALL), *UNREADABLE])])
     got = {r.rep: (r.mismapped_ppm, r.correct_pct, r.read_total) for r in gates.placement_metrics(rows).collect()}
     assert got[0] == (10000.0, 89.0, 100) and all(got[k] == (None, None, 0) for k in range(1, len(UNREADABLE) + 1))
 
@@ -126,14 +126,14 @@ def test_placement_metrics_never_raise(spark):
 def test_grade_gate_fails_closed(spark):
     good, bad = grade(B, ALL), UNREADABLE[0]
     worse = grade(B | {"20+": {"total": 90, "correct": 88, "mismapped": 2}}, {"total": 100, "correct": 93, "mismapped": 7})
-    verdict = lambda n, o: gates.grade_gate(*(gates.placement_metrics(accuracy(spark, [(s, "s", "a", k, "fg-labs", j) for k, j in enumerate(js)])) for s, js in (("n", n), ("o", o)))).first().verdict
+    verdict = lambda n, o: gates.grade_gate(*(gates.placement_metrics(accuracy(spark, [(s, "s", "a", k, "candidate", j) for k, j in enumerate(js)])) for s, js in (("n", n), ("o", o)))).first().verdict
     assert verdict([good], [good]) == "ok" and verdict([worse], [good]) == "REGRESSION" and verdict([good], []) == "new_only"
     assert verdict([good, bad], [good]) == "candidate_unreadable" and verdict([good], [bad]) == "prior_unreadable" and verdict([bad], [bad]) == "both_unreadable"
 
 
 def test_missing_grades(spark):
     t = trials(spark, cell("n", [1.0, 1, 1]))
-    rows = gates.graded(accuracy(spark, [("n", "s", "a", 1, "fg-labs", grade(B, ALL)), ("n", "s", "a", 9, "fg-labs", grade(B, ALL))]), t)
+    rows = gates.graded(accuracy(spark, [("n", "s", "a", 1, "candidate", grade(B, ALL)), ("n", "s", "a", 9, "candidate", grade(B, ALL))]), t)
     assert [r.rep for r in rows.collect()] == [1]
     got = [tuple(r) for r in gates.grade_missing(t, rows, t.filter("false"), rows.filter("false")).collect()]
     assert got == [("s", "a", "candidate", "1 of 3 reps graded (missing 2, 3)")]

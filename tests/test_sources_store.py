@@ -23,11 +23,11 @@ def tree(tmp_path):
     cell = "runs/abc/smoke/c7g/rep-1"
     put(tmp_path, f"{cell}/benchmarks/timing.tsv", "s\th:m:s\tmax_rss\tio_in\tio_out\tmean_load\tcpu_time\n12.5\t0:00:12\t100\t1\tNA\t3\t40\n")
     put(tmp_path, f"{cell}/benchmarks/meta.json", json.dumps({"instance_id": "unknown", "instance_type": "c7g.4xlarge", "measured_at": "2025-01-02T03:04:05Z", "image_variant": "native"}))
-    put(tmp_path, f"{cell}/benchmarks/bwa.stderr.log", "x\n\tIndex read time avg: 2.44, (2.44, 2.44)\n\tPROCESS() (Total compute time + (read + SAM) IO time) : 8.76\n")
+    put(tmp_path, f"{cell}/benchmarks/tool.stderr.log", "x\n\tIndex read time avg: 2.44, (2.44, 2.44)\n\tPROCESS() (Total compute time + (read + SAM) IO time) : 8.76\n")
     put(tmp_path, f"{cell}/compare/vs-baseline.json", json.dumps({"total_reads": 10, "concordant": 9, "concordance_pct": 90.0, "by_class": {"pos_diff": {"count": 1, "pct": 10.0}}, "supp_query_total": 3, "placement": {"relocated_pct": 1.5}}))
-    put(tmp_path, f"{cell}/eval/fg-labs.eval.txt", "mapq_bin total correct mismapped unmapped pct_correct pct_mismapped pct_unmapped\n0 10 5 5 0 50 50 0\n60+ 90 89 1 0 98.9 1.1 0\nALL 100 94 6 0 94.0 6.0 0.0\n")
-    put(tmp_path, f"{cell}/eval/fg-labs.variants.tsv", "class\tconfounded\tn_expected\tn_represented\trepresented_pct\tmean_mapq\tmean_as\nsnp\tno\t10\t9\t90\t55\tNA\n#variant_bearing_reads\t10\n#md_concordant_pct\t99\n#nm_concordant_pct\tNA\n")
-    put(tmp_path, f"{cell}/eval/fg-labs.meth.tsv", "")
+    put(tmp_path, f"{cell}/eval/candidate.eval.txt", "mapq_bin total correct mismapped unmapped pct_correct pct_mismapped pct_unmapped\n0 10 5 5 0 50 50 0\n60+ 90 89 1 0 98.9 1.1 0\nALL 100 94 6 0 94.0 6.0 0.0\n")
+    put(tmp_path, f"{cell}/eval/candidate.variants.tsv", "class\tconfounded\tn_expected\tn_represented\trepresented_pct\tmean_mapq\tmean_as\nsnp\tno\t10\t9\t90\t55\tNA\n#variant_bearing_reads\t10\n#md_concordant_pct\t99\n#nm_concordant_pct\tNA\n")
+    put(tmp_path, f"{cell}/eval/candidate.meth.tsv", "")
     for bad in ("rep-0", "rep-01", "rep-backup"):
         put(tmp_path, f"runs/abc/smoke/c7g/{bad}/benchmarks/timing.tsv", "s\th:m:s\n1\t0\n")
     return tmp_path
@@ -46,7 +46,7 @@ def test_tree(spark, tree):
 
 
 def test_grades_without_all_row_fail(spark, tree):
-    put(tree, "runs/abc/smoke/c7g/rep-1/eval/fg-labs.eval.txt", "mapq_bin total correct\n0 10 5 5 0\n")
+    put(tree, "runs/abc/smoke/c7g/rep-1/eval/candidate.eval.txt", "mapq_bin total correct\n0 10 5 5 0\n")
     with pytest.raises(Exception, match="ALL"):
         artifacts.eval_tables(spark, str(tree / "runs")).collect()
 
@@ -78,23 +78,23 @@ def test_store_is_idempotent_and_latest_wins(spark, tree, tmp_path):
     for _ in range(2):
         store.upsert("trials", trials)
     assert store.read("trials").count() == 1
-    store.upsert("trials", trials.selectExpr("id", "fg_labs_sha", "sample", "arch", "rep", "99.0 as wall_seconds"))
+    store.upsert("trials", trials.selectExpr("id", "run_sha", "sample", "arch", "rep", "99.0 as wall_seconds"))
     r = store.read("trials").first()
     assert (r.wall_seconds, r.process_seconds) == (99.0, None)
-    runs = lambda b, s: spark.createDataFrame([("abc", b, s)], "fg_labs_sha string, fg_labs_branch string, status string")
+    runs = lambda b, s: spark.createDataFrame([("abc", b, s)], "run_sha string, branch string, status string")
     store.upsert_runs(runs("main", "running"))
     store.upsert_runs(runs(None, "done"))
     r = store.read("runs").first()
-    assert (r.fg_labs_branch, r.status) == ("main", "done")
+    assert (r.branch, r.status) == ("main", "done")
 
 
 def test_arena_is_replaced_by_cell(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    rows = lambda *x: spark.createDataFrame(list(x), "fg_labs_sha string, arch string, label string, mode string, rep long")
+    rows = lambda *x: spark.createDataFrame(list(x), "run_sha string, arch string, label string, mode string, rep long")
     store.replace_arena(rows(("s", "a", "v1", "default", 1), ("s", "b", "v1", "default", 1), ("t", "a", "v1", "default", 1)))
     store.replace_arena(rows(("s", "a", "v2", "default", 1)))
     store.replace_arena(rows(("s", "a", "v2", "default", 1)).filter("false"))
-    assert sorted((r.fg_labs_sha, r.arch, r.label) for r in store.read("arena").collect()) == [("s", "a", "v2"), ("s", "b", "v1"), ("t", "a", "v1")]
+    assert sorted((r.run_sha, r.arch, r.label) for r in store.read("arena").collect()) == [("s", "a", "v2"), ("s", "b", "v1"), ("t", "a", "v1")]
 
 
 def test_newer_store_is_refused(spark, tmp_path):
