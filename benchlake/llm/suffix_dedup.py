@@ -5,19 +5,22 @@ picks the 32-byte gram with the smallest hash inside it (all of them on a tie),
 grams at equal places, and only suffixes at picked grams (anchors, about one byte in 35) are sorted.
 
 1. A narrow pass emits each anchor: hash of its gram, hash of its context (68 bytes before, 100 after,
-   cut at the ends of the text), doc_id, position. Anchors are dealt by gram and read in order.
+   cut at the ends of the text), doc_id, position. Anchors are dealt by gram and context and read in order.
    Anchors with equal contexts are copies: all but the first are covered from end to end at once and
-   go no further, however many there are. An anchor whose gram occurs once is done as well.
-2. The first anchors of differing contexts of one gram fetch their context bytes. Right contexts, and
-   left contexts read backwards, are put in suffix order by deep-shallow sorting: multikey quicksort
-   over eight-byte symbols to a shallow depth, then a blind trie for each group whose common prefix is
-   longer. The longest common prefixes of neighbours tell for every window around an anchor which
-   others equal it, and so which anchor has it first.
-3. A gram with more than ``GROUP_ROWS`` differing contexts is not held in one task: its windows are
-   dealt by their own digests and the first of each found by aggregation.
+   go no further, however many there are.
+2. The contexts of a gram are counted. A gram with one context is done. The others' first anchors fetch
+   their context bytes. Right contexts, and left contexts read backwards, are put in suffix order by
+   deep-shallow sorting: multikey quicksort over eight-byte symbols to a shallow depth, then a blind trie
+   for each group whose common prefix is longer. The longest common prefixes of neighbours tell for every
+   window around an anchor which others equal it, and so which anchor has it first.
+3. A group of more than ``GROUP_ROWS`` contexts is parted before any task holds it: windows that lie in the
+   same half of the places around the gram share further symbols, so each half is dealt by gram and those
+   symbols, again and again until the groups can be sorted. What is left at one single place is equal
+   windows, whose first an aggregation finds.
 4. The covered ranges are united for each document.
 
-Two context hashes of 64 bits, below an equal gram hash, stand for equal bytes in step 1.
+Two context hashes of 64 bits, below an equal gram hash of 64 bits, stand for equal bytes in step 1; a
+comparison of the bytes would move 168 of them for each copy.
 
 Defined cases: null and empty texts have nothing to remove, as all under ``WINDOW`` bytes; rows that
 repeat a doc_id (null is one) with the same text are one document, returned as often as given; rows that
@@ -34,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import keyed_texts, materialize, tuned, unkey
+from benchlake.llm.common import keyed_texts, materialize, release, tuned, unkey
 from benchlake.llm.runs import bounds, whole_runs
 
 WINDOW, GRAM = 100, 32
 REACH = WINDOW - GRAM  # bytes of a window that may lie before its anchor
+#: Contexts of one gram that are sorted in one task.
 GROUP_ROWS = 32_768
 #: Eight-byte symbols that multikey quicksort looks at before blind tries take over.
 SHALLOW = 7
@@ -129,10 +133,12 @@ def _rows(doc, row, a, b=None, h=None) -> pa.RecordBatch:
 
 def _copies(batches):
     """Rows (h, c, doc_id, row, pos) in order: covered ranges (a, b) of copies; (a = position, h) of the first
-    anchors of a gram with several contexts."""
-    before = None  # the last row of a run given out in pieces, and its context's first
-    for t, whole in whole_runs(batches, 1, 1 << 16):
-        h, c, doc, row, pos = (t.column(k).to_numpy() for k in range(5))
+    anchor of each context."""
+    before = None  # the context of the last row so far, and its first anchor
+    for b in batches:
+        if not b.num_rows:
+            continue
+        h, c, doc, row, pos = (b.column(k).to_numpy() for k in range(5))
         known = pos < 0
         if known.any():
             at = -pos[known] - 1
@@ -149,24 +155,46 @@ def _copies(batches):
             same = lead == 0
             lead_doc, lead_row, lead_pos = (np.where(same, x, y) for x, y in zip(before[2:], (lead_doc, lead_row, lead_pos), strict=True))
             first[0] = False
-        before = None if whole else (h[-1], c[-1], lead_doc[-1], lead_row[-1], lead_pos[-1])
+        before = (h[-1], c[-1], lead_doc[-1], lead_row[-1], lead_pos[-1])
         later = (doc != lead_doc) | (row != lead_row) | (pos != lead_pos)
         yield _rows(doc[later], row[later], np.maximum(pos[later] - REACH, 0), pos[later] + WINDOW)
-        if whole:
-            run = bounds([h])
-            classes = np.add.reduceat(first.astype(np.int64), run[:-1])
-            first &= np.repeat(classes > 1, np.diff(run))
         yield _rows(doc[first], row[first], pos[first], h=h[first])
 
 
+_CONTEXTS = "h long, lo long, hi long, doc_id long, row long, pos long, l binary, r binary"
+
+
+def _as_contexts(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[]] * 8
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), *(pa.array(c, pa.binary()) for c in cols[6:])], names=["h", "lo", "hi", "doc_id", "row", "pos", "l", "r"])
+
+
 def _contexts(batches):
+    """Rows (doc_id, row, text, positions, grams): the context of each anchor, for windows with 0 to REACH
+    bytes before it."""
     for b in batches:
         out = []
         for doc, row, text, at, grams in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
             data = text.encode("utf-8", "surrogatepass")
-            out += [(h, doc, row, p, data[max(0, p - REACH) : p], data[p : p + WINDOW]) for p, h in zip(at, grams, strict=True)]
-        cols = list(zip(*out, strict=True)) or [[]] * 6
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.binary()) for c in cols[4:])], names=["h", "doc_id", "row", "pos", "l", "r"])
+            out += [(h, 0, REACH, doc, row, p, data[max(0, p - REACH) : p], data[p : p + WINDOW]) for p, h in zip(at, grams, strict=True)]
+        yield _as_contexts(out)
+
+
+def parted(h: int, lo: int, hi: int, left: bytes, right: bytes) -> list[tuple[int, int, int]]:
+    """Where an anchor goes if its group is too large: its windows with lo to hi bytes before it in two
+    halves, each under a hash of the symbols that all windows of that half hold."""
+    out = []
+    for a, z in ((lo, (lo + hi) // 2), ((lo + hi) // 2 + 1, hi)):
+        if len(left) >= a and len(right) >= WINDOW - z:
+            shared = left[len(left) - a :] + right[: WINDOW - z]
+            out.append((int.from_bytes(hashlib.blake2b(f"{h}|{a}|{z}|".encode() + shared, digest_size=8).digest(), "little", signed=True), a, z))
+    return out
+
+
+def _part(batches):
+    for b in batches:
+        rows = zip(*(b.column(k).to_pylist() for k in range(8)), strict=True)
+        yield _as_contexts([(*own, *rest, left, right) for h, lo, hi, *rest, left, right in rows for own in parted(h, lo, hi, left, right)])
 
 
 def blind_trie(strings: list[bytes]) -> list[int]:
@@ -255,9 +283,10 @@ def deep_shallow(strings: list[bytes], group: np.ndarray, width: int, known: int
     return order, lcp
 
 
-def repeated(group: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def repeated(group: np.ndarray, left: list[bytes], right: list[bytes], lo: np.ndarray | int = 0, hi: np.ndarray | int = REACH) -> tuple[np.ndarray, np.ndarray]:
     """For anchors in order of their occurrence within each group: the largest and the smallest number
-    of bytes before the anchor of windows that an earlier anchor of the group has too (-1: none)."""
+    of bytes before the anchor, from lo to hi, of windows that an earlier anchor of the group has too (-1:
+    none)."""
     n = len(left)
     by_r, lcp_r = deep_shallow(right, group, WINDOW, GRAM // 8)
     by_l, lcp_l = deep_shallow([s[::-1] for s in left], group, REACH)
@@ -269,7 +298,7 @@ def repeated(group: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[
     for a in range(REACH + 1):
         run_r[by_r] = np.cumsum(new | (lcp_r < WINDOW - a))
         run_l[by_l] = np.cumsum(new | (lcp_l < a))
-        whole = np.flatnonzero((size_l >= a) & (size_r >= WINDOW - a))
+        whole = np.flatnonzero((size_l >= a) & (size_r >= WINDOW - a) & (lo <= a) & (a <= hi))
         pair = run_r[whole] * (n + 1) + run_l[whole]
         turn = np.argsort(pair, kind="stable")
         again = np.zeros(len(turn), bool)
@@ -280,44 +309,63 @@ def repeated(group: np.ndarray, left: list[bytes], right: list[bytes]) -> tuple[
     return most, least
 
 
-_FOUND = "doc_id long, row long, a long, b long, win binary"
-
-
-def _found(doc, row, a, b=None, win=None) -> pa.RecordBatch:
-    n = len(doc)
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()), pa.nulls(n, pa.binary()) if win is None else pa.array(win, pa.binary())], names=["doc_id", "row", "a", "b", "win"])
-
-
-def _windows(doc, row, pos, left, right):
-    """Every window around anchors of an overlong group, by digest."""
-    for d, e, p, x, y in zip(doc.tolist(), row.tolist(), pos.tolist(), left, right, strict=True):
-        s, first = x + y, p - len(x)
-        at = [k for k in range(len(s) - WINDOW + 1)]
-        yield _found([d] * len(at), [e] * len(at), [first + k for k in at], win=[hashlib.blake2b(s[k : k + WINDOW], digest_size=16).digest() for k in at])
+_FOUND = "doc_id long, row long, a long, b long"
 
 
 def _sort(batches):
-    """Rows (h, doc_id, row, pos, l, r) in order, or without row: covered ranges, and windows of overlong
-    groups. Equal rows (h, doc_id, row, pos), as a repeated row gives them, are one anchor."""
+    """Rows (h, lo, hi, doc_id, row, pos, l, r) in order: covered ranges. Equal rows, as a repeated row gives
+    them, are one anchor; without them no group has more than GROUP_ROWS."""
+    held: list[pa.Table] = []
     for t, whole in whole_runs(batches, 1, GROUP_ROWS):
-        h, doc, pos = (t.column(k).to_numpy() for k in ("h", "doc_id", "pos"))
-        row = t.column("row").to_numpy() if "row" in t.column_names else np.zeros_like(doc)
-        own = np.append(True, np.any([x[1:] != x[:-1] for x in (h, doc, row, pos)], axis=0))
-        t = t.filter(pa.array(own))
-        h, doc, row, pos = (x[own] for x in (h, doc, row, pos))
-        left, right = t.column("l").to_pylist(), t.column("r").to_pylist()
-        if not whole:
-            yield from _windows(doc, row, pos, left, right)
-            continue
-        run = bounds([h])
-        keep = np.repeat(np.diff(run) > 1, np.diff(run))
-        if not keep.any():
-            continue
-        at = np.flatnonzero(keep)
+        keys = [t.column(k).to_numpy() for k in (0, 3, 4, 5)]
+        held.append(t.filter(pa.array(np.append(True, np.any([x[1:] != x[:-1] for x in keys], axis=0)))))
+        if whole:
+            yield from _sorted_ranges(held)
+            held = []
+        elif len(held) > 1 and held[-2].column(0)[-1] != held[-1].column(0)[0]:
+            yield from _sorted_ranges(held[:-1])
+            held = held[-1:]
+    if held:
+        yield from _sorted_ranges(held)
+
+
+def _sorted_ranges(parts: list[pa.Table]):
+    t = pa.concat_tables(parts).combine_chunks()
+    h, lo, hi, doc, row, pos = (t.column(k).to_numpy() for k in range(6))
+    own = np.append(True, np.any([x[1:] != x[:-1] for x in (h, doc, row, pos)], axis=0))  # across parts
+    run = bounds([h[own]])
+    at = np.flatnonzero(own)[np.repeat(np.diff(run) > 1, np.diff(run))]
+    if len(at):
         group = np.cumsum(np.append(0, h[at][1:] != h[at][:-1]))
-        most, least = repeated(group, [left[i] for i in at], [right[i] for i in at])
+        t = t.take(pa.array(at))
+        most, least = repeated(group, t.column(6).to_pylist(), t.column(7).to_pylist(), lo[at], hi[at])
         hit = most >= 0
-        yield _found(doc[at][hit], row[at][hit], (pos[at] - most)[hit], (pos[at] - least + WINDOW)[hit])
+        cols = (doc[at][hit], row[at][hit], (pos[at] - most)[hit], (pos[at] - least + WINDOW)[hit])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "row", "a", "b"])
+
+
+def _settled(contexts: DataFrame) -> DataFrame:
+    return contexts.repartition("h").sortWithinPartitions("h", "doc_id", "row", "pos").mapInArrow(_sort, _FOUND)
+
+
+def _overlong(contexts: DataFrame) -> list[DataFrame]:
+    """Covered ranges of grams with more than GROUP_ROWS contexts, by parting their groups. Rounds follow
+    the logarithm of REACH."""
+    out, wide = [], materialize(contexts.mapInArrow(_part, _CONTEXTS), "parted")
+    while True:
+        counts = materialize(wide.groupBy("h").agg(F.count_distinct("doc_id", "row", "pos").alias("n")).filter("n > 1"), "parted_counts")
+        out.append(materialize(_settled(wide.join(counts.filter(F.col("n") <= GROUP_ROWS).select("h"), "h", "left_semi").select(*contexts.columns)), "ranges"))
+        large = wide.join(counts.filter(F.col("n") > GROUP_ROWS).select("h"), "h", "left_semi").select(*contexts.columns)
+        # at one single place a window is what it is: the first of the equal ones stays
+        window = F.substring(F.concat("l", "r"), F.length("l") - F.col("lo").cast("int") + 1, F.lit(WINDOW))
+        lone = materialize(large.filter("lo = hi").select(window.alias("win"), "doc_id", "row", (F.col("pos") - F.col("lo")).alias("a")), "windows")
+        first = materialize(lone.groupBy("win").agg(F.min(F.struct("doc_id", "row", "a")).alias("first")), "firsts")
+        out.append(lone.join(first, "win").filter(F.struct("doc_id", "row", "a") != F.col("first")).select("doc_id", "row", "a", (F.col("a") + WINDOW).alias("b")))
+        again = materialize(large.filter("lo < hi").mapInArrow(_part, _CONTEXTS), "parted")
+        release(wide)
+        if again.isEmpty():
+            return out
+        wide = again
 
 
 def _remove(batches):
@@ -347,16 +395,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     tuned(docs.sparkSession)
     given = keyed_texts(docs)
     marked = given.mapInArrow(_emit, "h long, c long, doc_id long, row long, pos long")
-    marked = marked.repartition("h").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
+    marked = marked.repartition("h", "c").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
     copies = materialize(marked.mapInArrow(_copies, "doc_id long, row long, a long, b long, h long"), "copies")
-    firsts = copies.filter("h is not null").groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "h")).alias("s"))
-    fetched = given.join(firsts, ["doc_id", "row"]).select("doc_id", "row", "text", F.col("s.a").alias("at"), F.col("s.h").alias("grams"))
-    fetched = fetched.mapInArrow(_contexts, "h long, doc_id long, row long, pos long, l binary, r binary")
-    found = materialize(fetched.repartition("h").sortWithinPartitions("h", "doc_id", "row", "pos").mapInArrow(_sort, _FOUND), "ranges")
-    windows = found.filter("win is not null").select("win", "doc_id", "row", "a")
-    first = windows.groupBy("win").agg(F.min(F.struct("doc_id", "row", "a")).alias("first"))
-    late = windows.join(first, "win").filter(F.struct("doc_id", "row", "a") != F.col("first")).select("doc_id", "row", "a", (F.col("a") + WINDOW).alias("b"))
-    ranges = copies.filter("h is null").select("doc_id", "row", "a", "b").union(found.filter("win is null").select("doc_id", "row", "a", "b")).union(late)
+    firsts = copies.filter("h is not null").select("h", "doc_id", "row", "a")
+    several = materialize(firsts.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "grams")  # of its own, so that the joins may split a frequent gram's rows
+
+    def fetched(grams: DataFrame) -> DataFrame:
+        by_text = firsts.join(grams.select("h"), "h").groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "h")).alias("s"))
+        return given.join(by_text, ["doc_id", "row"]).select("doc_id", "row", "text", F.col("s.a").alias("at"), F.col("s.h").alias("grams")).mapInArrow(_contexts, _CONTEXTS)
+
+    found = materialize(_settled(fetched(several.filter(F.col("n") <= GROUP_ROWS))), "ranges")
+    ranges = copies.filter("h is null").select("doc_id", "row", "a", "b").union(found)
+    large = several.filter(F.col("n") > GROUP_ROWS)
+    if not large.isEmpty():
+        for more in _overlong(fetched(large)):
+            ranges = ranges.union(more)
     each = ranges.groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", "row", F.col("s.a").alias("starts"), F.col("s.b").alias("stops"))
     out = given.join(each, ["doc_id", "row"], "left").select("doc_id", "text", "starts", "stops").mapInArrow(_remove, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
     return out.select(unkey("doc_id"), "n_bytes", "spans", "kept")

@@ -359,36 +359,23 @@ def test_anchors_do_not_depend_on_segments(segment, monkeypatch):
         assert (n < 100) == (len(whole[0]) == 0) and all(any(j <= p <= j + 68 for p in whole[0]) for j in range(n - 99))
 
 
-def test_overlong_groups_are_dealt_by_window(monkeypatch):
-    """The same covered bytes whether a gram's contexts are sorted in one task or dealt by window."""
+@pytest.mark.parametrize("most", [1, 5, 32_768])
+def test_groups_of_any_size_give_the_same_ranges(spark, most, monkeypatch):
+    """The same bytes whether a gram's contexts are sorted at once or parted by further symbols first."""
     rng = random.Random(9)
-    gram = "".join(rng.choices("abc", k=32))
-    parts = [gram.join("".join(rng.choices("ab", k=80)) for _ in range(2)) for _ in range(6)]
-    rows = [(k, (parts[k % 6][: rng.randint(100, 192)]).encode()) for k in range(60)]
-    import pyarrow as pa
-
-    ctx = []
-    for doc, data in rows:
-        at, h, _ = suffix_dedup.anchors(data)
-        ctx += [(int(x), doc, int(p), data[max(0, p - 68) : p], data[p : p + 100]) for p, x in zip(at, h, strict=True)]
-    ctx.sort(key=lambda r: r[:3])
-    batches = pa.table([pa.array(c, t) for c, t in zip(zip(*ctx, strict=True), [pa.int64()] * 3 + [pa.binary()] * 2, strict=True)], names=["h", "doc_id", "pos", "l", "r"]).to_batches(max_chunksize=7)
-
-    def covered():
-        out, windows = set(), {}
-        for b in suffix_dedup._sort(iter(batches)):
-            for r in b.to_pylist():
-                if r["win"] is None:
-                    out |= {(r["doc_id"], p) for p in range(r["a"], r["b"])}
-                else:
-                    windows.setdefault(r["win"], []).append((r["doc_id"], r["a"]))
-        for at in windows.values():
-            out |= {(d, q) for d, p in at if (d, p) != min(at) for q in range(p, p + 100)}
-        return out
-
-    whole = covered()
-    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 5)
-    assert whole and covered() == whole
+    gram = "".join(rng.choices("abc", k=40))
+    sides = ["".join(rng.choices("ab", k=80)) for _ in range(5)]
+    rows = [(k, (rng.choice(sides) + gram + rng.choice(sides))[rng.randint(0, 70) : rng.randint(120, 200)]) for k in range(120)]
+    rows += [(500, rows[3][1]), (500, rows[3][1]), (501, "x" * 700 + gram + sides[0])]
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", most)
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == slow_repeats(list(dict.fromkeys(rows)))
+
+
+def test_suffix_dedup_keeps_what_rows_of_one_id_hold_alone(spark):
+    r = "0123456789" * 10 + "qwertyuiop" * 6
+    rows = [(1, "A" * 150 + r), (1, r + "B" * 150)]
+    got = sorted(bytes(x.kept).decode() for x in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sum(t.count("q" * 1) for t in got) == 6 and sum("0123456789" * 10 + "qwertyuiop" * 6 in t for t in got) == 1
 
 
 @pytest.mark.parametrize("seed", range(20))
