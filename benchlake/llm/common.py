@@ -11,13 +11,13 @@ Null, empty and repeated input, in every operator of this package:
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchlake.session import materialize, release, scratch_dir
+
+__all__ = ["BATCH_BYTES", "NULL_ID", "key", "keyed_texts", "materialize", "release", "scratch_dir", "table", "texts", "tuned", "unkey"]
+
 NULL_ID = -(2**63) + 1
 #: Bytes of one Arrow batch handed to Python: bounds a worker's memory where texts are long.
 BATCH_BYTES = 8 << 20
@@ -33,39 +33,6 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_OWN: dict[str, str] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir. Where it is unset, the warehouse,
-    which executors share as well; a temporary folder only if driver and executors are one process."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
-        _OWN[app] = f"file://{tempfile.mkdtemp(prefix='benchlake-')}" if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return _OWN[app]
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{scratch_dir(df.sparkSession)}/benchlake/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
-    return out
-
-
-def release(*tables: DataFrame) -> None:
-    """Delete tables of ``materialize`` that nothing reads any more."""
-    for t in tables:
-        spark = t.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def key(column: str) -> Column:
     """A key column as a long that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID)).alias(column)
