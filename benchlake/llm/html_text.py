@@ -7,6 +7,9 @@ Neighbours in page order and blocks under one parent are joined by smoothness ed
 falls with their distance in the DOM tree. The minimum cut is the labelling with the least total
 cost; what stays on the source's side is the main text.
 
+Fallback text of media, drawings and formulas is text of the block they stand in. Work on a page is
+linear in its length but for the cut, whose graph has a node and about two edges for each block.
+
 Defined cases: null or empty html gives an empty text of 0 characters; unclosed and stray tags follow
 the usual implied-end rules; an unfinished tag at the end of a page is markup; a page without any
 block on the source's side gives an empty text.
@@ -27,22 +30,29 @@ from benchlake.llm.common import key, tuned, unkey
 # Element names of the HTML standard.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe textarea title svg math canvas object audio video".split())
+RAW_TAGS = frozenset("script style noscript template iframe textarea title".split())
+#: Elements that drawings and media hold beside text: their text is none of the page's.
+INNER_RAW = frozenset("metadata desc".split())
 # Words in class, id and role that name page furniture, and those that name content.
 FURNITURE = frozenset("ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments consent contentinfo cookie cookies copyright disclaimer disqus donate dropdown feedback flash footer form gdpr header hero login masthead menu menubar message meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup privacy promo promoted promotion rail recommended register related replies reply respond search share sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe tags teaser toolbar topbar trending warning widget widgets".split())
 HEADING = frozenset("header hero byline".split())
+#: Of these, words that name parts of articles as well: inside one they only count a little.
+AMBIGUOUS = frozenset("feedback flash message meta rail respond response tags warning widget widgets".split())
 CONTENT = frozenset("article body content entry main maincontent post prose story text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_CLOSES = {t: re.compile(rf"</{t}(?![a-z0-9-])[^>]*>?", re.I) for t in (*RAW_TAGS, *INNER_RAW)}
 _WORDS = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?;:。！？]")
 
 # Weights of the classifier (log-odds of content).
 TAG_WEIGHTS = {"article": 3.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "header": -6.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "search": -9.0, "button": -9.0, "select": -9.0, "label": -6.0, "fieldset": -9.0, "head": -20.0, "table": -0.3, "ul": -0.3, "ol": -0.3}
 OWN_WEIGHTS = {"p": 1.0, "h1": 1.5, "h2": 0.8, "h3": 0.6, "h4": 0.4, "h5": 0.3, "h6": 0.3, "blockquote": 0.8, "pre": 0.8, "li": -0.2, "td": 0.1, "div": -0.5, "body": -1.0}
-FURNITURE_WEIGHT, CONTENT_WEIGHT, HIDDEN_WEIGHT, LINK_WEIGHT = -9.0, 1.5, -20.0, -4.0
+FURNITURE_WEIGHT, AMBIGUOUS_WEIGHT, CONTENT_WEIGHT, HIDDEN_WEIGHT, LINK_WEIGHT = -9.0, -1.5, 1.5, -20.0, -4.0
 ADJACENT, SIBLINGS = 0.8, 0.4
+#: From so many steps in the DOM tree on, the capacity between neighbours falls no further.
+FAR = 40
 _UNIT = 1000  # capacities are whole thousandths
 
 
@@ -65,8 +75,9 @@ class Node:
                 words = set(_WORDS.findall(value))
                 if around or words & CONTENT:
                     words -= HEADING  # of the article, not of the site
-                if words & FURNITURE and tag not in ("html", "body", "article", "main"):
-                    own = min(own, FURNITURE_WEIGHT)
+                named = words & FURNITURE
+                if named and tag not in ("html", "body", "article", "main"):
+                    own = min(own, AMBIGUOUS_WEIGHT if self.inside and named <= AMBIGUOUS else FURNITURE_WEIGHT)
                 good = good or bool(words & CONTENT)
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 own = HIDDEN_WEIGHT
@@ -86,6 +97,7 @@ def blocks(page: str) -> list[Block]:
     """Blocks in page order, with decoded, single-spaced text; blocks without text are left out."""
     out: list[Block] = []
     stack = [Node("html", None, "")]
+    places: dict[str, list[int]] = {}  # tag -> where it stands in the stack, so that no close scans the stack
     parts: list[str] = []
     linked, anchor = 0, False
 
@@ -101,14 +113,14 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    def pop(tag: str, stops: tuple[str, ...] = ()) -> bool:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == tag:
-                del stack[k:]
-                return True
-            if stack[k].tag in stops:
-                return False
-        return False
+    def pop(tag: str, stops: tuple[str, ...] = ()) -> None:
+        """Close the last open element of this tag, and what is open inside it, unless a stop is between."""
+        own = places.get(tag)
+        if own and all(not places.get(t) or places[t][-1] < own[-1] for t in stops):
+            k = own[-1]
+            for node in stack[k:]:
+                places[node.tag].pop()
+            del stack[k:]
 
     def text(s: str) -> None:
         nonlocal linked
@@ -136,9 +148,9 @@ def blocks(page: str) -> list[Block]:
             if tag not in ("html", "body"):
                 pop(tag)
             continue
-        if tag in RAW_TAGS:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            if not m[3].endswith("/") or tag in ("script", "style", "title", "textarea"):
+        if tag in RAW_TAGS or tag in INNER_RAW:
+            if not m[3].endswith("/") or tag in ("script", "style", "textarea"):
+                close = _CLOSES[tag].search(page, at)
                 at = close.end() if close else n
             continue
         if tag == "br":
@@ -160,7 +172,8 @@ def blocks(page: str) -> list[Block]:
                 pop("p", ("table", "td", "th", "li", "button", "article", "section", "aside", "nav", "div", "form", "blockquote"))
         if tag == "a":
             anchor = True
-        if tag not in VOID_TAGS and not (tag == "html"):
+        if tag not in VOID_TAGS and tag != "html" and not (m[3].endswith("/") and tag not in BLOCK_TAGS):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(Node(tag, stack[-1], m[3]))
     end()
     return out
@@ -177,9 +190,9 @@ def log_odds(block: Block) -> float:
 
 
 def _distance(a: Node, b: Node) -> int:
-    """Steps between two elements in the DOM tree."""
+    """Steps between two elements in the DOM tree, FAR at most."""
     d = 0
-    while a is not b:
+    while a is not b and d < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:

@@ -1,6 +1,7 @@
 """URL filter, HTML extraction, embedding near-dedup and the pipeline against brute force."""
 
 import random
+import time
 import re
 
 import duckdb
@@ -75,6 +76,42 @@ def test_min_cut_equals_brute_force():
         assert abs(cost(html_text.min_cut(terminal, smooth)) - best) < 1e-9
 
 
+def slow_text(page):
+    """The text of the cheapest labelling, by trying all of them; of several the one that keeps least, as a
+    cut next to the source does."""
+    bs = html_text.blocks(page)
+    terminal, smooth = [round(1000 * html_text.log_odds(b)) for b in bs], [(a, b, round(1000 * c)) for a, b, c in html_text.edges(bs)]
+    cost = lambda keep: sum(max(0, t) if not k else max(0, -t) for t, k in zip(terminal, keep, strict=True)) + sum(c for a, b, c in smooth if keep[a] != keep[b])
+    keep = min(([bool(m >> k & 1) for k in range(len(bs))] for m in range(1 << len(bs))), key=lambda x: (cost(x), sum(x)))
+    return "\n\n".join(b.text for b, k in zip(bs, keep, strict=True) if k)
+
+
+def test_query_equals_all_labellings(spark):
+    rng = random.Random(21)
+    words = "one two three four five six. seven eight nine ten, eleven".split()
+    piece = lambda: f"<{rng.choice(['p', 'div', 'li', 'h2', 'td', 'p class=message', 'div class=promo', 'p class=story'])}>{' '.join(rng.choices(words, k=rng.randint(0, 40)))}"
+    wrap = lambda x: rng.choice(["{}", "<article>{}</article>", "<nav>{}</nav>", "<div class=content>{}</div>", "<section>{}<a href=x>a link of some words</a></section>"]).format(x)
+    rows = [(k, "u", "".join(wrap("".join(piece() for _ in range(rng.randint(1, 4)))) for _ in range(rng.randint(0, 3)))) for k in range(150)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {k: slow_text(h) if len(html_text.blocks(h)) <= 11 else None for k, _, h in rows}
+    assert sum(w is not None for w in want.values()) > 120 and all(got[k] == w for k, w in want.items() if w is not None)
+
+
+def test_formulas_and_ambiguous_words_inside_an_article():
+    page = "<article><p>The value <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <svg><desc>a dot</desc><text>here</text></svg>.</p><object>Fallback of the object, a whole sentence.</object><div class='message'><p>A paragraph of the story in a box of its own.</p></div><div class='message comments'><p>A reader's words, long enough to look like content.</p></div></article><div class='message'>Not of the story.</div>"
+    assert html_text.main_text(page) == "The value x=2 holds here.\n\nFallback of the object, a whole sentence.\n\nA paragraph of the story in a box of its own."
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<article><p>" + "<svg/>x " * 40_000 + "</article>", "<article>" + "<b>" * 20_000 + "</i></u>" * 20_000 + "text</article>", "<article>" + "<div>a" * 20_000, "<ul><li>" + "<b>" * 20_000 + "<li>x" * 20_000, "<iframe/>" * 50_000, "<a \"" * 50_000, "<article>" + "<p>Some sentence of prose.</p>" * 30_000, "<td>x" * 50_000],
+)
+def test_long_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 8
+
+
 def test_extract_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "x"), (2, None, "<p>Some text here that reads well.</p>", "x"), (None, "v", "", "x")], "page_id long, url string, html string, text string")
     got = [(r.page_id, r.url, r.n_chars, len(r.text)) for r in html_text.extract(df).collect()]
