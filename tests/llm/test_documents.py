@@ -4,6 +4,7 @@ tables, extra columns with clashing names."""
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -412,6 +413,61 @@ def test_toxicity_learns_and_generalises(spark):
     assert 0 < len(w) < 200  # L1 leaves few
 
 
+def slow_ftrl(rows, bits, epochs):
+    """FTRL-proximal by the book: one coordinate after the other, in plain Python."""
+    z, n, top = {}, {}, 1 << bits
+
+    def weight(i):
+        l1 = 0.0 if i == top else toxicity.L1
+        v = z.get(i, 0.0)
+        return 0.0 if abs(v) <= l1 else -(v - (l1 if v > 0 else -l1)) / ((toxicity.BETA + n.get(i, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for epoch in range(epochs):
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            x, y = rows[k]
+            w = {i: weight(i) for i in x}
+            g = 1 / (1 + np.exp(-max(-35.0, min(35.0, sum(w.values()))))) - y
+            for i in x:
+                old = n.get(i, 0.0)
+                sigma = ((old + g * g) ** 0.5 - old**0.5) / toxicity.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = old + g * g
+    return {i: w for i in z if (w := weight(i))}
+
+
+def slow_features(text, bits):
+    words = ["".join(g) for g in re.findall(r"[^\W_]+", text.lower())]
+    h = [xxhash.xxh64_intdigest(w.encode()) for w in words]
+    m = 2**64 - 1
+    out = list(h)
+    for gap in (1, 2):
+        out += [(h[k] * int(toxicity._A) & m) ^ ((h[k + gap] + gap & m) * int(toxicity._B) & m) for k in range(len(h) - gap)]
+    return {((v ^ v >> 29) * int(toxicity._C) & m) >> 64 - bits for v in out}
+
+
+def test_toxicity_query_equals_plain_ftrl(spark, monkeypatch):
+    """Weights and scores of the whole operator against plain Python, on a few hundred rows."""
+    rng = random.Random(13)
+    rows = []
+    for k in range(260):
+        words = [rng.choice(WORDS) for _ in range(rng.randint(0, 25))]
+        bad = rng.random() < 0.4
+        rows.append((k, " ".join([*words, *(["scum", "You"] if bad else [])]), int(bad)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, 1, y) for k, _, y in rows], "doc_id long, quality int, toxic int")
+    bits = toxicity.BITS
+    learnt = [(k, t, y) for k, t, y in rows if zlib.crc32(str(k).encode()) % 5]
+    order = {r.k: r.o for r in spark.createDataFrame([(k,) for k, _, _ in learnt], "k long").select("k", F.xxhash64("k").alias("o")).collect()}
+    learnt.sort(key=lambda r: order[r[0]])
+    want = slow_ftrl([(sorted(slow_features(t, bits) | {1 << bits}), y) for _, t, y in learnt], bits, toxicity.EPOCHS)
+    got = toxicity.train(docs, labels)
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    scores = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    for k, t, _ in rows:
+        s = sum(want.get(i, 0.0) for i in slow_features(t, bits)) + want[1 << bits]
+        assert abs(scores[k].score - 1 / (1 + np.exp(-s))) < 1e-5 and scores[k].predicted == (scores[k].score >= 0.5)
+
+
 def test_toxicity_ignores_held_out_labels_and_survives_their_lack(spark):
     docs = spark.createDataFrame([(k, f"word{k} scum") for k in range(50)], "doc_id long, text string")
     held = [k for k in range(50) if zlib.crc32(str(k).encode()) % 5 == 0]
