@@ -15,14 +15,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchlake.functions import labels
 from benchlake.functions.records import CompareOptions
-from benchlake.operators import concordance
-from benchlake.plans import arena, gates, perf, release
+from benchlake.operators import concordance, sets
+from benchlake.plans import arena, gates, perf, release, schedule, verdict
 from benchlake.plans.collect import collect
 from benchlake.session import session
-from benchlake.sinks.render import md, publish
+from benchlake.sinks.render import md, publish, rerender, rewrite
 from benchlake.sinks.store import Store
-from benchlake.sources import alignments, dimensions
+from benchlake.sources import alignments, artifacts, dimensions
 
 
 def _ladder(spark: SparkSession, labels: str) -> DataFrame:
@@ -50,40 +51,26 @@ def parser() -> argparse.ArgumentParser:
         add(name, "sha", ladder="")
     add("report", "sha", baseline="")
     add("compare", "sha", kind="vs-baseline", registry="")
-    add("regression", "sha", "prev", registry="", golden="")
+    add("regression", "sha", "prev", registry="", golden="", samples="")
+    add("bless-release", "sha", "golden", ledger="", ladder="", strict="")
+    add("bless-golden", "sha", reps="3")
+    add("full-report", "sha", baseline="", ladder="")
+    add("results-render", "root")
+    add("readme-tables", "sha", "readme", ladder="", rounds="5", before="", out="")
+    add("jobs", "listing", since="")
     add("trend", last="20")
     add("docs", "releases")
     add("speedup", "sha", "baseline", third="")
     add("release-speedup", "sha", "arch", baseline_label="baseline", ladder="")
     add("results", "sha", "version", "out", ledger="", ladder="", force="")
     for name in ("compare-records", "tag-census"):
-        add(name, "query", "baseline", ignore_tags="", expect_tags="", absent_ok_tags="", mapq_tolerance="0", confident_mapq="20", relocation_bp="10")
+        add(name, "query", "baseline", ignore_tags="", expect_tags="", absent_ok_tags="", mapq_tolerance="0", confident_mapq="20", relocation_bp="10", out="", label="", no_tag_guard="")
     return p
 
 
 def _options(a: argparse.Namespace) -> CompareOptions:
     tags = lambda s: frozenset(t for t in s.split(",") if t)
-    return CompareOptions(tags(a.ignore_tags), tags(a.expect_tags), tags(a.absent_ok_tags), int(a.mapq_tolerance), int(a.confident_mapq), int(a.relocation_bp))
-
-
-def regression_gates(store: Store, sha: str, prev: str, registry: DataFrame, golden: str) -> dict[str, DataFrame]:
-    """Every gate's failing rows."""
-    trials, comparisons, accuracy = store.read("trials"), store.read("comparisons"), store.read("accuracy")
-    new, old = perf.run_trials(trials, sha), perf.run_trials(trials, prev)
-    side = lambda s, t: gates.graded(accuracy.filter(accuracy.run_sha == s), t)
-    compared = release.compared(trials, comparisons, sha, "vs-golden")
-    a, b = side(sha, new), side(prev, old)
-    expected = new.select("sample", "arch", "rep").join(perf.run_trials(trials, golden or prev).select("sample", "arch").distinct(), ["sample", "arch"], "left_semi")
-    graded = new.join(a.select("sample", "arch").distinct(), ["sample", "arch"], "left_semi")
-    return {
-        "1 drift": gates.budget_failures(gates.budget_gate(gates.drift(new, comparisons), registry)),
-        "1b grades": gates.grade_gate(a, b).filter(F.col("verdict").isin(*gates.FAILING_GRADES)),
-        "1b grades missing": gates.grade_missing(graded, a, old, b),
-        "2 concordance": gates.golden_failures(compared),
-        "2 concordance missing": gates.golden_missing(expected, compared),
-        "3 scaling": gates.scaling_gate(store.read("scaling"), sha, prev).filter("verdict = 'REGRESSION'"),
-        "performance": perf.perf_cells(new, old).filter("verdict = 'REGRESSION'"),
-    }
+    return CompareOptions(tags(a.ignore_tags), tags(a.expect_tags), tags(a.absent_ok_tags), int(a.mapq_tolerance), int(a.confident_mapq), int(a.relocation_bp), tag_guard=not a.no_tag_guard)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -95,9 +82,20 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if a.command == "tag-census":
             say(concordance.census(concordance.primary_pairs(concordance.lockstep(q, b)), opts))
             return 0
-        report = concordance.compare(q, b, opts).toJSON().first()
-        print(report)
-        return 3 if json.loads(report).get("violations") else 0
+        report = json.loads(concordance.compare(q, b, opts).toJSON().first()) | ({"label": a.label} if a.label else {})
+        text = json.dumps(report, sort_keys=True)
+        if a.out:  # before the guard's exit
+            Path(a.out).write_text(text + "\n")
+        print(text)
+        return 3 if report.get("violations") else 0
+    if a.command == "results-render":
+        print("\n".join(map(str, rerender(Path(a.root)))))
+        return 0
+    if a.command == "jobs":
+        listed = schedule.recent_jobs(artifacts.job_listing(spark, a.listing), int(a.since) if a.since else None)
+        shown = sets.retry_states(listed, ["name"], "status", "created_at")
+        say(schedule.job_counts(shown.select(labels.job_command(F.col("name")).alias("command"), F.col("display").alias("state"))).orderBy("command", "state"))
+        return 0
     store = Store(spark, a.store)
     trials, comparisons = store.read("trials"), store.read("comparisons")
     if a.command == "collect":
@@ -114,9 +112,35 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             say(release.drift_against_registry(rows, dimensions.registry(spark, Path(a.registry).read_text())))
     elif a.command == "regression":
         registry = dimensions.registry(spark, Path(a.registry).read_text() if a.registry else "")
-        row = gates.regression(regression_gates(store, a.sha, a.prev, registry, a.golden)).first()
+        declared = dimensions.samples(spark, Path(a.samples).read_text()) if a.samples else None
+        rows = verdict.failures(trials, comparisons, store.read("accuracy"), store.read("scaling"), registry, a.sha, a.prev, a.golden, declared)
+        row = gates.regression(rows).first()
         print(json.dumps(dict(row.failures), indent=1))
         return 0 if row.ok else 1
+    elif a.command == "bless-release":
+        ledger = dimensions.ledger(spark, Path(a.ledger).read_text())
+        rungs = spark.createDataFrame([(s, k) for k, s in enumerate(a.ladder.split(",")) if s], "sha string, rank long")
+        cells = lambda kind: release.compared(trials, comparisons, a.golden, kind).select("sample", "arch")
+        checks = release.preflight(rungs, ledger, perf.run_trials(trials, a.golden), perf.run_trials(trials, a.golden).join(cells("vs-golden").distinct(), ["sample", "arch"], "left_semi"), a.sha, a.golden)
+        say(checks)
+        return 1 if a.strict and checks.filter("not ok").count() else 0
+    elif a.command == "bless-golden":
+        cells = schedule.promotion(perf.run_trials(trials, a.sha), int(a.reps))
+        say(cells.orderBy("sample", "arch"))
+        return 1 if cells.filter("problem is not null").count() else 0
+    elif a.command == "full-report":
+        own = arena.arena_rows(store.read("arena"), a.sha)
+        for f in (perf.summary(trials, comparisons, a.sha), perf.metric_table(trials, a.sha, a.baseline or None), release.accuracy_headline(store.read("accuracy"), a.sha), gates.efficiencies(store.read("scaling"), a.sha), arena.arena_table(own, _ladder(spark, a.ladder))):
+            say(f)
+    elif a.command == "readme-tables":
+        walls = release.host_walls(arena.arena_rows(store.read("arena"), a.sha), int(a.rounds))
+        bad = walls.filter("problem is not null").select(F.concat_ws(" ", "arch", "label", "mode", "problem").alias("check"))
+        if a.before:
+            old = release.host_walls(arena.arena_rows(store.read("arena"), a.before), int(a.rounds))
+            keyed = lambda f: f.select(F.concat_ws("/", "arch", "label", "mode").alias("k"), "wall_s")
+            bad = bad.union(sets.lost(keyed(old), keyed(walls), "k", ["wall_s"]).select(F.concat_ws(" ", "k", "problem")))
+        table = md(walls.select("arch", "label", "mode", "wall_s", "n").orderBy("arch", "label", "mode"), "{:.2f}")
+        rewrite(Path(a.readme), {"walls": table}, bad.withColumn("ok", F.lit(False)), Path(a.out) if a.out else None)
     elif a.command == "trend":
         say(perf.trend(trials, store.read("runs"), comparisons, int(a.last)))
     elif a.command == "docs":

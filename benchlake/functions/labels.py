@@ -56,3 +56,24 @@ def job_command(name: Column) -> Column:
 
 def index_budget_bytes(reference_bases: Column, bytes_per_base: float, reserve: int) -> Column:
     return (reference_bases * bytes_per_base).cast("long") + reserve
+
+
+def dense_index(label: Column, rank: Column, least: Column, candidate: str = "candidate", enabled: bool = True) -> Column:
+    """Whether an arm reads the dense index: the candidate, and releases after a least one by rank, not by
+    their label. Arms that are no release (a null rank) never do, and none does if it is switched off."""
+    return F.lit(enabled) & ((base_label(label) == candidate) | F.coalesce(rank > least, F.lit(False)))
+
+
+def base_label(label: Column) -> Column:
+    """The release of an arm: without its fast mode and its writer control."""
+    return F.regexp_replace(F.regexp_replace(label, "-sam$", ""), "-fast$", "")
+
+
+def output_writer(label: Column, native: Column) -> Column:
+    """What writes an arm's output: the tool itself, or a pipe for text-only tools and writer controls."""
+    return F.when(native & ~label.endswith("-sam"), "native").otherwise("sam")
+
+
+def graded(truth: Column, meth: Column) -> Column:
+    """Whether a sample's grades gate a release: it has a simulated truth and a methylation mode."""
+    return F.coalesce(truth & meth, F.lit(False))

@@ -53,8 +53,9 @@ def islands(rows: DataFrame, value: str, order: str, partition: Iterable[str]) -
 
 def retry_states(jobs: DataFrame, identity: list[str], state: str, created: str) -> DataFrame:
     """Adds ``display``: a failed job with a later one of the same identity was retried."""
-    last = F.max(created).over(Window.partitionBy(*identity))
-    return jobs.withColumn("display", F.when((F.col(state) == "FAILED") & (F.col(created) < last), "RETRIED").otherwise(F.col(state)))
+    last = jobs.groupBy(*identity).agg(F.max(created).alias("_last"))  # an aggregate joined back: no task holds an identity's jobs
+    late = F.coalesce(F.col(created) < F.col("_last"), F.lit(False))
+    return jobs.join(last, identity, "left").withColumn("display", F.when((F.col(state) == "FAILED") & late, "RETRIED").otherwise(F.col(state))).select(*jobs.columns, "display")
 
 
 def version_key(version: Column) -> Column:
@@ -72,4 +73,31 @@ def every_nth(lines: DataFrame, n: int, record: int = 4, trim: int = 0) -> DataF
     front of its sequence and quality lines."""
     rec, line = F.floor(F.col("idx") / record), F.col("idx") % record
     cut = F.when(line.isin(1, 3), F.substring("value", trim + 1, 2**31 - 1)).otherwise(F.col("value"))
-    return lines.filter(rec % n == 0).select("idx", cut.alias("value"))
+    return lines.filter(rec % n == 0).withColumn("value", cut)
+
+
+def first_of_each(rows: DataFrame, key: list[str], order: str) -> DataFrame:
+    """One row for each key, the earliest by order, in that order: duplicates go, places stay."""
+    rest = [c for c in rows.columns if c not in key]
+    return rows.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("r")).select(*key, *(F.col(f"r.{c}").alias(c) for c in rest)).orderBy(order)
+
+
+def lost(old: DataFrame, new: DataFrame, key: str, facts: list[str]) -> DataFrame:
+    """(key, problem): keys that old has and new lacks, and facts that were known of a key and no longer are."""
+    now = new.select(F.col(key).alias("_k"), *(F.col(f).alias(f"_{f}") for f in facts)).withColumn("_there", F.lit(True))
+    gone = F.when(F.col("_there").isNull(), F.array(F.lit("missing"))).otherwise(F.array_compact(F.array(*(F.when(F.col(f).isNotNull() & F.col(f"_{f}").isNull(), f"no {f}") for f in facts))))
+    return old.join(now, F.col(key) == F.col("_k"), "left").select(key, F.explode(gone).alias("problem")).orderBy(key, "problem")
+
+
+def fastq_problems(lines: DataFrame) -> DataFrame:
+    """(rec, problem) of four-line records (columns idx, value): a header without @, a third line without +,
+    sequence and quality of different length, a record that is cut off."""
+    rec = lines.groupBy(F.floor(F.col("idx") / 4).alias("rec")).agg(*(F.max(F.when(F.col("idx") % 4 == k, F.col("value"))).alias(f"l{k}") for k in range(4)))
+    problem = F.when(F.col("l3").isNull(), "cut off").when(~F.col("l0").startswith("@"), "no header").when(~F.col("l2").startswith("+"), "no separator").when(F.length("l1") != F.length("l3"), "lengths differ")
+    return rec.select("rec", problem.alias("problem")).filter("problem is not null")
+
+
+def lowest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The whole row of each key that is lowest by order: its columns are never mixed with another row's."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, *(F.col(f"r.{c}").alias(c) for c in rest))

@@ -143,3 +143,33 @@ def first_usable(accuracy: DataFrame) -> DataFrame:
     """The lowest replicate with a usable payload in each cell and tool."""
     w = Window.partitionBy("sample", "arch", "tool").orderBy("rep")
     return accuracy.filter("by_class_json is not null").withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+
+
+PROBE_CELL = ("run_sha", "sample", "arch")
+
+
+def ladder_probes(scaling: DataFrame, probes: DataFrame) -> DataFrame:
+    """A ladder's rungs with its own job's readings: by run, sample and arch. The host would not do as the
+    key, as one host may run several ladders."""
+    own = probes.filter("rep = 0").select(*PROBE_CELL, "phase", "m_accesses_per_sec", "ns_per_access")
+    return scaling.join(own, list(PROBE_CELL)).select(*PROBE_CELL, "threads", F.col("rep").alias("rung_rep"), "phase", "m_accesses_per_sec", "ns_per_access", "wall_seconds")
+
+
+def host_neighbours(scaling: DataFrame, probes: DataFrame) -> DataFrame:
+    """What other cells measured on a ladder's host: by known host, across runs."""
+    known = lambda f: f.filter("instance_id is not null and instance_id not in ('', 'unknown')")
+    ladders = known(scaling).select(*(F.col(c).alias(f"ladder_{c}") for c in PROBE_CELL), "instance_id").distinct()
+    other = ~(F.struct(*(F.col(f"ladder_{c}") for c in PROBE_CELL)).eqNullSafe(F.struct(*(F.col(c) for c in PROBE_CELL))))
+    return ladders.join(known(probes).select(*PROBE_CELL, "rep", "phase", "instance_id", "m_accesses_per_sec"), "instance_id").filter(other)
+
+
+def bars(trials: DataFrame, sha: str, metric: str) -> DataFrame:
+    """What a bar chart of a run shows: a bar for each arch in a facet for each sample."""
+    return run_trials(trials, sha).groupBy(F.col("sample").alias("facet"), F.col("arch").alias("x")).agg(F.avg(metric).alias("y")).orderBy("facet", "x")
+
+
+def lines(trends: DataFrame, runs: DataFrame, metric: str) -> DataFrame:
+    """What a line chart over runs shows: a line for each cell, runs in the order of their submission."""
+    order = Window.orderBy("submitted_at", "run_sha")  # the recent runs: tens of rows
+    place = runs.join(trends.select("run_sha").distinct(), "run_sha", "left_semi").select("run_sha", F.row_number().over(order).alias("x"))
+    return trends.join(place, "run_sha").select(F.concat_ws("/", *CELL).alias("line"), "x", "run_sha", F.col(metric).alias("y")).orderBy("line", "x")

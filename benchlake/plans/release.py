@@ -59,7 +59,9 @@ def release_concordance(trials: DataFrame, comparisons: DataFrame, releases: lis
 
 def comparison_cells(rows: DataFrame) -> DataFrame:
     moved = S.measured(F.get_json_object("placement_json", "$.relocated_pct").cast("double"))
-    return rows.groupBy(*CELL).agg(F.count("*").alias("n"), S.median("concordance_pct").alias("median_pct"), F.min("concordance_pct").alias("min_pct"), S.median(moved).alias("relocated_pct"))
+    own = rows.groupBy(*CELL).agg(F.count("*").alias("n"), S.median("concordance_pct").alias("median_pct"), F.min("concordance_pct").alias("min_pct"), S.median(moved).alias("relocated_pct"))
+    classes = class_medians(rows).groupBy(*CELL).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "pct")))).alias("class_pct"))
+    return own.join(classes, list(CELL), "left")
 
 
 # Tools as the accuracy table names them, in report order.
@@ -117,22 +119,33 @@ def host_walls(rows: DataFrame, expected_rounds: int) -> DataFrame:
     return g.select("arch", "label", "mode", "wall_s", "n", problem.alias("problem"))
 
 
-def preflight(ladder: DataFrame, ledger: DataFrame, run_cells: DataFrame, golden_cells: DataFrame, short_cells: DataFrame, sha: str) -> DataFrame:
-    """(check, failures, ok) before a release is blessed."""
+def index_problems(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """Arms whose recorded index family is not the one their place in the ladder asks for. rows: arch, label,
+    mode, index; expected: label, mode, index."""
+    want = expected.select("label", "mode", F.col("index").alias("_want"))
+    return rows.join(want, ["label", "mode"]).filter(~F.col("index").eqNullSafe(F.col("_want"))).select("arch", "label", "mode", F.format_string("recorded %s, expected %s", F.coalesce("index", F.lit("nothing")), "_want").alias("problem")).distinct()
+
+
+def preflight(ladder: DataFrame, ledger: DataFrame, golden_run_cells: DataFrame, golden_cells: DataFrame, sha: str, golden_sha: str) -> DataFrame:
+    """(check, failures, ok) before a candidate is blessed against a golden release: both names are in order,
+    the candidate is new, the golden is the newest release of ledger and ladder, and its copy is whole."""
+    names = lambda s: F.col("to_sha").startswith(s) | F.lit(s).startswith(F.col("to_sha")) | F.exists("aliases", lambda a: a.startswith(s) | F.lit(s).startswith(a))
     a, b = ladder.select(F.col("sha").alias("k")), ledger.select(F.col("to_sha").alias("k"))
-    known = ledger.filter(F.col("to_sha").startswith(sha) | F.lit(sha).startswith(F.col("to_sha")))
-    newest = ledger.agg(F.max_by("to_sha", "ordinal").alias("k")).join(ladder.agg(F.max_by("sha", "rank").alias("k")), "k", "left_anti")
+    one = ledger.sparkSession.range(1)
+    newest = ledger.agg(F.max_by("to_sha", "ordinal").alias("k")).filter(~F.coalesce(F.col("k").startswith(golden_sha) | F.lit(golden_sha).startswith(F.col("k")), F.lit(False)))
+    last = ledger.agg(F.max_by("to_sha", "ordinal").alias("k")).join(ladder.agg(F.max_by("sha", "rank").alias("k")), "k", "left_anti")
     frames = {
-        "ladder and ledger agree": sets.bijection_problems(a, b, "k"),
-        "ladder ends with the newest release": newest,
-        "release is in the ledger": known.groupBy().agg(F.count("*").alias("n")).filter("n <> 1"),
-        "every cell is golden": gates.missing_cells(run_cells, golden_cells),
-        "every cell has its replicates": short_cells,
+        "candidate is a full commit": one.filter(~F.lit(sha).rlike("^[0-9a-f]{40}$")),
+        "candidate is not blessed": ledger.filter(names(sha)),
+        "golden is a release": ledger.filter(names(golden_sha)).groupBy().agg(F.count("*").alias("n")).filter("n <> 1"),
+        "golden is the newest release": newest,
+        "ladder and ledger agree": sets.bijection_problems(a, b, "k").select("k").union(last),
+        "golden is complete": gates.missing_cells(golden_run_cells, golden_cells),
     }
     out = None
     for name, f in frames.items():
-        one = f.groupBy().agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), "failures", (F.col("failures") == 0).alias("ok"))
-        out = one if out is None else out.union(one)
+        row = f.groupBy().agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), "failures", (F.col("failures") == 0).alias("ok"))
+        out = row if out is None else out.union(row)
     return out
 
 

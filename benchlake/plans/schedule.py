@@ -47,3 +47,24 @@ def promotion(cells: DataFrame, required: int) -> DataFrame:
     """Cells to promote (replicate 1) with what forbids it: too few replicates, or no first one."""
     g = cells.groupBy("sample", "arch").agg(F.count_distinct("rep").alias("reps"), F.bool_or(F.col("rep") == 1).alias("first"))
     return g.withColumn("problem", F.when(~F.col("first"), "no first replicate").when(F.col("reps") < required, "too few replicates"))
+
+
+def recent_jobs(jobs: DataFrame, since: int | None) -> DataFrame:
+    """Jobs created at ``since`` (epoch milliseconds) or later; without it all. A job without a time counts as
+    created at 0."""
+    return jobs if since is None else jobs.filter(F.coalesce("created_at", F.lit(0)) >= since)
+
+
+def serialization_pairs(rows: DataFrame) -> DataFrame:
+    """Per (label, mode): completed measured rounds of both output routes and the median of sam over native
+    walls of one round. Round 0 is warm-up; a run counts if it is ok or was not counted at all."""
+    done = rows.filter(F.col("round") >= 1).filter(F.col("status").isin("ok", "unchecked"))
+    wall = lambda r: F.max(F.when(F.col("route") == r, F.col("wall_s")))
+    both = done.groupBy("label", "mode", "round").agg(wall("sam").alias("s"), wall("native").alias("n"))
+    return both.groupBy("label", "mode").agg(F.count_if(F.col("s").isNotNull() & F.col("n").isNotNull()).alias("rounds"), F.median(F.col("s") / F.nullif("n", F.lit(0.0))).alias("sam_over_native"))
+
+
+def counts(jobs: DataFrame, groups: list[list[str]], name: str = "n") -> DataFrame:
+    """Jobs by each of several groupings in one pass; columns that a grouping leaves out are null."""
+    columns = list(dict.fromkeys(c for g in groups for c in g))
+    return jobs.groupingSets([[F.col(c) for c in g] for g in groups], *columns).agg(F.count("*").alias(name))

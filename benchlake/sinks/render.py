@@ -47,3 +47,38 @@ def publish(document: dict[str, Any], path: Path, *, force: bool = False) -> Non
     fresh = path.with_suffix(".tmp")
     fresh.write_text(json.dumps(document, indent=2, sort_keys=True, ensure_ascii=False) + "\n")
     fresh.replace(path)
+
+
+def truncated(df: DataFrame, n: int) -> str:
+    """The first n rows of a listing and how many there are in all."""
+    total = df.count()
+    rest = f"\n… and {total - n} more ({total} in all)" if total > n else ""
+    return md(df.limit(n)) + rest
+
+
+def rewrite(path: Path, bodies: dict[str, str], checks: DataFrame, out: Path | None = None) -> None:
+    """Replace what stands between ``<!-- name -->`` and ``<!-- /name -->`` for every body, in one write and
+    only if no row of checks (check, ok) fails."""
+    if bad := [r["check"] for r in checks.filter("not ok").select("check").orderBy("check").collect()]:
+        raise ValueError(f"nothing was written: {', '.join(bad)}")
+    text = path.read_text()
+    for name, body in sorted(bodies.items()):
+        text = inject(text, f"<!-- {name} -->", f"<!-- /{name} -->", body)
+    (out or path).write_text(text)
+
+
+def rerender(root: Path) -> list[Path]:
+    """A Markdown page beside every published snapshot ``<root>/*/data.json``, made anew."""
+    out = []
+    for path in sorted(root.glob("*/data.json")):
+        document = json.loads(path.read_text())
+        parts = [f"# {document.get('version', path.parent.name)}"]
+        for name, rows in sorted(document.items()):
+            for title, table in ([(name, rows)] if isinstance(rows, list) else [(f"{name}: {k}", v) for k, v in sorted(rows.items())] if isinstance(rows, dict) else []):
+                if table and all(isinstance(r, dict) for r in table):
+                    headers = sorted({k for r in table for k in r})
+                    parts.append(f"## {title}\n\n" + md_table(headers, [[r.get(h) for h in headers] for r in table]))
+        page = path.with_name("index.md")
+        page.write_text("\n\n".join(parts) + "\n")
+        out.append(page)
+    return out

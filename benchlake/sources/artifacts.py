@@ -30,10 +30,15 @@ VARIANT_FOOTERS = ("variant_bearing_reads", "md_concordant_pct", "nm_concordant_
 _CELL_PATH = rf"/([^/]+)/([^/]+)/([^/]+)/{REP_PATTERN}/(?:[^/]+/)*[^/]+$"
 
 
+def decoded(path: Column) -> Column:
+    """A path as it was named: the metadata column has it percent-encoded."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
 def files(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(path, value): whole small files by glob on their name, at any depth."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root, wholetext=True)
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value")
+    return raw.select(decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value")
 
 
 def cells(df: DataFrame) -> DataFrame:
@@ -235,7 +240,7 @@ def keys(listing: DataFrame, key: str = "key") -> DataFrame:
 
 def progress(log: DataFrame, line: str = "value", seq: str = "idx") -> DataFrame:
     """The last "X of Y steps" of a coordinator's log."""
-    p = r"(\d+) of (\d+) steps"
+    p = r"(\d+) of (\d+) steps \(\d+%\) done"
     hit = log.filter(F.col(line).rlike(p))
     return hit.agg(F.max_by(F.struct(F.regexp_extract(line, p, 1).cast("long").alias("done"), F.regexp_extract(line, p, 2).cast("long").alias("total")), seq).alias("p")).select("p.*")
 
@@ -263,3 +268,50 @@ def accuracy(spark: SparkSession, root: str, tools: dict[str, str] | None = None
     cell = ["run_sha", "sample", "arch", "rep", "tool"]
     out = eval_tables(spark, root).join(variants(spark, root), cell, "left").join(methylation(spark, root), cell, "left")
     return out.withColumn("tool", renamed(F.col("tool"), tools))
+
+
+def job_plan(log: DataFrame, line: str = "value", seq: str = "idx") -> DataFrame:
+    """(command, n) of the "Job stats" table of a coordinator's log, its total (command "total") included. The
+    table is the first such one and ends at the total or an empty line."""
+    start = log.filter(F.col(line).startswith("Job stats:")).agg(F.min(seq).alias("a"))
+    after = log.join(F.broadcast(start), F.col(seq) > F.col("a"))  # one row
+    text = F.trim(line)
+    stop = after.agg(F.min(F.when((text == "") | text.rlike(r"^total\s+\d+$"), F.col(seq))).alias("z"))
+    row = r"^(\w+)\s+(\d+)$"
+    inside = after.join(F.broadcast(stop), F.col("z").isNull() | (F.col(seq) <= F.col("z"))).filter(text.rlike(row) & ~text.startswith("job "))
+    return inside.groupBy(F.regexp_extract(text, row, 1).alias("command")).agg(F.sum(F.regexp_extract(text, row, 2).cast("long")).alias("n"))
+
+
+def job_listing(spark: SparkSession, path: str) -> DataFrame:
+    """Job listings, a JSON object a line: (name, queue, status, created_at)."""
+    return spark.read.schema("jobName string, jobQueue string, status string, createdAt long").json(path).select(F.col("jobName").alias("name"), F.col("jobQueue").alias("queue"), "status", F.col("createdAt").alias("created_at"))
+
+
+def serialization(spark: SparkSession, root: str) -> DataFrame:
+    """timings.tsv of output-route benchmarks, a row for each run; NA is null."""
+    names = ("label", "tool", "mode", "index", "endpoint", "route", "block", "status")
+    whole, real = ("round", "position", "exit_code", "primary_count"), ("wall_s", "cpu_s", "max_rss_mb", "process_s", "index_read_s")
+    df = files(spark, root, "timings.tsv").withColumn("l", lines()).withColumn("h", F.split(F.get("l", F.lit(0)), "\t"))
+    rows = df.select("path", F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("line"), "h").withColumn("f", F.split("line", "\t")).filter(F.size("f") == F.size("h"))
+    by = lambda c: F.get("f", F.array_position("h", F.lit(c)).cast("int") - 1)
+    return rows.select(*(by(c).alias(c) for c in names), *(by(c).try_cast("long").alias(c) for c in whole), *(number(by(c)).alias(c) for c in real))
+
+
+def fidelity(spark: SparkSession, root: str) -> DataFrame:
+    """result.tsv: primaries by compression, and whether all three counts agree."""
+    df = files(spark, root, "result.tsv").select("path", F.explode(lines()).alias("line")).withColumn("f", F.split("line", "\t")).filter(F.get("f", F.lit(0)) != "compression")
+    count = lambda k: F.get("f", F.lit(k)).try_cast("long")
+    out = df.select(F.regexp_extract("path", r"/([^/]+)/result\.tsv$", 1).alias("mode"), F.get("f", F.lit(0)).alias("compression"), count(1).alias("expected"), count(2).alias("sam"), count(3).alias("native"), count(4).alias("exit_code"))
+    return out.withColumn("agrees", F.coalesce((F.col("expected") == F.col("sam")) & (F.col("sam") == F.col("native")) & (F.col("exit_code") == 0), F.lit(False)))
+
+
+def release_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """(label, sha) of the release builds of an image file: each RUN that clones into
+    ``arena-releases/<label>``, checks out a commit and installs the program under its label. Two labels in
+    one block, or a block without them, is an error; a commented RUN is none."""
+    raw = spark.read.text(path, wholetext=True)
+    block = raw.select(F.explode(F.split("value", r"(?m)^(?=(?:RUN|FROM|COPY|ENV|WORKDIR|ARG) )")).alias("value"), F.lit(path).alias("path")).filter(F.col("value").rlike(r"^RUN git clone [^\n]*/arena-releases/"))
+    found = {n: F.regexp_extract("value", p, 1) for n, p in (("label", r"/arena-releases/(\S+?) &&"), ("sha", r"git checkout --quiet ([0-9a-fA-F]{7,40})"), ("installed", r"install \S+ \S+ /out/bin/[A-Za-z0-9_-]+\.(\S+)"))}
+    df = block.withColumns(found)
+    wrong = (F.col("label") == "") | (F.col("sha") == "") | (F.col("label") != F.col("installed"))
+    return df.select(_fail(wrong, "malformed release block", F.col("label")).alias("label"), "sha")

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from benchlake.sinks.store import Store
-from benchlake.sources.artifacts import cells, probe_columns
+from benchlake.sources.artifacts import cells, decoded, probe_columns
 
 
 def probe_stream(spark: SparkSession, root: str) -> DataFrame:
     """Probe rows of new files under ``<sha>/<sample>/<arch>/rep-<n>/``."""
     raw = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "host-probe.jsonl").text(root)
-    rows = cells(raw.select(F.col("_metadata.file_path").alias("path"), "value"))
+    rows = cells(raw.select(decoded(F.col("_metadata.file_path")).alias("path"), "value"))
     return rows.select("run_sha", "sample", "arch", "rep", *(x.alias(c) for c, x in probe_columns(F.col("value")).items())).filter("phase <> ''")
 
 
