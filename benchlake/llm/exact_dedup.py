@@ -176,7 +176,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         inside = known.filter(F.col("turn") == turn).join(many, ["f", "n_bytes", "turn"])
         buckets = F.ceil(F.col("group_size") / BUCKET_ROWS).cast("int")
         other = (F.col("doc_id") != F.col("keep_id")) | (F.col("row") != F.col("keep_row"))
-        members = inside.filter(other).select("f", "n_bytes", "turn", F.pmod(F.xxhash64("doc_id", "row"), buckets).cast("int").alias("bucket"), F.lit(False).alias("keeper"), "doc_id", "row").distinct()
+        members = inside.filter(other).select("f", "n_bytes", "turn", F.pmod(F.xxhash64("doc_id", "row"), buckets).cast("int").alias("bucket"), F.lit(False).alias("keeper"), "doc_id", "row")
+        members = materialize(members, "members").distinct()  # of its own: an aggregate in the join's stage would keep a large group's rows in one task
         heads = many.select("f", "n_bytes", "turn", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("bucket"), F.lit(True).alias("keeper"), F.col("keep_id").alias("doc_id"), F.col("keep_row").alias("row"))
         wanted = members.union(heads)
         texted = keyed_texts(docs).join(wanted, ["doc_id", "row"]).withColumn("text", _normalised("text"))

@@ -7,11 +7,15 @@ the result.
 
 1. A narrow pass writes for each row the hash of its shingle set (its node), its fingerprint, the prefix,
    and a parity bitmap of the set. Equal sets are one node.
-2. Prefixes are dealt by shingle. All pairs of a list that belong to different components and that sizes
-   and positions allow are candidates; a list of one component costs nothing more. A list longer than
-   ``LIST_ROWS`` is cut into blocks, and every pair of blocks becomes a cell of its own.
-3. A candidate is dropped if the bitmaps differ in more bits than the sets may differ in shingles (a
-   lower bound, so nothing is lost), and else compared set by set.
+2. Folding (``stars``): the first ``EARLY`` prefix shingles are dealt with the bitmaps. Each list is gone
+   through breadth first by the similarity that bitmaps estimate: a group whose members all lie near one of
+   them gives a star, not all its pairs. What the stars claim is verified like any candidate.
+3. Completion (``candidates``): all prefixes are dealt, with components. Only rows of lists with more than
+   one component stay, and only they fetch bitmaps; pairs of different components that sizes allow and
+   whose bitmaps do not differ in more bits than the sets may differ in shingles (a lower bound, so
+   nothing is lost) are candidates. A list longer than ``LIST_ROWS`` is cut into blocks, and every pair of
+   blocks becomes a cell of its own.
+4. Candidates are compared set by set.
 
 Shingles stand for themselves by their 64-bit hash.
 """
@@ -33,6 +37,8 @@ LIST_ROWS = 8192
 STREAM_ROWS = 1 << 16
 #: Bits of a parity bitmap.
 BITS = 1024
+#: Shingles of a prefix that folding goes by, and centres of a list that it holds at once.
+EARLY, CENTRES = 6, 256
 #: Rows and shingles of the sample that orders shingles.
 SAMPLE_ROWS, COMMON = 20_000, 1 << 16
 
@@ -85,98 +91,163 @@ def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, prefix array<long>")
 
 
-def _pairs(edges, n, pos, apart, least, reach=None):
-    """Positions (i, j) of pairs within runs (rows by size) that sizes and positions allow; those with
-    equal rows in every column of ``apart`` are left out."""
+def _bitmaps(t: pa.Table, k: int) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column(k).to_pylist()), np.uint64).reshape(len(t), -1)
+
+
+def _may_be(n: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Whether pairs of positions may be at the bound: sets that differ in d shingles share (n + m - d) / 2,
+    and d is at least the number of bits that differ."""
     num, den = least
-    rows, end = np.arange(len(n)), np.repeat(edges[1:], np.diff(edges))
-    gap = 0
-    while len(rows) and (reach is None or gap < reach):
-        gap += 1
-        live = rows + gap < end
-        rows, end = rows[live], end[live]
-        live = n[rows + gap] * num <= n[rows] * den
-        rows, end = rows[live], end[live]
-        j = rows + gap
-        hit = np.minimum(n[rows] - pos[rows], n[j] - pos[j]) * (num + den) >= num * (n[rows] + n[j])
-        for x in apart:
-            hit &= x[rows] != x[j]
-        if hit.any():
-            yield rows[hit], j[hit]
+    out = np.zeros(len(i), bool)
+    for k in range(0, len(i), 1 << 14):
+        x, y = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
+        d = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+        out[k : k + (1 << 14)] = (n[x] + n[y] - d) * (num + den) >= 2 * num * (n[x] + n[y])
+    return out
 
 
-_LISTED = "key long, n long, node long, pos long, component long, block long, other long"
+def _looks(n: np.ndarray, bits: np.ndarray, i: int, j: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Whether the bitmaps of j are at the bound to that of i, taking for the number of shingles that differ
+    what so many differing bits stand for on average."""
+    num, den = least
+    share = np.minimum(np.bitwise_count(bits[i] ^ bits[j]).sum(1) * 2 / BITS, 0.98)
+    d = np.log1p(-share) / np.log1p(-2 / BITS)
+    both = n[i] + n[j]
+    return (both - d) * den >= num * (both + d)
 
 
-def _out(node, key=None, n=None, pos=None, component=None, block=None, other=None) -> pa.RecordBatch:
-    none = pa.nulls(len(node), pa.int64())
-    return pa.RecordBatch.from_arrays([none if x is None else pa.array(x, pa.int64()) for x in (key, n, node, pos, component, block, other)], names=["key", "n", "node", "pos", "component", "block", "other"])
+def stars(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of nodes that bitmaps hold to be at the bound, a spanning forest for each list."""
+
+    def run(batches):
+        """Rows (key, n, node, bits) in order. Of a run that comes in pieces the last centres go on."""
+        held: tuple | None = None  # key, n, node and bits of the centres of a run that is not over
+        for t, whole in whole_runs(batches, 1, STREAM_ROWS):
+            key, n, node = (t.column(k).to_numpy() for k in range(3))
+            bits = _bitmaps(t, 3)
+            if held is not None and held[0] == key[0]:
+                n, node, bits = np.append(held[1], n), np.append(held[2], node), np.concatenate([held[3], bits])
+                key = np.append(np.full(len(held[1]), key[0]), key)
+            edges, out = bounds([key]), []
+            centres = np.zeros(0, np.int64)
+            for a, z in zip(edges[:-1], edges[1:], strict=True):
+                left, front, centres = np.arange(a, z), [], []
+                while len(left):
+                    at = front.pop() if front else None
+                    if at is None:
+                        at, left = left[0], left[1:]
+                        centres.append(at)
+                    hit = _looks(n, bits, at, left, least)
+                    found, left = left[hit], left[~hit]
+                    out.append(np.stack([np.full(len(found), node[at]), node[found]], 1))
+                    if len(found) < len(left):  # else nearly all are settled, and what is left asks the next centre
+                        front += found.tolist()[:CENTRES]
+            held = None
+            if not whole:
+                c = np.array(centres[-CENTRES:], np.int64)
+                held = (key[-1], n[c], node[c], bits[c])
+            if out:
+                pairs = np.concatenate(out)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def shared(batches):
+        """Rows (key, node) in order: those of lists of two or more."""
+        for t, whole in whole_runs(batches, 1, STREAM_ROWS):
+            edges = bounds([t.column(0).to_numpy()])
+            yield from (t.filter(pa.array(np.repeat(np.diff(edges) > 1, np.diff(edges)))) if whole else t).to_batches()
+
+    keyed = nodes.select(F.explode(F.slice("prefix", 1, EARLY)).alias("key"), "node")
+    some = materialize(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key long, node long"), "shared")
+    wide = some.join(nodes.select("node", "n", "bits"), "node").select("key", "n", "node", "bits")
+    return wide.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(run, "a long, b long")
 
 
 def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of nodes of different components that may be at the bound. placed: node, n, prefix,
+    """(a, b): pairs of nodes of different components that may be at the bound. placed: node, n, bits, prefix,
     component."""
+    num, den = least
 
-    def listed(batches):
-        """Rows (key, n, node, pos, component) in order: pairs, and the rows of lists that are too long."""
-        last, seen = None, 0
+    def open_rows(batches):
+        """Rows (key, component, node) in order: those of lists with more than one component."""
+        last, early, several = None, [], False  # of a run in pieces: its key, its rows as long as they are of one component
         for t, whole in whole_runs(batches, 1, STREAM_ROWS):
-            key, n, node, pos, component = (t.column(k).to_numpy() for k in range(5))
+            key, component = t.column(0).to_numpy(), t.column(1).to_numpy()
             edges = bounds([key])
+            own = np.minimum.reduceat(component, edges[:-1]) != np.maximum.reduceat(component, edges[:-1])
             if not whole:
-                seen, last = (seen if last == key[0] else 0), key[0]
-                yield _out(node, key, n, pos, component, (np.arange(len(node)) + seen) // LIST_ROWS)
-                seen += len(node)
+                if last != key[0]:
+                    last, early, several = key[0], [], False
+                several = several or bool(own[0]) or bool(early and early[-1].column(1)[0].as_py() != component[0])
+                early.append(t)
+                if several:
+                    yield from (b for x in early for b in x.select([0, 2]).to_batches())
+                    early = []
                 continue
-            long = np.diff(edges) > LIST_ROWS
-            for k in np.flatnonzero(long):
-                part = slice(edges[k], edges[k + 1])
-                yield _out(node[part], key[part], n[part], pos[part], component[part], np.arange(edges[k + 1] - edges[k]) // LIST_ROWS)
-            joined = np.minimum.reduceat(component, edges[:-1]) == np.maximum.reduceat(component, edges[:-1])
-            open_ = np.repeat(~long & ~joined, np.diff(edges))
-            key, n, node, pos, component = (x[open_] for x in (key, n, node, pos, component))
-            if len(key):
-                yield from _distinct(_pairs(bounds([key]), n, pos, [component], least), node)
+            yield from t.filter(pa.array(np.repeat(own, np.diff(edges)))).select([0, 2]).to_batches()
+
+    def pairs_of(n, node, bits, edges, apart):
+        """Pairs of rows (by size) of one run that differ in every column of apart and may be at the bound."""
+        rows, end, gap, found = np.arange(len(n)), np.repeat(edges[1:], np.diff(edges)), 0, []
+        while len(rows):
+            gap += 1
+            live = rows + gap < end
+            rows, end = rows[live], end[live]
+            live = n[rows + gap] * num <= n[rows] * den
+            rows, end = rows[live], end[live]
+            hit = np.ones(len(rows), bool)
+            for x in apart:
+                hit &= x[rows] != x[rows + gap]
+            i = rows[hit]
+            i = i[_may_be(n, bits, i, i + gap, least)]
+            found.append(np.stack([np.minimum(node[i], node[i + gap]), np.maximum(node[i], node[i + gap])], 1))
+        pairs = np.unique(np.concatenate([*found, np.zeros((0, 2), np.int64)]), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *[pa.nulls(len(pairs), pa.int64())] * 2], names=["a", "b", "key", "block"])
+
+    def listed(batches):
+        """Rows (key, n, node, component, bits) in order: pairs, and the rows of lists that are too long."""
+        last, seen = None, 0
+        for t, whole in whole_runs(batches, 1, STREAM_ROWS):
+            key, n, node, component = (t.column(k).to_numpy() for k in range(4))
+            edges = bounds([key])
+            if last != key[0]:
+                last, seen = key[0], 0
+            many = np.diff(edges) > LIST_ROWS
+            for k in np.flatnonzero(many) if whole else [0]:
+                a, z = (edges[k], edges[k + 1]) if whole else (0, len(key))
+                block = (np.arange(z - a) + (0 if whole else seen)) // LIST_ROWS
+                yield pa.RecordBatch.from_arrays([pa.array(node[a:z]), pa.nulls(z - a, pa.int64()), pa.array(key[a:z]), pa.array(block)], names=["a", "b", "key", "block"])
+            seen += len(key)
+            if whole and not many.all():
+                short = np.repeat(~many, np.diff(edges))
+                bits = _bitmaps(t.filter(pa.array(short)), 4)
+                yield pairs_of(n[short], node[short], bits, bounds([key[short]]), [component[short]])
 
     def cells(batches):
-        """Rows (key, low, high, n, node, pos, component, block) in order: pairs."""
+        """Rows (key, low, high, n, node, component, block, bits) in order: pairs."""
         for t, _ in whole_runs(batches, 3, 4 * LIST_ROWS):
-            key, low, high, n, node, pos, component, block = (t.column(k).to_numpy() for k in range(8))
+            key, low, high, n, node, component, block = (t.column(k).to_numpy() for k in range(7))
             turn = np.where(low == high, np.arange(len(n)), block)  # between two blocks only pairs across
-            yield from _distinct(_pairs(bounds([key, low, high]), n, pos, [component, turn], least), node)
-
-    keyed = placed.select("n", "node", "component", F.posexplode("prefix").alias("pos", "key")).select("key", "n", "node", F.col("pos").cast("long").alias("pos"), "component")
-    found = materialize(keyed.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(listed, _LISTED), "pairs")
-    hot = found.filter("key is not null").drop("other")
+            yield pairs_of(n, node, _bitmaps(t, 7), bounds([key, low, high]), [component, turn])
+
+    kind = "a long, b long, key long, block long"
+    keyed = placed.select("component", "node", F.explode("prefix").alias("key")).select("key", "component", "node")
+    some = materialize(keyed.repartition("key").sortWithinPartitions("key", "component").mapInArrow(open_rows, "key long, node long"), "open")
+    facts = placed.select("node", "n", "component", "bits")
+    wide = some.join(facts, "node").select("key", "n", "node", "component", "bits")
+    found = materialize(wide.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(listed, kind), "pairs")
+    hot = found.filter("key is not null").select("key", "block", F.col("a").alias("node"))
     blocks = hot.groupBy("key").agg(F.max("block").alias("last"))
-    split = hot.join(blocks, "key").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
-    split = split.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n", "node", "pos", "component", "block")
-    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, _LISTED)
-    return found.filter("key is null").union(far).select(F.col("node").alias("a"), F.col("other").alias("b"))
-
-
-def _distinct(found, node):
-    """Pairs of positions as pairs of nodes, each once for a stretch of the stream."""
-    got = [np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1) for i, j in found]
-    if got:
-        pairs = np.unique(np.concatenate(got), axis=0)
-        yield _out(pairs[:, 0], other=pairs[:, 1])
+    split = hot.join(blocks, "key").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))).join(facts, "node")
+    split = split.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n", "node", "component", "block", "bits")
+    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, kind)
+    return found.filter("key is null").select("a", "b").union(far.select("a", "b"))
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """Those of pairs (a, b) of nodes that are at the bound. nodes: doc_id, row, node, n, bits."""
+    """Those of pairs (a, b) of nodes that are at the bound, by their whole sets. nodes: doc_id, row, node."""
     num, den = least
 
-    def may_be(batches):
-        """Rows (a, b, n of both, bitmaps of both): pairs that may be at the bound by their bitmaps."""
-        for b in batches:
-            if not b.num_rows:
-                continue
-            n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint64).reshape(b.num_rows, -1) for k in (4, 5))
-            # sets that differ in d shingles share (n + m - d) / 2
-            yield b.select([0, 1]).filter(pa.array((n + m - np.bitwise_count(x ^ y).sum(1, dtype=np.int64)) * (num + den) >= 2 * num * (n + m)))
-
     def sets(batches):
         for b in batches:
             s = [shingles(shingle_hashes(t, size)) for t in b.column(1).to_pylist()]
@@ -191,17 +262,12 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, lea
                 hit.append(len(np.intersect1d(x, y, True)) * (num + den) >= num * (len(x) + len(y)))
             yield b.select([0, 1]).filter(pa.array(hit, pa.bool_()))
 
-    def both(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(of.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return pairs.select("a", "b", *(f"{c}_{side}" for c in columns for side in ("a", "b")))
-
     pairs = materialize(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    likely = materialize(both(pairs, nodes, "n", "bits").mapInArrow(may_be, "a long, b long"), "likely")
-    named = materialize(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named")
-    wanted = named.join(nodes.select("node", "doc_id", "row"), "node").select("doc_id", "row")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialize(named.join(nodes.select("node", "doc_id", "row"), "node").select("doc_id", "row"), "wanted")
     found = keyed_texts(docs).join(wanted, ["doc_id", "row"], "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, s binary")
     found = materialize(found.dropDuplicates(["node"]), "sets")
-    out = materialize(both(likely, found, "s").mapInArrow(are, "a long, b long"), "near")
-    release(pairs, likely, named, found)
+    both = pairs.join(found.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
+    out = materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(are, "a long, b long"), "near")
+    release(pairs, wanted, found)
     return out

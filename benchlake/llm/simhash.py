@@ -14,8 +14,8 @@ list longer than ``LIST_ROWS`` is cut into blocks, and every pair of blocks beco
 ``near_groups`` links by bits. ``near_copies`` links by the Jaccard similarity of word shingles, where
 fingerprints are the first way to candidates and not the last: pairs at 0.8 differ in about 10 of 64
 bits, beyond any signature of this kind. What the signatures bring together is verified on whole sets and
-joined at once, which folds large groups of near copies; an exact prefix-filter join (``jaccard``) then
-finds the pairs between what is left.
+joined at once, with what a pass over shared shingles holds to be alike; that folds large groups of near
+copies. An exact prefix-filter join (``jaccard``) then finds the pairs between what is left.
 
 Defined cases: a text without words, or null, has fingerprint zero, linked like any other; a text with
 fewer words than a shingle is one shingle; rows that repeat a doc_id are fingerprinted one by one.
@@ -221,7 +221,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, least: tuple[int, int] = (4,
     linked = links(first.select("fp"))
     for side in ("a", "b"):
         linked = linked.join(first.select(F.col("fp").alias(side), F.col("first").alias(f"node_{side}")), side).drop(side)
-    early = jaccard.verified(docs, nodes, alike.union(linked.select("node_a", "node_b")), shingle, least)
+    early = jaccard.verified(docs, nodes, alike.union(linked.select("node_a", "node_b")).union(jaccard.stars(nodes, least)), shingle, least)
     joined = connected_components(early)
     placed = materialize(nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
     late = jaccard.verified(docs, nodes, jaccard.candidates(placed, least), shingle, least)
