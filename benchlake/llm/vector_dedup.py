@@ -4,15 +4,20 @@ distributed connected components.
 Equal vectors of one label are folded into one class with a count first. A class is hashed by the
 signs of ``bits`` random projections in each of ``tables`` tables; ``bits`` follows the logarithm of
 the largest label's size, so that lists stay short at every size, and ``tables`` is what the wanted
-recall then takes: a pair at cosine c shares one bit with chance 1 - acos(c) / pi. Classes with equal
-codes in a table are compared by one matrix product in double precision; a pair counts in the first
-table that brings it together only, so link counts are exact for what is found. Lists longer than
-``LIST_ROWS`` are cut into blocks; every pair of blocks is a cell of its own. Only counts and a
-spanning forest leave a list, never its pairs.
+recall then takes: a pair at cosine c shares one bit with chance 1 - acos(c) / pi.
+
+What is dealt to every table is a class's number and a signature, the packed signs of the first tables
+(``SIGNATURE`` bits at most). A row that has nobody in its list whose signature differs in few enough bits
+(six deviations beyond what the cosine makes likely) and whom no earlier table of the signature has
+brought to it goes no further. Only the others fetch their vectors. They are compared by one matrix
+product in double precision for each list; a pair counts in the first table that brings it together
+only, so link counts are exact for what is found. Lists longer than ``LIST_ROWS`` are cut into blocks; every pair of blocks is a
+cell of its own. Only counts and a spanning forest leave a list, never its pairs.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and rows without a
 label, link with nothing and are their own component; vectors of different length are not compared;
-rows that repeat a vec_id are counted as further vectors.
+components of any finite size count, as a vector is scaled by its largest before it is squared; rows
+that repeat a vec_id are counted as further vectors.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ LIST_ROWS = 1024
 SEED = 20240229
 #: Rows of one list that the hashing aims at, where vectors are spread evenly.
 AIM_ROWS = 8
+#: Signs that a signature holds at most, and deviations of their number beyond which a pair is none.
+SIGNATURE, DEVIATIONS = 512, 6
+#: Rows of a sorted stream that are worked on at once.
+STREAM_ROWS = 1 << 15
 
 
 def shape(rows: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
@@ -58,8 +67,23 @@ def _unpacked(col: pa.Array, dim: int, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), dim).astype(np.float64)
 
 
+_HASHED = "cid long, label long, dim long, cnt long, codes binary, sig binary, v binary"
+_LISTED = "label long, dim long, t long, code long, cid long, sig binary"
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one. Scaling first keeps squares of very large and very small components finite."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def signed_tables(bits: int, tables: int) -> int:
+    """How many tables a signature holds."""
+    return min(tables, max(1, SIGNATURE // bits))
+
+
 def _hash(bits: int, tables: int, kind: str):
-    weights = (1 << np.arange(bits, dtype=np.int64))[:, None]
+    weights, held = (1 << np.arange(bits, dtype=np.int64))[:, None], signed_tables(bits, tables)
 
     def run(batches):
         known: dict[int, np.ndarray] = {}
@@ -72,26 +96,76 @@ def _hash(bits: int, tables: int, kind: str):
                 for at in range(0, part.num_rows, 1024):
                     rows = part.slice(at, 1024)
                     x = _matrix(rows.column(3))
-                    signs = (x @ known[dim] > 0).reshape(rows.num_rows, tables, bits)
-                    vectors = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
+                    signs = (_unit(x) @ known[dim] > 0).reshape(rows.num_rows, tables, bits)
                     codes = (signs.astype(np.int64) @ weights)[:, :, 0]
-                    packed = pa.array([c.astype("<i4").tobytes() for c in codes], pa.binary())
-                    for t in range(tables):
-                        n = rows.num_rows
-                        yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(4), pa.array(np.full(n, t), pa.int64()), pa.array(codes[:, t]), rows.column(0), rows.column(2), packed, vectors], names=["label", "dim", "t", "code", "cid", "cnt", "codes", "v"])
+                    packed = (pa.array([r.tobytes() for r in m], pa.binary()) for m in (codes.astype("<i4"), np.packbits(signs[:, :held].reshape(rows.num_rows, -1), axis=1), x.astype(kind)))
+                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(4), rows.column(2), *packed], names=["cid", "label", "dim", "cnt", "codes", "sig", "v"])
+
+    return run
+
+
+def _deal(tables: int):
+    """A row (cid, label, dim, codes, sig) for each table."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes = np.frombuffer(b"".join(b.column(3).to_pylist()), "<i4").reshape(b.num_rows, -1)
+            for t in range(tables):
+                yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(np.full(b.num_rows, t)), pa.array(codes[:, t].astype(np.int64)), b.column(0), b.column(4)], names=["label", "dim", "t", "code", "cid", "sig"])
+
+    return run
+
+
+def _promising(bits: int, tables: int, cosine: float):
+    """Rows of _LISTED in order of label, dim, t, code: those that may have a new link in their list, without
+    their signature, and all rows of long lists."""
+    held = signed_tables(bits, tables)
+    weights = (1 << np.arange(bits, dtype=np.int64))[:, None]
+    p = math.acos(cosine) / math.pi
+    most = math.floor(held * bits * p + DEVIATIONS * math.sqrt(held * bits * p * (1 - p)) + 1)
+
+    def new(sig: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Which pairs of rows no table of the signature before their own has brought together."""
+        one, two = ((np.unpackbits(sig[x], axis=1, count=held * bits).reshape(len(x), held, bits).astype(np.int64) @ weights)[:, :, 0] for x in (i, j))
+        return ~((one == two) & (np.arange(held) < table[:, None])).any(1)
+
+    def run(batches):
+        for t, whole in whole_runs(batches, 4, STREAM_ROWS):
+            if not whole:
+                yield from t.select(range(5)).to_batches()
+                continue
+            cols = [t.column(k).to_numpy() for k in range(4)]
+            edges = np.concatenate([[0], np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1, [len(t)]])
+            size = np.diff(edges)
+            keep = np.repeat(size > LIST_ROWS, size)
+            sig = np.frombuffer(b"".join(t.column(5).to_pylist()), np.uint8).reshape(len(t), -1)
+            words = np.zeros((len(t), -(-sig.shape[1] // 8) * 8), np.uint8)
+            words[:, : sig.shape[1]] = sig
+            words = words.view(np.uint64)
+            rows, end = np.flatnonzero(~keep), np.repeat(edges[1:], size)[~keep]
+            for gap in range(1, LIST_ROWS):  # neighbours of all lists, then those two apart, and so on
+                live = rows + gap < end
+                rows, end = rows[live], end[live]
+                if not len(rows):
+                    break
+                i = rows[np.bitwise_count(words[rows] ^ words[rows + gap]).sum(1, dtype=np.int64) <= most]
+                if len(i):
+                    i = i[new(sig, i, i + gap, cols[2][i])]
+                    keep[i] = keep[i + gap] = True
+            yield from t.select(range(5)).filter(pa.array(keep)).to_batches()
 
     return run
 
 
-_LISTED = "label long, dim long, t long, code long, cid long, cnt long, codes binary, v binary"
 _FOUND = "cid long, links long, root long, label long, dim long, t long, code long, block long"
 
 
 def _links(t: pa.Table, dim: int, table: int, cosine: float, kind: str, cross: np.ndarray | None = None) -> pa.RecordBatch:
     """Link counts and a forest of one list. cross: the block of each row; then only pairs across
     blocks count, or all if there is one block."""
-    x = _unpacked(t.column("v"), dim, kind)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = _unit(_unpacked(t.column("v"), dim, kind))
     a, b = np.nonzero(np.triu(x @ x.T >= cosine, 1))
     if cross is not None and len(np.unique(cross)) > 1:
         live = cross[a] != cross[b]
@@ -161,15 +235,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     kind = "<f4" if single else "<f8"  # how vectors travel: as exact as they came
     source = classes.select("cid", "label", "cnt", "v", F.size("v").cast("long").alias("dim"))
-    listed = source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _LISTED)
+    hashed = materialize(source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _HASHED), "hashed")
+    listed = hashed.select("cid", "label", "dim", "codes", "sig").mapInArrow(_deal(tables), _LISTED)
     keys = ["label", "dim", "t", "code"]
-    found = materialize(listed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_lists(cosine, kind), _FOUND), "links")
+    some = materialize(listed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_promising(bits, tables, cosine), "label long, dim long, t long, code long, cid long"), "promising")
+    facts = hashed.select("cid", "cnt", "codes", "v")
+    wide = some.join(facts, "cid").select(*keys, "cid", "cnt", "codes", "v")
+    found = materialize(wide.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_lists(cosine, kind), _FOUND), "links")
     hot = found.filter("block is not null").select(*keys, "block", "cid")
     last = hot.groupBy(*keys).agg(F.max("block").alias("last"))
     cells = hot.join(last, keys).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
     cells = cells.select(*keys, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "block")
-    again = source.repartition("cid").mapInArrow(_hash(bits, tables, kind), _LISTED)
-    cells = cells.join(again.select("cid", "t", "cnt", "codes", "v"), ["cid", "t"]).select(*keys, "low", "high", "cid", "block", "cnt", "codes", "v")
+    cells = cells.join(facts, "cid").select(*keys, "low", "high", "cid", "block", "cnt", "codes", "v")
     cell_keys = [*keys, "low", "high"]
     far = materialize(cells.repartition(*cell_keys).sortWithinPartitions(*cell_keys).mapInArrow(_cells(cosine, kind), _FOUND), "far_links")
     near = found.filter("block is null").union(far)

@@ -183,6 +183,38 @@ def check_cells(v, x, rows, monkeypatch):
     assert links == whole
 
 
+def test_components_of_any_size_count(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1.0, 1.0], 1), (3, [1e-200, 1.01e-200], 1), (4, [1.0, -1.0], 1), (5, [1e308, 1.1e308], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
+def test_signatures_drop_no_pair():
+    """Of pairs at the bound that share a list, both rows stay unless an earlier table has the pair."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    bits, tables = vector_dedup.shape(3000)
+    a = rng.standard_normal((400, 32))
+    b = vector_dedup._unit(a) + rng.standard_normal(a.shape) * 0.06
+    x = np.concatenate([a, b])
+    v = pa.array([list(map(float, r)) for r in x], pa.list_(pa.float64()))
+    n = len(x)
+    rows = pa.record_batch([pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array([1] * n, pa.int64()), v, pa.array([32] * n, pa.int64())], names=["cid", "label", "cnt", "v", "dim"])
+    hashed = pa.Table.from_batches(list(vector_dedup._hash(bits, tables, "<f8")(iter([rows]))))
+    codes = np.frombuffer(b"".join(hashed.column("codes").to_pylist()), "<i4").reshape(n, -1)
+    dealt = pa.Table.from_batches(list(vector_dedup._deal(tables)(iter(hashed.select(["cid", "label", "dim", "codes", "sig"]).to_batches())))).sort_by([(k, "ascending") for k in ("label", "dim", "t", "code")])
+    kept = {(r["t"], r["cid"]) for batch in vector_dedup._promising(bits, tables, 0.93)(iter(dealt.to_batches(max_chunksize=101))) for r in batch.to_pylist()}
+    u = vector_dedup._unit(x)
+    near, found = np.argwhere(np.triu(u @ u.T >= 0.93, 1)), 0
+    for i, j in near:
+        same = np.flatnonzero(codes[i] == codes[j])
+        if len(same):
+            found += 1
+            assert {(same[0], i), (same[0], j)} <= kept
+    assert found > 350 and len(kept) < len(dealt) / 3
+
+
 def test_hashing_reaches_its_recall():
     rng = np.random.default_rng(3)
     bits, tables = vector_dedup.shape(5000)
