@@ -1,6 +1,7 @@
 """Artifact tree round trip, malformed telemetry, latest-wins store."""
 
 import json
+import random
 import struct
 import zlib
 
@@ -122,8 +123,9 @@ def test_dimensions(spark):
 
 
 def bgzf(data):
-    c = zlib.compressobj(6, zlib.DEFLATED, 31)
-    return c.compress(data) + c.flush()
+    c = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = c.compress(data) + c.flush()
+    return b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff" + struct.pack("<H", 6) + b"BC\2\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
 def test_bam(spark, tmp_path):
@@ -142,6 +144,29 @@ def test_bam(spark, tmp_path):
     assert {k: (v.t, v.v) for k, v in got[0].tags.items()} == {"NM": ("Int", "3"), "XZ": ("Str", "hi"), "XB": ("Other", "c,1,2")}
 
 
+def test_bam_ranges_hold_every_record_once(spark, tmp_path):
+    rng = random.Random(17)
+
+    def record(k):
+        n = f"read{k}/{'x' * rng.randint(0, 30)}".encode() + b"\0"
+        seq = rng.randint(0, 150)
+        body = struct.pack("<iiBBHHHiiii", rng.randint(0, 2), rng.randint(0, 900), len(n), rng.randint(0, 60), 0, 1, 65, seq, -1, -1, 0) + n + struct.pack("<I", 75 << 4) + bytes(rng.randrange(256) for _ in range((seq + 1) // 2 + seq)) + b"NMC" + bytes([k % 256])
+        return struct.pack("<i", len(body)) + body
+
+    head = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 3) + b"".join(struct.pack("<i", 4) + b"chr\0" + struct.pack("<i", 1000) for _ in range(3))
+    paths, want = [], []
+    for f, count in enumerate((700, 1, 0, 300)):
+        data = b"".join(record(k) for k in range(count))
+        cuts = sorted({0, len(data), *(rng.randint(0, len(data)) for _ in range(count // 5))}) if f else [0, *range(997, len(data), 997), len(data)]
+        out = bgzf(head) + b"".join(bgzf(data[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)) + bgzf(b"")
+        (tmp_path / f"{f}.bam").write_bytes(out)
+        paths.append(str(tmp_path / f"{f}.bam"))
+        want += [(k % 256) for k in range(count)]
+    for split in (1 << 20, 5000, 700):
+        got = alignments.bam(spark, ",".join(paths), split).orderBy("idx").collect()
+        assert [int(r.tags["NM"].v) for r in got] == want and len({r.idx for r in got}) == len(want)
+
+
 def test_sam(spark, tmp_path):
     put(tmp_path, "x.sam", "@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:9\n@SQ\tSN:chr2\tLN:9\nq1\t65\tchr2\t100\t60\t5S70M\t*\t0\t0\t*\t*\tNM:i:3\tXZ:Z:a:b\nq2\t4\t*\t0\t255\t*\t*\t0\t0\t*\t*\n")
     got = alignments.sam(spark, str(tmp_path / "x.sam")).orderBy("idx").collect()
