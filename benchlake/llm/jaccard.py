@@ -7,7 +7,8 @@ the result.
 
 1. A narrow pass writes for each row the hash of its shingle set (its node), its fingerprint, the prefix,
    and a parity bitmap of the set. Equal sets are one node.
-2. Folding (``stars``): the first ``EARLY`` prefix shingles are dealt with the bitmaps. Each list is gone
+2. Folding (``stars``): the ``EARLY`` shingles of a set with the smallest hashes, of which near copies share
+   some, are dealt with the bitmaps. Each list is gone
    through breadth first by the similarity that bitmaps estimate: a group whose members all lie near one of
    them gives a star, not all its pairs. What the stars claim is verified like any candidate.
 3. Completion (``candidates``): all prefixes are dealt, with components. Only rows of lists with more than
@@ -37,8 +38,10 @@ LIST_ROWS = 8192
 STREAM_ROWS = 1 << 16
 #: Bits of a parity bitmap.
 BITS = 1024
-#: Shingles of a prefix that folding goes by, and centres of a list that it holds at once.
+#: Shingles of a set that folding goes by, and centres of a list that it holds at once.
 EARLY, CENTRES = 6, 256
+#: Pairs of a node in a list that are only about at the bound and still are verified.
+TRIES = 4
 #: Rows and shingles of the sample that orders shingles.
 SAMPLE_ROWS, COMMON = 20_000, 1 << 16
 
@@ -68,7 +71,8 @@ def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """Per row: doc_id, row (hash of the text), node, fp (fingerprint), n (shingles), bits (parity bitmap), prefix."""
+    """Per row: doc_id, row (hash of the text), node, fp (fingerprint), n (shingles), bits (parity bitmap), prefix, early (the
+    shingles with the smallest hashes)."""
     num, den = least
     common, weight = _common(docs, size)
 
@@ -84,11 +88,11 @@ def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
                     w = np.where(common[at] == s, weight[at], 0)
                 first = len(s) + -(num * len(s) // den) - (num * len(s) % den > 0) + 1
                 parity = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                out.append((_node(s), majority(h), len(s), np.packbits(parity.astype(np.uint8)).tobytes(), s[np.lexsort((s, w))[:first]].view(np.int64)))
-            node, fp, n, bits, prefix = zip(*out, strict=True) if out else ((), (), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(list(prefix), pa.list_(pa.int64()))], names=["doc_id", "row", "node", "fp", "n", "bits", "prefix"])
+                out.append((_node(s), majority(h), len(s), np.packbits(parity.astype(np.uint8)).tobytes(), s[np.lexsort((s, w))[:first]].view(np.int64), s[:EARLY].view(np.int64)))
+            node, fp, n, bits, prefix, early = zip(*out, strict=True) if out else ((),) * 6
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), *(pa.array(list(x), pa.list_(pa.int64())) for x in (prefix, early))], names=["doc_id", "row", "node", "fp", "n", "bits", "prefix", "early"])
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, prefix array<long>")
+    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, prefix array<long>, early array<long>")
 
 
 def _bitmaps(t: pa.Table, k: int) -> np.ndarray:
@@ -107,29 +111,33 @@ def _may_be(n: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, least
     return out
 
 
-def _looks(n: np.ndarray, bits: np.ndarray, i: int, j: np.ndarray, least: tuple[int, int]) -> np.ndarray:
-    """Whether the bitmaps of j are at the bound to that of i, taking for the number of shingles that differ
-    what so many differing bits stand for on average."""
-    num, den = least
+def _likeness(n: np.ndarray, bits: np.ndarray, i: int, j: np.ndarray) -> np.ndarray:
+    """The similarity of j to i by their bitmaps, taking for the number of shingles that differ what so many
+    differing bits stand for on average."""
     share = np.minimum(np.bitwise_count(bits[i] ^ bits[j]).sum(1) * 2 / BITS, 0.98)
     d = np.log1p(-share) / np.log1p(-2 / BITS)
-    both = n[i] + n[j]
-    return (both - d) * den >= num * (both + d)
+    return (n[i] + n[j] - d) / (n[i] + n[j] + d)
 
 
 def stars(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of nodes that bitmaps hold to be at the bound, a spanning forest for each list."""
+    """(a, b): pairs of nodes that bitmaps hold to be at the bound: a spanning forest for each list of what is
+    surely there, and a few more pairs of each node that are about there."""
+    bound = least[0] / least[1]
+    sure, about = bound + (1 - bound) / 10, bound - (1 - bound) / 5
 
     def run(batches):
         """Rows (key, n, node, bits) in order. Of a run that comes in pieces the last centres go on."""
         held: tuple | None = None  # key, n, node and bits of the centres of a run that is not over
+        strange = None  # the key of a run of strangers
         for t, whole in whole_runs(batches, 1, STREAM_ROWS):
             key, n, node = (t.column(k).to_numpy() for k in range(3))
+            if not whole and key[0] == strange:
+                continue
             bits = _bitmaps(t, 3)
             if held is not None and held[0] == key[0]:
                 n, node, bits = np.append(held[1], n), np.append(held[2], node), np.concatenate([held[3], bits])
                 key = np.append(np.full(len(held[1]), key[0]), key)
-            edges, out = bounds([key]), []
+            edges, out, tried = bounds([key]), [], np.zeros(len(key), np.int64)
             centres = np.zeros(0, np.int64)
             for a, z in zip(edges[:-1], edges[1:], strict=True):
                 left, front, centres = np.arange(a, z), [], []
@@ -138,15 +146,20 @@ def stars(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
                     if at is None:
                         at, left = left[0], left[1:]
                         centres.append(at)
-                    hit = _looks(n, bits, at, left, least)
+                    like = _likeness(n, bits, at, left)
+                    hit = like >= sure
+                    some = left[(like >= about) & (hit | (tried[left] < TRIES))]
+                    tried[some] += 1
+                    out.append(np.stack([np.full(len(some), node[at]), node[some]], 1))
                     found, left = left[hit], left[~hit]
-                    out.append(np.stack([np.full(len(found), node[at]), node[found]], 1))
-                    if len(found) < len(left):  # else nearly all are settled, and what is left asks the next centre
-                        front += found.tolist()[:CENTRES]
+                    front += found.tolist()[:CENTRES]
+                    if len(centres) > 4 * CENTRES:
+                        break  # of a long list of strangers; folding may leave what it likes
             held = None
             if not whole:
                 c = np.array(centres[-CENTRES:], np.int64)
                 held = (key[-1], n[c], node[c], bits[c])
+                strange = key[-1] if sum(map(len, out)) * 10 < len(key) else None
             if out:
                 pairs = np.concatenate(out)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -157,7 +170,7 @@ def stars(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
             edges = bounds([t.column(0).to_numpy()])
             yield from (t.filter(pa.array(np.repeat(np.diff(edges) > 1, np.diff(edges)))) if whole else t).to_batches()
 
-    keyed = nodes.select(F.explode(F.slice("prefix", 1, EARLY)).alias("key"), "node")
+    keyed = nodes.select(F.explode("early").alias("key"), "node")
     some = materialize(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(shared, "key long, node long"), "shared")
     wide = some.join(nodes.select("node", "n", "bits"), "node").select("key", "n", "node", "bits")
     return wide.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(run, "a long, b long")
