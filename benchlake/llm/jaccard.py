@@ -16,7 +16,8 @@ the result.
    whose bitmaps do not differ in more bits than the sets may differ in shingles (a lower bound, so
    nothing is lost) are candidates. A list longer than ``LIST_ROWS`` is cut into blocks, and every pair of
    blocks becomes a cell of its own.
-4. Candidates are compared set by set.
+4. Candidates of large sets, which fill a bitmap of that size, are held against wider ones first; what is left is
+   compared set by set.
 
 Shingles stand for themselves by their 64-bit hash.
 """
@@ -55,6 +56,11 @@ def _node(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
 
 
+def _parity(s: np.ndarray, bits: int) -> bytes:
+    """The parity bitmap of a set; folded in halves by XOR it is the one of half as many bits."""
+    return np.packbits((np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
 def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, weight) of the shingles that are common in a sample of bounded size, sorted by hash."""
     rows = docs.count()
@@ -71,8 +77,8 @@ def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """Per row: doc_id, row (hash of the text), node, fp (fingerprint), n (shingles), bits (parity bitmap), prefix, early (the
-    shingles with the smallest hashes)."""
+    """Per row: doc_id, row (hash of the text), node, fp (fingerprint), n (shingles), bits (parity bitmap), wide (a wider one
+    of a large set, else null), prefix, early (the shingles with the smallest hashes)."""
     num, den = least
     common, weight = _common(docs, size)
 
@@ -87,12 +93,12 @@ def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     w = np.where(common[at] == s, weight[at], 0)
                 first = len(s) + -(num * len(s) // den) - (num * len(s) % den > 0) + 1
-                parity = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                out.append((_node(s), majority(h), len(s), np.packbits(parity.astype(np.uint8)).tobytes(), s[np.lexsort((s, w))[:first]].view(np.int64), s[:EARLY].view(np.int64)))
-            node, fp, n, bits, prefix, early = zip(*out, strict=True) if out else ((),) * 6
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), *(pa.array(list(x), pa.list_(pa.int64())) for x in (prefix, early))], names=["doc_id", "row", "node", "fp", "n", "bits", "prefix", "early"])
+                wide = _parity(s, min(1 << 17, 1 << (2 * len(s) - 1).bit_length())) if 2 * len(s) > BITS else None
+                out.append((_node(s), majority(h), len(s), _parity(s, BITS), wide, s[np.lexsort((s, w))[:first]].view(np.int64), s[:EARLY].view(np.int64)))
+            node, fp, n, bits, wide, prefix, early = zip(*out, strict=True) if out else ((),) * 7
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(wide, pa.binary()), *(pa.array(list(x), pa.list_(pa.int64())) for x in (prefix, early))], names=["doc_id", "row", "node", "fp", "n", "bits", "wide", "prefix", "early"])
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, prefix array<long>, early array<long>")
+    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, wide binary, prefix array<long>, early array<long>")
 
 
 def _bitmaps(t: pa.Table, k: int) -> np.ndarray:
@@ -258,9 +264,20 @@ def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
-    """Those of pairs (a, b) of nodes that are at the bound, by their whole sets. nodes: doc_id, row, node."""
+    """Those of pairs (a, b) of nodes that are at the bound, by their whole sets. nodes: doc_id, row, node,
+    n, wide."""
     num, den = least
 
+    def apart(batches):
+        """Rows (a, b, n of both, wide bitmaps of both): pairs that differ in too many shingles for sure."""
+        for b in batches:
+            out = []
+            for n, m, x, y in zip(*(b.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                size = min(len(x), len(y))
+                x, y = (np.bitwise_xor.reduce(np.frombuffer(z, np.uint64).reshape(-1, size // 8), axis=0) for z in (x, y))
+                out.append((n + m - int(np.bitwise_count(x ^ y).sum())) * (num + den) < 2 * num * (n + m))
+            yield b.select([0, 1]).filter(pa.array(out, pa.bool_()))
+
     def sets(batches):
         for b in batches:
             s = [shingles(shingle_hashes(t, size)) for t in b.column(1).to_pylist()]
@@ -276,11 +293,16 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, lea
             yield b.select([0, 1]).filter(pa.array(hit, pa.bool_()))
 
     pairs = materialize(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    large = nodes.filter("wide is not null").select("node", "n", "wide")
+    of = lambda side: large.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"wide_{side}"))
+    held = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
+    rejected = materialize(held.mapInArrow(apart, "a long, b long"), "rejected")
+    pairs = materialize(pairs.join(rejected, ["a", "b"], "left_anti"), "likely")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialize(named.join(nodes.select("node", "doc_id", "row"), "node").select("doc_id", "row"), "wanted")
     found = keyed_texts(docs).join(wanted, ["doc_id", "row"], "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, s binary")
     found = materialize(found.dropDuplicates(["node"]), "sets")
     both = pairs.join(found.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
     out = materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(are, "a long, b long"), "near")
-    release(pairs, wanted, found)
+    release(pairs, rejected, wanted, found)
     return out
