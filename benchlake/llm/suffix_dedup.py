@@ -5,11 +5,10 @@ picks the 32-byte gram with the smallest hash inside it (all of them on a tie),
 grams at equal places, and only suffixes at picked grams (anchors, about one byte in 35) are sorted.
 
 1. A narrow pass emits each anchor: hash of its gram, hash of its context (68 bytes before, 100 after,
-   cut at the ends of the text), doc_id, position. Anchors are dealt by gram and context and read in order.
+   cut at the ends of the text), doc_id, position. Anchors are dealt by gram and read in order.
    Anchors with equal contexts are copies: all but the first are covered from end to end at once and
-   go no further, however many there are.
-2. The contexts of a gram are counted. A gram with one context is done. The others' first anchors fetch
-   their context bytes. Right contexts, and left contexts read backwards, are put in suffix order by
+   go no further, however many there are. A gram with one context is done as well.
+2. The contexts of the other grams are counted, and their first anchors fetch their context bytes. Right contexts, and left contexts read backwards, are put in suffix order by
    deep-shallow sorting: multikey quicksort over eight-byte symbols to a shallow depth, then a blind trie
    for each group whose common prefix is longer. The longest common prefixes of neighbours tell for every
    window around an anchor which others equal it, and so which anchor has it first.
@@ -133,12 +132,10 @@ def _rows(doc, row, a, b=None, h=None) -> pa.RecordBatch:
 
 def _copies(batches):
     """Rows (h, c, doc_id, row, pos) in order: covered ranges (a, b) of copies; (a = position, h) of the first
-    anchor of each context."""
-    before = None  # the context of the last row so far, and its first anchor
-    for b in batches:
-        if not b.num_rows:
-            continue
-        h, c, doc, row, pos = (b.column(k).to_numpy() for k in range(5))
+    anchors of a gram with several contexts."""
+    before = None  # the last row of a run given out in pieces, and its context's first
+    for t, whole in whole_runs(batches, 1, 1 << 16):
+        h, c, doc, row, pos = (t.column(k).to_numpy() for k in range(5))
         known = pos < 0
         if known.any():
             at = -pos[known] - 1
@@ -155,9 +152,13 @@ def _copies(batches):
             same = lead == 0
             lead_doc, lead_row, lead_pos = (np.where(same, x, y) for x, y in zip(before[2:], (lead_doc, lead_row, lead_pos), strict=True))
             first[0] = False
-        before = (h[-1], c[-1], lead_doc[-1], lead_row[-1], lead_pos[-1])
+        before = None if whole else (h[-1], c[-1], lead_doc[-1], lead_row[-1], lead_pos[-1])
         later = (doc != lead_doc) | (row != lead_row) | (pos != lead_pos)
         yield _rows(doc[later], row[later], np.maximum(pos[later] - REACH, 0), pos[later] + WINDOW)
+        if whole:
+            run = bounds([h])
+            classes = np.add.reduceat(first.astype(np.int64), run[:-1])
+            first &= np.repeat(classes > 1, np.diff(run))
         yield _rows(doc[first], row[first], pos[first], h=h[first])
 
 
@@ -395,7 +396,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     tuned(docs.sparkSession)
     given = keyed_texts(docs)
     marked = given.mapInArrow(_emit, "h long, c long, doc_id long, row long, pos long")
-    marked = marked.repartition("h", "c").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
+    marked = marked.repartition("h").sortWithinPartitions("h", "c", "doc_id", "row", "pos")
     copies = materialize(marked.mapInArrow(_copies, "doc_id long, row long, a long, b long, h long"), "copies")
     firsts = copies.filter("h is not null").select("h", "doc_id", "row", "a")
     several = materialize(firsts.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "grams")  # of its own, so that the joins may split a frequent gram's rows
