@@ -14,8 +14,8 @@ the result.
 3. Completion (``candidates``): all prefixes are dealt, with components. Only rows of lists with more than
    one component stay, and only they fetch bitmaps; pairs of different components that sizes allow and
    whose bitmaps do not differ in more bits than the sets may differ in shingles (a lower bound, so
-   nothing is lost) are candidates. A list longer than ``LIST_ROWS`` is cut into blocks, and every pair of
-   blocks becomes a cell of its own.
+   nothing is lost) are candidates. A list longer than ``LIST_ROWS`` is cut into blocks in order of
+   components, and every pair of blocks with two components or more becomes a cell of its own.
 4. Candidates of large sets, which fill a bitmap of that size, are held against wider ones first; what is left is
    compared set by set.
 
@@ -188,22 +188,23 @@ def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
     num, den = least
 
     def open_rows(batches):
-        """Rows (key, component, node) in order: those of lists with more than one component."""
-        last, early, several = None, [], False  # of a run in pieces: its key, its rows as long as they are of one component
+        """Rows (key, component, node) in order: (key, node, block) of those of lists with more than one
+        component; block is null but in lists of more than LIST_ROWS, which are cut without being held."""
+        last, seen = None, 0
         for t, whole in whole_runs(batches, 1, STREAM_ROWS):
             key, component = t.column(0).to_numpy(), t.column(1).to_numpy()
             edges = bounds([key])
-            own = np.minimum.reduceat(component, edges[:-1]) != np.maximum.reduceat(component, edges[:-1])
-            if not whole:
-                if last != key[0]:
-                    last, early, several = key[0], [], False
-                several = several or bool(own[0]) or bool(early and early[-1].column(1)[0].as_py() != component[0])
-                early.append(t)
-                if several:
-                    yield from (b for x in early for b in x.select([0, 2]).to_batches())
-                    early = []
-                continue
-            yield from t.filter(pa.array(np.repeat(own, np.diff(edges)))).select([0, 2]).to_batches()
+            size = np.diff(edges)
+            at = np.arange(len(key)) - np.repeat(edges[:-1], size)
+            if whole:
+                keep = np.repeat(np.minimum.reduceat(component, edges[:-1]) != np.maximum.reduceat(component, edges[:-1]), size)
+                short = np.repeat(size <= LIST_ROWS, size)
+            else:
+                last, seen = key[0], seen if last == key[0] else 0
+                at, keep, short = at + seen, np.ones(len(key), bool), np.zeros(len(key), bool)
+                seen += len(key)
+            out = pa.table([t.column(0), t.column(2), pa.array(at // LIST_ROWS, mask=short)], names=["key", "node", "block"])
+            yield from out.filter(pa.array(keep)).to_batches()
 
     def pairs_of(n, node, bits, edges, apart):
         """Pairs of rows (by size) of one run that differ in every column of apart and may be at the bound."""
@@ -221,26 +222,13 @@ def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
             i = i[_may_be(n, bits, i, i + gap, least)]
             found.append(np.stack([np.minimum(node[i], node[i + gap]), np.maximum(node[i], node[i + gap])], 1))
         pairs = np.unique(np.concatenate([*found, np.zeros((0, 2), np.int64)]), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *[pa.nulls(len(pairs), pa.int64())] * 2], names=["a", "b", "key", "block"])
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def listed(batches):
-        """Rows (key, n, node, component, bits) in order: pairs, and the rows of lists that are too long."""
-        last, seen = None, 0
-        for t, whole in whole_runs(batches, 1, STREAM_ROWS):
+        """Rows (key, n, node, component, bits) in order: pairs."""
+        for t, _ in whole_runs(batches, 1, STREAM_ROWS):
             key, n, node, component = (t.column(k).to_numpy() for k in range(4))
-            edges = bounds([key])
-            if last != key[0]:
-                last, seen = key[0], 0
-            many = np.diff(edges) > LIST_ROWS
-            for k in np.flatnonzero(many) if whole else [0]:
-                a, z = (edges[k], edges[k + 1]) if whole else (0, len(key))
-                block = (np.arange(z - a) + (0 if whole else seen)) // LIST_ROWS
-                yield pa.RecordBatch.from_arrays([pa.array(node[a:z]), pa.nulls(z - a, pa.int64()), pa.array(key[a:z]), pa.array(block)], names=["a", "b", "key", "block"])
-            seen += len(key)
-            if whole and not many.all():
-                short = np.repeat(~many, np.diff(edges))
-                bits = _bitmaps(t.filter(pa.array(short)), 4)
-                yield pairs_of(n[short], node[short], bits, bounds([key[short]]), [component[short]])
+            yield pairs_of(n, node, _bitmaps(t, 4), bounds([key]), [component])
 
     def cells(batches):
         """Rows (key, low, high, n, node, component, block, bits) in order: pairs."""
@@ -249,18 +237,24 @@ def candidates(placed: DataFrame, least: tuple[int, int]) -> DataFrame:
             turn = np.where(low == high, np.arange(len(n)), block)  # between two blocks only pairs across
             yield pairs_of(n, node, _bitmaps(t, 7), bounds([key, low, high]), [component, turn])
 
-    kind = "a long, b long, key long, block long"
     keyed = placed.select("component", "node", F.explode("prefix").alias("key")).select("key", "component", "node")
-    some = materialize(keyed.repartition("key").sortWithinPartitions("key", "component").mapInArrow(open_rows, "key long, node long"), "open")
+    some = materialize(keyed.repartition("key").sortWithinPartitions("key", "component").mapInArrow(open_rows, "key long, node long, block long"), "open")
     facts = placed.select("node", "n", "component", "bits")
-    wide = some.join(facts, "node").select("key", "n", "node", "component", "bits")
-    found = materialize(wide.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(listed, kind), "pairs")
-    hot = found.filter("key is not null").select("key", "block", F.col("a").alias("node"))
-    blocks = hot.groupBy("key").agg(F.max("block").alias("last"))
-    split = hot.join(blocks, "key").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))).join(facts, "node")
-    split = split.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n", "node", "component", "block", "bits")
-    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, kind)
-    return found.filter("key is null").select("a", "b").union(far.select("a", "b"))
+    short = some.filter("block is null").join(facts, "node").select("key", "n", "node", "component", "bits")
+    near = short.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(listed, "a long, b long")
+    hot = some.filter("block is not null")
+    if hot.isEmpty():
+        return near
+    # blocks are cut in order of components: two blocks of one and the same component have nothing to compare
+    hot = materialize(hot.join(facts.select("node", "component"), "node"), "hot")
+    blocks = materialize(hot.groupBy("key", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "blocks")
+    one, two = (blocks.select("key", F.col("block").alias(n), F.col("lo").alias(f"{n}_lo"), F.col("hi").alias(f"{n}_hi")) for n in ("low", "high"))
+    same = (F.col("low_lo") == F.col("low_hi")) & (F.col("high_lo") == F.col("high_hi")) & (F.col("low_lo") == F.col("high_lo"))
+    meet = one.join(two, "key").filter((F.col("low") <= F.col("high")) & ~same).select("key", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    split = hot.select("key", "block", "node").join(materialize(meet, "cells"), ["key", "block"]).join(facts, "node")
+    split = split.select("key", "low", "high", "n", "node", "component", "block", "bits")
+    far = split.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInArrow(cells, "a long, b long")
+    return near.union(far)
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
