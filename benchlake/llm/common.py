@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from benchlake.session import materialize, release, scratch_dir
 
-__all__ = ["BATCH_BYTES", "NULL_ID", "key", "keyed_texts", "materialize", "release", "scratch_dir", "table", "texts", "tuned", "unkey"]
+__all__ = ["BATCH_BYTES", "NULL_ID", "draw_seed", "key", "keyed_draws", "keyed_texts", "materialize", "release", "scratch_dir", "table", "texts", "tuned", "unkey"]
 
 NULL_ID = -(2**63) + 1
 #: Bytes of one Arrow batch handed to Python: bounds a worker's memory where texts are long.
@@ -49,3 +49,13 @@ def texts(docs: DataFrame, key_column: str = "doc_id", text_column: str = "text"
 def keyed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, row, text): doc_id and row, a hash of the text, tell rows apart where a doc_id repeats."""
     return texts(docs).select("doc_id", F.xxhash64("text").alias("row"), "text")
+
+
+def draw_seed(seed: int, doc_id: Column) -> Column:
+    """``seed:doc_id``, what a document's keyed draws are made from; a null doc_id reads ``null``."""
+    return F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+
+
+def keyed_draws(text: Column, n: int) -> list[Column]:
+    """n numbers below 2^32: the groups of eight digits of the SHA-256 of a text."""
+    return [F.conv(F.substring(F.sha2(text, 256), 8 * k + 1, 8), 16, 10).cast("long").alias(f"h{k + 1}") for k in range(n)]
