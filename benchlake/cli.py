@@ -1,6 +1,6 @@
 """Command line: ``python -m benchlake.cli --store DIR <report> ...`` prints Markdown.
 
-``regression`` exits with 1 if any gate fails, ``compare-records`` with 3 if the tag policy is violated
+``regression`` exits with 1 if any gate fails, ``identity`` with 1 if headers or full records differ, ``compare-records`` with 3 if the tag policy is violated
 (the report is printed first).
 """
 
@@ -30,8 +30,8 @@ def _ladder(spark: SparkSession, labels: str) -> DataFrame:
     return spark.createDataFrame([(x, k) for k, x in enumerate(labels.split(",")) if x], "label string, rank long")
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    return alignments.bam(spark, path) if path.endswith(".bam") else alignments.sam(spark, path)
+def _records(spark: SparkSession, path: str, fields: str = "core") -> DataFrame:
+    return alignments.bam(spark, path, fields=fields) if path.endswith(".bam") else alignments.sam(spark, path, fields)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -63,11 +63,16 @@ def parser() -> argparse.ArgumentParser:
     add("speedup", "sha", "baseline", third="")
     add("release-speedup", "sha", "arch", baseline_label="baseline", ladder="")
     add("results", "sha", "version", "out", ledger="", ladder="", force="")
+    add("identity", "query", "baseline")
     for name in ("compare-records", "tag-census"):
         add(name, "query", "baseline", ignore_tags="", expect_tags="", absent_ok_tags="", mapq_tolerance="0", confident_mapq="20", relocation_bp="10", out="", label="", no_tag_guard="")
     return p
 
 
+def _width(a: argparse.Namespace) -> int | None:
+    return alignments.WIDTH if a.query.endswith(".bam") and a.baseline.endswith(".bam") else None
+
+
 def _options(a: argparse.Namespace) -> CompareOptions:
     tags = lambda s: frozenset(t for t in s.split(",") if t)
     return CompareOptions(tags(a.ignore_tags), tags(a.expect_tags), tags(a.absent_ok_tags), int(a.mapq_tolerance), int(a.confident_mapq), int(a.relocation_bp), tag_guard=not a.no_tag_guard)
@@ -79,15 +84,23 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     say = lambda df: print(md(df))
     if a.command in ("compare-records", "tag-census"):
         q, b, opts = _records(spark, a.query), _records(spark, a.baseline), _options(a)
+        width = _width(a)
         if a.command == "tag-census":
-            say(concordance.census(concordance.primary_pairs(concordance.lockstep(q, b)), opts))
+            say(concordance.census(concordance.primary_pairs(concordance.lockstep(q, b, width)), opts))
             return 0
-        report = json.loads(concordance.compare(q, b, opts).toJSON().first()) | ({"label": a.label} if a.label else {})
+        report = json.loads(concordance.compare(q, b, opts, width=width).toJSON().first()) | ({"label": a.label} if a.label else {})
         text = json.dumps(report, sort_keys=True)
         if a.out:  # before the guard's exit
             Path(a.out).write_text(text + "\n")
         print(text)
         return 3 if report.get("violations") else 0
+    if a.command == "identity":
+        header = concordance.header_differences(alignments.header(spark, a.query), alignments.header(spark, a.baseline))
+        row = concordance.record_identity(_records(spark, a.query, "full"), _records(spark, a.baseline, "full"), _width(a))
+        known = row.first()
+        say(header)
+        say(row)
+        return 0 if known.identical and header.isEmpty() else 1
     if a.command == "results-render":
         print("\n".join(map(str, rerender(Path(a.root)))))
         return 0

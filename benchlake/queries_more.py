@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.functions import labels as L
+from benchlake.functions import records as R
 from benchlake.operators import concordance as C
 from benchlake.operators import sets
 from benchlake.plans import gates, perf, schedule, verdict
-from benchlake.queries import _ACC, _CMP, _E, _REG, _S, _T, _registry, query, rounded, table, v_accuracy, v_comparisons, v_records, v_scaling, v_trials
+from benchlake.queries import _ACC, _CMP, _E, _PLACE, _REG, _S, _T, _registry, query, rounded, table, v_accuracy, v_comparisons, v_records, v_scaling, v_trials
 from benchlake.session import scratch_dir
 from benchlake.sources import artifacts, dimensions
 
@@ -98,6 +99,46 @@ def greedy_pairing(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("name", "class", "query_total", "baseline_total", "matched", "unmatched", "content_diffs")
 
 
+_FOLD = """np AS (SELECT *, CASE WHEN flags & 2048 <> 0 THEN 'supplementary' ELSE 'secondary' END AS "class", flags & 192 AS e2, flags & 16 AS rev,
+  CASE WHEN flags & 4 <> 0 THEN concat_ws('|', flags, nm, coalesce(CAST(xa AS VARCHAR), '-')) ELSE concat_ws('|', flags, nm, coalesce(CAST(xa AS VARCHAR), '-'), clip, mapq) END AS sig FROM rec WHERE flags & 2304 <> 0),
+npl AS (SELECT name, "class", e2, ref_id, pos, rev, list(sig ORDER BY idx) FILTER (q) AS qs, list(sig ORDER BY idx) FILTER (NOT q) AS bs FROM np GROUP BY ALL),
+fold AS (SELECT name, "class", coalesce(qs, []) AS qs, coalesce(bs, []) AS rest, 0 AS matched, []::VARCHAR[][] AS other, coalesce(len(qs), 0) AS nq, coalesce(len(bs), 0) AS nb, e2, ref_id, pos, rev FROM npl
+  UNION ALL SELECT name, "class", qs[2:], list_concat(rest[:p - 1], rest[p + 1:]), matched + CASE WHEN len(rest) > 0 THEN 1 ELSE 0 END, CASE WHEN len(rest) > 0 AND rest[p] <> qs[1] THEN list_append(other, [qs[1], rest[p]]) ELSE other END, nq, nb, e2, ref_id, pos, rev
+  FROM (SELECT *, coalesce(nullif(list_position(rest, qs[1]), 0), 1) AS p FROM fold WHERE len(qs) > 0)),
+done AS (SELECT * FROM fold WHERE len(qs) = 0),
+tl AS (SELECT name, "class", sum(nq) AS nq, sum(nb) AS nb FROM done GROUP BY ALL),
+sums AS (SELECT "class", sum(nq)::DOUBLE AS query_total, sum(nb)::DOUBLE AS baseline_total, sum(matched)::DOUBLE AS matched, sum(nq - matched + len(rest))::DOUBLE AS unmatched, sum(len(other))::DOUBLE AS content_diffs,
+  (SELECT count(*) FROM tl WHERE tl."class" = done."class" AND tl.nq <> tl.nb)::DOUBLE AS mismatch FROM done GROUP BY "class"),
+op AS (SELECT "class", string_split(o[1], '|') AS a, string_split(o[2], '|') AS b FROM (SELECT "class", unnest(other) AS o FROM done)),
+oc AS (SELECT "class", unnest(CASE WHEN len(a) > len(b) THEN ['mapped_only_query'] WHEN len(a) < len(b) THEN ['mapped_only_baseline']
+  ELSE list_filter([CASE WHEN a[1] <> b[1] THEN 'flag_diff' END, CASE WHEN a[2:3] <> b[2:3] THEN 'tag_diff' END, CASE WHEN a[4] <> b[4] THEN 'cigar_diff' END, CASE WHEN a[5] <> b[5] THEN 'mapq_diff' END], lambda z: z IS NOT NULL) END) AS d FROM op)"""
+
+
+@query(f"""WITH RECURSIVE {_E}, {_PLACE}, {_FOLD},
+total AS (SELECT (SELECT count(DISTINCT name) FROM rec)::DOUBLE AS total_templates, count(*)::DOUBLE AS total_reads, count(*) FILTER (len(diffs) = 0)::DOUBLE AS concordant FROM cl),
+cs AS (SELECT u."class", count(*)::DOUBLE AS n FROM (SELECT unnest(list_distinct(diffs)) AS "class" FROM cl) u GROUP BY ALL),
+dt AS (SELECT tag, count(*) FILTER (how = 'v') AS value_diff, count(*) FILTER (how = 'q') AS query_only, count(*) FILTER (how = 'b') AS baseline_only FROM
+(SELECT 'NM' AS tag, CASE WHEN x.nm <> y.nm THEN 'v' END AS how FROM cl WHERE pair AND qm = bm UNION ALL SELECT 'XA', CASE WHEN x.xa IS NULL AND y.xa IS NOT NULL THEN 'b' WHEN y.xa IS NULL AND x.xa IS NOT NULL THEN 'q' WHEN x.xa <> y.xa THEN 'v' END FROM cl WHERE pair AND qm = bm) GROUP BY tag),
+pn AS (SELECT tag, count(*) FILTER (q) AS query_present, count(*) FILTER (NOT q) AS baseline_present FROM (SELECT 'NM' AS tag, q FROM rec UNION ALL SELECT 'XA', q FROM rec WHERE xa IS NOT NULL) GROUP BY tag),
+tg AS (SELECT tag, value_diff, query_only, baseline_only, query_present, baseline_present, 0 AS ignored FROM pn JOIN dt USING (tag) UNION ALL SELECT 'ZZ', 0, 0, 0, 0, 0, 1),
+np0 AS (SELECT c."class", coalesce(query_total, 0) AS query_total, coalesce(baseline_total, 0) AS baseline_total, coalesce(matched, 0) AS matched, coalesce(unmatched, 0) AS unmatched, coalesce(content_diffs, 0) AS content_diffs, coalesce(mismatch, 0) AS mismatch
+  FROM (VALUES ('supplementary'), ('secondary')) c("class") LEFT JOIN sums USING ("class")),
+ps AS (SELECT s.side, count(outcome) AS n, count(*) FILTER (outcome = 'shifted') AS shifted, count(*) FILTER (outcome = 'relocated') AS relocated FROM (VALUES ('both'), ('query_only'), ('baseline_only')) s(side) LEFT JOIN po ON po.side = s.side GROUP BY s.side),
+un AS (SELECT 'total' AS part, '' AS key, unnest([{{m: 'total_templates', v: total_templates}}, {{m: 'total_reads', v: total_reads}}, {{m: 'concordant', v: concordant}}, {{m: 'concordance_pct', v: concordant / total_reads * 100}}]) AS r FROM total
+UNION ALL SELECT 'class', "class", unnest([{{m: 'count', v: n}}, {{m: 'pct', v: n / total_reads * 100}}]) FROM cs, total
+UNION ALL SELECT 'tag', tag, unnest([{{m: 'value_diff', v: value_diff::DOUBLE}}, {{m: 'query_only', v: query_only::DOUBLE}}, {{m: 'baseline_only', v: baseline_only::DOUBLE}}, {{m: 'query_present', v: query_present::DOUBLE}}, {{m: 'baseline_present', v: baseline_present::DOUBLE}}, {{m: 'ignored', v: ignored::DOUBLE}}]) FROM tg
+UNION ALL SELECT 'non_primary', "class", unnest([{{m: 'query_total', v: query_total}}, {{m: 'baseline_total', v: baseline_total}}, {{m: 'matched', v: matched}}, {{m: 'unmatched', v: unmatched}}, {{m: 'content_diffs', v: content_diffs}}, {{m: 'count_mismatch_templates', v: mismatch}},
+  {{m: 'count_mismatch_pct', v: mismatch / total_templates * 100}}, {{m: 'unmatched_pct', v: coalesce(unmatched / nullif(query_total + baseline_total, 0) * 100, 0)}}]) FROM np0, total
+UNION ALL SELECT 'non_primary', "class", {{m: d, v: count(*)::DOUBLE}} FROM oc GROUP BY "class", d
+UNION ALL SELECT 'placement', side, unnest([{{m: 'confident_reads', v: n::DOUBLE}}, {{m: 'shifted', v: shifted::DOUBLE}}, {{m: 'relocated', v: relocated::DOUBLE}}, {{m: 'relocated_pct', v: relocated / nullif(n, 0)::DOUBLE * 100}}]) FROM ps
+UNION ALL SELECT 'violation', 'XA', {{m: 'unexpected', v: 1.0::DOUBLE}} UNION ALL SELECT 'violation', 'ZZ', {{m: 'dead_ignore', v: 1.0::DOUBLE}} UNION ALL SELECT 'violation', 'YY', {{m: 'redundant_absent_ok', v: 1.0::DOUBLE}})
+SELECT part, key, r.m AS measure, round(r.v, 9) AS "value" FROM un""")
+def compare_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Every part of a comparison report, from one pass over both sides."""
+    opts = R.CompareOptions(expect_tags=frozenset({"NM"}), ignore_tags=frozenset({"ZZ"}), absent_ok_tags=frozenset({"YY"}))
+    return rounded(C.report_rows(C.compare(*v_records(spark, sf), opts, ordered=False)), "value")
+
+
 def _streams(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """All events as one stream, and the same with another mapping quality on every tenth value."""
     q, b = v_records(spark, sf)
@@ -119,6 +160,22 @@ def full_record_identity(spark: SparkSession, sf: str) -> DataFrame:
     return C.identical(*v_records(spark, sf), ["flags", "ref_id", "mapq", "cigar", "tags"])
 
 
+def _full(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """``_streams`` with mates, sequences and qualities; the baseline has other ones here and there."""
+    k, n = F.col("tags")["NM"]["v"].cast("int"), F.col("mapq")
+    mates = {"next_ref": F.col("ref_id"), "next_pos": F.col("pos") + n, "tlen": (n - 30).cast("int"), "seq": F.repeat(F.lit("ACGT"), n % 7 + 1), "qual": F.repeat(F.lit("I"), (n % 7 + 1) * 4)}
+    query, baseline = (f.withColumns(mates) for f in _streams(spark, sf))
+    changed = {"seq": F.when(k == 1, F.concat("seq", F.lit("A"))).otherwise(F.col("seq")), "next_pos": F.when(k == 2, F.lit(None)).otherwise(F.col("next_pos")), "tlen": F.when(k == 3, -F.col("tlen")).otherwise(F.col("tlen"))}
+    return query, baseline.withColumns(changed)
+
+
+@query(f"""WITH {_E}, b AS (SELECT *, CASE WHEN nm = 0 AND mapq % 2 = 0 THEN 1 ELSE 0 END AS up FROM rec)
+SELECT count(*) AS pairs, 0 AS query_only, 0 AS baseline_only, 0 AS name, 0 AS flags, 0 AS ref_id, 0 AS pos, sum(up)::BIGINT AS mapq, 0 AS cigar, 0 AS next_ref, count(*) FILTER (nm = 2 OR up = 1) AS next_pos,
+  count(*) FILTER (up = 1 OR (nm = 3 AND mapq <> 30)) AS tlen, count(*) FILTER (nm = 1 OR up = 1) AS seq, count(*) FILTER (up = 1) AS qual, 0 AS tags, FALSE AS identical FROM b""")
+def record_identity(spark: SparkSession, sf: str) -> DataFrame:
+    return C.record_identity(*_full(spark, sf))
+
+
 # Probes, jobs, listings
 
 

@@ -58,3 +58,19 @@ RECORD = T.StructType(
         T.StructField("tags", TAGS),
     ]
 )
+#: All eleven fields of a record and its tags.
+FULL_RECORD = T.StructType(
+    [
+        *RECORD.fields[:-1],
+        T.StructField("next_ref", T.IntegerType()),
+        T.StructField("next_pos", T.LongType()),
+        T.StructField("tlen", T.IntegerType()),
+        T.StructField("seq", T.StringType()),
+        T.StructField("qual", T.StringType()),
+        RECORD["tags"],
+    ]
+)
+#: A line of a file's header.
+HEADER = T.StructType(
+    [T.StructField("path", T.StringType()), T.StructField("line", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("fields", T.MapType(T.StringType(), T.StringType()))]
+)

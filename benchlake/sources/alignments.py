@@ -1,301 +1,61 @@
 """Alignment records from SAM text and BAM files.
 
-SAM is lines, so Spark splits it. BAM has no built-in reader: a Python data source decodes it. A BAM file
-is a chain of compressed blocks of at most 64 KB, so a file is cut into byte ranges, one task each. A range
-starts at the first block that begins in it (a block's header holds its length, so a block that is followed
-by further ones is no chance) and there at the first place from which a chain of records can be read; it
-holds the records that begin in its blocks. ``idx`` is a record's place: the offset of its block over all
-files, then the offset in the block. It grows with the file order and is no count.
+SAM is lines, so Spark splits it. BAM has no built-in reader: ``bam.py`` is a Python data source for it. ``idx`` grows
+with the file order in both, and is no count.
 """
 
 from __future__ import annotations
 
-import struct
-import zlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from benchlake.schemas import RECORD
+from benchlake.sources.bam import BamDataSource
 
-# Codes of the BAM format.
-CIGAR_OPS = "MIDNSHP=X"
-TAG_TYPES = {"A": "Char", "Z": "Str", "H": "Hex", "f": "Float", "i": "Int", "B": "Other"} | dict.fromkeys("cCsSI", "Int")
-_NUMBERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}
-_REPR = "idx long, name string, flags int, ref_id int, pos long, mapq int, cigar array<struct<op: string, len: int>>, tags map<string, struct<t: string, v: string>>"
+#: Record numbers for one range of ``concordance.ordinals``: 16 MB of a BAM file.
+WIDTH = 1 << 40
 
 
-def sam(spark: SparkSession, path: str) -> DataFrame:
+def sam(spark: SparkSession, path: str, fields: str = "core") -> DataFrame:
     """Records of a SAM text file. References are numbered by @SQ order; a missing name raises. The
-    ordinal is the line's place: byte order within and across splits of one file."""
-    raw = spark.read.text(path)
-    lines = raw.select("value", F.col("_metadata.file_block_start").alias("block")).withColumn("at", F.monotonically_increasing_id())
+    ordinal is the line's place: byte order within and across splits of one file. ``fields``: core or full."""
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
     head = lines.filter(F.col("value").startswith("@SQ\t")).select("at", F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("ref"))
     refs = head.select("ref", (F.row_number().over(Window.orderBy("at")) - 1).alias("ref_id"))  # the header: a reference dictionary
     f = lines.filter(~F.col("value").startswith("@") & (F.col("value") != "")).select("at", F.split("value", "\t").alias("f")).withColumn("ref", F.get("f", F.lit(2))).join(refs, "ref", "left")
     get = lambda k: F.get("f", F.lit(k))
     name = F.when((get(0) == "") | (get(0) == "*"), F.raise_error(F.lit("a record has no name"))).otherwise(get(0))
-    ops = F.transform(F.regexp_extract_all(get(5), F.lit(r"(\d+[MIDNSHP=X])"), 1), lambda x: F.struct(F.right(x, F.lit(1)).alias("op"), F.expr("1").alias("len").cast("int")).withField("len", F.regexp_extract(x, r"^(\d+)", 1).cast("int")))
+    ops = F.transform(F.regexp_extract_all(get(5), F.lit(r"(\d+[MIDNSHP=X])"), 1), lambda x: F.struct(F.right(x, F.lit(1)).alias("op"), F.regexp_extract(x, r"^(\d+)", 1).cast("int").alias("len")))
     kind = lambda x: F.when(F.split(x, ":")[1] == "i", "Int").when(F.split(x, ":")[1] == "f", "Float").when(F.split(x, ":")[1] == "Z", "Str").when(F.split(x, ":")[1] == "H", "Hex").when(F.split(x, ":")[1] == "A", "Char").otherwise("Other")
     tags = F.map_from_entries(F.transform(F.slice("f", F.lit(12), F.size("f")), lambda x: F.struct(F.substring(x, 1, 2), F.struct(kind(x).alias("t"), F.substring(x, 6, 2**31 - 1).alias("v")))))
-    return f.select(
+    core = f.select(
         F.col("at").alias("idx"), name.alias("name"), get(1).cast("int").alias("flags"), F.col("ref_id").cast("int").alias("ref_id"), F.nullif(get(3).cast("long"), F.lit(0).cast("long")).alias("pos"),
-        F.nullif(get(4).cast("int"), F.lit(255)).alias("mapq"), ops.alias("cigar"), tags.alias("tags"),
-    )
-
-
-def inflate(raw: Iterator[bytes]) -> Iterator[bytes]:
-    """The bytes of a BGZF stream: a chain of gzip members."""
-    z = zlib.decompressobj(31)
-    for chunk in raw:
-        while chunk:
-            out = z.decompress(chunk)
-            if out:
-                yield out
-            chunk = z.unused_data
-            if z.eof:
-                z = zlib.decompressobj(31)
-            else:
-                break
-
-
-class _Bytes:
-    def __init__(self, chunks: Iterator[bytes]):
-        self.chunks, self.data, self.at = chunks, b"", 0
-
-    def read(self, n: int) -> bytes:
-        while len(self.data) - self.at < n:
-            more = next(self.chunks, None)
-            if more is None:
-                break
-            self.data, self.at = self.data[self.at :] + more, 0
-        out = self.data[self.at : self.at + n]
-        self.at += n
-        return out
-
-
-def _tags(data: bytes, at: int) -> dict[str, tuple[str, str]]:
-    out = {}
-    while at < len(data):
-        name, code = data[at : at + 2].decode(), chr(data[at + 2])
-        at += 3
-        if code in _NUMBERS:
-            (value,) = struct.unpack_from(_NUMBERS[code], data, at)
-            at += struct.calcsize(_NUMBERS[code])
-            text = repr(value)
-        elif code == "A":
-            text, at = chr(data[at]), at + 1
-        elif code in "ZH":
-            end = data.index(0, at)
-            text, at = data[at:end].decode(), end + 1
-        else:
-            sub, n = chr(data[at]), struct.unpack_from("<i", data, at + 1)[0]
-            values = struct.unpack_from(f"<{n}{_NUMBERS[sub][1]}", data, at + 5)
-            text, at = ",".join([sub, *map(repr, values)]), at + 5 + n * struct.calcsize(_NUMBERS[sub])
-        out[name] = (TAG_TYPES[code], text)
-    return out
-
-
-def _header(s: _Bytes) -> int:
-    """Reads a header; how many references it names."""
-    if s.read(4) != b"BAM\1":
-        raise ValueError("not a BAM stream")
-    s.read(struct.unpack("<i", s.read(4))[0])
-    (n,) = struct.unpack("<i", s.read(4))
-    for _ in range(n):
-        s.read(struct.unpack("<i", s.read(4))[0] + 4)
-    return n
-
-
-def _record(data: bytes) -> tuple:
-    """A record's fields in the order of the record schema, without idx."""
-    ref, pos, l_name, mapq, _, n_ops, flags, l_seq = struct.unpack_from("<iiBBHHHi", data)
-    name = data[32 : 32 + l_name - 1].decode()
-    if not name or name == "*":
-        raise ValueError("a record has no name")
-    at = 32 + l_name
-    ops = struct.unpack_from(f"<{n_ops}I", data, at)
-    at += 4 * n_ops + (l_seq + 1) // 2 + l_seq
-    return name, flags, None if ref < 0 else ref, None if pos < 0 else pos + 1, None if mapq == 255 else mapq, [(CIGAR_OPS[o & 15], o >> 4) for o in ops], _tags(data, at)
-
-
-def decode(chunks: Iterator[bytes]) -> Iterator[tuple]:
-    """Records of a decompressed BAM stream from its start, numbered from 0."""
-    s = _Bytes(chunks)
-    _header(s)
-    idx = 0
-    while head := s.read(4):
-        yield idx, *_record(s.read(struct.unpack("<i", head)[0]))
-        idx += 1
-
-
-def _block_size(head: bytes) -> int:
-    """The length of the block whose first 18 bytes these are; 0 if they start none."""
-    return struct.unpack_from("<H", head, 16)[0] + 1 if len(head) >= 18 and head[:4] == b"\x1f\x8b\x08\x04" and head[12:16] == b"BC\x02\0" else 0
-
-
-def _first_block(f, start: int, end: int, size: int) -> int:
-    """The offset of the first block that begins at start or later and before end; end if none does."""
-    f.seek(start)
-    data = f.read(min(size, end + (1 << 17)) - start)
-    at = -1
-    while 0 <= (at := data.find(b"\x1f\x8b\x08\x04", at + 1)) < end - start:
-        n = _block_size(data[at : at + 18])
-        if n and (start + at + n == size or _block_size(data[at + n : at + n + 18])):
-            return start + at
-    return end
-
-
-def _blocks(f, at: int, size: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, bytes) of the blocks from an offset on."""
-    while at < size:
-        f.seek(at)
-        n = _block_size(f.read(18))
-        if not n:
-            raise ValueError(f"no block at byte {at}")
-        f.seek(at)
-        yield at, zlib.decompress(f.read(n), 31)
-        at += n
-
-
-def _sound(data: bytes, at: int, refs: int) -> int:
-    """The length of what can be a record at this place, 0 if nothing can, -1 if the data ends before that can
-    be told."""
-    if len(data) - at < 36:
-        return -1
-    size, ref, pos, l_name, _, _, n_ops, _, l_seq, next_ref, next_pos = struct.unpack_from("<iiiBBHHHiii", data, at)
-    if not 34 <= size < 1 << 28 or not -1 <= ref < refs or not -1 <= next_ref < refs or pos < -1 or next_pos < -1 or l_name < 2 or l_seq < 0:
-        return 0
-    if 32 + l_name + 4 * n_ops + (l_seq + 1) // 2 + l_seq > size:
-        return 0
-    name = data[at + 36 : at + 36 + l_name]
-    if len(name) < l_name:
-        return -1
-    return size + 4 if name[-1] == 0 and all(33 <= c <= 126 for c in name[:-1]) else 0
-
-
-def _first_record(data: bytes, refs: int, least: int = 8) -> int:
-    """The first place from which ``least`` records, or as many as the data holds, follow each other; -1 if there
-    is none."""
-    for at in range(len(data)):
-        k, z = 0, at
-        while k < least and (n := _sound(data, z, refs)) > 0 and z + n <= len(data):
-            z, k = z + n, k + 1
-        if k and (k == least or n):  # enough of them, or the last one only reaches beyond the data
-            return at
-        if not k and n == -1 and at == 0:
-            return -1
-    return -1
-
-
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int, size: int, refs: int, first: tuple[int, int], base: int):
-        self.path, self.start, self.end, self.size, self.refs, self.first, self.base = path, start, end, size, refs, first, base
-
-
-def _opened(path: str):
-    from pyarrow import fs
-
-    source, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return source.open_input_file(inner)
-
-
-class BamReader(DataSourceReader):
-    def __init__(self, paths: list[str], batch: int, split: int):
-        self.paths, self.batch, self.split = paths, batch, split
-
-    def partitions(self):
-        """Byte ranges of all files. Of a file only the header is read here."""
-        out, base, last = [], 0, (0, b"")
-
-        def chunks(f, size):
-            nonlocal last
-            for last in _blocks(f, 0, size):
-                yield last[1]
-
-        for path in self.paths:
-            with _opened(path) as f:
-                size = f.size()
-                s = _Bytes(chunks(f, size))
-                refs = _header(s)
-                # where records begin: in the block read last, after what of it belongs to the header
-                first = last[0], len(last[1]) - (len(s.data) - s.at)
-            out += [_Range(path, a, min(a + self.split, size), size, refs, first, base) for a in range(0, size, self.split)]
-            base += size
-        return out
-
-    def records(self, p: _Range) -> Iterator[tuple]:
-        with _opened(p.path) as f:
-            known = p.start <= p.first[0]
-            start = p.first[0] if known else _first_block(f, p.start, p.end, p.size)
-            if start >= p.end:
-                return
-            blocks = _blocks(f, start, p.size)
-            # the bytes at hand, and for each block in them (its place in the bytes, its offset)
-            data, at, places, done = b"", p.first[1] if known else 0, [], False
-            while True:
-                if known:
-                    while len(data) - at >= 4 and len(data) - at - 4 >= (n := struct.unpack_from("<i", data, at)[0]):
-                        while len(places) > 1 and places[1][0] <= at:
-                            places.pop(0)
-                        if places[0][1] >= p.end:
-                            return
-                        yield (p.base + places[0][1]) << 16 | at - places[0][0], *_record(data[at + 4 : at + 4 + n])
-                        at += 4 + n
-                    while len(places) > 1 and places[1][0] <= at:
-                        places.pop(0)
-                    if done or (places and places[0][1] >= p.end):
-                        return
-                    if at <= len(data):
-                        places = [(k - at, o) for k, o in places]
-                        data, at = data[at:], 0
-                more = next(blocks, None)
-                done = more is None
-                if more is not None:
-                    places.append((len(data), more[0]))
-                    data += more[1]
-                if not known and (done or len(data) >= 1 << 18):
-                    at = _first_record(data, p.refs)
-                    if at < 0:
-                        if done:
-                            return
-                        continue
-                    known = True
-
-    def read(self, partition):
-        schema = pa.schema(
-            [("idx", pa.int64()), ("name", pa.string()), ("flags", pa.int32()), ("ref_id", pa.int32()), ("pos", pa.int64()), ("mapq", pa.int32()), ("cigar", pa.list_(pa.struct([("op", pa.string()), ("len", pa.int32())]))), ("tags", pa.map_(pa.string(), pa.struct([("t", pa.string()), ("v", pa.string())])))]
-        )
-        rows: list[tuple] = []
-        for r in self.records(partition):
-            rows.append((*r[:6], [{"op": o, "len": n} for o, n in r[6]], [(k, {"t": t, "v": v}) for k, (t, v) in r[7].items()]))
-            if len(rows) == self.batch:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f_.type) for c, f_ in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f_.type) for c, f_ in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-
-class BamDataSource(DataSource):
-    """``spark.read.format("bam").option("path", "a.bam,b.bam").load()``"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "bam"
-
-    def schema(self):
-        return RECORD
-
-    def reader(self, schema) -> BamReader:
-        return BamReader(self.options["path"].split(","), int(self.options.get("batch", "4096")), int(self.options.get("split", str(64 << 20))))
+        F.nullif(get(4).cast("int"), F.lit(255)).alias("mapq"), ops.alias("cigar"), tags.alias("tags"), "f", F.col("ref_id").alias("own"),
+    )
+    if fields == "core":
+        return core.drop("f", "own")
+    text = lambda k: F.nullif(get(k), F.lit("*"))
+    mates = core.withColumn("ref", F.when(get(6) != "=", get(6))).join(refs.withColumnRenamed("ref_id", "mate"), "ref", "left")
+    return mates.select(
+        *("idx", "name", "flags", "ref_id", "pos", "mapq", "cigar"), F.when(get(6) == "=", F.col("own")).otherwise(F.col("mate")).cast("int").alias("next_ref"), F.nullif(get(7).cast("long"), F.lit(0).cast("long")).alias("next_pos"),
+        get(8).cast("int").alias("tlen"), text(9).alias("seq"), text(10).alias("qual"), "tags",
+    )
+
+
+def bam(spark: SparkSession, path: str, split: int = 64 << 20, fields: str = "core") -> DataFrame:
+    """Records of BAM files (paths with commas); ``fields`` as in the data source."""
+    spark.dataSource.register(BamDataSource)
+    return spark.read.format("bam").option("path", path).option("split", str(split)).option("fields", fields).load()
 
 
-def bam(spark: SparkSession, path: str, split: int = 64 << 20) -> DataFrame:
-    spark.dataSource.register(BamDataSource)
-    return spark.read.format("bam").option("path", path).option("split", str(split)).load()
+def header(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line, kind, fields) of a header's lines; of a BAM file also of its binary dictionary (kind ``ref``)."""
+    if path.endswith(".bam"):
+        return bam(spark, path, fields="header")
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).filter(F.col("value").startswith("@"))
+    pairs = F.transform(F.slice(F.split("value", "\t"), 2, F.size(F.split("value", "\t"))), lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, 4, 2**31 - 1)))
+    fields = F.when(F.col("value").startswith("@CO"), F.create_map(F.lit(""), F.expr("substring(value, 5)"))).otherwise(F.map_from_entries(pairs))
+    number = F.row_number().over(Window.orderBy("at")) - 1  # a header's lines
+    return lines.select(F.lit(path).alias("path"), number.cast("int").alias("line"), F.regexp_extract("value", "^@([A-Z]+)", 1).alias("kind"), fields.alias("fields"))
 
 
-__all__ = ["_REPR", "BamDataSource", "bam", "decode", "inflate", "sam"]
+__all__ = ["BamDataSource", "WIDTH", "bam", "header", "sam"]
