@@ -2,6 +2,7 @@
 repeated rows and ids, ties, empty tables, columns with clashing names."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -215,6 +216,43 @@ def test_stretches_equal_whole_texts(spark):
         assert np.frombuffer(b"".join(own.encode(t)), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_merges_equal_the_library():
+    """Every token of the list spells itself by the listed pairs, and stretches get the library's ids."""
+    path = public_tokenizers.path(token_file.TOKENIZER)
+    model = json.load(open(path, encoding="utf-8"))["model"]
+    rank = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): k for k, m in enumerate(model["merges"])}
+
+    def by_pairs(parts):
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), 1 << 30))
+            if (parts[best], parts[best + 1]) not in rank:
+                break
+            parts[best : best + 2] = ["".join(parts[best : best + 2])]
+        return parts
+
+    for t in model["vocab"]:
+        if not t.startswith("<|"):
+            body = t.removesuffix("</w>") or t
+            assert by_pairs([*body[:-1], body[-1] + ("</w>" if t != body else "")]) == [t]
+    own = token_file.Ids(path)
+    assert own.merges
+    rng = random.Random(8)
+    syllables = ["the", "ing", "tion", "an", "é", "ü", "S", "qu", "x", "ß", "Ÿ", "ſ", "'s", "'LL", "!!", "12", "-", "_", "€", "ñ", "ŉ", "'", "\x01", "\x7f"]
+    for _ in range(20000):
+        t = "".join(rng.choices(syllables, k=rng.randint(1, 7)))
+        assert np.frombuffer(own._ids(t.encode()), "<u4").tolist() == own.library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_files_of_another_make_are_run_by_the_library(tmp_path):
+    known = json.load(open(public_tokenizers.path(token_file.TOKENIZER), encoding="utf-8"))
+    known["normalizer"]["normalizers"].pop()  # keeps case
+    (tmp_path / "t.json").write_text(json.dumps(known), encoding="utf-8")
+    own = token_file.Ids(str(tmp_path / "t.json"))
+    assert own.merges is None
+    t = "Two Words"
+    assert np.frombuffer(b"".join(own.encode(t)), "<u4").tolist() == Tokenizer.from_file(str(tmp_path / "t.json")).encode(t, add_special_tokens=False).ids
+
+
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 1 << 17), st.integers(0, (1 << 32) - 1)), max_size=300))
 def test_codes_give_any_token(ids):
     codes = token_file.Codes(token_file.pack_codes(np.array(ids, "<u4")))
