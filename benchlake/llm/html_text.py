@@ -38,6 +38,12 @@ FURNITURE = frozenset("ad ads adbox advert adverts advertisement advertising ban
 HEADING = frozenset("header hero byline".split())
 #: Of these, words that name parts of articles as well: inside one they only count a little.
 AMBIGUOUS = frozenset("feedback flash message meta rail respond response tags warning widget widgets".split())
+#: Words that class names put beside those to name a part of a page. A name with any other word in it ("share-price",
+#: "related-work") speaks of a subject: weak evidence, and next to none inside an article.
+STRUCTURE = frozenset(
+    "a area articles bar block blocks body bottom box button buttons by center column container content count fixed global group header holder icon icons inline inner is item items js label left link links list lists main mobile module nav new outer page panel "
+    "post posts primary right row secondary section sections site slot small stories sticky story text title to top unit up us wrap wrapper".split()
+)
 CONTENT = frozenset("article body content entry main maincontent post prose story text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>?", re.S)
@@ -50,6 +56,8 @@ _SENTENCE = re.compile(r"[.!?;:。！？]")
 TAG_WEIGHTS = {"article": 3.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "header": -6.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "search": -9.0, "button": -9.0, "select": -9.0, "label": -6.0, "fieldset": -9.0, "head": -20.0, "table": -0.3, "ul": -0.3, "ol": -0.3}
 OWN_WEIGHTS = {"p": 1.0, "h1": 1.5, "h2": 0.8, "h3": 0.6, "h4": 0.4, "h5": 0.3, "h6": 0.3, "blockquote": 0.8, "pre": 0.8, "li": -0.2, "td": 0.1, "div": -0.5, "body": -1.0}
 FURNITURE_WEIGHT, AMBIGUOUS_WEIGHT, CONTENT_WEIGHT, HIDDEN_WEIGHT, LINK_WEIGHT = -9.0, -1.5, 1.5, -20.0, -4.0
+#: Inside an article links are references, and a name that speaks of a subject says little; outside it says more.
+INNER_LINK_WEIGHT, SUBJECT_WEIGHT, OUTER_SUBJECT_WEIGHT = -1.5, -0.5, -3.0
 ADJACENT, SIBLINGS = 0.8, 0.4
 #: From so many steps in the DOM tree on, the capacity between neighbours falls no further.
 FAR = 40
@@ -59,7 +67,7 @@ _UNIT = 1000  # capacities are whole thousandths
 class Node:
     """An open element: its tag, its depth, and what it and the elements around it say of its text."""
 
-    __slots__ = ("tag", "parent", "depth", "weight", "inside")
+    __slots__ = ("tag", "parent", "depth", "weight", "inside", "home")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
@@ -72,18 +80,23 @@ class Node:
         for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id", "role"):
-                words = set(_WORDS.findall(value))
-                if around or words & CONTENT:
-                    words -= HEADING  # of the article, not of the site
-                named = words & FURNITURE
-                if named and tag not in ("html", "body", "article", "main"):
-                    own = min(own, AMBIGUOUS_WEIGHT if self.inside and named <= AMBIGUOUS else FURNITURE_WEIGHT)
-                good = good or bool(words & CONTENT)
+                for words in map(set, map(_WORDS.findall, value.split())):
+                    if around or words & CONTENT:
+                        words -= HEADING  # of the article, not of the site
+                    named = words & FURNITURE
+                    if named and tag not in ("html", "body", "article", "main"):
+                        if not words <= FURNITURE | STRUCTURE:
+                            own = min(own, SUBJECT_WEIGHT if self.inside else OUTER_SUBJECT_WEIGHT)
+                        else:
+                            own = min(own, AMBIGUOUS_WEIGHT if self.inside and named <= AMBIGUOUS else FURNITURE_WEIGHT)
+                    good = good or bool(words & CONTENT)
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 own = HIDDEN_WEIGHT
         if good and own >= 0 and not self.inside:
             own += CONTENT_WEIGHT
         self.weight = own + (parent.weight if parent else 0.0)
+        # the element that text in here belongs to: past inline elements that say nothing
+        self.home = self if tag in BLOCK_TAGS or not parent or self.weight != parent.weight else parent.home
 
 
 class Block:
@@ -106,10 +119,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                node = stack[-1]
-                while node.tag not in BLOCK_TAGS and node.parent and node.weight == node.parent.weight:
-                    node = node.parent
-                out.append(Block(node, text, min(1.0, linked / len(text))))
+                out.append(Block(stack[-1].home, text, min(1.0, linked / len(text))))
             parts.clear()
         linked = 0
 
@@ -182,7 +192,7 @@ def blocks(page: str) -> list[Block]:
 def log_odds(block: Block) -> float:
     """The classifier: positive if content is likelier."""
     n = len(block.text)
-    score = block.node.weight + OWN_WEIGHTS.get(block.node.tag, 0.0) + LINK_WEIGHT * block.links
+    score = block.node.weight + OWN_WEIGHTS.get(block.node.tag, 0.0) + (INNER_LINK_WEIGHT if block.node.inside else LINK_WEIGHT) * block.links
     score += min(2.0, n / 100) - 0.6
     if _SENTENCE.search(block.text[-2:]):
         score += 0.4

@@ -4,15 +4,18 @@ Features of a text are the hashes of its distinct words (runs of letters and dig
 pairs of neighbouring words and its pairs with one word between. They are presence features without
 regard to length, so a long text is judged by what it holds, not by how much else it holds.
 
-Training: per-coordinate rates, L1 sparsity. Up to ``max_labelled`` labelled rows (a documented bound;
-the rows with the smallest hash of doc_id, so any order of the input gives the same ones) are learnt
-from online, over several epochs, in one task whose input that bound keeps small. A larger bound is
-dealt to shards of ``shard_rows`` whose weights are averaged; one shard learns rare words better. The few weights that L1 leaves are shipped to a single narrow scoring pass over
-all documents. Labels are learnt only from rows whose crc32(doc_id) mod 5 is not 0.
+Training: per-coordinate rates, L1 sparsity. Up to ``max_labelled`` labelled documents (a documented bound;
+those with the smallest hash of doc_id, so any order of the input gives the same ones) are learnt from online, one
+text each, over several epochs, in one task whose input that bound keeps small. A larger bound is
+dealt to shards of ``shard_rows`` whose weights are averaged; one shard learns rare words better. The few weights that
+L1 leaves are shipped to a single narrow scoring pass over all documents. Labels are learnt only from rows whose
+crc32(doc_id) mod 5 is not 0.
 
 Defined cases: null and empty texts have no feature and get the intercept's score; a document with
 several labels counts as toxic if any says so; labels of unknown documents or with nulls are ignored;
-without any label a document is not held to be toxic (every score is ``UNKNOWN``); rows that repeat a doc_id are scored one by one.
+without any label a document is not held to be toxic (every score is ``UNKNOWN``); rows that repeat a doc_id are scored
+one by one, and of a labelled one the text with the smallest hash is learnt from; a null doc_id is never learnt from, and
+``held_out`` says false for it.
 """
 
 from __future__ import annotations
@@ -99,14 +102,20 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     """Coordinate -> weight, zeros left out; coordinate 2**bits is the intercept."""
     tuned(docs.sparkSession)
     known = labels.select(key("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isNotNull() & (F.col("doc_id") != NULL_ID) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_labelled)
-    known = materialize(known, "labelled")
+    known = materialize(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id")), "known")
+    # which leading bits of the hash the bound reaches, so that no task merges more than about that many rows
+    sizes = known.groupBy(F.shiftright("order", 48).alias("b")).count().orderBy("b").collect()  # at most 65,536 rows
+    reached = np.searchsorted(np.cumsum([r[1] for r in sizes]), max_labelled)
+    if reached < len(sizes):
+        known = known.filter(F.shiftright("order", 48) <= sizes[reached][0])
+    known = materialize(known.orderBy("order", "doc_id").limit(max_labelled), "labelled")
     rows = known.count()
     if not rows:
         return {1 << bits: float(np.log(UNKNOWN / (1 - UNKNOWN)))}
     shards = -(-rows // shard_rows)
     dealt = known.select("doc_id", "toxic", "order", F.pmod(F.xxhash64("order"), F.lit(shards)).alias("shard"))
-    chosen = texts(docs).join(F.broadcast(dealt), "doc_id")  # max_labelled rows at most
+    chosen = texts(docs).join(F.broadcast(dealt), "doc_id")  # max_labelled ids at most, and one text of each
+    chosen = chosen.groupBy("doc_id", "toxic", "order", "shard").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def extract(batches):
         for b in batches:
@@ -156,4 +165,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     """Per row: doc_id, held_out, score, predicted."""
     score = scorer(docs.sparkSession, train(docs, labels, max_labelled))
     scored = texts(docs).select("doc_id", score(F.col("text")).alias("score"))
-    return scored.select(unkey("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select(unkey("doc_id"), (held_out(F.col("doc_id")) & (F.col("doc_id") != NULL_ID)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
