@@ -8,17 +8,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.llm import exact_dedup, packing, pii, simhash, toxicity
 from benchlake.llm.common import key, materialize, table
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def _row() -> Column:
+    """What tells the texts of one doc_id apart; null and empty are the same text."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id (null is one) and text, by its hash ``row``, are in kept."""
-    own = docs.withColumns({"_row": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), "_id": key("doc_id")})
-    return own.join(kept.select(key("doc_id").alias("_id"), F.col("row").alias("_row")).distinct(), ["_id", "_row"], "left_semi").select(*docs.columns)
+    """The rows of docs whose doc_id (null is one) and text, by its hash ``row``, are in kept. Nothing is written into
+    the documents, whatever their columns are called."""
+    own_id, own_row = _free(docs, "kept_id"), _free(docs, "kept_row")
+    wanted = kept.select(key("doc_id").alias(own_id), F.col("row").alias(own_row)).distinct()
+    return docs.join(wanted, (key("doc_id") == F.col(own_id)) & (_row() == F.col(own_row)), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +50,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return stays
     twice = _only(docs, groups.filter("kept").join(again, groups.doc_id.eqNullSafe(again.doc_id) & (groups.row == again.row), "left_semi"))
     once = _only(docs, groups.filter("kept").join(again, groups.doc_id.eqNullSafe(again.doc_id) & (groups.row == again.row), "left_anti"))
-    return once.union(twice.dropDuplicates(["doc_id", "text"]))
+    row = _free(docs, "row_hash")
+    return once.union(twice.withColumn(row, _row()).dropDuplicates(["doc_id", row]).drop(row))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
