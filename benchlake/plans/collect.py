@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benchlake.plans import perf
 from benchlake.session import materialize, release
-from benchlake.sinks.store import Store
+from benchlake.sinks.store import Store, Transaction
 from benchlake.sources import artifacts
 
 CELL = ["run_sha", "sample", "arch", "rep"]
@@ -33,7 +33,11 @@ def collect(spark: SparkSession, root: str, store: Store, *, late: bool = False,
     """Ingest ``runs/``, ``baseline/``, ``scaling/`` and ``arena/`` of a tree; returns rows by table. Late
     cells of a run are left out unless asked for; cells that mix image variants are an error unless asked
     for. Runs of the baseline tree are known by ``BASELINE_PREFIX``. Each artifact is parsed once, into the
-    shared folder; audits and writes read that."""
+    shared folder; audits and writes read that. All tables change in one transaction, or none does."""
+    return store.run(lambda t: _collect(spark, root, t, late, mixed, labels, tools))
+
+
+def _collect(spark: SparkSession, root: str, store: Transaction, late: bool, mixed: bool, labels: dict[str, str] | None, tools: dict[str, str] | None) -> dict[str, int]:
     counts: dict[str, int] = {}
 
     def put(table: str, rows: DataFrame, write) -> None:

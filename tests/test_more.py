@@ -122,7 +122,7 @@ def test_store_query_and_migration(spark, tmp_path):
     (old / "_manifest" / "part.json").write_text('{"schema_version": 9}\n')
     was = Store(spark, str(old))
     assert was.version() == 9 and was.migrate() == ["host_probes"] and was.version() == 14
-    assert [(r.rep, r.threads, r.instance_id) for r in spark.read.parquet(str(old / "host_probes")).select("rep", "threads", "instance_id").collect()] == [(0, 3, None)]
+    assert [(r.rep, r.threads, r.instance_id) for r in was.read("host_probes").select("rep", "threads", "instance_id").collect()] == [(0, 3, None)]
 
 
 @pytest.mark.parametrize("values", [[1.0], [1.0, 2.0], [3.0, 1.0, 2.0], [5.0] * 7, list(map(float, range(10))), [1.0, None, 9.0, 4.0]])
