@@ -29,13 +29,20 @@ def bijection_problems(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def prefix_match(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:
-    """Either is a prefix of the other. The join is on equal leading characters, as many as the
-    shortest has, so it is an equi-join and not a product; the rest is a filter."""
-    shortest = F.broadcast(names.agg(F.min(F.length(name)).alias("a")).crossJoin(prefixes.agg(F.min(F.length(prefix)).alias("b"))).select(F.least("a", "b").alias("_n")))  # one row
-    left = names.crossJoin(shortest).withColumn("_k", F.expr(f"left({name}, _n)"))
-    right = prefixes.crossJoin(shortest).withColumn("_k", F.expr(f"left({prefix}, _n)")).drop("_n")
-    both = left.join(right, "_k").filter(F.col(name).startswith(F.col(prefix)) | F.col(prefix).startswith(F.col(name)))
-    return both.drop("_k", "_n")
+    """Pairs of which either is a prefix of the other. Each value is cut to the lengths that occur on the other side and are
+    no longer than it is, and length and cut join by equality: every candidate is a match, whatever the
+    shortest value is. Lengths that occur are one row."""
+
+    def cut(long: DataFrame, column: str, short: DataFrame, other: str, equal: bool) -> DataFrame:
+        found = short.agg(F.collect_set(F.length(other)).alias("_all"))
+        fits = lambda k: k <= F.length(column) if equal else k < F.length(column)
+        lengths = long.crossJoin(F.broadcast(found)).withColumn("_n", F.explode(F.filter("_all", fits))).drop("_all")
+        return lengths.withColumn("_k", F.expr(f"left(`{column}`, _n)"))
+
+    whole = lambda f, c: f.filter(F.col(c).isNotNull()).withColumns({"_n": F.length(c), "_k": F.col(c)})
+    down = cut(names, name, prefixes, prefix, equal=True).join(whole(prefixes, prefix), ["_n", "_k"])
+    up = whole(names, name).join(cut(prefixes, prefix, names, name, equal=False), ["_n", "_k"])
+    return down.drop("_n", "_k").union(up.drop("_n", "_k"))
 
 
 def resolve_prefix(names: DataFrame, prefixes: DataFrame, name: str, prefix: str) -> DataFrame:
@@ -89,12 +96,12 @@ def lost(old: DataFrame, new: DataFrame, key: str, facts: list[str]) -> DataFram
     return old.join(now, F.col(key) == F.col("_k"), "left").select(key, F.explode(gone).alias("problem")).orderBy(key, "problem")
 
 
-def fastq_problems(lines: DataFrame) -> DataFrame:
-    """(rec, problem) of four-line records (columns idx, value): a header without @, a third line without +,
-    sequence and quality of different length, a record that is cut off."""
-    rec = lines.groupBy(F.floor(F.col("idx") / 4).alias("rec")).agg(*(F.max(F.when(F.col("idx") % 4 == k, F.col("value"))).alias(f"l{k}") for k in range(4)))
+def fastq_problems(lines: DataFrame, *file: str) -> DataFrame:
+    """(rec, problem) of four-line records (columns idx, value, and those that name their file): a header without @, a
+    third line without +, sequence and quality of different length, a record that is cut off."""
+    rec = lines.groupBy(*file, F.floor(F.col("idx") / 4).alias("rec")).agg(*(F.max(F.when(F.col("idx") % 4 == k, F.col("value"))).alias(f"l{k}") for k in range(4)))
     problem = F.when(F.col("l3").isNull(), "cut off").when(~F.col("l0").startswith("@"), "no header").when(~F.col("l2").startswith("+"), "no separator").when(F.length("l1") != F.length("l3"), "lengths differ")
-    return rec.select("rec", problem.alias("problem")).filter("problem is not null")
+    return rec.select(*file, "rec", problem.alias("problem")).filter("problem is not null")
 
 
 def lowest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

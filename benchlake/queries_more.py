@@ -1,11 +1,11 @@
-"""More of the catalogue: the verdict, sources read from trees that a query writes, and operators over jobs,
+"""More of the catalogue: the verdict, sources whose files come as rows of a frame, and operators over jobs,
 probes and listings. Registered by import at the end of ``queries``."""
 
 from __future__ import annotations
 
-from pathlib import Path
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.functions import labels as L
@@ -15,7 +15,7 @@ from benchlake.operators import sets
 from benchlake.plans import gates, perf, schedule, verdict
 from benchlake.queries import _ACC, _CMP, _E, _PLACE, _REG, _S, _T, _registry, query, rounded, table, v_accuracy, v_comparisons, v_records, v_scaling, v_trials
 from benchlake.session import scratch_dir
-from benchlake.sources import artifacts, dimensions
+from benchlake.sources import artifacts, dimensions, fastq
 
 # The verdict
 
@@ -260,120 +260,123 @@ def serialization_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(schedule.serialization_pairs(rows), "sam_over_native")
 
 
-@query("""WITH l AS (SELECT string_split(text, chr(10)) AS l, doc_id FROM documents WHERE doc_id = 0), v AS (SELECT unnest(l) AS value, generate_subscripts(l, 1) - 1 AS idx FROM l),
-r AS (SELECT idx // 4 AS rec, max(value) FILTER (idx % 4 = 0) AS a, max(value) FILTER (idx % 4 = 1) AS b, max(value) FILTER (idx % 4 = 2) AS c, max(value) FILTER (idx % 4 = 3) AS d FROM v GROUP BY ALL)
-SELECT rec, CASE WHEN d IS NULL THEN 'cut off' WHEN NOT starts_with(a, '@') THEN 'no header' WHEN NOT starts_with(c, '+') THEN 'no separator' WHEN length(b) <> length(d) THEN 'lengths differ' END AS problem FROM r WHERE d IS NULL OR NOT starts_with(a, '@') OR NOT starts_with(c, '+') OR length(b) <> length(d)""")
+@query("""WITH l AS (SELECT string_split(text, chr(10)) AS l, doc_id FROM documents WHERE text IS NOT NULL), v AS (SELECT doc_id, unnest(l) AS value, generate_subscripts(l, 1) - 1 AS idx FROM l),
+r AS (SELECT doc_id, idx // 4 AS rec, max(value) FILTER (idx % 4 = 0) AS a, max(value) FILTER (idx % 4 = 1) AS b, max(value) FILTER (idx % 4 = 2) AS c, max(value) FILTER (idx % 4 = 3) AS d FROM v GROUP BY ALL)
+SELECT doc_id, rec, CASE WHEN d IS NULL THEN 'cut off' WHEN NOT starts_with(a, '@') THEN 'no header' WHEN NOT starts_with(c, '+') THEN 'no separator' WHEN length(b) <> length(d) THEN 'lengths differ' END AS problem FROM r WHERE d IS NULL OR NOT starts_with(a, '@') OR NOT starts_with(c, '+') OR length(b) <> length(d)""")
 def fastq_problems(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "documents").filter("doc_id = 0").select(F.posexplode(F.split("text", "\n")).alias("idx", "value"))
-    return sets.fastq_problems(lines)
+    """What is wrong with every document as a file of four-line records."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("idx", "value"))
+    return sets.fastq_problems(lines, "doc_id")
 
 
-# Sources, from trees that the queries write: a cell for each nation
+# Sources, from files that come as rows: a cell for each supplier
 
 
-def _tree(spark: SparkSession, sf: str, name: str) -> tuple[Path, list[dict]]:
-    """A folder of its own in the shared one, and the nations with their regions (25 rows)."""
-    import uuid
+_NR = "nr AS (SELECT s_suppkey AS k, 's' || s_suppkey AS n_name, n_name AS r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"
 
-    base = scratch_dir(spark)
-    if not base.startswith(("file:", "/")):
-        raise ValueError("the trees of these queries are local files")
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    rows = [x.asDict() for x in n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name").orderBy("n_nationkey").collect()]
-    return Path(base.removeprefix("file://").removeprefix("file:")) / "benchlake" / "trees" / uuid.uuid4().hex / name, rows
 
+def _files(spark: SparkSession, sf: str, **texts: Column | tuple[Column, Column]) -> DataFrame:
+    """(path, mtime, value): for each supplier the named files of its cell; a file may be left out by a condition.
+    Columns to write them with: k, the supplier's key, and its run and sample."""
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    rows = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").cast("long").alias("k"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("sample"), F.col("n_name").alias("run_sha"))
+    file = lambda path, text, when: F.when(when, F.struct(F.concat(F.lit("/runs/"), "run_sha", F.lit("/"), "sample", F.lit(f"/{path}")).alias("path"), F.lit(None).cast("timestamp").alias("mtime"), text.alias("value")))
+    each = [file(path, *(x if isinstance(x, tuple) else (x, F.lit(True)))) for path, x in texts.items()]
+    return rows.select(F.explode(F.array_compact(F.array(*each))).alias("f")).select("f.*")
 
-def _put(path: Path, text: str) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text)
 
-
-_NR = "nr AS (SELECT n_nationkey AS k, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)"
+def _text(*parts: str | Column) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS sample, 'a' AS arch, CAST(1 AS BIGINT) AS rep, CAST(k AS DOUBLE) + 0.5 AS wall_seconds, CASE WHEN k % 3 = 0 THEN 0.0 ELSE CAST(k * 2 AS DOUBLE) END AS max_rss_mb, CASE WHEN k % 4 = 0 THEN NULL ELSE k + 0.25::DOUBLE END AS process_seconds,
 CASE WHEN k % 5 = 0 THEN 'unknown' ELSE 'i-' || k END AS instance_id, CASE WHEN k % 2 = 0 THEN 'native' END AS image_variant, '2025-01-02T03:04:05Z' AS measured_at, CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE 100 + k END AS BIGINT) AS reads_processed FROM nr""")
 def source_trials(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "runs")
-    for x in rows:
-        k, cell = x["n_nationkey"], root / x["r_name"] / x["n_name"] / "a"
-        _put(cell / "rep-1/benchmarks/timing.tsv", f"s\th:m:s\tmax_rss\tio_in\n{k + 0.5}\t0:0\t{'NA' if k % 3 == 0 else k * 2}\t1\n")
-        variant = '"image_variant": "native", ' if k % 2 == 0 else ""
-        host = "unknown" if k % 5 == 0 else f"i-{k}"
-        _put(cell / "rep-1/benchmarks/meta.json", "{" + variant + f'"instance_id": "{host}", "measured_at": "2025-01-02T03:04:05Z"' + "}")
-        _put(cell / "rep-1/benchmarks/tool.stderr.log", "x\n" + ("" if k % 4 == 0 else f"\tPROCESS() (all of it) : {k + 0.25}\n"))
-        if k % 6:
-            _put(cell / "rep-1/compare/vs-baseline.json", f'{{"total_reads": {100 + k}, "concordant": {k}, "concordance_pct": 1.5}}')
-        _put(cell / "rep-01/benchmarks/timing.tsv", "s\n1\n")
-    return artifacts.trials(spark, str(root)).select("run_sha", "sample", "arch", "rep", "wall_seconds", "max_rss_mb", "process_seconds", "instance_id", "image_variant", "measured_at", "reads_processed")
+    k = F.col("k")
+    rep = "a/rep-1/"
+    files = _files(
+        spark, sf,
+        **{
+            f"{rep}benchmarks/timing.tsv": _text("s\th:m:s\tmax_rss\tio_in\n", k, ".5\t0:0\t", F.when(k % 3 == 0, "NA").otherwise((k * 2).cast("string")), "\t1\n"),
+            f"{rep}benchmarks/meta.json": _text("{", F.when(k % 2 == 0, '"image_variant": "native", ').otherwise(""), '"instance_id": "', F.when(k % 5 == 0, "unknown").otherwise(_text("i-", k)), '", "measured_at": "2025-01-02T03:04:05Z"}'),
+            f"{rep}benchmarks/tool.stderr.log": _text("x\n", F.when(k % 4 == 0, "").otherwise(_text("\tPROCESS() (all of it) : ", k, ".25\n"))),
+            f"{rep}compare/vs-baseline.json": (_text('{"total_reads": ', k + 100, ', "concordant": ', k, ', "concordance_pct": 1.5}'), k % 6 != 0),
+            "a/rep-01/benchmarks/timing.tsv": F.lit("s\n1\n"),
+        },
+    )
+    return artifacts.trials(spark, files).select("run_sha", "sample", "arch", "rep", "wall_seconds", "max_rss_mb", "process_seconds", "instance_id", "image_variant", "measured_at", "reads_processed")
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS sample, 'a' AS arch, 'vs-golden' AS kind, CAST(k AS BIGINT) AS concordant, CAST(100 + k AS BIGINT) AS total, k + 0.5::DOUBLE AS concordance_pct, CASE WHEN k % 2 = 0 THEN '{{"supp_query_total": ' || k || '}}' END AS supp_json, CASE WHEN k % 3 = 0 THEN '{{"relocated_pct":1.5}}' END AS placement_json FROM nr""")
 def source_comparisons(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "runs")
-    for x in rows:
-        k, cell = x["n_nationkey"], root / x["r_name"] / x["n_name"] / "a/rep-1/compare"
-        extra = (f', "supp_query_total": {k}' if k % 2 == 0 else "") + (', "placement": {"relocated_pct":1.5}' if k % 3 == 0 else "")
-        _put(cell / "vs-golden.json", f'{{"total_reads": {100 + k}, "concordant": {k}, "concordance_pct": {k + 0.5}{extra}}}')
-        _put(cell / "vs-nothing.json", "{}")
-    return artifacts.comparisons(spark, str(root)).select("run_sha", "sample", "arch", "kind", "concordant", "total", "concordance_pct", "supp_json", "placement_json")
+    k = F.col("k")
+    extra = _text(F.when(k % 2 == 0, _text(', "supp_query_total": ', k)).otherwise(""), F.when(k % 3 == 0, ', "placement": {"relocated_pct":1.5}').otherwise(""))
+    text = _text('{"total_reads": ', k + 100, ', "concordant": ', k, ', "concordance_pct": ', k, ".5", extra, "}")
+    files = _files(spark, sf, **{"a/rep-1/compare/vs-golden.json": text, "a/rep-1/compare/vs-nothing.json": F.lit("{}")})
+    return artifacts.comparisons(spark, files).select("run_sha", "sample", "arch", "kind", "concordant", "total", "concordance_pct", "supp_json", "placement_json")
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS sample, 'own' AS tool, CAST(100 + k AS BIGINT) AS placement_total, k + 0.5::DOUBLE AS placement_correct_pct, CAST(k AS BIGINT) AS variant_bearing_reads, CASE WHEN k % 2 = 0 THEN NULL ELSE 99.0::DOUBLE END AS md_concordant_pct, CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k AS BIGINT) END AS meth_n_cpg FROM nr""")
 def source_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "runs")
-    for x in rows:
-        k, cell = x["n_nationkey"], root / x["r_name"] / x["n_name"] / "a/rep-1/eval"
-        _put(cell / "t.eval.txt", f"mapq_bin total correct mismapped unmapped a b c\n0-19 {k} 1 1 1 0 0 0\nALL {100 + k} 90 9 1 {k + 0.5} 1.0 NA\n")
-        _put(cell / "t.variants.tsv", f"class\tconfounded\tn_expected\tn_represented\trepresented_pct\tmean_mapq\tmean_as\nsnp\tno\t1\t1\t1\t1\tNA\n#variant_bearing_reads\t{k}\n#md_concordant_pct\t{'NA' if k % 2 == 0 else 99}\n#nm_concordant_pct\t1\n")
-        _put(cell / "t.meth.tsv", "" if k % 3 == 0 else f"n\tr\trmse\n{k}\t0.5\tNA\n")
-    return artifacts.accuracy(spark, str(root), {"t": "own"}).select("run_sha", "sample", "tool", "placement_total", "placement_correct_pct", "variant_bearing_reads", "md_concordant_pct", "meth_n_cpg")
+    k = F.col("k")
+    files = _files(
+        spark, sf,
+        **{
+            "a/rep-1/eval/t.eval.txt": _text("mapq_bin total correct mismapped unmapped a b c\n0-19 ", k, " 1 1 1 0 0 0\nALL ", k + 100, " 90 9 1 ", k, ".5 1.0 NA\n"),
+            "a/rep-1/eval/t.variants.tsv": _text("class\tconfounded\tn_expected\tn_represented\trepresented_pct\tmean_mapq\tmean_as\nsnp\tno\t1\t1\t1\t1\tNA\n#variant_bearing_reads\t", k, "\n#md_concordant_pct\t", F.when(k % 2 == 0, "NA").otherwise("99"), "\n#nm_concordant_pct\t1\n"),
+            "a/rep-1/eval/t.meth.tsv": F.when(k % 3 == 0, "").otherwise(_text("n\tr\trmse\n", k, "\t0.5\tNA\n")),
+        },
+    )
+    return artifacts.accuracy(spark, files, {"t": "own"}).select("run_sha", "sample", "tool", "placement_total", "placement_correct_pct", "variant_bearing_reads", "md_concordant_pct", "meth_n_cpg")
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS sample, 'a' AS arch, CAST(t AS BIGINT) AS threads, CAST(1 AS BIGINT) AS rep, k / t::DOUBLE AS wall_seconds, CASE WHEN t = 2 THEN NULL ELSE k::DOUBLE END AS process_seconds, CASE WHEN t = 4 THEN 0.5::DOUBLE END AS kernel_seconds FROM nr, (VALUES (1), (2), (4)) v(t)""")
 def source_scaling(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "scaling")
-    for x in rows:
-        k = x["n_nationkey"]
-        body = f"1\t1\t{k / 1}\t1\t1\t{k}\n2\t1\t{k / 2}\t1\t1\tNA\n4\t1\t{k / 4}\t1\t1\t{k}\t1\t1\t1\t0.5\n8\t1\t1\n"
-        _put(root / x["r_name"] / x["n_name"] / "a/scaling.tsv", "threads\trep\twall_s\tcpu_s\tmax_rss_mb\tprocess_s\tmain_mem_s\tread_io_s\tsam_io_s\tkernel_s\n" + body)
-    return artifacts.scaling(spark, str(root)).select("run_sha", "sample", "arch", "threads", "rep", "wall_seconds", "process_seconds", "kernel_seconds")
+    k = F.col("k")
+    body = _text("threads\trep\twall_s\tcpu_s\tmax_rss_mb\tprocess_s\tmain_mem_s\tread_io_s\tsam_io_s\tkernel_s\n1\t1\t", k / 1, "\t1\t1\t", k, "\n2\t1\t", k / 2, "\t1\t1\tNA\n4\t1\t", k / 4, "\t1\t1\t", k, "\t1\t1\t1\t0.5\n8\t1\t1\n")
+    return artifacts.scaling(spark, _files(spark, sf, **{"a/scaling.tsv": body})).select("run_sha", "sample", "arch", "threads", "rep", "wall_seconds", "process_seconds", "kernel_seconds")
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS arch, CASE WHEN m = 0 THEN 'candidate' ELSE 'v1' END AS label, 'default' AS mode, CAST(1 AS BIGINT) AS rep, CASE WHEN k % 4 = 0 THEN NULL ELSE k::DOUBLE END AS wall_seconds, CASE WHEN k % 2 = 0 THEN 'b' || m END AS block, CAST(m AS BIGINT) AS position FROM nr, (VALUES (0), (1)) v(m)""")
 def source_arena(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "arena")
-    for x in rows:
-        k = x["n_nationkey"]
-        wall = "NA" if k % 4 == 0 else k
-        lines = "".join(f"{'ours' if m == 0 else 'v1'}\tdefault\t1\t{wall}\t1\t1\t1\t{m}\t{f'b{m}' if k % 2 == 0 else 'NA'}\n" for m in (0, 1))
-        _put(root / x["r_name"] / x["n_name"] / "arena.tsv", "label\tmode\trep\twall_s\tcpu_s\tmax_rss_mb\tprocess_s\tposition\tblock\n" + lines + "short\trow\n")
-    return artifacts.arena(spark, str(root), {"ours": "candidate"}).select("run_sha", "arch", "label", "mode", "rep", "wall_seconds", "block", "position")
+    k = F.col("k")
+    line = lambda m, label: _text(f"{label}\tdefault\t1\t", F.when(k % 4 == 0, "NA").otherwise(k.cast("string")), f"\t1\t1\t1\t{m}\t", F.when(k % 2 == 0, f"b{m}").otherwise("NA"), "\n")
+    body = _text("label\tmode\trep\twall_s\tcpu_s\tmax_rss_mb\tprocess_s\tposition\tblock\n", line(0, "ours"), line(1, "v1"), "short\trow\n")
+    return artifacts.arena(spark, _files(spark, sf, **{"arena.tsv": body}), {"ours": "candidate"}).select("run_sha", "arch", "label", "mode", "rep", "wall_seconds", "block", "position")
 
 
 @query(f"""WITH {_NR} SELECT r_name AS run_sha, n_name AS sample, 'a' AS arch, CAST(0 AS BIGINT) AS rep, 'before' AS phase, CASE WHEN k % 2 = 0 THEN NULL ELSE CAST(k AS BIGINT) END AS threads, k + 0.5::DOUBLE AS seconds, 2.0::DOUBLE AS working_set_mb_per_thread FROM nr""")
 def source_probes(spark: SparkSession, sf: str) -> DataFrame:
-    root, rows = _tree(spark, sf, "scaling")
-    for x in rows:
-        k = x["n_nationkey"]
-        _put(root / x["r_name"] / x["n_name"] / "a/host-probe.jsonl", f'not json\n{{"phase": 3}}\n{{"phase": "before", "threads": {"true" if k % 2 == 0 else k}, "seconds": {k + 0.5}, "working_set_bytes_per_thread": 2097152}}\n')
-    return artifacts.probes(spark, str(root)).select("run_sha", "sample", "arch", "rep", "phase", "threads", "seconds", "working_set_mb_per_thread")
+    k = F.col("k")
+    body = _text('not json\n{"phase": 3}\n{"phase": "before", "threads": ', F.when(k % 2 == 0, "true").otherwise(k.cast("string")), ', "seconds": ', k, '.5, "working_set_bytes_per_thread": 2097152}\n')
+    return artifacts.probes(spark, _files(spark, sf, **{"a/host-probe.jsonl": body})).select("run_sha", "sample", "arch", "rep", "phase", "threads", "seconds", "working_set_mb_per_thread")
 
 
-@query(f"WITH {_NR} SELECT r_name AS command, CAST(sum(k) AS BIGINT) AS n FROM nr GROUP BY ALL UNION ALL SELECT 'total', CAST(sum(k) AS BIGINT) FROM nr")
+@query("""WITH g AS (SELECT 'job_' || (o_custkey % 50) AS command, count(*) AS n FROM orders GROUP BY ALL) SELECT command, n FROM g UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT) FROM g""")
 def source_job_plan(spark: SparkSession, sf: str) -> DataFrame:
-    _, rows = _tree(spark, sf, "log")
-    names = {}
-    for x in rows:
-        names[x["r_name"]] = names.get(x["r_name"], 0) + x["n_nationkey"]
-    text = ["noise 3", "Job stats:", "job      count", "-----  -----", *(f"{n.replace(' ', '_')}    {c}" for n, c in names.items()), f"total   {sum(names.values())}", "later   9"]
-    log = spark.createDataFrame(list(enumerate(text)), "idx long, value string")
-    return artifacts.job_plan(log).withColumn("command", F.regexp_replace("command", "_", " "))
+    """The plan that a coordinator's log states, of a log with a line for each kind of job."""
+    jobs = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("j")).count()
+    line = lambda idx, value: jobs.groupBy().agg(F.sum("count").alias("n")).select(F.lit(idx).cast("long").alias("idx"), _text(*value).alias("value"))
+    table_ = jobs.select((F.col("j") + 10).cast("long").alias("idx"), _text("job_", F.col("j"), "    ", F.col("count")).alias("value"))
+    log = line(0, ["noise 3"]).union(line(1, ["Job stats:"])).union(line(2, ["job      count"])).union(line(3, ["-----  -----"])).union(table_).union(line(1 << 40, ["total   ", F.col("n")])).union(line((1 << 40) + 1, ["later   9"]))
+    return artifacts.job_plan(log)
 
 
 @query(f"WITH {_NR} SELECT n_name AS sample, r_name AS reference, k % 2 = 0 AS truth, k % 3 = 0 AS meth, k % 2 = 0 AND k % 3 = 0 AS graded FROM nr")
 def source_samples(spark: SparkSession, sf: str) -> DataFrame:
-    _, rows = _tree(spark, sf, "config")
-    text = "samples:\n" + "".join(f"  {x['n_name']}: {{reference: {x['r_name']}, source: s, layout: l, truth: {str(x['n_nationkey'] % 2 == 0).lower()}, meth: {str(x['n_nationkey'] % 3 == 0).lower()}}}\n" for x in rows)
-    s = dimensions.samples(spark, text)
+    """Samples declared in many configuration files, one for each supplier."""
+    k = F.col("k")
+    flag = lambda m: F.when(k % m == 0, "true").otherwise("false")
+    text = _text("samples:\n  ", F.col("sample"), ": {reference: ", F.col("run_sha"), ", source: s, layout: l, truth: ", flag(2), ", meth: ", flag(3), "}\n")
+    s = dimensions.samples_of(_files(spark, sf, **{"config/samples.yaml": text}))
     return s.select("sample", "reference", "truth", "meth", L.graded(F.col("truth"), F.col("meth")).alias("graded"))
+
+
+@query("""SELECT o_orderkey, substring('ACGTACGTACGT', CAST(1 + o_custkey % 4 AS INTEGER), CAST(3 + o_custkey % 5 AS INTEGER)) AS seq, repeat('I', CAST(3 + o_custkey % 5 AS INTEGER)) AS qual FROM orders""")
+def fastq_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of FASTQ files that orders were written to, put together from numbered lines."""
+    n = (F.col("o_custkey") % 5 + 3).cast("int")
+    text = F.concat_ws("\n", F.concat(F.lit("@"), F.col("o_orderkey").cast("string")), F.substring(F.lit("ACGTACGTACGT"), (F.col("o_custkey") % 4 + 1).cast("int"), n), F.lit("+"), F.repeat(F.lit("I"), n))
+    path = f"{scratch_dir(spark)}/benchlake/{uuid.uuid4().hex}/fastq"
+    table(spark, sf, "orders").select(text.alias("value")).write.text(path)
+    return fastq.records(spark, path).select(F.expr("cast(substring(header, 2) as bigint)").alias("o_orderkey"), "seq", "qual")

@@ -7,6 +7,8 @@ producers always write numbers. Telemetry (probes) is never fatal; malformed gra
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +37,12 @@ def decoded(path: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
-def files(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """(path, value): whole small files by glob on their name, at any depth."""
+def files(spark: SparkSession, root: str | DataFrame, name: str) -> DataFrame:
+    """(path, mtime, value): whole small files by glob on their name, at any depth. ``root`` is a folder, or a frame of such
+    rows: files that came in a table instead of a tree."""
+    if isinstance(root, DataFrame):
+        pattern = ".*".join(map(re.escape, name.split("*")))
+        return root.filter(F.regexp_extract("path", "([^/]*)$", 1).rlike(f"^{pattern}$"))
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root, wholetext=True)
     return raw.select(decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), "value")
 
@@ -74,7 +80,7 @@ def _fail(condition: Column, what: str, otherwise: Column) -> Column:
     return F.when(condition, F.raise_error(F.concat(F.lit(what + ": "), F.col("path")))).otherwise(otherwise)
 
 
-def timing(spark: SparkSession, root: str) -> DataFrame:
+def timing(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """timing.tsv: a header and one row; anything that is no number is 0.0."""
     df = cells(files(spark, root, "timing.tsv")).withColumn("l", lines())
     row = _fail(F.size("l") < 2, "no data row", F.map_from_arrays(F.split(F.get("l", F.lit(0)), "\t"), F.slice(F.concat(F.split(F.get("l", F.lit(1)), "\t"), F.array_repeat(F.lit(""), 32)), F.lit(1), F.size(F.split(F.get("l", F.lit(0)), "\t")))))
@@ -82,7 +88,7 @@ def timing(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumn("m", row).select("run_sha", "sample", "arch", "rep", "path", *(value(c) for c in TIMING_COLUMNS))
 
 
-def meta(spark: SparkSession, root: str) -> DataFrame:
+def meta(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """meta.json: the host. ``instance_id`` is kept as written; ``host`` is null if unknown."""
     schema = ", ".join(f"{c} string" for c in META_COLUMNS)
     df = cells(files(spark, root, "meta.json")).withColumn("j", F.from_json("value", schema))
@@ -91,7 +97,7 @@ def meta(spark: SparkSession, root: str) -> DataFrame:
     return df.select("run_sha", "sample", "arch", "rep", *host, stamp.alias("measured_at"), unknown_to_null(F.col("j.instance_id")).alias("host"))
 
 
-def aligner_log(spark: SparkSession, root: str) -> DataFrame:
+def aligner_log(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """Aligner logs: first PROCESS() and index-read seconds, null if missing."""
     df = cells(files(spark, root, "*.stderr.log"))
     found = lambda p: F.nullif(F.regexp_extract("value", p, 1), F.lit("")).try_cast("double")
@@ -105,7 +111,7 @@ def _subset(keys: tuple[str, ...]) -> Column:
     return F.when(F.size(got) > 0, F.concat(F.lit("{"), F.array_join(F.array_sort(raw), ", "), F.lit("}")))
 
 
-def comparisons(spark: SparkSession, root: str) -> DataFrame:
+def comparisons(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """compare/<kind>.json for the known kinds."""
     df = cells(files(spark, root, "vs-*.json")).withColumn("kind", F.regexp_extract("path", r"/compare/([^/]+)\.json$", 1)).filter(F.col("kind").isin(*COMPARE_KINDS))
     j = F.from_json("value", "total_reads long, concordant long, concordance_pct double")
@@ -121,7 +127,7 @@ def _tool(suffix: str) -> Column:
     return F.regexp_extract("path", rf"/([^/]+)\.{suffix}$", 1)
 
 
-def eval_tables(spark: SparkSession, root: str) -> DataFrame:
+def eval_tables(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """<tool>.eval.txt: MAPQ bins and the ALL row, which must be there."""
     df = cells(files(spark, root, "*.eval.txt")).withColumn("tool", _tool(r"eval\.txt"))
     rows = F.filter(F.transform(lines(), lambda x: F.split(F.trim(x), r"\s+")), lambda r: (F.size(r) >= 4) & (r[0] != "mapq_bin"))
@@ -137,7 +143,7 @@ def eval_tables(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def variants(spark: SparkSession, root: str) -> DataFrame:
+def variants(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """<tool>.variants.tsv: class rows and a footer of three required ``#key<TAB>value`` lines."""
     df = cells(files(spark, root, "*.variants.tsv")).withColumn("tool", _tool(r"variants\.tsv")).withColumn("l", lines())
     foot = F.map_from_entries(F.transform(F.filter("l", lambda x: x.startswith("#")), lambda x: F.struct(F.regexp_extract(x, r"^#([^\t]+)", 1), F.regexp_extract(x, r"\t(.*)$", 1))))
@@ -153,7 +159,7 @@ def variants(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def methylation(spark: SparkSession, root: str) -> DataFrame:
+def methylation(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """<tool>.meth.tsv: one row; an empty file is a sample without methylation; a header alone is an error."""
     df = cells(files(spark, root, "*.meth.tsv")).withColumn("tool", _tool(r"meth\.tsv")).withColumn("l", lines())
     row = F.when(F.size("l") == 0, F.lit(None).cast("array<string>")).otherwise(_fail(F.size("l") < 2, "header without a row", F.split(F.get("l", F.lit(1)), "\t")))
@@ -161,7 +167,7 @@ def methylation(spark: SparkSession, root: str) -> DataFrame:
     return df.select("run_sha", "sample", "arch", "rep", "tool", F.get("r", F.lit(0)).try_cast("long").alias("meth_n_cpg"), number(F.get("r", F.lit(1))).alias("meth_pearson_r"), number(F.get("r", F.lit(2))).alias("meth_rmse"))
 
 
-def scaling(spark: SparkSession, root: str) -> DataFrame:
+def scaling(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """scaling.tsv: six columns and four more in newer files; shorter rows are skipped, NA is null."""
     df = run_cells(files(spark, root, "scaling.tsv")).select("run_sha", "sample", "arch", F.explode(lines()).alias("line"))
     f = df.withColumn("f", F.split("line", "\t")).filter((F.size("f") >= 6) & (F.get("f", F.lit(0)) != "threads"))
@@ -175,7 +181,7 @@ def renamed(x: Column, names: dict[str, str] | None) -> Column:
     return x if not names else F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for kv in sorted(names.items()) for v in kv)), x), x)
 
 
-def arena_lines(spark: SparkSession, root: str) -> DataFrame:
+def arena_lines(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """Lines of arena.tsv under their header: (run_sha, arch, h, f). An unknown column is an error."""
     df = run_cells(files(spark, root, "arena.tsv"), depth=1).withColumn("l", lines()).filter(F.size("l") > 1).withColumn("h", F.split(F.get("l", F.lit(0)), "\t"))
     strange = F.array_except("h", F.array(*(F.lit(c) for c in (*ARENA_BASE, *ARENA_EXTRA))))
@@ -184,12 +190,12 @@ def arena_lines(spark: SparkSession, root: str) -> DataFrame:
     return df.select("run_sha", "arch", "h", F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("line")).withColumn("f", F.split("line", "\t"))
 
 
-def arena_dropped(spark: SparkSession, root: str) -> DataFrame:
+def arena_dropped(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """Rows of arena.tsv that ``arena`` leaves out: another number of fields than their header has."""
     return arena_lines(spark, root).filter(F.size("f") != F.size("h")).select("run_sha", "arch", "line")
 
 
-def arena(spark: SparkSession, root: str, labels: dict[str, str] | None = None) -> DataFrame:
+def arena(spark: SparkSession, root: str | DataFrame, labels: dict[str, str] | None = None) -> DataFrame:
     """arena.tsv, by header name; a row with another number of fields is dropped (``arena_dropped``)."""
     rows = arena_lines(spark, root).filter(F.size("f") == F.size("h"))
     by = lambda c: F.get("f", F.array_position("h", F.lit(c)).cast("int") - 1)
@@ -220,7 +226,7 @@ def probe_columns(value: Column) -> dict[str, Column]:
     }
 
 
-def probes(spark: SparkSession, root: str) -> DataFrame:
+def probes(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """host-probe.jsonl: the ladder's probe belongs to replicate 0, a cell's to its own. Lines that are no
     JSON object or have no phase are skipped; nothing here is fatal."""
     raw = files(spark, root, "host-probe.jsonl")
@@ -250,7 +256,7 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "data.json").json(root, multiLine=True)
 
 
-def trials(spark: SparkSession, root: str) -> DataFrame:
+def trials(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """Trials of every run under root: timing, host, log and the read count of the first comparison."""
     cell = ["run_sha", "sample", "arch", "rep"]
     t = timing(spark, root).drop("path")
@@ -264,7 +270,7 @@ def trials(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def accuracy(spark: SparkSession, root: str, tools: dict[str, str] | None = None) -> DataFrame:
+def accuracy(spark: SparkSession, root: str | DataFrame, tools: dict[str, str] | None = None) -> DataFrame:
     cell = ["run_sha", "sample", "arch", "rep", "tool"]
     out = eval_tables(spark, root).join(variants(spark, root), cell, "left").join(methylation(spark, root), cell, "left")
     return out.withColumn("tool", renamed(F.col("tool"), tools))
@@ -287,7 +293,7 @@ def job_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("jobName string, jobQueue string, status string, createdAt long").json(path).select(F.col("jobName").alias("name"), F.col("jobQueue").alias("queue"), "status", F.col("createdAt").alias("created_at"))
 
 
-def serialization(spark: SparkSession, root: str) -> DataFrame:
+def serialization(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """timings.tsv of output-route benchmarks, a row for each run; NA is null."""
     names = ("label", "tool", "mode", "index", "endpoint", "route", "block", "status")
     whole, real = ("round", "position", "exit_code", "primary_count"), ("wall_s", "cpu_s", "max_rss_mb", "process_s", "index_read_s")
@@ -297,7 +303,7 @@ def serialization(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(*(by(c).alias(c) for c in names), *(by(c).try_cast("long").alias(c) for c in whole), *(number(by(c)).alias(c) for c in real))
 
 
-def fidelity(spark: SparkSession, root: str) -> DataFrame:
+def fidelity(spark: SparkSession, root: str | DataFrame) -> DataFrame:
     """result.tsv: primaries by compression, and whether all three counts agree."""
     df = files(spark, root, "result.tsv").select("path", F.explode(lines()).alias("line")).withColumn("f", F.split("line", "\t")).filter(F.get("f", F.lit(0)) != "compression")
     count = lambda k: F.get("f", F.lit(k)).try_cast("long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from typing import Any
 
+import pandas as pd
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,8 +68,7 @@ def _named(text: str, name: str, required: tuple[str, ...], optional: tuple[str,
 _SAMPLES = "sample string, reference string, source string, layout string, baseline_tool string, flags array<string>, truth boolean, meth boolean, compat boolean, alt_aware boolean, base string"
 
 
-def samples(spark: SparkSession, text: str) -> DataFrame:
-    """Samples with what plans ask of them, and ``base``, the sample a compat or fast one is compared with."""
+def _sample_rows(text: str) -> list[tuple]:
     rows = []
     for name, e in _named(text, "samples", SAMPLE_FIELDS, SAMPLE_OPTIONS).items():
         flags = [str(f) for f in e.get("flags") or []]
@@ -78,7 +78,24 @@ def samples(spark: SparkSession, text: str) -> DataFrame:
         compat = e.get("compat", "-compat" in name)
         base = re.sub(r"-(fast|compat[a-z0-9-]*)$", "", name)
         rows.append((name, *(str(e[f]) for f in SAMPLE_FIELDS), e.get("baseline_tool"), flags, e.get("truth", False), e.get("meth", False), compat, e.get("alt_aware", False), base))
-    return spark.createDataFrame(rows, _SAMPLES)
+    return rows
+
+
+def samples(spark: SparkSession, text: str) -> DataFrame:
+    """Samples with what plans ask of them, and ``base``, the sample a compat or fast one is compared with."""
+    return spark.createDataFrame(_sample_rows(text), _SAMPLES)
+
+
+def samples_of(files: DataFrame) -> DataFrame:
+    """Samples of many configuration files (path, value), such as the copies that runs keep of theirs, with the path."""
+
+    def parse(batches):
+        for b in batches:
+            rows = [(path, *row) for path, text in zip(b["path"], b["value"], strict=True) for row in _sample_rows(text)]
+            yield pd.DataFrame(rows, columns=names)
+
+    names = ["path", *(c.split()[0] for c in _SAMPLES.split(", "))]
+    return files.select("path", "value").mapInPandas(parse, f"path string, {_SAMPLES}")
 
 
 def no_samples(spark: SparkSession) -> DataFrame:
