@@ -4,9 +4,9 @@ Detected entities are e-mail addresses, phone numbers, payment cards (Luhn-valid
 addresses, bank accounts (IBAN), social security numbers (ddd-dd-dddd), access keys and secrets in
 assignments, and personal names after a title. Each gets a surrogate of its own kind and format: digits
 stay digits of their script, letters stay letters of the same script and case, cards and accounts keep
-their issuer and valid check digits, an address stays in its class (private or public), a name keeps
+their issuer and valid check digits, an address stays in its class (private, public, mapped and so on), a name keeps
 its title and its gender (the title's, or after a neutral title the given name's), and a surname its
-pattern of vowels and consonants.
+pattern of vowels and consonants. Names in capitals are the same names.
 
 A surrogate is a keyed permutation (a Feistel network with cycle walking) of the entity's canonical
 form, so equal entities get equal surrogates in every document and on every worker, without a table
@@ -15,8 +15,8 @@ only after the collision check: the inverse permutation must give the entity bac
 can have the same surrogate; else ``Collision`` is raised.
 
 Entities of any length are permuted in blocks of ``BLOCK`` letters, each under a tweak of all letters
-before it. Characters without a lower and upper case that lead back to each other (the Kelvin sign) stay
-as they are, as nothing of the same format could stand for them reversibly.
+before it. Letters without a lower and upper case that lead back to each other (sharp s, the Kelvin sign) stand for
+other such letters. The one loopback and the one unspecified IPv6 address name nobody and are no entities.
 
 The key is the caller's: whoever has it can take surrogates back. Defined cases: null text stays null in ``anonymise`` and counts as empty in ``surrogates``; text
 without entities is returned as it is; where entities overlap, the one that starts first wins, then
@@ -92,6 +92,8 @@ def _others() -> dict[str, tuple[str, int, bool]]:
             groups[script, "letter"].append(c)
         elif c.lower() == c and len(c.upper()) == 1 and c.upper().lower() == c and c.upper() not in _PLACE:
             groups[script, "small"].append(c)
+        elif c.isalpha() and not (len(c.lower()) == 1 and c.lower() != c and c.lower().upper() == c):
+            groups[unicodedata.category(c), "odd"].append(c)
     return {c: p for g in groups.values() for c, p in _sides("".join(g)).items()}
 
 
@@ -213,11 +215,26 @@ def _ipv4(s: str, key: bytes, back: bool) -> str:
             return ".".join(map(str, _unmixed(y, [256] * 4)))
 
 
+#: Prefixes of special classes of IPv6 addresses (mapped, translated, documentation).
+_IPV6_CLASSES = (("::ffff:0:0", 96), ("64:ff9b::", 96), ("2001:db8::", 32))
+_IPV6_PREFIXES = [(int(ipaddress.IPv6Address(p)) >> 128 - n, n) for p, n in _IPV6_CLASSES]
+
+
+def _ipv6_class(x: int) -> tuple[int, int]:
+    """(prefix, its bits) that an address shares with its class: a special one's, else the first sixteen bits."""
+    return next(((p, n) for p, n in _IPV6_PREFIXES if x >> 128 - n == p), (x >> 112, 16))
+
+
 def _ipv6(s: str, key: bytes, back: bool) -> str:
-    """The first sixteen bits, which tell the class of an address, stay; written in the shortest form."""
+    """Another address of the same class, in the shortest form."""
     x = int(ipaddress.IPv6Address(s))
-    head, tail = x >> 112, x & (1 << 112) - 1
-    return str(ipaddress.IPv6Address(head << 112 | _permute(tail, 1 << 112, key, f"ipv6{head}", back)))
+    own, free = _ipv6_class(x), 128 - _ipv6_class(x)[1]
+    tail = x & (1 << free) - 1
+    while True:  # walk past special classes, and past what is no entity
+        tail = _permute(tail, 1 << free, key, f"ipv6{own[0]}/{own[1]}", back)
+        y = own[0] << free | tail
+        if y > 1 and _ipv6_class(y) == own:
+            return str(ipaddress.IPv6Address(y))
 
 
 def _account_check(country: str, body: str) -> str:
@@ -267,22 +284,28 @@ def _secret(s: str, key: bytes, back: bool) -> str:
             return out
 
 
+def _cased(name: str) -> str:
+    """A name in capitals as it is listed."""
+    return name[:1] + name[1:].lower() if len(name) > 1 and name.isupper() else name
+
+
 def _name(s: str, key: bytes, back: bool) -> str:
     title, *names = s.split(" ")
     script = "cyrillic" if re.search("[а-яё]", s.lower()) else "latin"
-    gender = next((g for g, ts in TITLES.items() if title.rstrip(".") in ts), "n")
+    gender = next((g for g, ts in TITLES.items() if title.rstrip(".").lower() in map(str.lower, ts)), "n")
     if gender == "n" and names:  # the given name's, which its surrogate has as well
-        gender = next((g for g in ("f", "m") if names[0] in NAMES[g, script]), "n")
+        gender = next((g for g in ("f", "m") if _cased(names[0]) in NAMES[g, script]), "n")
     out = [title]
     own = NAMES.get((gender, script), [])
     listed = {n for g in ("f", "m") if gender in (g, "n") for n in NAMES[g, script]}
     for k, n in enumerate(names):
-        if k == 0 and n in own:
-            out.append(own[_permute(own.index(n), len(own), key, f"given|{gender}|{script}", back)])
+        if k == 0 and (known := _cased(n)) in own:
+            new = own[_permute(own.index(known), len(own), key, f"given|{gender}|{script}", back)]
+            out.append(new if known == n else new.upper())
             continue
         while True:  # walk past the listed names, which only stand for each other
             n = _letters(n, key, "name", back, _SPOKEN)
-            if k or n not in listed:
+            if k or _cased(n) not in listed:
                 break
         out.append(n)
     return " ".join(out)
@@ -322,8 +345,10 @@ def surrogate(kind: str, entity: str, key: bytes) -> str:
     return out
 
 
-_TITLE = "|".join(sorted({t for ts in TITLES.values() for t in ts}, key=len, reverse=True))
-_NAME = re.compile(rf"(?<!\w)(?:{_TITLE})\.? (?=[^\W\d_a-z])[^\W\d_]{{2,}}(?:-[^\W\d_]+)?(?: (?=[^\W\d_a-z])[^\W\d_]{{2,}}(?:-[^\W\d_]+)?)?")
+_TITLE = "|".join(sorted({x for ts in TITLES.values() for t in ts for x in (t, t.upper())}, key=len, reverse=True))
+# a capital, then letters; parts joined by a hyphen or an apostrophe, but no possessive s
+_ONE_NAME = r"(?=[^\W\d_a-z])(?:[^\W\d_]{2,}|[^\W\d_](?=['’-]))(?:(?:-|['’](?![sS]\b))[^\W\d_]+)*"
+_NAME = re.compile(rf"(?<!\w)(?:{_TITLE})\.? {_ONE_NAME}(?: {_ONE_NAME})?")
 _HOST = re.compile(r"@((?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})")
 #: What ends the local part of an address.
 _OUTSIDE = frozenset("@<>()[],;:\"!?#$%&*/\\|")
@@ -353,7 +378,7 @@ def _local(text: str, at: int) -> int:
 
 def _is_ipv6(s: str) -> bool:
     try:
-        return bool(ipaddress.IPv6Address(s))
+        return int(ipaddress.IPv6Address(s)) > 1
     except ValueError:
         return False
 

@@ -19,7 +19,8 @@ grams at equal places, and only suffixes at picked grams (anchors, about one byt
 4. The covered ranges are united for each document.
 
 Two context hashes of 64 bits, below an equal gram hash of 64 bits, stand for equal bytes in step 1; a
-comparison of the bytes would move 168 of them for each copy.
+comparison of the bytes would move 168 of them for each copy. In step 2 the bytes of the grams are compared: a group whose
+grams share a hash alone is sorted from their first byte on.
 
 Defined cases: null and empty texts have nothing to remove, as all under ``WINDOW`` bytes; rows that
 repeat a doc_id (null is one) with the same text are one document, returned as often as given; rows that
@@ -240,15 +241,15 @@ def blind_trie(strings: list[bytes]) -> list[int]:
     return out
 
 
-def deep_shallow(strings: list[bytes], group: np.ndarray, width: int, known: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def deep_shallow(strings: list[bytes], group: np.ndarray, width: int, known: int | np.ndarray = 0) -> tuple[np.ndarray, np.ndarray]:
     """Sort strings of at most ``width`` bytes within their groups (equal, adjacent numbers), of which
-    the first ``known`` symbols agree. Returns the order and the common prefix of each string with the
+    the first ``known`` symbols agree (a number, or one for each string, the same in a group). Returns the order and the common prefix of each string with the
     one before it in that order (0 at a group's start)."""
     n, symbols = len(strings), -(-width // 8) + 1
     padded = np.frombuffer(b"".join(s.ljust(symbols * 8, b"\0") for s in strings), np.uint8).reshape(n, -1)
     size = np.fromiter(map(len, strings), np.int64, n)
     words = padded.view(">u8").astype(np.uint64)
-    order, seg, depth = np.arange(n), group.astype(np.int64), np.full(n, known)
+    order, seg, depth = np.arange(n), group.astype(np.int64), np.zeros(n, np.int64) + known
     deep: list[np.ndarray] = []  # positions in order, one array for each group left to a trie
     while True:  # every unfinished segment is split in three about its own pivot at once
         edge = np.flatnonzero(seg[1:] != seg[:-1]) + 1
@@ -284,12 +285,20 @@ def deep_shallow(strings: list[bytes], group: np.ndarray, width: int, known: int
     return order, lcp
 
 
+def same_grams(group: np.ndarray, right: list[bytes]) -> np.ndarray:
+    """Of each string, whether all grams of its group are the same bytes and not only the same hash."""
+    grams = np.frombuffer(b"".join(s[:GRAM].ljust(GRAM, b"\0") for s in right), np.uint8).reshape(-1, GRAM)
+    start = bounds([group])
+    other = (grams != grams[np.repeat(start[:-1], np.diff(start))]).any(1) | (np.fromiter(map(len, right), np.int64, len(right)) < GRAM)
+    return np.repeat(~np.logical_or.reduceat(other, start[:-1]), np.diff(start)) if len(right) else other
+
+
 def repeated(group: np.ndarray, left: list[bytes], right: list[bytes], lo: np.ndarray | int = 0, hi: np.ndarray | int = REACH) -> tuple[np.ndarray, np.ndarray]:
     """For anchors in order of their occurrence within each group: the largest and the smallest number
     of bytes before the anchor, from lo to hi, of windows that an earlier anchor of the group has too (-1:
     none)."""
     n = len(left)
-    by_r, lcp_r = deep_shallow(right, group, WINDOW, GRAM // 8)
+    by_r, lcp_r = deep_shallow(right, group, WINDOW, same_grams(group, right) * (GRAM // 8))
     by_l, lcp_l = deep_shallow([s[::-1] for s in left], group, REACH)
     new = np.zeros(n, bool)
     new[1:] = group[1:] != group[:-1]  # both orders keep the groups where they are

@@ -1,14 +1,16 @@
 """Pages labelled by hand, training's bound, and columns that the pipeline must leave alone."""
 
+import ipaddress
 import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_pages_vectors import _near_corpus
 
-from benchlake.llm import html_text, toxicity
+from benchlake.llm import html_text, pii, suffix_dedup, toxicity
 
 LONG = "The council met on Tuesday to discuss the budget for the coming year, and after a long debate the members agreed to raise it by two percent. Nobody was surprised."
 #: Names of subjects that hold a word of page furniture.
@@ -115,3 +117,60 @@ def test_null_and_empty_twins_of_one_id_are_one_document(spark):
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     out = p.drop_copies(spark, docs, "").collect()
     assert len(out) == 2 and {(r.doc_id, r.text or "") for r in out} in ({(None, ""), (2, "x y")}, {(1, ""), (2, "x y")})
+
+
+KEY = b"a key"
+
+
+@pytest.mark.parametrize(
+    ("text", "entity"),
+    [
+        ("Ask DR JOHN SMITH now", "DR JOHN SMITH"), ("Ask MRS. ANNA O'NEILL.", "MRS. ANNA O'NEILL"), ("Mr. O’Neill came", "Mr. O’Neill"), ("Mr Smith's car", "Mr Smith"), ("Ms D’Angelo-Kraus’s car", "Ms D’Angelo-Kraus"), ("Dr Anna Weber", "Dr Anna Weber"),
+        ("Herr Jürgen Groß sagt", "Herr Jürgen Groß"), ("mail ß@test.com", "ß@test.com"), ("ping 2001:db8::7 twice", "2001:db8::7"),
+    ],
+)
+def test_names_in_capitals_and_with_apostrophes(text, entity):
+    (found,) = pii.detect(text)
+    assert text[found[0] : found[1]] == entity
+    new = pii.surrogate(found[2], entity, KEY)
+    assert new != entity and pii._made(found[2], new, KEY, True) == entity and len(new.split()) == len(entity.split())
+
+
+def test_coreference_and_gender_do_not_depend_on_case():
+    for given in ("John", "Anna", "Zork"):
+        one, two = pii.surrogate("name", f"Dr {given} Smith", KEY), pii.surrogate("name", f"DR {given.upper()} SMITH", KEY)
+        assert one.upper() == two.upper() and two == two.upper()
+        assert pii.surrogate("name", f"Dr {given} SMITH", KEY).upper() == two
+    assert pii.surrogate("name", "MR JOHN SMITH", KEY).split()[1].capitalize() in pii.NAMES["m", "latin"]
+    assert pii.surrogate("name", "FRAU ANNA SMITH", KEY).split()[1].capitalize() in pii.NAMES["f", "latin"]
+    rng = random.Random(6)
+    given = [*pii.NAMES["m", "latin"], *pii.NAMES["f", "latin"], *("".join(rng.choices("aeiouklmnrst", k=5)).capitalize() for _ in range(200))]
+    names = sorted({f"{t} {g}" for t in ("Dr", "Mr", "DR", "MR") for n in given for g in (n, n.upper())})
+    assert len({pii.surrogate("name", n, KEY) for n in names}) == len(names)
+
+
+def test_addresses_stay_in_their_class():
+    for text in ("::1", "::", "at ::1 now"):
+        assert pii.detect(text) == []
+    rng = random.Random(7)
+    for prefix, bits in [("::ffff:0:0", 96), ("64:ff9b::", 96), ("2001:db8::", 32), ("fe80::", 16), ("2001::", 16), ("::", 16), ("fd00::", 16)]:
+        olds = {str(ipaddress.IPv6Address(int(ipaddress.IPv6Address(prefix)) | rng.getrandbits(min(40, 128 - bits)) + 2)) for _ in range(300)}
+        news = {pii.surrogate("ipv6", o, KEY) for o in olds}
+        assert len(news) == len(olds) and all(pii._ipv6_class(int(ipaddress.IPv6Address(n))) == pii._ipv6_class(int(ipaddress.IPv6Address(prefix)) + 2) for n in news)
+
+
+def test_grams_that_share_a_hash_alone_are_told_apart():
+    """Two grams under one hash: suffixes of either would lie between those of the other if their first bytes were skipped."""
+    rng = random.Random(9)
+    for _ in range(20):
+        one, two = (bytes(rng.randrange(256) for _ in range(suffix_dedup.GRAM)) for _ in range(2))
+        tails = [bytes(rng.choices(b"ab", k=68)) for _ in range(6)]
+        right = [g + t for g in (one, two) for t in tails for _ in range(2)]
+        rng.shuffle(right)
+        left = [b"x" * 68] * len(right)
+        most, _ = suffix_dedup.repeated(np.zeros(len(right), np.int64), left, right)
+        want = [suffix_dedup.REACH if any(right[j][:32] == right[k][:32] for j in range(k)) else -1 for k in range(len(right))]
+        assert [(m >= 0) for m in most] == [w >= 0 for w in want]
+        first = [max((a for a in range(suffix_dedup.REACH + 1) if any(r[: 100 - a] == right[k][: 100 - a] for r in right[:k])), default=-1) for k in range(len(right))]
+        assert most.tolist() == first
+    assert suffix_dedup.same_grams(np.array([0, 0, 1, 1, 2]), [b"a" * 40, b"a" * 40, b"b" * 40, b"c" * 40, b"d" * 10]).tolist() == [True, True, False, False, False]
