@@ -21,7 +21,7 @@ from benchlake.operators import concordance, sets
 from benchlake.plans import arena, gates, perf, release, schedule, verdict
 from benchlake.plans.collect import collect
 from benchlake.session import session
-from benchlake.sinks.render import md, publish, rerender, rewrite
+from benchlake.sinks.render import md, publish, release_set, rerender, rewrite
 from benchlake.sinks.store import Store
 from benchlake.sources import alignments, artifacts, dimensions
 
@@ -171,7 +171,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif a.command == "results":
         ledger = dimensions.ledger(spark, Path(a.ledger).read_text())
         document = release.snapshot(trials, comparisons, store.read("accuracy"), arena.arena_rows(store.read("arena"), a.sha), store.read("scaling"), _ladder(spark, a.ladder), ledger, a.sha, a.version)
-        publish(document, Path(a.out), force=bool(a.force))
+        out = Path(a.out)
+        if out.name == "data.json":  # one of a set of releases, whose pages are made anew
+            print("\n".join(map(str, release_set(out.parent.parent, document, out, force=bool(a.force)))))
+        else:
+            publish(document, out, force=bool(a.force))
     return 0
 
 

@@ -7,6 +7,8 @@ round, unit), so it needs no state and is the same on every run; another seed gi
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,38 @@ def schedule(arms: DataFrame, pairs: DataFrame, candidate: str, seed: str, headl
     return out.select("block", F.xxhash64(F.lit(seed), "block").alias("block_order"), "round", "position", "label").orderBy("block_order", "round", "position")
 
 
+def run_order(arms: DataFrame, pairs: DataFrame, candidate: str, seed: str, headline: int, context: int) -> DataFrame:
+    """Like ``schedule``, in the order that the workflow's own generator gives for a seed (Mersenne Twister seeded by the
+    text). The driver draws for the declared arms: an order of blocks, then for each block who leads and an order of its units
+    for every round; the rest is a join of the draws with the arms."""
+    spark = arms.sparkSession
+    if min(headline, context) < 1:
+        raise ValueError("every block needs a round")
+    listed = [(r.label, r.block) for r in arms.select("label", "block").collect()]  # declared arms
+    block_of = dict(listed)
+    if len(block_of) < len(listed):
+        raise ValueError("arms repeat a label")
+    couples = [(r.first, r.second) for r in pairs.select("first", "second").collect()]
+    if len({x for c in couples for x in c}) < 2 * len(couples):
+        raise ValueError("a label is in two pairs")
+    whole = [c for c in couples if all(x in block_of for x in c) and block_of[c[0]] == block_of[c[1]]]
+    paired = {x for c in whole for x in c}
+    units = sorted([*whole, *((x,) for x in block_of if x not in paired)])
+    draw, order, draws = random.Random(seed), sorted(set(block_of.values())), []
+    draw.shuffle(order)
+    for number, block in enumerate(order):
+        flipped = draw.random() < 0.5
+        for round_ in range((headline if block_of.get(candidate) == block else context) + 1):
+            own = [u for u in units if block_of[u[0]] == block]
+            draw.shuffle(own)
+            turned = (round_ % 2 == 1) != flipped
+            draws += [(block, number, round_, turn, list(reversed(u)) if turned else list(u)) for turn, u in enumerate(own)]
+    dealt = spark.createDataFrame(draws, "block string, block_order long, round long, turn long, members array<string>")
+    each = dealt.select("block", "block_order", "round", "turn", F.posexplode("members").alias("place", "label"))
+    position = F.row_number().over(Window.partitionBy("block", "round").orderBy("turn", "place"))  # the arms of one round
+    return each.select("block", "block_order", "round", position.alias("position"), "label").orderBy("block_order", "round", "position")
+
+
 def job_counts(jobs: DataFrame) -> DataFrame:
     """Jobs by command and state, by command (state null), and in all (both null)."""
     return jobs.rollup("command", "state").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from benchlake.functions import labels as L
 from benchlake.functions import records as R
 from benchlake.operators import concordance as C
 from benchlake.operators import sets
-from benchlake.plans import gates, perf, schedule, verdict
+from benchlake.plans import gates, perf, schedule, targets, verdict
 from benchlake.queries import _ACC, _CMP, _E, _PLACE, _REG, _S, _T, _registry, query, rounded, table, v_accuracy, v_comparisons, v_records, v_scaling, v_trials
 from benchlake.session import scratch_dir
 from benchlake.sources import artifacts, dimensions, fastq
@@ -380,3 +380,44 @@ def fastq_files(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/benchlake/{uuid.uuid4().hex}/fastq"
     table(spark, sf, "orders").select(text.alias("value")).write.text(path)
     return fastq.records(spark, path).select(F.expr("cast(substring(header, 2) as bigint)").alias("o_orderkey"), "seq", "qual")
+
+
+# Targets: samples from suppliers, architectures from nations
+
+_values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+_TARGETS = f"""k AS (SELECT s_suppkey AS k FROM supplier),
+s AS (SELECT 's' || k AS sample, 's' || k AS base, k % 7 = 0 AS truth, k % 5 = 0 AS meth, k % 11 = 0 AS compat, k % 2 = 0 AS golden, FALSE AS fast, k % 3 = 0 AS has_fast FROM k
+  UNION ALL SELECT 's' || k || '-fast', 's' || k, k % 7 = 0, k % 5 = 0, k % 11 = 0, FALSE, TRUE, FALSE FROM k WHERE k % 3 = 0),
+a AS (SELECT 'a' || n_nationkey AS arch, CASE WHEN n_nationkey % 3 = 0 THEN 'arm' ELSE 'x86' END AS platform, CASE WHEN n_nationkey % 3 = 0 THEN 'a1' ELSE 'a' || n_nationkey END AS reference FROM nation),
+sc AS (SELECT sample, meth, unnest(list_filter([CASE WHEN NOT truth AND NOT compat AND NOT fast THEN 'sweep' END, CASE WHEN NOT truth AND NOT compat AND NOT fast AND golden THEN 'golden' END, CASE WHEN NOT truth AND NOT compat AND fast THEN 'fast' END,
+  CASE WHEN NOT truth AND NOT compat AND NOT fast AND has_fast THEN 'fast_base' END, CASE WHEN truth THEN 'truth' END], lambda z: z IS NOT NULL)) AS scope FROM s),
+o(target, source, product, scope, platform, n) AS (VALUES {_values((o.target, o.source, o.product, o.samples, o.archs, 2 if o.reps == "reps" else 1) for o in targets.OUTPUTS)}),
+e AS (SELECT DISTINCT target, source, product, sample, arch, unnest(range(1, n + 1))::BIGINT AS rep FROM sc JOIN o USING (scope) JOIN a USING (platform) WHERE NOT meth OR (arch = 'a2' AND platform = 'x86'))"""
+
+
+def _declared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    k = F.col("k")
+    keys = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"))
+    own = F.concat(F.lit("s"), k.cast("string"))
+    facts = [(k % 7 == 0).alias("truth"), (k % 5 == 0).alias("meth"), (k % 11 == 0).alias("compat")]
+    plain = keys.select(own.alias("sample"), own.alias("base"), *facts, (k % 2 == 0).alias("golden"))
+    fast = keys.filter(k % 3 == 0).select(F.concat(own, F.lit("-fast")).alias("sample"), own.alias("base"), *facts, F.lit(False).alias("golden"))
+    n = F.col("n_nationkey")
+    arch = F.concat(F.lit("a"), n.cast("string"))
+    archs = table(spark, sf, "nation").select(arch.alias("arch"), F.when(n % 3 == 0, "arm").otherwise("x86").alias("platform"), F.when(n % 3 == 0, "a1").otherwise(arch).alias("baseline_arch"))
+    return plain.union(fast), archs
+
+
+@query(f"WITH {_TARGETS} SELECT * FROM e")
+def target_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return targets.expected(*_declared(spark, sf), reps=2, baseline_reps=1, meth_arch="a2")
+
+
+@query(f"""WITH RECURSIVE {_TARGETS}, r(source, product, n_source, n_product, of_sample, of_arch, of_rep) AS (VALUES {_values(targets.RULES)}),
+c AS (SELECT source, product, sample, arch, rep FROM e UNION
+  SELECT n_source, n_product, CASE WHEN of_sample = 'base' THEN s.base ELSE c.sample END, CASE WHEN of_arch = 'reference' THEN a.reference ELSE c.arch END, CASE WHEN of_rep = 'first' THEN 1 ELSE c.rep END
+  FROM c JOIN r ON r.source = c.source AND r.product = c.product JOIN s ON s.sample = c.sample JOIN a ON a.arch = c.arch)
+SELECT * FROM c""")
+def target_closure(spark: SparkSession, sf: str) -> DataFrame:
+    samples, archs = _declared(spark, sf)
+    return targets.closure(targets.expected(samples, archs, reps=2, baseline_reps=1, meth_arch="a2"), samples, archs)
