@@ -129,7 +129,7 @@ def predecessors(measured: DataFrame, releases: DataFrame, modes: tuple[str, ...
 
 def arena_table(rows: DataFrame, releases: DataFrame) -> DataFrame:
     """One row per (arch, label, mode): medians, counts, the ratio to the last measured release, and
-    for arms that are no release the candidate's wall over theirs. The rows and the facts of the arms are
+    for arms that are no release the candidate's wall over theirs, in the order of the ladder. The rows and the facts of the arms are
     written once, as several parts of the table read them."""
     rows = materialize(rows.select("arch", "label", "mode", "rep", "block", "position", "wall_seconds", "process_seconds", "thp_fault_fallback", "cold"), "arena_rows")
     stats = materialize(arm_stats(rows), "arm_stats")
@@ -139,10 +139,12 @@ def arena_table(rows: DataFrame, releases: DataFrame) -> DataFrame:
     ratios = paired_ratios(rows, pairs, stats).join(pairs.select("pair", "arch", F.col("this_label").alias("label"), F.col("this_mode").alias("mode")), "pair")
     ratios = ratios.select("arch", "label", "mode", F.col("ratio").alias("vs_prior_release"), F.col("process_ratio").alias("vs_prior_process"), F.col("low").alias("prior_min"), F.col("high").alias("prior_max"), F.col("rounds").alias("prior_rounds"), F.col("note").alias("prior_note"))
     own = table.filter((F.col("label") == CANDIDATE) & (F.col("mode") == "default")).select("arch", F.col("median_wall_s").alias("own_wall"))
-    known = chronology(releases).select("release")
-    comparator = table.withColumn("release", release_of(F.col("label"))).join(F.broadcast(known), "release", "left_anti").select("arch", "label", "mode", F.lit(True).alias("comparator"))
-    out = table.join(ratios, ["arch", "label", "mode"], "left").join(own, "arch", "left").join(comparator, ["arch", "label", "mode"], "left")
-    return out.withColumn("vs_candidate", F.when(F.col("comparator"), S.ratio("own_wall", "median_wall_s"))).drop("own_wall", "comparator").orderBy("arch", "label", "mode")
+    known = chronology(releases)
+    ranked = table.withColumn("release", release_of(F.col("label"))).join(F.broadcast(known), "release", "left").select("arch", "label", "mode", "rank", F.col("rank").isNull().alias("comparator"))
+    out = table.join(ratios, ["arch", "label", "mode"], "left").join(own, "arch", "left").join(ranked, ["arch", "label", "mode"], "left")
+    # releases in the ladder's order, then the others by name
+    shown = out.withColumn("vs_candidate", F.when(F.col("comparator"), S.ratio("own_wall", "median_wall_s"))).orderBy("arch", F.asc_nulls_last("rank"), "label", "mode")
+    return shown.drop("own_wall", "comparator", "rank")
 
 
 def writer_control(rows: DataFrame) -> DataFrame:
