@@ -202,19 +202,25 @@ def needed(sizes: dict[int, int], sequence: int) -> int:
     return most
 
 
-def _histogram(rows: DataFrame, column_: str) -> dict[int, int]:
-    return {r[0]: r[1] for r in rows.groupBy(column_).count().collect()}  # sizes: at most a sequence's length of rows
+def _histograms(left: DataFrame, gaps: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """How many pieces of each size and gaps of each room: at most a sequence's length of rows each, in one job."""
+    both = left.select(F.lit(PIECE).alias("kind"), F.col("size").alias("n")).union(gaps.select(F.lit(GAP).alias("kind"), F.col("room").alias("n")))
+    rows = both.groupBy("kind", "n").count().collect()
+    return tuple({n: count for kind, n, count in rows if kind == own} for own in (PIECE, GAP))
 
 
 def place(short: DataFrame, sequence: int) -> DataFrame:
     """short: (pid, size) of pieces below a sequence's length -> (pid, seq, offset), seq from 0 on."""
     spark = short.sparkSession
-    placed, opened, matched_before = [], 0, None
+    placed, opened, before = [], 0, None  # before: pieces that waited at the last superstep
     left, gaps = materialize(short, "left"), spark.createDataFrame([], "seq long, room long")
-    while sizes := _histogram(left, "size"):
-        rooms = _histogram(gaps, "room")
+    while True:
+        sizes, rooms = _histograms(left, gaps)
+        if not sizes:
+            break
         waiting, largest = sum(sizes.values()), max(rooms, default=0)
-        stuck = matched_before is None or matched_before * 20 < waiting
+        stuck = before is None or (before - waiting) * 20 < before
+        before = waiting
         more = needed(sizes if stuck else {k: n for k, n in sizes.items() if k > largest}, sequence)
         fresh = spark.range(opened, opened + more).select(F.col("id").alias("seq"), F.lit(sequence).cast("long").alias("room"))
         opened += more
@@ -233,15 +239,15 @@ def place(short: DataFrame, sequence: int) -> DataFrame:
         if len(up):
             pieces_, slots_ = _numbered(pieces_, up, True), _numbered(slots_, down, False)
             met = pieces_.filter("number is not null").select("number", "pid", "size").join(slots_.filter("number is not null").select("number", "seq", "room"), "number")
-            pairs = materialize(pairs.union(met.select("pid", "size", "seq", "room")), "pairs")
+            pairs = pairs.union(met.select("pid", "size", "seq", "room"))
             pieces_, slots_ = pieces_.filter("number is null"), slots_.filter("number is null")
         inside = Window.partitionBy("seq").orderBy(F.desc("size"), "pid").rowsBetween(Window.unboundedPreceding, -1)  # the pieces of one sequence
-        placed.append(materialize(pairs.select("pid", "seq", (sequence - F.col("room") + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("offset")), "placed"))
-        rest = pairs.select("seq", "room", "size").union(slots_.select("seq", "room", F.lit(0).cast("long")))
+        put = materialize(pairs.select("pid", "seq", "room", "size", (sequence - F.col("room") + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("offset")), "placed")
+        placed.append(put.select("pid", "seq", "offset"))
+        rest = put.select("seq", "room", "size").union(slots_.select("seq", "room", F.lit(0).cast("long")))
         gaps_now = materialize(rest.groupBy("seq").agg((F.max("room") - F.sum("size")).alias("room")).filter("room > 0"), "gaps")
         left_now = materialize(pieces_.select("pid", "size"), "left")
-        matched_before = waiting - left_now.count()
-        release(left, swept, *([gaps] if hasattr(gaps, "scratch_path") else []), *([pairs] if len(up) else []))
+        release(left, swept, *([gaps] if hasattr(gaps, "scratch_path") else []))
         left, gaps = left_now, gaps_now
     out = spark.createDataFrame([], "pid long, seq long, offset long")
     for p in placed:
