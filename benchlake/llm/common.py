@@ -11,12 +11,16 @@ Null, empty and repeated input, in every operator of this package:
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchlake.session import materialize, release, scratch_dir
 
-__all__ = ["BATCH_BYTES", "NULL_ID", "draw_seed", "key", "keyed_draws", "keyed_texts", "materialize", "release", "scratch_dir", "table", "texts", "tuned", "unkey"]
+__all__ = ["BATCH_BYTES", "NULL_ID", "draw_seed", "handing_back", "key", "keyed_draws", "keyed_texts", "materialize", "release", "scratch_dir", "table", "texts", "tuned", "unkey"]
 
 NULL_ID = -(2**63) + 1
 #: Bytes of one Arrow batch handed to Python: bounds a worker's memory where texts are long.
@@ -59,3 +63,19 @@ def draw_seed(seed: int, doc_id: Column) -> Column:
 def keyed_draws(text: Column, n: int) -> list[Column]:
     """n numbers below 2^32: the groups of eight digits of the SHA-256 of a text."""
     return [F.conv(F.substring(F.sha2(text, 256), 8 * k + 1, 8), 16, 10).cast("long").alias(f"h{k + 1}") for k in range(n)]
+
+
+def handing_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow whose worker hands its free memory back to the machine when a task ends. Workers live
+    on between stages, and what the allocators keep of one stage's texts would add to the next one's."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+            if trim is not None:
+                trim(0)
+
+    return own

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import keyed_texts, materialize, tuned, unkey
+from benchlake.llm.common import handing_back, keyed_texts, materialize, tuned, unkey
 
 SPACE = b" \t\n\x0b\x0c\r"
 CHUNK = 4096
@@ -113,7 +113,7 @@ def _whole(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(seat, seat + len(f))), b.column(0), b.column(1), pa.array(f, pa.int64()), pa.array(size, pa.int64()), pa.array(points, pa.int64()), pa.array(sha)], names=["seat", "doc_id", "row", "f", "n_bytes", "n_points", "text_sha256"])
             seat += len(f)
 
-    return docs.filter(F.length("text") <= HUGE).mapInArrow(run, _DIGESTS)
+    return docs.filter(F.length("text") <= HUGE).mapInArrow(handing_back(run), _DIGESTS)
 
 
 def _huge(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import keyed_texts, materialize, release, texts
+from benchlake.llm.common import handing_back, keyed_texts, materialize, release, texts
 from benchlake.llm.runs import bounds, whole_runs
 from benchlake.llm.simhash import majority, shingle_hashes
 
@@ -98,7 +98,7 @@ def prints(docs: DataFrame, size: int, least: tuple[int, int]) -> DataFrame:
             node, fp, n, bits, wide, prefix, early = zip(*out, strict=True) if out else ((),) * 7
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(wide, pa.binary()), *(pa.array(list(x), pa.list_(pa.int64())) for x in (prefix, early))], names=["doc_id", "row", "node", "fp", "n", "bits", "wide", "prefix", "early"])
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id long, row long, node long, fp long, n long, bits binary, wide binary, prefix array<long>, early array<long>")
+    return keyed_texts(docs).mapInArrow(handing_back(run), "doc_id long, row long, node long, fp long, n long, bits binary, wide binary, prefix array<long>, early array<long>")
 
 
 def _bitmaps(t: pa.Table, k: int) -> np.ndarray:
@@ -294,7 +294,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, lea
     pairs = materialize(pairs.join(rejected, ["a", "b"], "left_anti"), "likely")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialize(named.join(nodes.select("node", "doc_id", "row"), "node").select("doc_id", "row"), "wanted")
-    found = keyed_texts(docs).join(wanted, ["doc_id", "row"], "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, s binary")
+    found = keyed_texts(docs).join(wanted, ["doc_id", "row"], "left_semi").select("doc_id", "text").mapInArrow(handing_back(sets), "node long, s binary")
     found = materialize(found.dropDuplicates(["node"]), "sets")
     both = pairs.join(found.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
     out = materialize(both.select("a", "b", "s_a", "s_b").mapInArrow(are, "a long, b long"), "near")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from benchlake.llm.common import materialize, release, texts, tuned, unkey
+from benchlake.llm.common import handing_back, materialize, release, texts, tuned, unkey
 from benchlake.llm.runs import column
 
 SEQUENCE = 1024
@@ -105,7 +105,7 @@ def pieces(docs: DataFrame, sequence: int, tokenizer_path: str) -> DataFrame:
                     pid += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6, names=["doc_id", "piece", "start", "length", "ids_crc32", "pid"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, piece long, start long, length long, ids_crc32 long, pid long")
+    return texts(docs).mapInArrow(handing_back(run), "doc_id long, piece long, start long, length long, ids_crc32 long, pid long")
 
 
 MATCHED, PIECE, GAP = range(3)

@@ -335,7 +335,7 @@ def _made(kind: str, entity: str, key: bytes, back: bool) -> str:
     return "".join(chr(zero + int(c)) if c in "0123456789" else c for c in _MAKERS[kind](plain, key, back))
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 14)
 def surrogate(kind: str, entity: str, key: bytes) -> str:
     """The surrogate of an entity, after the collision check."""
     out = _made(kind, entity, key, False)

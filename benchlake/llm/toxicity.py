@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchlake.llm.common import NULL_ID, key, materialize, texts, tuned, unkey
+from benchlake.llm.common import NULL_ID, handing_back, key, materialize, texts, tuned, unkey
 
 BITS = 20
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 10.0, 1.0, 5
@@ -43,7 +43,7 @@ UNKNOWN = 0.1
 _WORD = re.compile(r"[^\W_]+")
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 #: Words whose hash a worker remembers before it starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 class _Hashes(dict):
@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
             x = [np.append(np.unique(features(t, bits)), 1 << bits).astype(np.int32) for t in b.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(x, pa.list_(pa.int32()))], names=["shard", "order", "toxic", "x"])
 
-    found = chosen.select("shard", "order", "toxic", "text").mapInArrow(extract, "shard long, order long, toxic int, x array<int>")
+    found = chosen.select("shard", "order", "toxic", "text").mapInArrow(handing_back(extract), "shard long, order long, toxic int, x array<int>")
 
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("order", kind="stable")
