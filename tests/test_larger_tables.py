@@ -38,3 +38,7 @@ def same_as_sql(spark, sf, name):
 
 def test_truth_samples_of_any_number(spark, many_suppliers):
     same_as_sql(spark, many_suppliers, "missing_baseline_cells")
+
+
+def test_samples_outside_the_golden_sweep_of_any_number(spark, many_suppliers):
+    same_as_sql(spark, many_suppliers, "regression_verdict")
