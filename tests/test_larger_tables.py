@@ -4,9 +4,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_entry import plain
 
 import __spark_entry__ as entry
+from benchlake.plans import perf
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +44,14 @@ def test_truth_samples_of_any_number(spark, many_suppliers):
 
 def test_samples_outside_the_golden_sweep_of_any_number(spark, many_suppliers):
     same_as_sql(spark, many_suppliers, "regression_verdict")
+
+
+def test_probe_totals_do_not_make_the_pairs(spark, monkeypatch):
+    """What 40 rungs and 40 readings of a cell sum to is that of their 1,600 pairs, and the query counts pairs without making
+    them."""
+    rungs = spark.range(40).selectExpr("'r' as run_sha", "'s' as sample", "'a' as arch", "1 as threads", "id as rep", "1D as wall_seconds")
+    probes = spark.range(40).selectExpr("'r' as run_sha", "'s' as sample", "'a' as arch", "0L as rep", "concat('p', id % 2) as phase", "cast(id as double) as m_accesses_per_sec", "1D as ns_per_access")
+    pairs = perf.ladder_probes(rungs, probes).groupBy(*perf.PROBE_CELL, "phase").agg(F.count("*").alias("n"), F.sum("m_accesses_per_sec").alias("total"))
+    assert sorted(pairs.collect()) == sorted(perf.ladder_probe_totals(rungs, probes).collect())
+    monkeypatch.setattr(perf, "ladder_probes", None)
+    assert entry.queries()["ladder_probes_by_cell"](spark, SF).count() > 0
