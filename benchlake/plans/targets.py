@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchlake.session import materialize
+from benchlake.session import dealt, materialize
 
 KEY = ("source", "product", "sample", "arch", "rep")
 BAM, META = "aligned.bam", "benchmarks/meta.json"
@@ -70,8 +70,13 @@ def expected(samples: DataFrame, archs: DataFrame, reps: int, baseline_reps: int
     spark = samples.sparkSession
     declared = spark.createDataFrame([(o.target, o.source, o.product, o.samples, o.archs, {"reps": reps, "baseline_reps": baseline_reps}[o.reps]) for o in outputs], "target string, source string, product string, samples string, archs string, n int")
     fits = ~F.col("meth") | ((F.col("arch") == meth_arch) & (F.col("archs") == "x86"))
-    cells = sample_scopes(samples).join(F.broadcast(declared), "samples").join(archs.select("arch", F.col("platform").alias("archs")), "archs").filter(fits)
-    return cells.select("target", "source", "product", "sample", "arch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))).alias("rep")).distinct()
+    # samples of the same scopes need the same: that is worked out once for each set of scopes, duplicates and all, so that
+    # each cell is made once and no task holds the cells to tell copies apart
+    kinds = sample_scopes(samples).repartition(dealt(samples), "sample").groupBy("sample").agg(F.array_sort(F.collect_set(F.struct("samples", "meth"))).alias("kind"))
+    each = kinds.select("kind").distinct().select("kind", F.explode("kind").alias("k")).select("kind", "k.*")
+    plan = each.join(F.broadcast(declared), "samples").join(archs.select("arch", F.col("platform").alias("archs")), "archs").filter(fits).groupBy("kind", "target", "source", "product", "arch").agg(F.max("n").alias("n"))
+    cells = kinds.join(F.broadcast(plan), "kind")  # sets of five scopes, times outputs and architectures
+    return cells.select("target", "source", "product", "sample", "arch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))).alias("rep"))
 
 
 def closure(wanted: DataFrame, samples: DataFrame, archs: DataFrame, rules: tuple[tuple[str, ...], ...] = RULES) -> DataFrame:

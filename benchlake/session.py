@@ -45,6 +45,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Rows that a task gets of what is dealt out by ``dealt``.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame) -> int:
+    """Into how many partitions to deal a table that tasks sort: their number grows with its rows and not their size, however
+    few bytes the rows take. One for each core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables of ``materialize`` that nothing reads any more."""
     for t in tables:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_entry import plain
 
 import __spark_entry__ as entry
-from benchlake.plans import perf
+from benchlake.plans import perf, targets
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +55,18 @@ def test_probe_totals_do_not_make_the_pairs(spark, monkeypatch):
     assert sorted(pairs.collect()) == sorted(perf.ladder_probe_totals(rungs, probes).collect())
     monkeypatch.setattr(perf, "ladder_probes", None)
     assert entry.queries()["ladder_probes_by_cell"](spark, SF).count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_target_cells_are_made_once(spark):
+    """No distinct over the cells: copies of a declared sample and outputs that overlap are settled before there are any."""
+    samples = spark.createDataFrame([("s1", "s1", False, False, False, True)] * 2 + [("s1-fast", "s1", False, False, False, False), ("s2", "s2", True, True, False, False)], "sample string, base string, truth boolean, meth boolean, compat boolean, golden boolean")
+    archs = spark.createDataFrame([("a1", "x86"), ("a1", "x86"), ("a2", "x86"), ("a3", "arm")], "arch string, platform string")
+    outputs = (targets.Output("t", "runs", "p", "sweep", "x86"), targets.Output("t", "runs", "p", "golden", "x86", "baseline_reps"), targets.Output("t", "runs", "q", "fast", "arm"), targets.Output("t", "runs", "e", "truth", "x86"))
+    out = targets.expected(samples, archs, 3, 1, "a2", outputs)
+    want = [("t", "runs", "p", "s1", a, r) for a in ("a1", "a2") for r in (1, 2, 3)] + [("t", "runs", "q", "s1-fast", "a3", r) for r in (1, 2, 3)] + [("t", "runs", "e", "s2", "a2", r) for r in (1, 2, 3)]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert "Aggregate" not in plan_of(out).split("Join")[0]
