@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchlake.session import dealt, materialize
+
 
 def missing(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     return expected.select(*keys).distinct().join(present.select(*keys), keys, "left_anti")
@@ -58,6 +60,21 @@ def islands(rows: DataFrame, value: str, order: str, partition: Iterable[str]) -
     return rows.withColumn("_new", (~F.coalesce(F.col(value).eqNullSafe(F.lag(value).over(w)), F.lit(False))).cast("long")).withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def numbered(rows: DataFrame, keys: list[str], order: list[str], keep: list[str], name: str) -> DataFrame:
+    """(keys, keep, name): the place of each row, from 1, within its keys by order, for few keys with rows of any number. Sorted
+    ranges and the sum of those before: a window would sort all rows of a key in one task. The table is written."""
+    ranges = rows.repartitionByRange(dealt(rows), *keys, *order).sortWithinPartitions(*keys, *order).withColumn("_at", F.monotonically_increasing_id())  # range << 33 | place
+    own = materialize(ranges.select(*keys, *keep, "_at", F.shiftright("_at", 33).alias("_range")), "numbered")
+    sizes = own.groupBy(*keys, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_range").alias("_of"), (before - F.col("_first") + 1).alias("_shift"))
+    here = F.col("_range") == F.col("_of")
+    for k in keys:
+        here &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    both = own.join(F.broadcast(shift), here)  # a row for each key and range that meet: at most their sum
+    return both.select(*keys, *keep, (F.col("_at") + F.col("_shift")).alias(name))
+
+
 def retry_states(jobs: DataFrame, identity: list[str], state: str, created: str) -> DataFrame:
     """Adds ``display``: a failed job with a later one of the same identity was retried."""
     last = jobs.groupBy(*identity).agg(F.max(created).alias("_last"))  # an aggregate joined back: no task holds an identity's jobs

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchlake.functions import stats as S
-from benchlake.session import materialize
+from benchlake.session import dealt, materialize
 
 # The published rules of the arena.
 COLD_INDEX_FACTOR = 3.0
@@ -17,6 +17,8 @@ CONTROL_SUFFIX = "-sam"
 #: Labels that stand for the run itself and for the build its chain starts at; a reader of artifacts maps
 #: the labels of its tree to these.
 CANDIDATE, SEED_LABEL = "candidate", "seed"
+#: What the reports on arms read of a round.
+MEASURED = ("arch", "label", "mode", "rep", "block", "position", "wall_seconds", "process_seconds", "thp_fault_fallback", "cold")
 
 
 def cold(rows: DataFrame) -> DataFrame:
@@ -24,7 +26,8 @@ def cold(rows: DataFrame) -> DataFrame:
     disk. Null never counts as cold; rows without a block share one."""
     # one median for each (arch, block), combined before the shuffle; a window would gather a block's rows
     middle = rows.groupBy("arch", "block").agg(F.median("index_read_seconds").alias("_middle")).select(F.col("arch").alias("_arch"), F.col("block").alias("_block"), "_middle")
-    both = rows.join(middle, rows.arch.eqNullSafe(F.col("_arch")) & rows.block.eqNullSafe(F.col("_block")), "left")
+    # a run has few blocks; left to adaptive execution, the rows of a block would meet in one task, as nearly all partitions are empty
+    both = rows.join(F.broadcast(middle), rows.arch.eqNullSafe(F.col("_arch")) & rows.block.eqNullSafe(F.col("_block")), "left")
     slow = F.col("index_read_seconds") > COLD_INDEX_FACTOR * F.col("_middle")
     return both.withColumn("cold", F.coalesce(slow, F.lit(False)) | F.coalesce(F.col("io_in_mb") > COLD_IO_MB, F.lit(False))).drop("_arch", "_block", "_middle")
 
@@ -74,7 +77,9 @@ def paired_ratios(rows: DataFrame, pairs: DataFrame, stats: DataFrame | None = N
     members = pairs.select("pair", "arch", F.explode(sides).alias("m")).select("pair", "arch", "m.*")
     measured = F.struct("position", "wall_seconds", "process_seconds", "cold")
     p = F.col("is_prior")
-    both = rows.select("arch", "label", "mode", "rep", measured.alias("r")).join(members, ["arch", "label", "mode"]).groupBy("pair", "rep").agg(F.first(F.when(p, F.col("r")), True).alias("x"), F.first(F.when(~p, F.col("r")), True).alias("y"))
+    sided = rows.select("arch", "label", "mode", "rep", measured.alias("r")).join(F.broadcast(members), ["arch", "label", "mode"])  # the arms of the ladder
+    # dealt out first: structs are aggregated by a sort, and a task that reads a table of few bytes a row has many rows
+    both = sided.repartition(dealt(rows), "pair", "rep").groupBy("pair", "rep").agg(F.first(F.when(p, F.col("r")), True).alias("x"), F.first(F.when(~p, F.col("r")), True).alias("y"))
     rounds = both.filter("x is not null and y is not null")
     clean = ~F.col("x.cold") & ~F.col("y.cold") & F.col("x.wall_seconds").isNotNull() & F.col("y.wall_seconds").isNotNull()
     leads = F.coalesce(F.col("x.position") < F.col("y.position"), F.lit(False))
@@ -131,7 +136,7 @@ def arena_table(rows: DataFrame, releases: DataFrame) -> DataFrame:
     """One row per (arch, label, mode): medians, counts, the ratio to the last measured release, and
     for arms that are no release the candidate's wall over theirs, in the order of the ladder. The rows and the facts of the arms are
     written once, as several parts of the table read them."""
-    rows = materialize(rows.select("arch", "label", "mode", "rep", "block", "position", "wall_seconds", "process_seconds", "thp_fault_fallback", "cold"), "arena_rows")
+    rows = materialize(rows.select(*MEASURED), "arena_rows")
     stats = materialize(arm_stats(rows), "arm_stats")
     table = stats.drop("lone_block")
     chain = predecessors(table, releases)
@@ -148,7 +153,9 @@ def arena_table(rows: DataFrame, releases: DataFrame) -> DataFrame:
 
 
 def writer_control(rows: DataFrame) -> DataFrame:
-    """What native output saves over the pipe: ``<label>-sam`` against ``<label>``."""
+    """What native output saves over the pipe: ``<label>-sam`` against ``<label>``. The rows are written once, as the arms, their
+    facts and their rounds read them."""
+    rows = materialize(rows.select(*MEASURED), "arena_rows")
     arms = rows.select("arch", "label", "mode").distinct()
     sam = arms.filter(F.col("label").endswith(CONTROL_SUFFIX)).select("arch", F.col("label").alias("prior_label"), F.col("mode").alias("prior_mode"), F.regexp_replace("label", f"{CONTROL_SUFFIX}$", "").alias("this_label"))
     pairs = sam.join(arms.select("arch", F.col("label").alias("this_label"), F.col("mode").alias("this_mode")), ["arch", "this_label"]).withColumn("pair", F.concat_ws("|", "arch", "this_label", "prior_mode", "this_mode"))

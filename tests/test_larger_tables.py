@@ -4,11 +4,14 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_entry import plain
 
 import __spark_entry__ as entry
-from benchlake.plans import perf, targets
+from benchlake import session
+from benchlake.operators import sets
+from benchlake.plans import arena, perf, targets
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,6 +64,41 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_numbered_is_the_row_number(spark, monkeypatch):
+    """Few keys, null among them, over several ranges, without a window over the rows."""
+    monkeypatch.setattr(session, "TASK_ROWS", 70)
+    rows = spark.range(1000).selectExpr("case when id % 3 > 0 then id % 3 end as k", "id % 2 = 0 as even", "hash(id) as o", "id as kept")
+    want = rows.select("k", "even", "kept", F.row_number().over(Window.partitionBy("k", "even").orderBy("o", "kept")).alias("place"))
+    got = sets.numbered(rows, ["k", "even"], ["o", "kept"], ["kept"], "place")
+    key = lambda r: r.kept
+    assert [tuple(r) for r in sorted(got.collect(), key=key)] == [tuple(r) for r in sorted(want.collect(), key=key)]
+
+
+@pytest.mark.parametrize("name", ["writer_control", "paired_ratio", "arena_table"])
+def test_rounds_over_many_ranges(spark, monkeypatch, name):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    same_as_sql(spark, SF, name)
+
+
+def test_no_window_sorts_the_rounds_of_an_arm(spark, monkeypatch):
+    """The rows that the arena reports get are numbered over ranges."""
+    seen = {}
+    monkeypatch.setattr(arena, "writer_control", lambda rows: seen.setdefault("rows", rows).selectExpr("1D as native_saves", "1D as process_saves"))
+    entry.queries()["writer_control"](spark, SF)
+    for rows in (seen["rows"], entry.queries()["arena_cold_mask"](spark, SF)):
+        assert "row_number" not in plan_of(rows)
+
+
+def test_rounds_are_dealt_out_before_they_are_sorted(spark, monkeypatch):
+    """The two arms of a round meet in as many partitions as their rows fill."""
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    rows = spark.range(200).selectExpr("'a' as arch", "concat('v', id % 2) as label", "'default' as mode", "id div 2 + 1 as rep", "'b' as block", "id % 2 as position", "1D as wall_seconds", "1D as process_seconds", "1L as thp_fault_fallback", "false as cold")
+    pairs = spark.createDataFrame([("p", "a", "v0", "default", "v1", "default")], "pair string, arch string, prior_label string, prior_mode string, this_label string, this_mode string")
+    out = arena.paired_ratios(rows, pairs)
+    assert out.first().rounds == 100 and "RepartitionByExpression [pair" in plan_of(out) and ", 20" in plan_of(out)
+    assert "rightHint=(strategy=broadcast)" in plan_of(out) and "rightHint=(strategy=broadcast)" in plan_of(arena.cold(rows.drop("cold").selectExpr("*", "1D as index_read_seconds", "1D as io_in_mb")))
+
+
 def test_target_cells_are_made_once(spark):
     """No distinct over the cells: copies of a declared sample and outputs that overlap are settled before there are any."""
     samples = spark.createDataFrame([("s1", "s1", False, False, False, True)] * 2 + [("s1-fast", "s1", False, False, False, False), ("s2", "s2", True, True, False, False)], "sample string, base string, truth boolean, meth boolean, compat boolean, golden boolean")
