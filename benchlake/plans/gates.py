@@ -69,6 +69,12 @@ def expected_cells(run: DataFrame, golden: DataFrame, keys: tuple[str, ...] = CE
     return run.select(*keys).distinct().join(golden.select(*keys), list(keys), "left_semi").orderBy(*keys)
 
 
+def in_cells(rows: DataFrame, cells: DataFrame, keys: tuple[str, ...] = CELL) -> DataFrame:
+    """Rows of the given cells; a cell whose sample or arch is null is one like any other."""
+    own = cells.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    return rows.join(own, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
+
+
 # Gate 2: concordance with the golden run
 
 
@@ -191,7 +197,7 @@ def ungraded(trials: DataFrame, rows: DataFrame, side: str) -> DataFrame:
 
 def short_reads(new: DataFrame, prev: DataFrame) -> DataFrame:
     """Replicates that graded fewer reads than the fullest of the cell on either side."""
-    shared = prev.join(new.select(*CELL).distinct(), list(CELL), "left_semi")
+    shared = in_cells(prev, new)
     both = new.select(*CELL, "rep", "read_total", F.lit("candidate").alias("side")).union(shared.select(*CELL, "rep", "read_total", F.lit("prior")))
     full = F.max("read_total").over(Window.partitionBy(*CELL))
     return both.withColumn("expected", full).filter("read_total > 0 and read_total < expected").select(*CELL, "side", F.format_string("rep %d graded %d of %d reads", "rep", "read_total", "expected").alias("detail"))

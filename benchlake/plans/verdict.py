@@ -58,6 +58,6 @@ def failures(trials: DataFrame, comparisons: DataFrame, accuracy: DataFrame, sca
     }
     if golden:
         cells = perf.run_trials(trials, golden).select(*CELL).distinct()
-        expected = swept(new, samples).select(*CELL, "rep").join(cells, CELL, "left_semi")
+        expected = gates.in_cells(swept(new, samples).select(*CELL, "rep"), cells)
         out |= {"1b none graded": none(a), "2 golden not ingested": none(cells), "2 nothing compared": none(compared), "2 concordance missing": gates.golden_missing(expected, compared)}
     return out
