@@ -17,9 +17,10 @@ Documents may cross segments. Reading computes a CRC-32 for each piece of one; p
 shifted arithmetic, so a huge document is read by many tasks.
 
 Ids are those of the tokenizers library. White space ends every token of this kind of file and is dropped,
-so a text is cut at it, and a worker remembers the ids of what it has met between (bounded). Stretches of ASCII and plain
-Latin letters, whose case and classes no version of Unicode moves, are run by the file's merges (``Merges``, the same ids
-several times faster); all others, and files of another make, by the library. Long texts are tokenised in windows.
+so a text is cut at it into stretches. Those of ASCII and plain Latin letters, whose case and classes no version of Unicode
+moves, are laid out by columns of bytes, a space after each piece, and run by the file's merges, a window of many texts
+in one call (``Merges``, the same ids several times faster). All others, and files of another make, are run by the
+library one by one, and a worker remembers their ids (bounded). Long texts are tokenised in windows.
 
 Defined cases: null and empty texts are the separator alone; a null doc_id is below all others; rows that repeat a
 doc_id follow each other in order of a hash of their text; other columns are ignored; an empty table writes no
@@ -50,9 +51,9 @@ from benchlake.llm.packing import _byte_letters
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 2
 SEGMENT = 1 << 18
-#: Bytes of a text that are tokenised at once, where white space allows.
+#: Bytes of texts that are tokenised at once, where white space allows.
 WINDOW = 1 << 20
-#: What a worker remembers: so many stretches of text, none longer than so many bytes.
+#: What a worker remembers of the library's work: so many stretches of text, none longer than so many bytes.
 REMEMBERED, LONGEST = 800_000, 256
 _BITS, _MAGIC = 8, b"DAC1"
 
@@ -151,18 +152,72 @@ def crc_joined(left: int, right: int, n_bytes: int) -> int:
 _PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _PRE = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0100-\u012f\u0131-\u017f"
-#: A stretch of ASCII and of Latin letters that are composed and have one lower-case letter.
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+# Kinds of bytes. A digit, a mark and a hole are a piece each; odd bytes are in no plain stretch. Of the letters beyond
+# ASCII two lead bytes are plain but for the pairs below; their case moves no border and no length.
+_SPACE, _LETTER, _OTHER, _DIGIT, _ALONE, _ODD = range(6)
+#: What ends a text, in no UTF-8, and what is written for it and for a stretch that is left to the library.
+_MARK, _MARKED, _HOLE = b"\xff", 1, 2
+_ODD_PAIRS = (b"<|", "\u00d7".encode(), "\u00f7".encode(), "\u0130".encode())
+_ODD_PAIR = re.compile(b"|".join(map(re.escape, _ODD_PAIRS)))
+_BORDER, _STRETCH = re.compile(rb"[ \t\n\r\xff]"), re.compile(rb"\xff|[^ \t-\r\xff]+")
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """For each byte its kind, and how it is written."""
+    kind, written = np.full(256, _ODD, np.uint8), np.arange(256, dtype=np.uint8)
+    kind[33:127] = _OTHER
+    kind[[*b" \t\n\r\x0b\x0c"]] = _SPACE
+    kind[[*b"0123456789"]] = _DIGIT
+    for first, stop in ((65, 91), (97, 123), (0x80, 0xC0), (0xC3, 0xC6)):
+        kind[first:stop] = _LETTER
+    kind[_MARK[0]], written[_MARK[0]] = _ALONE, _MARKED
+    written[kind == _SPACE] = 32
+    written[65:91] += 32
+    return kind, written
+
+
+_KIND, _WRITTEN = _kinds()
+
+
+def _laid_out(data: bytes) -> tuple[str, list[bytes]]:
+    """The pieces of the plain stretches in lower case, a space after each, and the other stretches, for which holes stand."""
+    raw = np.frombuffer(data, np.uint8)
+    kind, written = _KIND[raw], _WRITTEN[raw]
+    odd, others = np.flatnonzero(kind == _ODD), []
+    if any(p in data for p in _ODD_PAIRS):
+        odd = np.concatenate([odd, [m.start() for m in _ODD_PAIR.finditer(data)]])
+    if len(odd):
+        gaps = np.concatenate([[-1], np.flatnonzero((kind == _SPACE) | (kind == _ALONE)), [len(raw)]])
+        at = np.unique(np.searchsorted(gaps, odd))
+        starts, stops = gaps[at - 1] + 1, gaps[at]
+        others = [data[a:z] for a, z in zip(starts.tolist(), stops.tolist(), strict=True)]
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[starts], inside[stops] = 1, -1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        kind[inside], written[inside] = _SPACE, 32
+        kind[starts], written[starts] = _ALONE, _HOLE
+    before, own = kind[:-1], kind[1:]
+    cut = (own != before) | (own >= _DIGIT)  # a border between this byte and the next
+    quote = np.flatnonzero(raw == 0x27)
+    quote = quote[(kind[quote] == _OTHER) & ((quote == 0) | (kind[quote - 1] != _OTHER))]  # begins a piece
+    if len(quote):
+        padded = np.concatenate([written, [32, 32]])
+        a, b = padded[quote + 1], padded[quote + 2]
+        two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+        short = two | np.isin(a, [*b"stmd"])
+        cut[quote[short]] = False
+        ends = (quote + 1 + two)[short]
+        cut[ends[ends < len(cut)]] = True
+    cut &= (own != _SPACE) & (before != _SPACE)
+    return np.insert(written, np.flatnonzero(cut) + 1, 32).tobytes().decode().lower() + " ", others
 
 
 class Merges:
-    """Word pieces by ranked merges. A word's last byte is followed by a mark (0xFF, in no UTF-8 text) that merges with
+    """Word pieces by ranked merges. A word's last byte is followed by a mark (a space, in no piece) that merges with
     it first, as the file's alphabet has every byte also in a form that ends a word. Joining by what a pair
     spells equals joining by the list of pairs where every token of the list spells itself (tested)."""
 
-    END = b"\xff"
+    END = b" "
 
     def __init__(self, known: dict):
         letters, vocab, suffix = _byte_letters(), known["model"]["vocab"], known["model"]["end_of_word_suffix"]
@@ -178,8 +233,10 @@ class Merges:
         for t in by_id[512 : 512 + len(known["model"]["merges"])]:
             ranks[spelt(t)] = len(ids)
             ids.append(vocab[t])
-        self.id_bytes = [struct.pack("<I", i) for i in ids].__getitem__
-        self.piece = tiktoken.Encoding("merges", pat_str="(?s).", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.ids, self.unmixed = np.array(ids, "<u4"), len(ranks) == len(ids)
+        self.marked, self.hole = (ranks[bytes([b]) + self.END] for b in (_MARKED, _HOLE))
+        # Without a special token the search for them would stop at each character; this one is in no text laid out.
+        self.run = tiktoken.Encoding("merges", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={"\0": len(ids)}).encode_to_numpy
 
     @classmethod
     def of(cls, path: str) -> Merges | None:
@@ -193,14 +250,12 @@ class Merges:
         pairs = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model["merges"]]
         alphabet = set(_byte_letters())
         ordered = by_id[512 : 512 + len(pairs)] == pairs and set(by_id[:256]) == alphabet and set(by_id[256:512]) == {c + "</w>" for c in alphabet}
-        return cls(known) if ordered and [model["vocab"][t] for t in by_id[:512]] == list(range(512)) else None
+        out = cls(known) if ordered and [model["vocab"][t] for t in by_id[:512]] == list(range(512)) else None
+        return out if out and out.unmixed else None
 
-    def word(self, letters: bytes) -> bytes:
-        """The ids of one piece in lower case."""
-        return b"".join(map(self.id_bytes, self.piece(letters + self.END)))
-
-    def encode(self, stretch: str) -> bytes:
-        return b"".join([self.word(p.encode()) for p in _PIECES.findall(stretch.lower())])
+    def encode(self, text: str) -> np.ndarray:
+        """The ranks of what is laid out."""
+        return self.run(text, disallowed_special=())
 
 
 class Ids:
@@ -210,27 +265,60 @@ class Ids:
         self.library, self.merges = Tokenizer.from_file(path), Merges.of(path)
         self.known: dict[bytes, bytes] = {}
 
-    def _ids(self, stretch: bytes) -> bytes:
-        if self.merges and stretch.isalpha():  # ASCII letters alone
-            out = self.merges.word(stretch.lower())
-        elif self.merges and b"<|" not in stretch and _PLAIN.fullmatch(text := stretch.decode()):
-            out = self.merges.encode(text)
-        else:
-            out = np.array(self.library.encode(stretch.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def _by_library(self, stretch: bytes) -> bytes:
+        out = np.array(self.library.encode(stretch.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if len(stretch) <= LONGEST:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[stretch] = out
         return out
 
+    def _marked(self, window: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a window, one of any value for each mark, and the places behind the marks."""
+        get, own = self.known.get, self._by_library
+        if self.merges is None:
+            found = _STRETCH.findall(window)
+            parts = [bytes(4) if s == _MARK else get(s) or own(s) for s in found]
+            ends = np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)[[s == _MARK for s in found]]
+            return np.frombuffer(bytearray(b"".join(parts)), "<u4"), ends
+        text, others = _laid_out(window)
+        ranks = self.merges.encode(text)
+        marks = np.flatnonzero(ranks == self.merges.marked)
+        if not others:
+            return self.merges.ids[ranks], marks + 1
+        parts, hole, sizes = [get(s) or own(s) for s in others], ranks == self.merges.hole, np.ones(len(ranks), np.int64)
+        sizes[hole] = [len(p) // 4 for p in parts]
+        filled = np.repeat(hole, sizes)
+        ids = np.empty(len(filled), "<u4")
+        ids[filled], ids[~filled] = np.frombuffer(b"".join(parts), "<u4"), self.merges.ids[ranks[~hole]]
+        return ids, np.cumsum(sizes)[marks]
+
+    def _ids(self, window: bytes) -> bytes:
+        return self._marked(window)[0].tobytes()
+
     def encode(self, text: str) -> Iterator[bytes]:
-        data, start, space = text.encode("utf-8", "replace"), 0, re.compile(rb"[ \t\n\r]")
-        while start < len(data):
-            m = space.search(data, start + WINDOW)
-            stop = m.start() if m else len(data)
-            get, own = self.known.get, self._ids
-            yield b"".join([get(s) or own(s) for s in data[start:stop].split()])
-            start = stop
+        return map(self._ids, _windows(text.encode("utf-8", "replace")))
+
+    def encode_all(self, texts: list[str], end: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """(which text, ids, is it done): the ids of all texts in turn, each ended with ``end``, long ones in parts."""
+        which = 0
+        for window in _windows(b"".join([t.encode("utf-8", "replace") + _MARK for t in texts])):
+            ids, ends = self._marked(window)
+            ids[ends - 1], start = end, 0
+            for stop in ends.tolist():
+                yield which, ids[start:stop], True
+                which, start = which + 1, stop
+            if start < len(ids):
+                yield which, ids[start:], False
+
+
+def _windows(data: bytes) -> Iterator[bytes]:
+    start = 0
+    while start < len(data):
+        m = _BORDER.search(data, start + WINDOW)
+        stop = m.start() if m else len(data)
+        yield data[start:stop]
+        start = stop
 
 
 _WORKER: dict[str, Ids] = {}
@@ -253,35 +341,29 @@ def _encoded(docs: DataFrame, path: str, separator: int, segment: int) -> DataFr
         if path not in _WORKER:
             _WORKER[path] = Ids(path)
         encoder = _WORKER[path]
-        end = np.array([separator], "<u4").tobytes()
         held, size, docs_, at, first, number = [], 0, [], 0, 0, -1
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                number += 1
-                docs_.append((doc, 0))
-                for ids in (*encoder.encode(text), end) if len(text) <= WINDOW else _then(encoder.encode(text), end):
-                    held.append(ids)
-                    size += len(ids) // 4
-                    docs_[-1] = (doc, docs_[-1][1] + len(ids) // 4)
-                    while size > segment or size == segment and ids is end:
-                        both = np.frombuffer(b"".join(held), "<u4")
-                        over = size - segment
-                        docs_[-1] = (doc, docs_[-1][1] - over)
-                        still = over > 0 or ids is not end
-                        yield row(part, at, first, still, docs_, both[:segment])
-                        held, size, at = [both[segment:].tobytes()], over, at + 1
-                        docs_, first = ([(doc, over)], number) if still else ([], number + 1)
+            keys, last = b.column(0).to_pylist(), -1
+            for k, ids, done in encoder.encode_all(b.column(2).to_pylist(), separator):
+                doc = keys[k]
+                if k != last:
+                    last, number = k, number + 1
+                    docs_.append((doc, 0))
+                held.append(ids)
+                size += len(ids)
+                docs_[-1] = (doc, docs_[-1][1] + len(ids))
+                while size > segment or size == segment and done:
+                    both, over = np.concatenate(held), size - segment
+                    docs_[-1] = (doc, docs_[-1][1] - over)
+                    yield row(part, at, first, over > 0, docs_, both[:segment])
+                    held, size, at = [both[segment:]], over, at + 1
+                    docs_, first = ([(doc, over)], number) if over else ([], number + 1)
         if size:
-            yield row(part, at, first, False, docs_, np.frombuffer(b"".join(held), "<u4"))
+            yield row(part, at, first, False, docs_, np.concatenate(held))
 
     return docs.mapInArrow(run, _SEGMENT)
 
 
-def _then(parts: Iterator[bytes], last: bytes) -> Iterator[bytes]:
-    yield from parts
-    yield last
-
-
 def write(docs: DataFrame, path: str, tokenizer_path: str | None = None, separator: int = SEPARATOR, segment: int = SEGMENT) -> None:
     """Write the ids of all documents, in ascending doc_id order, as segments under ``path``. Whole texts are
     shuffled once, before they are tokenised: the sort samples its input, which should not tokenise it."""

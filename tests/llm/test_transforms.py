@@ -243,6 +243,34 @@ def test_merges_equal_the_library():
         assert np.frombuffer(own._ids(t.encode()), "<u4").tolist() == own.library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_plain_words_are_run_by_windows():
+    """One call of the merges for a window of many texts, however many words; nothing is looked up word by word."""
+    own = token_file.Ids(public_tokenizers.path(token_file.TOKENIZER))
+    rng, calls, run = random.Random(4), [], own.merges.encode
+    own.merges.encode = lambda text: calls.append(len(text)) or run(text)
+    texts = [" ".join("".join(rng.choices("abcdefghijé,'S1", k=rng.randint(1, 9))) for _ in range(200)) for _ in range(50)]
+    got = [ids.tolist() for _, ids, _ in own.encode_all(texts, 2)]
+    assert got == [[*own.library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert len(calls) == 1 and not own.known
+
+
+@pytest.mark.parametrize("by_merges", [True, False])
+def test_texts_side_by_side_equal_texts_alone(monkeypatch, by_merges):
+    """Neither neighbours nor borders of windows nor what is left to the library move an id or the end of a text."""
+    own = token_file.Ids(public_tokenizers.path(token_file.TOKENIZER))
+    own.merges = own.merges if by_merges else None
+    rng = random.Random(6)
+    letters = [*"aAsStTdDmMlLrReEvV''''\".,09 \t\n\r\x0b\x0c\x00\x01\x02\x1c\x7f<|>", *"ÿŸé×÷İıſßĀŉþ中’Σ", "\u0301", "\x85", "\xa0", "\u212a", "\U0001f600", "<|endoftext|>", "'ll", "'Re"]
+    for k in range(1500):
+        texts = ["".join(rng.choices(letters if k % 2 else letters[:26], k=rng.randint(0, 30))) for _ in range(rng.randint(1, 8))]
+        monkeypatch.setattr(token_file, "WINDOW", rng.choice([1, 3, 10, 50, 1 << 20]))
+        got, done = [[] for _ in texts], []
+        for which, ids, ends in own.encode_all(texts, 2):
+            got[which] += ids.tolist()
+            done += [which] * ends
+        assert (got, done) == ([[*own.library.encode(t, add_special_tokens=False).ids, 2] for t in texts], [*range(len(texts))]), repr(texts)
+
+
 def test_files_of_another_make_are_run_by_the_library(tmp_path):
     known = json.load(open(public_tokenizers.path(token_file.TOKENIZER), encoding="utf-8"))
     known["normalizer"]["normalizers"].pop()  # keeps case
