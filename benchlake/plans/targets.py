@@ -81,26 +81,30 @@ def expected(samples: DataFrame, archs: DataFrame, reps: int, baseline_reps: int
 
 def closure(wanted: DataFrame, samples: DataFrame, archs: DataFrame, rules: tuple[tuple[str, ...], ...] = RULES) -> DataFrame:
     """Wanted products and all that they need, each once: (source, product, sample, arch, rep). samples: (sample, base),
-    archs: (arch, baseline_arch)."""
+    archs: (arch, baseline_arch). Written cells take a few bits each, so that by the size of its files a frame of millions
+    seems small enough to broadcast: samples are joined by sorting, and what is new is told by a grouping, not by a join."""
     spark = wanted.sparkSession
     needs = spark.createDataFrame(list(rules), "source string, product string, n_source string, n_product string, of_sample string, of_arch string, of_rep string")
-    bases, references = samples.select("sample", "base").distinct(), archs.select("arch", "baseline_arch")
+    bases, references = materialize(samples.select("sample", "base").distinct(), "bases"), archs.select("arch", "baseline_arch").distinct()
 
     def pick(rule: str, other: str, column: Column, same: str) -> Column:
-        return F.when(F.col(rule) == other, column).otherwise(F.col(same))
+        return F.when(F.col(rule) == other, column).otherwise(F.col(same)).alias(same)
 
-    known = materialize(wanted.select(*KEY).distinct(), "wanted")
-    fresh = known
+    known, paths = None, []
+    found = materialize(wanted.select(*KEY[:-1], F.col("rep").cast("long")), "wanted")
+    parts = dealt(found)
     while True:
-        step = fresh.join(F.broadcast(needs), ["source", "product"]).join(bases, "sample").join(references, "arch")
-        found = step.select(
-            F.col("n_source").alias("source"), F.col("n_product").alias("product"), pick("of_sample", "base", F.col("base"), "sample").alias("sample"), pick("of_arch", "reference", F.col("baseline_arch"), "arch").alias("arch"),
-            pick("of_rep", "first", F.lit(1).cast("long"), "rep").alias("rep"),
-        )
-        fresh = materialize(found.distinct().join(known, list(KEY), "left_anti"), "needed")
-        if fresh.isEmpty():
+        cells = found.withColumn("_new", F.lit(True))
+        cells = cells.union(known.withColumn("_new", F.lit(False))) if paths else cells
+        fresh = materialize(cells.repartition(parts, *KEY).groupBy(*KEY).agg(F.min("_new").alias("_new")).filter("_new").drop("_new"), "needed")
+        if paths and fresh.isEmpty():
             return known
-        known = materialize(known.union(fresh), "wanted")
+        paths.append(fresh.scratch_path)
+        known = spark.read.schema(fresh.schema).parquet(*paths)
+        parts = dealt(known)
+        step = fresh.join(F.broadcast(needs), ["source", "product"]).join(F.broadcast(references), "arch")
+        step = step.select(F.col("n_source").alias("source"), F.col("n_product").alias("product"), "sample", "of_sample", pick("of_arch", "reference", F.col("baseline_arch"), "arch"), pick("of_rep", "first", F.lit(1).cast("long"), "rep"))
+        found = step.repartition(parts, "sample").join(bases.repartition(parts, "sample").hint("merge"), "sample").select("source", "product", pick("of_sample", "base", F.col("base"), "sample"), "arch", "rep")
 
 
 def missing(expected_cells: DataFrame, present: DataFrame) -> DataFrame:

@@ -146,3 +146,25 @@ def test_target_cells_are_made_once(spark):
     want = [("t", "runs", "p", "s1", a, r) for a in ("a1", "a2") for r in (1, 2, 3)] + [("t", "runs", "q", "s1-fast", "a3", r) for r in (1, 2, 3)] + [("t", "runs", "e", "s2", "a2", r) for r in (1, 2, 3)]
     assert sorted(map(tuple, out.collect())) == sorted(want)
     assert "Aggregate" not in plan_of(out).split("Join")[0]
+
+
+def test_target_closure_broadcasts_no_cells(spark, monkeypatch):
+    """Files of a few kilobytes hold thousands of cells: rules and architectures are all that a round broadcasts."""
+    rounds = []
+
+    def planned(df, name):
+        rounds.extend([df._jdf.queryExecution().executedPlan().toString()] * (name == "needed"))
+        return session.materialize(df, name)
+
+    monkeypatch.setattr(targets, "materialize", planned)
+    entry.queries()["target_closure"](spark, SF)
+    assert len(rounds) > 3 and max(p.count("BroadcastExchange") for p in rounds) == 2
+
+
+def test_target_closure_finds_a_cell_without_an_arch_once(spark):
+    """What two rounds lead to is one cell as in SQL, where nulls of a UNION are equal."""
+    rules = (("runs", "p", "runs", "q", "same", "reference", "same"), ("runs", "p", "runs", "r", "same", "same", "same"), ("runs", "r", "runs", "q", "same", "reference", "same"))
+    wanted = spark.createDataFrame([("runs", "p", "s", "x", 1)], "source string, product string, sample string, arch string, rep long")
+    samples, archs = spark.createDataFrame([("s", "s")], "sample string, base string"), spark.createDataFrame([("x", None)], "arch string, baseline_arch string")
+    got = sorted(tuple(r) for r in targets.closure(wanted, samples, archs, rules).collect())
+    assert got == [("runs", "p", "s", "x", 1), ("runs", "q", "s", None, 1), ("runs", "r", "s", "x", 1)]
